@@ -143,7 +143,7 @@ def classify_operations(
     ``catalog(table_name, ordinal, name, dtype)`` holds the tables as they are
     before the first operation; RDBMS tables are named ``schema.table``. A table
     without columns is one whose schema cannot be read. If one request spells a
-    column in two ways, the spelling of the last ADD counts.
+    new column in two ways, the spelling of the last ADD counts.
     """
     requested = _requested(ops, backend, naming).withColumn("invalid", _invalid(backend))
     tables = catalog.groupBy(F.col("table_name").alias("table_key")).agg(
@@ -162,15 +162,18 @@ def classify_operations(
     kind = F.when(valid, F.col("kind"))
     keys = ["table_key", "column_key"]
 
-    # The spelling under which the column was last declared.
-    named = last_before(known, keys, "seq", {"added_name": F.when(kind == ADD, F.col("column"))}, block)
-    named = named.withColumn("current_name", F.coalesce("added_name", "first_name"))
-    same_name = F.coalesce(F.col("current_name") == F.col("column"), F.lit(False))
-
-    # Is the column there? The last ADD or effective DROP decides.
-    presence = F.when(kind == ADD, F.lit(True)).when((kind == DROP) & same_name, F.lit(False))
-    placed = last_before(named, keys, "seq", {"last_present": presence}, block).withColumn(
-        "present", F.coalesce("last_present", F.col("first_name").isNotNull())
+    # Is the column there, and how is it spelled? The last ADD or DROP before decides.
+    drops = (kind == DROP) & (F.col("first_name").isNull() | (F.col("first_name") == F.col("column")))
+    events = {
+        "added": F.when(kind == ADD, F.struct("seq", "column")),
+        "dropped_at": F.when(drops, F.col("seq")),
+    }
+    added_at = F.coalesce(F.col("added.seq"), F.when(F.col("first_name").isNotNull(), -1), F.lit(-2))
+    placed = last_before(known, keys, "seq", events, block).withColumns(
+        {
+            "present": (added_at > F.coalesce("dropped_at", F.lit(-2))),
+            "current_name": F.coalesce("added.column", "first_name"),
+        }
     )
 
     # Its type: set by the last ADD that added it or CHANGE that found it.
@@ -259,39 +262,47 @@ class ColumnChange:
     casts: tuple[str, ...]
 
 
-def column_changes(classified: DataFrame) -> DataFrame:
-    """The operations that do something, folded into one row per table and column."""
+def column_changes(classified: DataFrame) -> dict[str, list[ColumnChange]]:
+    """The operations that do something, folded to one entry per column, by table.
+
+    The driver gets one row per changed column. The casts in between matter
+    only for a column that was neither added nor dropped, as a new one is NULL
+    in every old row.
+    """
     done = classified.where(F.col("status") == OK)
     keys = ["table_key", "column_key"]
-    seq = F.col("seq")
-    # Only what follows the last ADD or DROP of a column says anything about its values.
+    seq, places = F.col("seq"), F.col("kind") != CHANGE
     folded = done.groupBy(*keys).agg(
-        F.max(F.when(F.col("kind") != CHANGE, seq)).alias("placed_at"),
-        F.max_by("kind", F.when(F.col("kind") != CHANGE, seq)).alias("placed_by"),
+        F.max_by("kind", F.when(places, seq)).alias("placed_by"),
         F.max_by("column", F.when(F.col("kind") == ADD, seq)).alias("added_name"),
         F.max_by("new_type", seq).alias("last_type"),
         F.first("first_name").alias("first_name"),
-    )
-    changes = done.where(F.col("kind") == CHANGE).join(
-        folded.select(*keys, "placed_at"), keys, "left"
-    ).where(F.col("placed_at").isNull() | (seq > F.col("placed_at")))
-    counts = changes.groupBy(*keys).agg(F.count(F.lit(1)).alias("n"))
-    long = counts.where(F.col("n") > MAX_CHAIN).limit(1).collect()
-    if long:
-        raise ValueError(f"more than {MAX_CHAIN} type changes of {long[0]['table_key']}.{long[0]['column_key']} in one request")
-    chains = changes.groupBy(*keys).agg(
-        F.transform(F.sort_array(F.collect_list(F.struct("seq", "new_type"))), lambda c: c["new_type"]).alias("casts")
-    )
-    return folded.join(chains, keys, "left")
-
-
-def _change(row) -> ColumnChange:
-    old = row["first_name"]
-    if row["placed_by"] == DROP:
-        return ColumnChange(row["column_key"], old, None, None, False, ())
-    fresh = row["placed_by"] == ADD
-    name = row["added_name"] if fresh else old
-    return ColumnChange(row["column_key"], old, name, row["last_type"], fresh, tuple(row["casts"] or ()))
+        F.count_if(~places).alias("changes"),
+    ).collect()
+    chained = [row for row in folded if row["placed_by"] is None and row["changes"] > 1]
+    for row in chained:
+        if row["changes"] > MAX_CHAIN:
+            raise ValueError(f"more than {MAX_CHAIN} type changes of {row['table_key']}.{row['column_key']} in one request")
+    chains: dict[tuple[str, str], list[str]] = {}
+    if chained:
+        wanted = done.sparkSession.createDataFrame(
+            [(row["table_key"], row["column_key"]) for row in chained], "table_key string, column_key string"
+        )
+        for row in sorted(done.join(wanted, keys, "left_semi").collect(), key=lambda r: r["seq"]):
+            chains.setdefault((row["table_key"], row["column_key"]), []).append(row["new_type"])
+    by_table: dict[str, list[ColumnChange]] = {}
+    for row in folded:
+        key, old = row["column_key"], row["first_name"]
+        fresh = row["placed_by"] == ADD
+        if row["placed_by"] == DROP:
+            change = ColumnChange(key, old, None, None, False, ())
+        elif fresh:
+            change = ColumnChange(key, old, row["added_name"], row["last_type"], True, ())
+        else:
+            casts = chains.get((row["table_key"], key), [row["last_type"]])
+            change = ColumnChange(key, old, old, row["last_type"], False, tuple(casts))
+        by_table.setdefault(row["table_key"], []).append(change)
+    return by_table
 
 
 def apply_to_table(lake: Lake, table: str, changes: list[ColumnChange], purge: bool = False) -> None:
@@ -342,9 +353,7 @@ def apply_operations(
     classify_operations(ops, lake.catalog(), "lake", naming, block).write.parquet(folder)
     classified = spark.read.parquet(folder)
 
-    by_table: dict[str, list[ColumnChange]] = {}
-    for row in column_changes(classified).collect():
-        by_table.setdefault(row["table_key"], []).append(_change(row))
+    by_table = column_changes(classified)
 
     def carry_out(table: str) -> tuple[str, str] | None:
         try:

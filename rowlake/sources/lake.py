@@ -119,7 +119,11 @@ class Lake:
     def _read(self, table: str, state: TableState, schema: T.StructType) -> DataFrame:
         if not self._batches(table, state):
             return self.spark.createDataFrame([], schema)
-        stored = self.spark.read.schema(schema).parquet(f"{self.path(table)}/g{state.generation}/batch=*")
+        reader = self.spark.read.schema(schema)
+        generation = f"{self.path(table)}/g{state.generation}"
+        if state.partition_by:
+            reader = reader.option("basePath", generation)
+        stored = reader.parquet(f"{generation}/batch=*")
         return stored.select(*[quoted(name) for name in schema.names])
 
     def catalog(self) -> DataFrame:
@@ -159,7 +163,10 @@ class Lake:
         state = self.state(table)
         if state is None:
             check_columns(table, fields)
-            state = TableState(dict(fields), partition_by=[c for c in partition_by if c in fields])
+            kept = [c for c in partition_by if c in fields]
+            if kept and "batch" in (name.lower() for name in fields):
+                raise ValueError(f"table {table!r}: a partitioned table cannot have a column 'batch'")
+            state = TableState(dict(fields), partition_by=kept)
             self.store(table, state)
         return state
 
