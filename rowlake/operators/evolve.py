@@ -90,7 +90,7 @@ def _param(*names: str) -> Column:
     return F.coalesce(*[F.nullif(F.col("params")[name], F.lit("")) for name in names])
 
 
-def _requested(ops: DataFrame, backend: str, naming: str) -> DataFrame:
+def requested_columns(ops: DataFrame, backend: str, naming: str = "ingest") -> DataFrame:
     """Operations with the table, column and type they ask for."""
     is_add, is_change = F.col("kind") == ADD, F.col("kind") == CHANGE
     if backend == "rdbms":
@@ -145,7 +145,7 @@ def classify_operations(
     without columns is one whose schema cannot be read. If one request spells a
     new column in two ways, the spelling of the last ADD counts.
     """
-    requested = _requested(ops, backend, naming).withColumn("invalid", _invalid(backend))
+    requested = requested_columns(ops, backend, naming).withColumn("invalid", _invalid(backend))
     tables = catalog.groupBy(F.col("table_name").alias("table_key")).agg(
         F.lit(True).alias("table_known"), F.bool_or(F.col("name").isNotNull()).alias("readable")
     )

@@ -7,7 +7,7 @@ from dataclasses import dataclass
 from pyspark.sql import DataFrame, Observation, functions as F
 
 from rowlake.operators.shape import route_physical
-from rowlake.plans.fanout import Limits, fan_out
+from rowlake.plans.fanout import Limits, Sink, fan_out
 from rowlake.sources import files
 from rowlake.sources.envelope import decode_envelope, explode_rows
 from rowlake.sources.lake import RESERVED, Lake, Written
@@ -60,22 +60,28 @@ def bulk_ingest(
     max_messages: int | None = None,
     limits: Limits = Limits(),
     staging: str = "table",
+    ranges: dict[int, tuple[int, int]] | None = None,
+    sink: Sink | None = None,
 ) -> Drained:
     """Drain what is buffered beyond the committed offsets into the lake tables.
 
     Offsets are committed after all tables are written. A drain that failed is
-    run again under the same id, and its batches replace themselves.
+    run again under the same id, and its batches replace themselves. The
+    offset ranges are found from the log unless the caller knows them, as a
+    broker does. Tables go to the lake that keeps the offsets, or to ``sink``.
     """
+    sink = sink or lake
     drain_id = _offset_log(lake, source)[1] + 1
-    ranges = drain_ranges(offset_bounds(messages, committed_offsets(lake, source)), max_messages)
+    if ranges is None:
+        ranges = drain_ranges(offset_bounds(messages, committed_offsets(lake, source)), max_messages)
     if not ranges:
         return Drained([], {}, 0, 0)
     seen = Observation(f"drain-{source}-{drain_id}")
     envelopes = decode_envelope(within_ranges(messages, ranges)).observe(
         seen, F.count(F.lit(1)).alias("messages"), F.count_if("malformed").alias("malformed")
     )
-    rows = route_physical(explode_rows(envelopes.where("size(data) > 0")))
-    written = fan_out(rows, lake, source, drain_id, mode="bulk", staging=staging, limits=limits)
+    rows = route_physical(explode_rows(envelopes.where("size(data) > 0")), sink.backend)
+    written = fan_out(rows, sink, source, drain_id, mode="bulk", staging=staging, limits=limits)
     commit_offsets(lake, source, ranges, drain_id)
     counts = seen.get
     return Drained(written, ranges, counts["messages"], counts["malformed"])

@@ -6,12 +6,13 @@ table by table. Only names, types and counts reach the driver.
 
 from __future__ import annotations
 
-from collections.abc import Callable, Iterable
+from collections.abc import Callable, Iterable, Mapping
 from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass, field
+from typing import Protocol
 
 from pyspark import StorageLevel, inheritable_thread_target
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from rowlake import workspace
 from rowlake.functions.naming import logical_table_name, physical_table_name
@@ -24,6 +25,7 @@ from rowlake.operators.shape import (
     text_columns,
     typed_value,
 )
+from rowlake.sources import files
 from rowlake.sources.envelope import FILE_COLUMNS, INGESTION_TIMESTAMP
 from rowlake.sources.lake import Lake, Written
 
@@ -33,6 +35,20 @@ STAGED_SCHEMA = (
 )
 
 
+class Sink(Protocol):
+    """Where tables live: a ``Lake``, or an ``RdbmsSink``."""
+
+    spark: SparkSession
+    backend: str
+
+    def prepare(self, table: str, inferred: Mapping[str, str], partition_by=()) -> Mapping[str, str]:
+        """The declared columns, after creating the table if it is missing and
+        refusing columns it does not declare."""
+
+    def write_rows(self, table, rows, columns, metrics, source, batch_id, rows_hint) -> Written:
+        """Append ``rows.select(columns)``, observing ``metrics`` on the way."""
+
+
 @dataclass(frozen=True)
 class Limits:
     """Names that may reach the driver; beyond that a batch fails and says why."""
@@ -57,17 +73,26 @@ def staged_rows(rows: DataFrame, how: str) -> tuple[DataFrame, Callable[[], None
     ``cache`` suits a micro-batch. ``table`` suits a drain of any size: rows
     are rebalanced on the table name, so that small tables share a task, a
     table that holds a third of the batch is split over many, and each write
-    below reads the directory of its own table only. The written copy outlives
-    lost executors.
+    below reads the directory of its own table only. ``local`` saves that
+    shuffle when there are few tables: every task then writes a file for each
+    table it meets. Written copies outlive lost executors.
     """
     kept = rows.select("partition", "offset", "pos", INGESTION_TIMESTAMP, "row", "table_name")
     if how == "cache":
         cached = kept.persist(StorageLevel.MEMORY_AND_DISK)
         return cached, lambda: cached.unpersist()
+    if how not in ("table", "local"):
+        raise ValueError(f"unknown staging {how!r}")
+    return by_table(kept, STAGED_SCHEMA, rebalance=how == "table")
+
+
+def by_table(rows: DataFrame, schema, rebalance: bool = True) -> tuple[DataFrame, Callable[[], None]]:
+    """The rows as a written table, partitioned by ``table_name``."""
     spark = rows.sparkSession
     folder = workspace.new_folder(spark, "staged")
-    kept.hint("rebalance", "table_name").write.partitionBy("table_name").parquet(folder)
-    return spark.read.schema(STAGED_SCHEMA).parquet(folder), lambda: None
+    spread = rows.hint("rebalance", "table_name") if rebalance else rows
+    spread.write.partitionBy("table_name").parquet(folder)
+    return spark.read.schema(schema).parquet(folder), lambda: files.delete(spark, folder)
 
 
 def collect_profile(staged: DataFrame, limits: Limits) -> dict[str, TableProfile]:
@@ -106,14 +131,13 @@ def inferred_types(profile: TableProfile, mode: str) -> dict[str, str]:
 
 
 def write_table(
-    lake: Lake, table: str, staged: DataFrame, profile: TableProfile, mode: str, source: str, batch_id: int,
+    sink: Sink, table: str, staged: DataFrame, profile: TableProfile, mode: str, source: str, batch_id: int,
     keep_null_rows: bool = True, partition_by=(),
 ) -> Written:
     """The rows of one table, typed as declared, as one batch of that table."""
     inferred = inferred_types(profile, mode)
     check_columns(table, inferred)
-    state = lake.ensure(table, inferred, partition_by)
-    lake.check_strict(table, state.fields, inferred)
+    declared = sink.prepare(table, inferred, partition_by)
     rows = staged.where(F.col("table_name") == table)
     if not keep_null_rows:
         rows = rows.where(F.size("row") > 0)
@@ -123,7 +147,7 @@ def write_table(
     text = text_columns(rows.withColumn("stamp", stamp), names, ["stamp"], alias="v{}".format)
     columns, lost = [], F.lit(0)
     position = {name: f"v{i}" for i, name in enumerate(names)}
-    for name, dtype in state.fields.items():
+    for name, dtype in declared.items():
         if name == INGESTION_TIMESTAMP:
             columns.append(F.col("stamp").try_cast(dtype).alias(name))
         elif name not in position:
@@ -134,9 +158,7 @@ def write_table(
             columns.append(typed.alias(name))
             if dtype != "string" or typed is not value:
                 lost = lost + F.count_if(value.isNotNull() & typed.isNull())
-    return lake.write_batch(
-        table, state, text, columns, {"lost_values": lost}, source, batch_id, rows_hint=profile.rows
-    )
+    return sink.write_rows(table, text, columns, {"lost_values": lost}, source, batch_id, profile.rows)
 
 
 def for_each_table(spark, tables: Iterable[str], write: Callable[[str], Written], writers: int) -> list[Written]:
@@ -148,7 +170,7 @@ def for_each_table(spark, tables: Iterable[str], write: Callable[[str], Written]
 
 def fan_out(
     rows: DataFrame,
-    lake: Lake,
+    sink: Sink,
     source: str,
     batch_id: int,
     mode: str = "stream",
@@ -170,10 +192,10 @@ def fan_out(
             if profile.columns or (mode == "bulk" and profile.rows)
         }
         return for_each_table(
-            lake.spark,
+            sink.spark,
             profiles,
             lambda table: write_table(
-                lake, table, staged, profiles[table], mode, source, batch_id, keep_null_rows
+                sink, table, staged, profiles[table], mode, source, batch_id, keep_null_rows
             ),
             limits.writers,
         )
@@ -190,21 +212,22 @@ def write_split_by_filename(
     matter, only the number of tables. A NULL file name goes to the default table.
     """
     named = df.withColumn("table_name", physical_table_name(logical_table_name(F.col("filename"))))
-    folder = workspace.new_folder(df.sparkSession, "split")
-    named.hint("rebalance", "table_name").write.partitionBy("table_name").parquet(folder)
-    staged = df.sparkSession.read.schema(named.schema).parquet(folder)
-    counts = staged.groupBy("table_name").count().limit(limits.max_tables + 1).collect()
-    if len(counts) > limits.max_tables:
-        raise ValueError(f"more than {limits.max_tables} tables, e.g. {counts[-1]['table_name']!r}")
-    flat = drop_technical(staged, with_filename=True)
-    return for_each_table(
-        lake.spark,
-        [row["table_name"] for row in counts],
-        lambda table: lake.append(
-            table, flat.where(F.col("table_name") == table).drop("table_name"), source, batch_id, partition_by
-        ),
-        limits.writers,
-    )
+    staged, release = by_table(named, named.schema)
+    try:
+        counts = staged.groupBy("table_name").count().limit(limits.max_tables + 1).collect()
+        if len(counts) > limits.max_tables:
+            raise ValueError(f"more than {limits.max_tables} tables, e.g. {counts[-1]['table_name']!r}")
+        flat = drop_technical(staged, with_filename=True)
+        return for_each_table(
+            lake.spark,
+            [row["table_name"] for row in counts],
+            lambda table: lake.append(
+                table, flat.where(F.col("table_name") == table).drop("table_name"), source, batch_id, partition_by
+            ),
+            limits.writers,
+        )
+    finally:
+        release()
 
 
 def written_frame(spark, reports: Iterable[Written]) -> DataFrame:

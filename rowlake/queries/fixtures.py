@@ -237,13 +237,13 @@ def sales_sql() -> str:
     )
 
 
-def sales_content(lake: Lake) -> DataFrame:
+def sales_content(scan) -> DataFrame:
     """Every row of the three tables as (table_name, row_key, row_text)."""
     frames = []
     for name, columns in SALES_COLUMNS.items():
         parts = [F.coalesce(F.col(c).cast("string"), F.lit("~")) for c in columns]
         frames.append(
-            lake.scan(name).select(
+            scan(name).select(
                 F.lit(name).alias("table_name"), F.col(columns[0]).alias("row_key"), F.concat_ws("|", *parts).alias("row_text")
             )
         )

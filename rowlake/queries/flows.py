@@ -19,14 +19,14 @@ def stream_ingest(spark, sf_dir):
     start_stream(
         replay_stream(spark, path, max_files_per_trigger=3), lake, workspace.new_folder(spark, "checkpoint"), drain=True
     ).awaitTermination()
-    return fx.sales_content(lake)
+    return fx.sales_content(lake.scan)
 
 
 def bulk(spark, sf_dir):
     lake = fx.new_lake(spark)
     log = fx.logged(spark, fx.sales_messages(spark, sf_dir))
     bulk_ingest(log, lake)
-    return fx.sales_content(lake)
+    return fx.sales_content(lake.scan)
 
 
 def topic_backlog(spark, sf_dir):
@@ -56,7 +56,7 @@ def drain_then_stream(spark, sf_dir):
         query.processAllAvailable()
     finally:
         query.stop()
-    return fx.sales_content(lake)
+    return fx.sales_content(lake.scan)
 
 
 def drain_steps(spark, sf_dir):

@@ -76,7 +76,7 @@ SPLIT_BY_FILENAME = "select event_id, user_id, event_type as table_name from eve
 def fan_out_tables(spark, sf_dir):
     lake = fx.new_lake(spark)
     fan_out(routed(fx.sales_messages(spark, sf_dir)), lake, "sales", 0, staging="table")
-    return fx.sales_content(lake)
+    return fx.sales_content(lake.scan)
 
 
 def rows_written(spark, sf_dir):

@@ -13,9 +13,12 @@ from pyspark.sql import functions as F
 from rowlake import workspace
 from rowlake.operators import evidence as ev
 from rowlake.operators.evolve import classify_operations
+from rowlake.operators.shape import route_physical
+from rowlake.plans.fanout import fan_out
 from rowlake.queries import fixtures as fx
 from rowlake.queries.evolution import operations, operations_sql, requests
 from rowlake.sources import rdbms as rd
+from rowlake.sources.envelope import decode_envelope, explode_rows
 
 CATALOG = "spark_catalog"
 
@@ -101,6 +104,14 @@ from events
 """
 
 
+def fan_out_rdbms(spark, sf_dir):
+    """The sales log into catalog tables."""
+    db, ns = namespace(spark)
+    rows = route_physical(explode_rows(decode_envelope(fx.sales_messages(spark, sf_dir))), "rdbms")
+    fan_out(rows, rd.RdbmsSink(db, ns), "sales", 0, staging="table")
+    return fx.sales_content(lambda table: spark.table(db.name(ns, table)))
+
+
 def add_column_rdbms(spark, sf_dir):
     db, ns = namespace(spark)
     part = fx.table(spark, sf_dir, "part").select("p_partkey", "p_name")
@@ -189,6 +200,7 @@ from r
 """
 
 QUERIES = {
+    "fan_out_rdbms": (fan_out_rdbms, fx.sales_sql()),
     "rdbms_append": (rdbms_append, RDBMS_APPEND),
     "rdbms_bulk_insert": (rdbms_bulk_insert, "select p_partkey, p_name, p_size, true as stamped from part"),
     "rdbms_catalog": (rdbms_catalog, RDBMS_CATALOG),

@@ -34,6 +34,12 @@ def names(spark: SparkSession, path: str) -> list[str]:
     return [status.getPath().getName() for status in _fs(spark, target).listStatus(target)]
 
 
+def delete(spark: SparkSession, path: str) -> None:
+    """Remove a folder that this run has made."""
+    target = _path(spark, path)
+    _fs(spark, target).delete(target, True)
+
+
 def matching(spark: SparkSession, pattern: str) -> list[str]:
     """The paths that match a pattern."""
     target = _path(spark, pattern)

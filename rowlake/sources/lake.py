@@ -79,6 +79,8 @@ class Written:
 class Lake:
     """The tables below one root directory."""
 
+    backend = "lake"
+
     def __init__(self, spark: SparkSession, root: str):
         self.spark = spark
         self.root = root.rstrip("/")
@@ -215,6 +217,16 @@ class Lake:
             table, state, df, columns, {"lost_values": lost}, source, batch_id, rows_hint
         )
 
+    def prepare(self, table: str, inferred: Mapping[str, str], partition_by=()) -> Mapping[str, str]:
+        """The declared columns of a table that is to take the inferred ones."""
+        declared = self.ensure(table, inferred, partition_by).fields
+        self.check_strict(table, declared, inferred)
+        return declared
+
+    def write_rows(self, table, rows, columns, metrics, source, batch_id, rows_hint) -> Written:
+        """One table of a fan-out."""
+        return self.write_batch(table, self.required(table), rows, columns, metrics, source, batch_id, rows_hint)
+
     def write_batch(self, table, state, df, columns, metrics, source, batch_id, rows_hint=None) -> Written:
         """Write ``df.select(columns)`` as one batch directory; count in the same job."""
         if batch_id <= state.merged.get(source, -1):

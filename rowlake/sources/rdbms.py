@@ -8,7 +8,7 @@ catalog; any other Spark catalog works as well.
 from __future__ import annotations
 
 import uuid
-from collections.abc import Iterable
+from collections.abc import Iterable, Mapping
 
 from pyspark.errors import PySparkException
 from pyspark.sql import DataFrame, Observation, SparkSession, functions as F, types as T
@@ -16,9 +16,11 @@ from pyspark.sql import DataFrame, Observation, SparkSession, functions as F, ty
 from rowlake.functions.errors import error_class
 from rowlake.functions.labels import RDBMS_NUMERIC, SPARK_OF_RDBMS, rdbms_ddl_name
 from rowlake.functions.naming import RDBMS_IDENTIFIER_MAX
-from rowlake.operators.evolve import ADD, CODES, DEFAULT_SCHEMA, DROP, OK, RESULT_COLUMNS, classify_operations
+from rowlake.operators.evolve import (
+    ADD, CODES, DEFAULT_SCHEMA, DROP, OK, RESULT_COLUMNS, classify_operations, requested_columns,
+)
 from rowlake.operators.shape import drop_technical, quoted
-from rowlake.sources.lake import CATALOG_SCHEMA, Written
+from rowlake.sources.lake import CATALOG_SCHEMA, SchemaMismatch, Written
 
 # Rows per insert of an append and of a bulk insert.
 APPEND_BATCH = 5000
@@ -124,14 +126,17 @@ class Rdbms:
         frame = insertable(drop_technical(df))
         self.create(schema, bare, frame)
         observed = Observation(f"insert-{uuid.uuid4().hex}")
+        self.insert(schema, bare, frame.observe(observed, F.count(F.lit(1)).alias("rows")))
+        return Written(f"{schema}.{bare}", observed.get.get("rows", 0))
+
+    def insert(self, schema: str, table: str, frame: DataFrame) -> None:
         view = f"rowlake_{uuid.uuid4().hex}"
-        frame.observe(observed, F.count(F.lit(1)).alias("rows")).createOrReplaceTempView(view)
+        frame.createOrReplaceTempView(view)
         names = ", ".join(identifier(c) for c in frame.columns)
         try:
-            self.spark.sql(f"INSERT INTO {self.name(schema, bare)} ({names}) SELECT {names} FROM {view}")
+            self.spark.sql(f"INSERT INTO {self.name(schema, table)} ({names}) SELECT {names} FROM {view}")
         finally:
             self.spark.catalog.dropTempView(view)
-        return Written(f"{schema}.{bare}", observed.get.get("rows", 0))
 
     def bulk_insert(self, table: str, df: DataFrame, drop_columns: Iterable[str] = ()) -> Written:
         """K8: drop columns, stamp the insertion time, create if missing; an empty frame does nothing."""
@@ -180,9 +185,7 @@ class Rdbms:
         targets = self._targets(ops)
         classified = classify_operations(ops, self.columns(targets), "rdbms")
         done = classified.where(F.col("status") == OK).select("seq", "kind", "table_key", "column", "new_type")
-        todo = sorted(done.limit(MAX_STATEMENTS + 1).collect(), key=lambda r: r["seq"])
-        if len(todo) > MAX_STATEMENTS:
-            raise ValueError(f"more than {MAX_STATEMENTS} schema changes in one request")
+        todo = sorted(self.bounded(done), key=lambda r: r["seq"])
         # The verdicts refer to the catalog as it was, which is held in the plan, not read again.
         failures = []
         for op in todo:
@@ -200,13 +203,49 @@ class Rdbms:
 
     def _targets(self, ops: DataFrame) -> list[tuple[str, str]]:
         """The distinct tables a request names."""
-        from rowlake.operators.evolve import _requested
+        keys = requested_columns(ops, "rdbms").select("table_key").where("table_key IS NOT NULL").distinct()
+        return [tuple(row["table_key"].split(".", 1)) for row in self.bounded(keys)]
 
-        keys = _requested(ops, "rdbms", "ingest").select("table_key").where("table_key IS NOT NULL").distinct()
-        found = keys.limit(MAX_STATEMENTS + 1).collect()
+    def bounded(self, names: DataFrame) -> list:
+        """What a request asks of the database; too much is an error."""
+        found = names.limit(MAX_STATEMENTS + 1).collect()
         if len(found) > MAX_STATEMENTS:
-            raise ValueError(f"more than {MAX_STATEMENTS} tables in one request")
-        return [tuple(row["table_key"].split(".", 1)) for row in found]
+            raise ValueError(f"more than {MAX_STATEMENTS} tables or statements in one request")
+        return found
+
+
+class RdbmsSink:
+    """One schema of a catalog as the target of a fan-out.
+
+    An insert cannot replace an earlier one, so a batch that is run again
+    after a failure inserts its rows again.
+    """
+
+    backend = "rdbms"
+
+    def __init__(self, db: Rdbms, schema: str = DEFAULT_SCHEMA):
+        self.db = db
+        self.spark = db.spark
+        self.schema = schema
+
+    def prepare(self, table: str, inferred: Mapping[str, str], partition_by=()) -> Mapping[str, str]:
+        if not self.db.exists(self.schema, table):
+            schema = T.StructType([T.StructField(n, T.DataType.fromDDL(t)) for n, t in inferred.items()])
+            self.db.create(self.schema, table, insertable(self.spark.createDataFrame([], schema)))
+        declared = {f.name: f.dataType.simpleString() for f in self.db.schema(self.schema, table).fields}
+        extra = sorted(set(inferred) - set(declared))
+        if extra:
+            raise SchemaMismatch(f"table {table!r} does not declare {extra}")
+        return declared
+
+    def write_rows(self, table, rows, columns, metrics, source, batch_id, rows_hint) -> Written:
+        observed = Observation(f"insert-{uuid.uuid4().hex}")
+        counted = rows.observe(
+            observed, F.count(F.lit(1)).alias("rows"), *[m.alias(n) for n, m in metrics.items()]
+        )
+        self.db.insert(self.schema, table, counted.select(*columns))
+        seen = observed.get
+        return Written(table, seen.get("rows", 0), seen.get("lost_values") or 0)
 
 
 def rdbms_report(classified: DataFrame, failures: list[tuple[int, str]]) -> DataFrame:
