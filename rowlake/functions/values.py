@@ -33,8 +33,15 @@ def looks_like_date(value: Column, pattern: str = DATE_PATTERN) -> Column:
 
 
 def to_date(value: Column, fmt: str = DATE_FORMAT) -> Column:
-    """The date, NULL where the text is no date."""
-    return F.try_to_date(value, fmt)
+    """The date, NULL where the text is no date.
+
+    In the default format the pattern is checked first and the plain cast does
+    the rest, which is several times faster than a formatter. There is no year 0.
+    """
+    if fmt != DATE_FORMAT:
+        return F.try_to_date(value, fmt)
+    exact = (F.octet_length(value) == _DATE_BYTES[0]) & value.rlike(DATE_PATTERN) & ~value.startswith("0000")
+    return F.when(exact, value.try_cast("date"))
 
 
 def is_date_name(name: Column) -> Column:
@@ -51,7 +58,7 @@ def is_date_column(name: str) -> bool:
 
 def guarded_date(value: Column) -> Column:
     """T5: text that looks like a date must be one; other text stays."""
-    return F.when(looks_like_date(value), F.try_to_date(value).cast("string")).otherwise(value)
+    return F.when(looks_like_date(value), value.try_cast("date").cast("string")).otherwise(value)
 
 
 def normalize_timestamp(value: Column) -> Column:

@@ -58,15 +58,21 @@ BLOCK = 100_000
 MAX_CHAIN = 100
 
 
-def last_before(df: DataFrame, keys: list[str], order: str, values: dict[str, Column], block: int = BLOCK) -> DataFrame:
+def last_before(
+    df: DataFrame, keys: list[str], order: str, values: dict[str, Column], block: int | None = BLOCK
+) -> DataFrame:
     """Add, per name, the last non-NULL value of its column in earlier rows of the same key.
 
     ``order`` is a unique non-negative integer. Rows are cut into blocks of the
     order; windows look back inside a block, and what earlier blocks end with
     is carried over from one row per key and block. So a key with most of the
-    rows is spread over as many tasks as it has blocks.
+    rows is spread over as many tasks as it has blocks. Without a block size
+    one window per key looks back over everything, for frames known to be small.
     """
     names = list(values)
+    if block is None:
+        before = Window.partitionBy(*keys).orderBy(order).rowsBetween(Window.unboundedPreceding, -1)
+        return df.withColumns({n: F.last(v, ignorenulls=True).over(before) for n, v in values.items()})
     blocked = df.withColumns({f"_v_{n}": v for n, v in values.items()}).withColumn(
         "_block", F.floor(F.col(order) / block)
     )
@@ -136,7 +142,7 @@ def _literal(codes: dict[str, str]) -> Column:
 
 
 def classify_operations(
-    ops: DataFrame, catalog: DataFrame, backend: str = "lake", naming: str = "ingest", block: int = BLOCK
+    ops: DataFrame, catalog: DataFrame, backend: str = "lake", naming: str = "ingest", block: int | None = BLOCK
 ) -> DataFrame:
     """Status and error code of every operation, and what it would do.
 
@@ -262,6 +268,11 @@ class ColumnChange:
     casts: tuple[str, ...]
 
 
+def block_size(ops: DataFrame, block: int = BLOCK) -> int | None:
+    """No blocks for a request that fits into one."""
+    return None if ops.limit(block + 1).count() <= block else block
+
+
 def column_changes(classified: DataFrame) -> dict[str, list[ColumnChange]]:
     """The operations that do something, folded to one entry per column, by table.
 
@@ -344,10 +355,11 @@ def apply_to_table(lake: Lake, table: str, changes: list[ColumnChange], purge: b
 
 
 def apply_operations(
-    ops: DataFrame, lake: Lake, naming: str = "ingest", writers: int = 8, purge: bool = False, block: int = BLOCK
+    ops: DataFrame, lake: Lake, naming: str = "ingest", writers: int = 8, purge: bool = False
 ) -> DataFrame:
     """E8 on the lake: classify, carry out, and report one result per operation."""
     spark = lake.spark
+    block = block_size(ops)
     # Written down, because the catalog it was read from is about to change.
     folder = workspace.new_folder(spark, "operations")
     classify_operations(ops, lake.catalog(), "lake", naming, block).write.parquet(folder)

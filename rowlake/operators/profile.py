@@ -34,42 +34,73 @@ def arrival_key(partition: str = "partition", offset: str = "offset", pos: str =
     return number(partition) * power(30) + number(offset) * power(11) + number(pos) * power(1)
 
 
+# Offsets and positions below these fit into one long with a free last bit.
+PACKED_OFFSETS = 1 << 43
+PACKED_POSITIONS = 1 << 19
+
+
+def packed_arrival_key() -> Column:
+    """(offset, position) as one ordered long with a free last bit; see ``packable``."""
+    offset = F.coalesce(F.col("offset"), F.lit(0)) * (PACKED_POSITIONS * 2)
+    return offset + F.coalesce(F.col("pos"), F.lit(0)).cast("bigint") * 2
+
+
+def packable() -> Column:
+    """An aggregate: do the offsets and positions of a batch fit into a packed key?"""
+    fits = F.coalesce(F.col("offset"), F.lit(0)).between(0, PACKED_OFFSETS - 1) & (
+        F.coalesce(F.col("pos"), F.lit(0)) < PACKED_POSITIONS
+    )
+    return F.count_if(~fits) == 0
+
+
 def _first_code(value: Column, code: Column) -> Column:
     """The code of the first value in arrival order; NULL values do not count."""
     return (F.min(F.when(value.isNotNull(), F.col("arrival") + code)) % 10).cast("int")
 
 
-def _entries(rows: DataFrame, excluded) -> DataFrame:
+def _entries(rows: DataFrame, excluded, arrival: Column) -> DataFrame:
     """One row per map entry; a row without entries gives one with a NULL key."""
-    keyed = rows.select("table_name", arrival_key().alias("arrival"), "row")
-    entries = keyed.select("table_name", "arrival", F.posexplode_outer("row").alias("entry", "column_name", "value"))
+    keyed = rows.select("table_name", "partition", arrival.alias("arrival"), "row")
+    entries = keyed.select(
+        "table_name", "partition", "arrival", F.posexplode_outer("row").alias("entry", "column_name", "value")
+    )
     return entries.withColumn("is_row", F.coalesce(F.col("entry"), F.lit(0)) == 0).withColumn(
         "column_name", F.when(~F.col("column_name").isin(*excluded), F.col("column_name"))
     )
 
 
-def profile_columns(rows: DataFrame, excluded=FILE_COLUMNS) -> DataFrame:
+def profile_columns(rows: DataFrame, excluded=FILE_COLUMNS, packed: bool = False) -> DataFrame:
     """Per table and column: value count, date hits, is the first value a date.
 
     The entry with a NULL column keeps tables without columns visible;
-    ``rows`` adds up, over the columns of a table, to its number of rows.
+    ``rows`` adds up, over the columns of a table, to its number of rows. The
+    ``packed`` form is faster and right if ``packable`` holds for the rows.
     """
     value = blank_to_null(F.col("value"))
     is_date = looks_like_date(F.col("value"))
-    code = F.when(is_date, F.lit(_DATE)).otherwise(F.lit(_STRING))
-    profile = _entries(rows, excluded).groupBy("table_name", "column_name").agg(
+    counts = [
         F.count_if("is_row").alias("rows"),
         F.count(value).alias("non_null"),
         F.count_if(is_date).alias("date_hits"),
-        _first_code(value, code).alias("first_code"),
-    )
+    ]
+    keys = ["table_name", "column_name"]
+    if packed:
+        # The partition is a key of its own, which a task seldom has two of.
+        flagged = F.when(value.isNotNull(), F.col("arrival") + F.when(is_date, 0).otherwise(1))
+        by_partition = _entries(rows, excluded, packed_arrival_key()).groupBy(*keys, "partition").agg(
+            *counts, F.min(flagged).alias("first")
+        )
+        profile = by_partition.groupBy(*keys).agg(
+            *[F.sum(name).alias(name) for name in ("rows", "non_null", "date_hits")],
+            F.min_by(F.col("first") % 2 == 0, F.when(F.col("first").isNotNull(), F.coalesce("partition", F.lit(0)))).alias("date"),
+        )
+    else:
+        code = F.when(is_date, F.lit(_DATE)).otherwise(F.lit(_STRING))
+        profile = _entries(rows, excluded, arrival_key()).groupBy(*keys).agg(
+            *counts, (_first_code(value, code) == _DATE).alias("date")
+        )
     return profile.select(
-        "table_name",
-        "column_name",
-        "rows",
-        "non_null",
-        "date_hits",
-        F.coalesce(F.col("first_code") == _DATE, F.lit(False)).alias("first_is_date"),
+        *keys, "rows", "non_null", "date_hits", F.coalesce("date", F.lit(False)).alias("first_is_date")
     )
 
 
@@ -98,7 +129,7 @@ def infer_types(rows: DataFrame, excluded=FILE_COLUMNS) -> DataFrame:
         .otherwise(_STRING)
     )
     typed = (
-        _entries(rows, excluded)
+        _entries(rows, excluded, arrival_key())
         .where(F.col("column_name").isNotNull())
         .select("table_name", "column_name", "arrival", kind.alias("kind"))
     )

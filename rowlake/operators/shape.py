@@ -17,7 +17,7 @@ from rowlake.functions.values import (
     to_date,
 )
 from rowlake.operators.profile import date_shares, infer_types
-from rowlake.sources.envelope import FILE_COLUMNS, INGESTION_TIMESTAMP
+from rowlake.sources.envelope import FILE_COLUMNS, INGESTION_TIMESTAMP, accept_row_or_data
 
 # Columns that never reach a table, and the share of dates that makes a date column.
 TECHNICAL_COLUMNS = ("data_format", "source_filename", "source_data_format")
@@ -32,18 +32,26 @@ def quoted(name: str) -> Column:
     return F.col("`" + name.replace("`", "``") + "`")
 
 
-def route_by_table(rows: DataFrame, style: str = "windows") -> DataFrame:
-    """H1: the logical table of each row; a NULL row is an empty one."""
+def name_table(batch: DataFrame, style: str = "windows") -> DataFrame:
+    """The logical table of each envelope or row, from its file name."""
     rule = logical_table_name_posix if style == "posix" else logical_table_name
-    return rows.withColumn("table_name", default_name(rule(F.col("filename")))).withColumn(
-        "row", F.coalesce("row", F.from_json(F.lit("{}"), "map<string,string>"))
-    )
+    return batch.withColumn("table_name", default_name(rule(F.col("filename"))))
+
+
+def fill_rows(rows: DataFrame) -> DataFrame:
+    """A NULL row is an empty one."""
+    return rows.withColumn("row", F.coalesce("row", F.from_json(F.lit("{}"), "map<string,string>")))
+
+
+def route_by_table(batch: DataFrame, style: str = "windows") -> DataFrame:
+    """H1: rows with their logical table. Envelopes are named before they are exploded."""
+    return fill_rows(accept_row_or_data(name_table(batch, style)))
 
 
-def route_physical(rows: DataFrame, backend: str = "lake") -> DataFrame:
+def route_physical(batch: DataFrame, backend: str = "lake") -> DataFrame:
     """H1 with the physical name, so that two spellings of a table meet in one."""
-    routed = route_by_table(rows)
-    return routed.withColumn("table_name", physical_table_name(F.col("table_name"), backend))
+    physical = physical_table_name(F.col("table_name"), backend)
+    return fill_rows(accept_row_or_data(name_table(batch).withColumn("table_name", physical)))
 
 
 def check_columns(table: str, columns: Iterable[str]) -> None:

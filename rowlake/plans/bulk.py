@@ -9,10 +9,13 @@ from pyspark.sql import DataFrame, Observation, functions as F
 from rowlake.operators.shape import route_physical
 from rowlake.plans.fanout import Limits, Sink, fan_out
 from rowlake.sources import files
-from rowlake.sources.envelope import decode_envelope, explode_rows
+from rowlake.sources.envelope import decode_envelope
 from rowlake.sources.lake import RESERVED, Lake, Written
 from rowlake.sources.messages import drain_ranges, offset_bounds, within_ranges
 
+# Drains of up to this many messages are held in the executors' cache.
+CACHED_MESSAGES = 100_000
+
 OFFSET_SCHEMA = "partition int, committed bigint"
 
 
@@ -59,7 +62,7 @@ def bulk_ingest(
     source: str = "bulk",
     max_messages: int | None = None,
     limits: Limits = Limits(),
-    staging: str = "table",
+    staging: str = "auto",
     ranges: dict[int, tuple[int, int]] | None = None,
     sink: Sink | None = None,
 ) -> Drained:
@@ -76,11 +79,14 @@ def bulk_ingest(
         ranges = drain_ranges(offset_bounds(messages, committed_offsets(lake, source)), max_messages)
     if not ranges:
         return Drained([], {}, 0, 0)
+    if staging == "auto":
+        buffered = sum(end - start for start, end in ranges.values())
+        staging = "cache" if buffered <= CACHED_MESSAGES else "table"
     seen = Observation(f"drain-{source}-{drain_id}")
     envelopes = decode_envelope(within_ranges(messages, ranges)).observe(
         seen, F.count(F.lit(1)).alias("messages"), F.count_if("malformed").alias("malformed")
     )
-    rows = route_physical(explode_rows(envelopes.where("size(data) > 0")), sink.backend)
+    rows = route_physical(envelopes.where("size(data) > 0"), sink.backend)
     written = fan_out(rows, sink, source, drain_id, mode="bulk", staging=staging, limits=limits)
     commit_offsets(lake, source, ranges, drain_id)
     counts = seen.get

@@ -6,18 +6,19 @@ table by table. Only names, types and counts reach the driver.
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Callable, Iterable, Mapping
 from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass, field
 from typing import Protocol
 
 from pyspark import StorageLevel, inheritable_thread_target
-from pyspark.sql import DataFrame, SparkSession, functions as F
+from pyspark.sql import DataFrame, Observation, SparkSession, functions as F
 
 from rowlake import workspace
 from rowlake.functions.naming import logical_table_name, physical_table_name
 from rowlake.functions.values import normalize_timestamp
-from rowlake.operators.profile import profile_columns
+from rowlake.operators.profile import packable, profile_columns
 from rowlake.operators.shape import (
     MIN_DATE_SHARE,
     check_columns,
@@ -49,6 +50,10 @@ class Sink(Protocol):
         """Append ``rows.select(columns)``, observing ``metrics`` on the way."""
 
 
+# Shuffle partitions over which one table is spread when a batch is staged.
+SALTS = 16
+
+
 @dataclass(frozen=True)
 class Limits:
     """Names that may reach the driver; beyond that a batch fails and says why."""
@@ -87,18 +92,28 @@ def staged_rows(rows: DataFrame, how: str) -> tuple[DataFrame, Callable[[], None
 
 
 def by_table(rows: DataFrame, schema, rebalance: bool = True) -> tuple[DataFrame, Callable[[], None]]:
-    """The rows as a written table, partitioned by ``table_name``."""
+    """The rows as a written table, partitioned by ``table_name``.
+
+    A salt spreads each table over a few shuffle partitions from the start;
+    Spark splits those that are still too large and joins small ones.
+    """
     spark = rows.sparkSession
     folder = workspace.new_folder(spark, "staged")
-    spread = rows.hint("rebalance", "table_name") if rebalance else rows
-    spread.write.partitionBy("table_name").parquet(folder)
+    if rebalance:
+        salted = rows.withColumn("_salt", F.spark_partition_id() % SALTS)
+        rows = salted.hint("rebalance", "table_name", "_salt").drop("_salt")
+    rows.write.partitionBy("table_name").parquet(folder)
     return spark.read.schema(schema).parquet(folder), lambda: files.delete(spark, folder)
 
 
 def collect_profile(staged: DataFrame, limits: Limits) -> dict[str, TableProfile]:
     """The profile of every table of the batch: one job, one driver row per column."""
-    profile = profile_columns(staged, (*FILE_COLUMNS, INGESTION_TIMESTAMP))
-    entries = profile.limit(limits.max_names + 1).collect()
+    excluded = (*FILE_COLUMNS, INGESTION_TIMESTAMP)
+    seen = Observation(f"profile-{uuid.uuid4().hex}")
+    observed = staged.observe(seen, packable().alias("packable"))
+    entries = profile_columns(observed, excluded, packed=True).limit(limits.max_names + 1).collect()
+    if not seen.get.get("packable", True):
+        entries = profile_columns(staged, excluded).limit(limits.max_names + 1).collect()
     if len(entries) > limits.max_names:
         raise ValueError(f"more than {limits.max_names} columns in one batch, e.g. in {entries[-1]['table_name']!r}")
     tables: dict[str, TableProfile] = {}

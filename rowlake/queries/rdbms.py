@@ -18,7 +18,7 @@ from rowlake.plans.fanout import fan_out
 from rowlake.queries import fixtures as fx
 from rowlake.queries.evolution import operations, operations_sql, requests
 from rowlake.sources import rdbms as rd
-from rowlake.sources.envelope import decode_envelope, explode_rows
+from rowlake.sources.envelope import decode_envelope
 
 CATALOG = "spark_catalog"
 
@@ -107,7 +107,7 @@ from events
 def fan_out_rdbms(spark, sf_dir):
     """The sales log into catalog tables."""
     db, ns = namespace(spark)
-    rows = route_physical(explode_rows(decode_envelope(fx.sales_messages(spark, sf_dir))), "rdbms")
+    rows = route_physical(decode_envelope(fx.sales_messages(spark, sf_dir)), "rdbms")
     fan_out(rows, rd.RdbmsSink(db, ns), "sales", 0, staging="table")
     return fx.sales_content(lambda table: spark.table(db.name(ns, table)))
 

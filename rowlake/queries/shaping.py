@@ -11,14 +11,14 @@ from rowlake.sources.envelope import decode_envelope, explode_rows
 
 
 def routed(log):
-    return shape.route_physical(explode_rows(decode_envelope(log)))
+    return shape.route_physical(decode_envelope(log))
 
 
 def route_by_table(spark, sf_dir):
     log = fx.orders_messages(spark, sf_dir, drop_row="o_orderkey % 11 = 0").unionByName(
         fx.part_messages(spark, sf_dir)
     )
-    rows = shape.route_by_table(explode_rows(decode_envelope(log)))
+    rows = shape.route_by_table(decode_envelope(log))
     return rows.groupBy("table_name").agg(
         F.count(F.lit(1)).alias("rows"), F.count_if(F.size("row") == 0).alias("empty_rows")
     )

@@ -11,7 +11,7 @@ from rowlake.queries.shaping import routed
 from rowlake.sources.envelope import decode_envelope_typed, explode_rows
 
 
-def _typed_events(spark, sf_dir):
+def typed_events(spark, sf_dir):
     """Typed event rows, with one key that turns from numbers to text."""
     log = fx.event_messages(spark, sf_dir)
     mixed = F.regexp_replace("value", r'"event_id":(\d*[02468]),', r'"event_id":$1,"mixed":$1,')
@@ -21,7 +21,7 @@ def _typed_events(spark, sf_dir):
 
 
 def infer_types(spark, sf_dir):
-    return profile.infer_types(_typed_events(spark, sf_dir))
+    return profile.infer_types(typed_events(spark, sf_dir))
 
 
 INFER_TYPES = """
@@ -34,7 +34,7 @@ where exists (select 1 from events)
 
 
 def typed_frame(spark, sf_dir):
-    frame = shape.typed_frame(_typed_events(spark, sf_dir))
+    frame = shape.typed_frame(typed_events(spark, sf_dir))
     return frame.withColumn("types", F.lit(",".join(f"{n}:{t}" for n, t in frame.dtypes)))
 
 

@@ -26,8 +26,12 @@ SCHEMA_FILE = "schema.json"
 RESERVED = "_rowlake"
 BATCH_NAME = re.compile(r"batch=(.*)-(\d+)")
 
-# An append makes no more files than one per this many rows.
-ROWS_PER_FILE = 100_000
+# Fixed value: a small append has one to eight files.
+SMALL_APPEND_FILES = 8
+
+# A small append makes a file per this many rows, a large one fewer.
+ROWS_PER_SMALL_FILE = 10_000
+ROWS_PER_FILE = 1_000_000
 
 CATALOG_SCHEMA = (
     "table_name string, ordinal int, name string, dtype string, nullable boolean"
@@ -76,6 +80,12 @@ class Written:
     skipped: bool = False
 
 
+def file_count(rows: int) -> int:
+    """K9: an upper bound for the files of an append; it only ever joins partitions."""
+    small = min(SMALL_APPEND_FILES, math.ceil(rows / ROWS_PER_SMALL_FILE))
+    return max(1, small, math.ceil(rows / ROWS_PER_FILE))
+
+
 class Lake:
     """The tables below one root directory."""
 
@@ -236,7 +246,7 @@ class Lake:
             observed, F.count(F.lit(1)).alias("rows"), *[m.alias(n) for n, m in metrics.items()]
         ).select(*columns)
         if rows_hint is not None:
-            out = out.coalesce(max(1, math.ceil(rows_hint / ROWS_PER_FILE)))
+            out = out.coalesce(file_count(rows_hint))
         batch = f"batch={files.safe_segment(source)}-{batch_id}"
         writer = out.write.mode("overwrite")
         if state.partition_by:

@@ -17,7 +17,7 @@ from rowlake.functions.errors import error_class
 from rowlake.functions.labels import RDBMS_NUMERIC, SPARK_OF_RDBMS, rdbms_ddl_name
 from rowlake.functions.naming import RDBMS_IDENTIFIER_MAX
 from rowlake.operators.evolve import (
-    ADD, CODES, DEFAULT_SCHEMA, DROP, OK, RESULT_COLUMNS, classify_operations, requested_columns,
+    ADD, CODES, DEFAULT_SCHEMA, DROP, OK, RESULT_COLUMNS, block_size, classify_operations, requested_columns,
 )
 from rowlake.operators.shape import drop_technical, quoted
 from rowlake.sources.lake import CATALOG_SCHEMA, SchemaMismatch, Written
@@ -183,7 +183,7 @@ class Rdbms:
     def apply_operations(self, ops: DataFrame, mode: str = "strict") -> DataFrame:
         """E8 on the RDBMS: classify against the catalog, then run one statement per operation."""
         targets = self._targets(ops)
-        classified = classify_operations(ops, self.columns(targets), "rdbms")
+        classified = classify_operations(ops, self.columns(targets), "rdbms", block=block_size(ops))
         done = classified.where(F.col("status") == OK).select("seq", "kind", "table_key", "column", "new_type")
         todo = sorted(self.bounded(done), key=lambda r: r["seq"])
         # The verdicts refer to the catalog as it was, which is held in the plan, not read again.
