@@ -34,21 +34,23 @@ def arrival_key(partition: str = "partition", offset: str = "offset", pos: str =
     return number(partition) * power(30) + number(offset) * power(11) + number(pos) * power(1)
 
 
-# Offsets and positions below these fit into one long with a free last bit.
-PACKED_OFFSETS = 1 << 43
-PACKED_POSITIONS = 1 << 19
+# Offsets and positions of up to so many bits fit into one long with a free last bit.
+OFFSET_BITS, POSITION_BITS = 43, 19
 
 
 def packed_arrival_key() -> Column:
-    """(offset, position) as one ordered long with a free last bit; see ``packable``."""
-    offset = F.coalesce(F.col("offset"), F.lit(0)) * (PACKED_POSITIONS * 2)
-    return offset + F.coalesce(F.col("pos"), F.lit(0)).cast("bigint") * 2
+    """(offset, position) as one ordered long with a free last bit; see ``packable``.
+
+    Made of shifts, which do not fail on what does not fit.
+    """
+    offset = F.shiftleft(F.coalesce(F.col("offset"), F.lit(0)).cast("bigint"), POSITION_BITS + 1)
+    return offset.bitwiseOR(F.shiftleft(F.coalesce(F.col("pos"), F.lit(0)).cast("bigint"), 1))
 
 
 def packable() -> Column:
     """An aggregate: do the offsets and positions of a batch fit into a packed key?"""
-    fits = F.coalesce(F.col("offset"), F.lit(0)).between(0, PACKED_OFFSETS - 1) & (
-        F.coalesce(F.col("pos"), F.lit(0)) < PACKED_POSITIONS
+    fits = F.coalesce(F.col("offset"), F.lit(0)).between(0, (1 << OFFSET_BITS) - 1) & (
+        F.coalesce(F.col("pos"), F.lit(0)) < (1 << POSITION_BITS)
     )
     return F.count_if(~fits) == 0
 
@@ -86,7 +88,7 @@ def profile_columns(rows: DataFrame, excluded=FILE_COLUMNS, packed: bool = False
     keys = ["table_name", "column_name"]
     if packed:
         # The partition is a key of its own, which a task seldom has two of.
-        flagged = F.when(value.isNotNull(), F.col("arrival") + F.when(is_date, 0).otherwise(1))
+        flagged = F.when(value.isNotNull(), F.col("arrival").bitwiseOR(F.when(is_date, 0).otherwise(1).cast("bigint")))
         by_partition = _entries(rows, excluded, packed_arrival_key()).groupBy(*keys, "partition").agg(
             *counts, F.min(flagged).alias("first")
         )
