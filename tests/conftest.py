@@ -18,6 +18,7 @@ def spark():
         .config("spark.sql.shuffle.partitions", "4")
         .config("spark.ui.enabled", "false")
         .config("spark.driver.memory", "6g")
+        .config("spark.sql.maxMetadataStringLength", "2000")
         .config("spark.sql.session.timeZone", "UTC")
         .getOrCreate()
     )
