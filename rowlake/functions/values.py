@@ -61,6 +61,20 @@ def guarded_date(value: Column) -> Column:
     return F.when(looks_like_date(value), value.try_cast("date").cast("string")).otherwise(value)
 
 
-def normalize_timestamp(value: Column) -> Column:
-    """The instant, cut to whole seconds."""
-    return F.date_trunc("second", F.try_to_timestamp(value))
+# The end of a text that says which offset its time has.
+_HAS_OFFSET = r"(?i)(Z|UTC|[+-]\d{2}(:?\d{2})?)\s*$"
+
+
+def normalize_timestamp(value: Column, zone: str | None = None) -> Column:
+    """The instant, cut to whole seconds.
+
+    A time without an offset is local time in ``zone``, by default in the
+    zone of the session.
+    """
+    instant = F.try_to_timestamp(value)
+    if zone:
+        local = F.convert_timezone(F.lit(zone), F.current_timezone(), value.try_cast("timestamp_ntz"))
+        has_time = F.regexp_like(value, F.lit(r":\d{2}"))
+        has_offset = has_time & F.regexp_like(value, F.lit(_HAS_OFFSET))
+        instant = F.when(has_offset, instant).otherwise(local.try_cast("timestamp"))
+    return F.date_trunc("second", instant)

@@ -23,6 +23,9 @@ from rowlake.sources.envelope import FILE_COLUMNS, INGESTION_TIMESTAMP, accept_r
 TECHNICAL_COLUMNS = ("data_format", "source_filename", "source_data_format")
 MIN_DATE_SHARE = 0.95
 
+# Columns of one table whose names may reach the driver.
+MAX_COLUMNS = 5_000
+
 # From this many columns on, a row is read as one JSON struct instead of by a
 # linear map lookup per column.
 WIDE_TABLE = 64
@@ -114,9 +117,11 @@ def typed_frame(rows: DataFrame, keep: Iterable[str] = ()) -> DataFrame:
     A number or truth column that also holds other values is text, so that no
     value is lost.
     """
+    found = infer_types(rows).limit(MAX_COLUMNS + 1).collect()
+    if len(found) > MAX_COLUMNS:
+        raise ValueError(f"table {found[0]['table_name']!r} has more than {MAX_COLUMNS} columns")
     types = {
-        r["column_name"]: "string" if r["mixed"] and r["type"] != "DATE" else r["type"].lower()
-        for r in infer_types(rows).collect()
+        r["column_name"]: "string" if r["mixed"] and r["type"] != "DATE" else r["type"].lower() for r in found
     }
     text = rows.withColumn(
         "row", F.transform_values("row", lambda _, v: F.try_variant_get(v, "$", "string"))
@@ -139,11 +144,11 @@ def detect_dates(
     )
 
 
-def normalize_ingestion_timestamp(df: DataFrame) -> DataFrame:
+def normalize_ingestion_timestamp(df: DataFrame, zone: str | None = None) -> DataFrame:
     """T7 on the column of that name, if there is one."""
     if INGESTION_TIMESTAMP not in df.columns:
         return df
-    return df.withColumn(INGESTION_TIMESTAMP, normalize_timestamp(F.col(INGESTION_TIMESTAMP)))
+    return df.withColumn(INGESTION_TIMESTAMP, normalize_timestamp(F.col(INGESTION_TIMESTAMP), zone))
 
 
 def stamp_ingestion(df: DataFrame, mode: str = "processing") -> DataFrame:

@@ -2,10 +2,12 @@
 
 from __future__ import annotations
 
-from dataclasses import dataclass
+import json
+from dataclasses import asdict, dataclass, field
 
-from pyspark.sql import DataFrame, Observation, functions as F
+from pyspark.sql import DataFrame, functions as F
 
+from rowlake.metrics import observation, taken
 from rowlake.operators.shape import route_physical
 from rowlake.plans.fanout import Limits, Sink, fan_out
 from rowlake.sources import files
@@ -29,31 +31,48 @@ class Drained:
     malformed: int
 
 
-def committed_offsets(lake: Lake, source: str) -> DataFrame:
-    """The next offset to read from each partition, as the last drain left it."""
-    path, newest = _offset_log(lake, source)
-    if newest < 0:
-        return lake.spark.createDataFrame([], OFFSET_SCHEMA)
-    return lake.spark.read.schema(OFFSET_SCHEMA).parquet(f"{path}/drain={newest}")
+@dataclass
+class OffsetLog:
+    """What is known of one source: drains done, next offsets, and the drain under way.
+
+    A few numbers per partition, kept in one file that is replaced as a whole.
+    """
+
+    done: int = 0
+    committed: dict[int, int] = field(default_factory=dict)
+    planned: dict[int, tuple[int, int]] | None = None
 
+    @staticmethod
+    def path(lake: Lake, source: str) -> str:
+        return f"{lake.root}/{RESERVED}/offsets/{files.safe_segment(source)}.json"
 
-def commit_offsets(lake: Lake, source: str, ranges: dict[int, tuple[int, int]], drain_id: int) -> None:
-    """Record the ends of a drain that has succeeded."""
-    path, _ = _offset_log(lake, source)
-    ends = lake.spark.createDataFrame([(p, end) for p, (_, end) in ranges.items()], OFFSET_SCHEMA)
-    older = committed_offsets(lake, source)
-    merged = older.unionByName(ends).groupBy("partition").agg(F.max("committed").alias("committed"))
-    merged.coalesce(1).write.mode("overwrite").parquet(f"{path}/drain={drain_id}")
+    @staticmethod
+    def read(lake: Lake, source: str) -> "OffsetLog":
+        text = files.read_text(lake.spark, OffsetLog.path(lake, source))
+        if text is None:
+            return OffsetLog()
+        body = json.loads(text)
+        planned = body["planned"]
+        return OffsetLog(
+            body["done"],
+            {int(p): end for p, end in body["committed"].items()},
+            None if planned is None else {int(p): tuple(r) for p, r in planned.items()},
+        )
+
+    def write(self, lake: Lake, source: str) -> None:
+        files.replace_text(lake.spark, OffsetLog.path(lake, source), json.dumps(asdict(self)))
+
+
+def committed_offsets(lake: Lake, source: str) -> DataFrame:
+    """The next offset to read from each partition, as the last drain left it."""
+    return lake.spark.createDataFrame(list(OffsetLog.read(lake, source).committed.items()), OFFSET_SCHEMA)
 
 
-def _offset_log(lake: Lake, source: str) -> tuple[str, int]:
-    path = f"{lake.root}/{RESERVED}/offsets/{files.safe_segment(source)}"
-    done = [
-        int(name.removeprefix("drain="))
-        for name in files.names(lake.spark, path)
-        if name.startswith("drain=") and files.exists(lake.spark, f"{path}/{name}/_SUCCESS")
-    ]
-    return path, max(done, default=-1)
+def commit_offsets(lake: Lake, source: str) -> None:
+    """The planned drain has succeeded; the next one starts at its ends."""
+    log = OffsetLog.read(lake, source)
+    ends = {partition: end for partition, (_, end) in (log.planned or {}).items()}
+    OffsetLog(log.done + 1, {**log.committed, **ends}).write(lake, source)
 
 
 def bulk_ingest(
@@ -65,32 +84,39 @@ def bulk_ingest(
     staging: str = "auto",
     ranges: dict[int, tuple[int, int]] | None = None,
     sink: Sink | None = None,
+    zone: str | None = None,
 ) -> Drained:
     """Drain what is buffered beyond the committed offsets into the lake tables.
 
-    Offsets are committed after all tables are written. A drain that failed is
-    run again under the same id, and its batches replace themselves. The
-    offset ranges are found from the log unless the caller knows them, as a
-    broker does. Tables go to the lake that keeps the offsets, or to ``sink``.
+    The offset ranges are written down first and committed after all tables
+    are written. A drain that failed is run again over the same ranges under
+    the same id, and its batches replace themselves. Ranges are found from the
+    log unless the caller knows them, as a broker does. Tables go to the lake
+    that keeps the offsets, or to ``sink``.
     """
     sink = sink or lake
-    drain_id = _offset_log(lake, source)[1] + 1
-    if ranges is None:
-        ranges = drain_ranges(offset_bounds(messages, committed_offsets(lake, source)), max_messages)
-    if not ranges:
-        return Drained([], {}, 0, 0)
+    state = OffsetLog.read(lake, source)
+    drain_id = state.done
+    if state.planned is None:
+        if ranges is None:
+            ranges = drain_ranges(offset_bounds(messages, committed_offsets(lake, source)), max_messages)
+        if not ranges:
+            return Drained([], {}, 0, 0)
+        state.planned = ranges
+        state.write(lake, source)
+    ranges = state.planned
     if staging == "auto":
         buffered = sum(end - start for start, end in ranges.values())
         staging = "cache" if buffered <= CACHED_MESSAGES else "table"
-    seen = Observation(f"drain-{source}-{drain_id}")
+    seen = observation("drain")
     envelopes = decode_envelope(within_ranges(messages, ranges)).observe(
         seen, F.count(F.lit(1)).alias("messages"), F.count_if("malformed").alias("malformed")
     )
     rows = route_physical(envelopes.where("size(data) > 0"), sink.backend)
-    written = fan_out(rows, sink, source, drain_id, mode="bulk", staging=staging, limits=limits)
-    commit_offsets(lake, source, ranges, drain_id)
-    counts = seen.get
-    return Drained(written, ranges, counts["messages"], counts["malformed"])
+    written = fan_out(rows, sink, source, drain_id, mode="bulk", staging=staging, limits=limits, zone=zone)
+    commit_offsets(lake, source)
+    counts = taken(seen)
+    return Drained(written, ranges, counts.get("messages", 0), counts.get("malformed", 0))
 
 
 def drain_in_steps(messages: DataFrame, lake: Lake, source: str, step: int, **options) -> list[Drained]:

@@ -6,20 +6,21 @@ table by table. Only names, types and counts reach the driver.
 
 from __future__ import annotations
 
-import uuid
 from collections.abc import Callable, Iterable, Mapping
 from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass, field
 from typing import Protocol
 
 from pyspark import StorageLevel, inheritable_thread_target
-from pyspark.sql import DataFrame, Observation, SparkSession, functions as F
+from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from rowlake import workspace
-from rowlake.functions.naming import logical_table_name, physical_table_name
+from rowlake.metrics import observation, taken
+from rowlake.functions.naming import logical_table_name, physical_table_name, resolve_write_path
 from rowlake.functions.values import normalize_timestamp
 from rowlake.operators.profile import packable, profile_columns
 from rowlake.operators.shape import (
+    MAX_COLUMNS,
     MIN_DATE_SHARE,
     check_columns,
     drop_technical,
@@ -59,7 +60,7 @@ class Limits:
     """Names that may reach the driver; beyond that a batch fails and says why."""
 
     max_tables: int = 1_000
-    max_columns: int = 5_000
+    max_columns: int = MAX_COLUMNS
     max_names: int = 1_000_000
     writers: int = 8
 
@@ -109,10 +110,10 @@ def by_table(rows: DataFrame, schema, rebalance: bool = True) -> tuple[DataFrame
 def collect_profile(staged: DataFrame, limits: Limits) -> dict[str, TableProfile]:
     """The profile of every table of the batch: one job, one driver row per column."""
     excluded = (*FILE_COLUMNS, INGESTION_TIMESTAMP)
-    seen = Observation(f"profile-{uuid.uuid4().hex}")
+    seen = observation("profile")
     observed = staged.observe(seen, packable().alias("packable"))
     entries = profile_columns(observed, excluded, packed=True).limit(limits.max_names + 1).collect()
-    if not seen.get.get("packable", True):
+    if entries and not taken(seen).get("packable", False):
         entries = profile_columns(staged, excluded).limit(limits.max_names + 1).collect()
     if len(entries) > limits.max_names:
         raise ValueError(f"more than {limits.max_names} columns in one batch, e.g. in {entries[-1]['table_name']!r}")
@@ -147,7 +148,7 @@ def inferred_types(profile: TableProfile, mode: str) -> dict[str, str]:
 
 def write_table(
     sink: Sink, table: str, staged: DataFrame, profile: TableProfile, mode: str, source: str, batch_id: int,
-    keep_null_rows: bool = True, partition_by=(),
+    keep_null_rows: bool = True, partition_by=(), zone: str | None = None,
 ) -> Written:
     """The rows of one table, typed as declared, as one batch of that table."""
     inferred = inferred_types(profile, mode)
@@ -157,7 +158,7 @@ def write_table(
     if not keep_null_rows:
         rows = rows.where(F.size("row") > 0)
     names = [name for name in inferred if name != INGESTION_TIMESTAMP]
-    stamp = F.current_timestamp() if mode == "stream" else normalize_timestamp(F.col(INGESTION_TIMESTAMP))
+    stamp = F.current_timestamp() if mode == "stream" else normalize_timestamp(F.col(INGESTION_TIMESTAMP), zone)
     # Text first, under plain names, so that the report below can compare it with its typed form.
     text = text_columns(rows.withColumn("stamp", stamp), names, ["stamp"], alias="v{}".format)
     columns, lost = [], F.lit(0)
@@ -192,6 +193,8 @@ def fan_out(
     staging: str = "cache",
     limits: Limits = Limits(),
     keep_null_rows: bool = True,
+    partition_by: Iterable[str] = (),
+    zone: str | None = None,
 ) -> list[Written]:
     """K3: stage, profile, and append every table of a routed batch.
 
@@ -210,7 +213,7 @@ def fan_out(
             sink.spark,
             profiles,
             lambda table: write_table(
-                sink, table, staged, profiles[table], mode, source, batch_id, keep_null_rows
+                sink, table, staged, profiles[table], mode, source, batch_id, keep_null_rows, partition_by, zone
             ),
             limits.writers,
         )
@@ -245,6 +248,28 @@ def write_split_by_filename(
         release()
 
 
+def write_frame(
+    df: DataFrame, lake: Lake, base: str | None = None, table_name: str | None = None,
+    source: str = "batch", batch_id: int = 0, partition_by: Iterable[str] = (),
+) -> list[Written]:
+    """A flat frame to where its file names, a table name or a path say.
+
+    A ``filename`` column splits the frame into tables. Otherwise a table name
+    is put below the base path, unless that ends with it already. Without a
+    name the base must be a table directory below the lake root.
+    """
+    if "filename" in df.columns:
+        return write_split_by_filename(df, lake, source, batch_id, partition_by=partition_by)
+    table = None
+    if table_name:
+        table = lake.spark.range(1).select(physical_table_name(F.lit(table_name))).first()[0]
+    target = resolve_write_path(base or lake.root, table, lake.root)
+    parent, _, leaf = target.rstrip("/").rpartition("/")
+    if parent.rstrip("/") != lake.root:
+        raise ValueError(f"{target!r} is no table directory of the lake at {lake.root!r}")
+    return [lake.append(leaf.lower(), drop_technical(df), source, batch_id, partition_by)]
+
+
 def written_frame(spark, reports: Iterable[Written]) -> DataFrame:
     """The reports as rows."""
     return spark.createDataFrame(

@@ -17,8 +17,9 @@ import re
 from collections.abc import Mapping
 from dataclasses import asdict, dataclass, field, replace
 
-from pyspark.sql import DataFrame, Observation, SparkSession, functions as F, types as T
+from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
 
+from rowlake.metrics import observation, taken
 from rowlake.operators.shape import check_columns, quoted
 from rowlake.sources import files
 
@@ -241,7 +242,7 @@ class Lake:
         """Write ``df.select(columns)`` as one batch directory; count in the same job."""
         if batch_id <= state.merged.get(source, -1):
             return Written(table, 0, skipped=True)
-        observed = Observation(f"append-{table}")
+        observed = observation("append")
         out = df.observe(
             observed, F.count(F.lit(1)).alias("rows"), *[m.alias(n) for n, m in metrics.items()]
         ).select(*columns)
@@ -252,7 +253,7 @@ class Lake:
         if state.partition_by:
             writer = writer.partitionBy(*state.partition_by)
         writer.parquet(f"{self.path(table)}/g{state.generation}/{batch}")
-        seen = observed.get
+        seen = taken(observed)
         return Written(table, seen.get("rows", 0), seen.get("lost_values") or 0)
 
     # -- schema changes ----------------------------------------------------

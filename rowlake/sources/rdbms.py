@@ -11,11 +11,12 @@ import uuid
 from collections.abc import Iterable, Mapping
 
 from pyspark.errors import PySparkException
-from pyspark.sql import DataFrame, Observation, SparkSession, functions as F, types as T
+from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
 
 from rowlake.functions.errors import error_class
 from rowlake.functions.labels import RDBMS_NUMERIC, SPARK_OF_RDBMS, rdbms_ddl_name
 from rowlake.functions.naming import RDBMS_IDENTIFIER_MAX
+from rowlake.metrics import observation, taken
 from rowlake.operators.evolve import (
     ADD, CODES, DEFAULT_SCHEMA, DROP, OK, RESULT_COLUMNS, block_size, classify_operations, requested_columns,
 )
@@ -125,9 +126,9 @@ class Rdbms:
         bare = bare[:RDBMS_IDENTIFIER_MAX]
         frame = insertable(drop_technical(df))
         self.create(schema, bare, frame)
-        observed = Observation(f"insert-{uuid.uuid4().hex}")
+        observed = observation("insert")
         self.insert(schema, bare, frame.observe(observed, F.count(F.lit(1)).alias("rows")))
-        return Written(f"{schema}.{bare}", observed.get.get("rows", 0))
+        return Written(f"{schema}.{bare}", taken(observed).get("rows", 0))
 
     def insert(self, schema: str, table: str, frame: DataFrame) -> None:
         view = f"rowlake_{uuid.uuid4().hex}"
@@ -239,12 +240,12 @@ class RdbmsSink:
         return declared
 
     def write_rows(self, table, rows, columns, metrics, source, batch_id, rows_hint) -> Written:
-        observed = Observation(f"insert-{uuid.uuid4().hex}")
+        observed = observation("insert")
         counted = rows.observe(
             observed, F.count(F.lit(1)).alias("rows"), *[m.alias(n) for n, m in metrics.items()]
         )
         self.db.insert(self.schema, table, counted.select(*columns))
-        seen = observed.get
+        seen = taken(observed)
         return Written(table, seen.get("rows", 0), seen.get("lost_values") or 0)
 
 

@@ -6,12 +6,12 @@ from pyspark.sql import functions as F
 from rowlake import workspace
 from rowlake.operators.shape import route_physical
 from rowlake.plans import bulk
-from rowlake.plans.fanout import Limits, collect_profile, fan_out, staged_rows, write_split_by_filename
+from rowlake.plans.fanout import Limits, collect_profile, fan_out, staged_rows, write_frame, write_split_by_filename
 from rowlake.queries import fixtures as fx
 from rowlake.sources.envelope import decode_envelope
 from rowlake.sources.lake import Lake, SchemaMismatch
 from rowlake.sources.messages import MESSAGE_SCHEMA, replay_stream
-from rowlake.streaming.ingest import process_batch, stream_ingest
+from rowlake.streaming.ingest import keep_streaming, process_batch, stream_ingest
 
 
 def log(spark, *envelopes):
@@ -174,3 +174,66 @@ def test_split_by_filename(spark, lake):
     write_split_by_filename(flat, lake)
     assert content(lake, "x", "id") == [(1,), (2,)] and content(lake, "unknown", "id") == [(3,)]
     assert lake.scan("y").columns == ["id"]
+
+
+def test_rerun_keeps_its_ranges(spark, lake, monkeypatch):
+    """Messages that arrive after a failure wait for the next drain, even if a rewrite came in between."""
+    old = log(spark, envelope("a.csv", {"k": "1"}))
+    commit = bulk.commit_offsets
+    monkeypatch.setattr(bulk, "commit_offsets", lambda *_: (_ for _ in ()).throw(OSError("lost")))
+    with pytest.raises(OSError):
+        bulk.bulk_ingest(old, lake)
+    monkeypatch.setattr(bulk, "commit_offsets", commit)
+    lake.rewrite("a", {c: F.col(c) for c in lake.scan("a").columns})
+    grown = log(spark, envelope("a.csv", {"k": "1"}), envelope("a.csv", {"k": "2"}), envelope("a.csv", {"k": "3"}))
+    assert bulk.bulk_ingest(grown, lake).ranges == {0: (0, 1)}
+    assert bulk.bulk_ingest(grown, lake).ranges == {0: (1, 2), 1: (0, 1)}
+    assert content(lake, "a", "k") == [("1",), ("2",), ("3",)]
+
+
+def test_empty_batch(spark, lake):
+    assert fan_out(routed(log(spark)), lake, "s", 0) == []
+    assert fan_out(routed(log(spark)), lake, "s", 0, mode="bulk", staging="table") == []
+    assert bulk.bulk_ingest(log(spark), lake).tables == []
+
+
+def test_write_frame(spark, lake):
+    frame = spark.createDataFrame([(1, "csv")], "id int, data_format string")
+    write_frame(frame, lake, table_name="public.Some-Table")
+    write_frame(frame, lake, base=f"{lake.root}/Some_Table", batch_id=1)
+    write_frame(frame, lake, base=f"{lake.root}/some_table", table_name="some_table", batch_id=2)
+    write_frame(frame.selectExpr("id", "'/x/Some_Table.csv' as filename"), lake, batch_id=3)
+    assert content(lake, "some_table", "id") == [(1,)] * 4 and lake.table_names() == ["some_table"]
+    with pytest.raises(ValueError):
+        write_frame(frame, lake)
+    with pytest.raises(ValueError):
+        write_frame(frame, lake, base="/somewhere/else")
+
+
+def test_restart_goes_on_from_the_checkpoint(spark, lake):
+    path = fx.written_log(spark, log(spark, envelope("a.csv", {"k": "1"}), envelope("b.csv", {"k": "2"})))
+    checkpoint = workspace.new_folder(spark, "checkpoint")
+    failures = []
+
+    def start():
+        def fail_once(batch_id, written):
+            if not failures:
+                raise RuntimeError("lost after writing")
+
+        return stream_ingest(replay_stream(spark, path), lake, checkpoint, drain=True, on_batch=fail_once)
+
+    assert keep_streaming(start, failures.append, wait_seconds=0) == 1
+    assert content(lake, "a", "k") == [("1",)] and content(lake, "b", "k") == [("2",)]
+    failures.clear()
+    late = log(spark, envelope("a.csv", {"k": "3"}))
+    late.write.mode("append").parquet(path)
+    with pytest.raises(Exception, match="lost after writing"):
+        keep_streaming(start, restarts=0, wait_seconds=0)
+
+
+def test_times_without_an_offset(spark, lake):
+    sent = "2024-07-01T10:00:00"
+    batch = log(spark, envelope("a.csv", {"k": "1"}, sent=sent), envelope("a.csv", {"k": "2"}, sent=sent + "Z"), envelope("a.csv", {"k": "3"}, sent="2024-07-01"))
+    bulk.bulk_ingest(batch, lake, zone="Europe/Vienna")
+    found = lake.scan("a").select("k", F.date_format("ingestion_timestamp", "yyyy-MM-dd HH:mm")).collect()
+    assert sorted(map(tuple, found)) == [("1", "2024-07-01 08:00"), ("2", "2024-07-01 10:00"), ("3", "2024-06-30 22:00")]
