@@ -52,7 +52,7 @@ RESULT_COLUMNS = [
 ]
 
 # A window task looks back over at most this many operations of one column.
-BLOCK = 100_000
+BLOCK = 1_000_000
 
 # Type changes of one column that one rewrite chains.
 MAX_CHAIN = 100

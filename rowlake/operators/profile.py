@@ -78,29 +78,28 @@ def profile_columns(rows: DataFrame, excluded=FILE_COLUMNS, packed: bool = False
     ``rows`` adds up, over the columns of a table, to its number of rows. The
     ``packed`` form is faster and right if ``packable`` holds for the rows.
     """
-    value = blank_to_null(F.col("value"))
-    is_date = looks_like_date(F.col("value"))
+    value, is_date = F.col("value"), F.col("is_date")
     counts = [
         F.count_if("is_row").alias("rows"),
         F.count(value).alias("non_null"),
         F.count_if(is_date).alias("date_hits"),
     ]
     keys = ["table_name", "column_name"]
+    entries = _entries(rows, excluded, packed_arrival_key() if packed else arrival_key())
+    entries = entries.withColumns({"value": blank_to_null(value), "is_date": looks_like_date(value)})
     if packed:
         # The partition is a key of its own, which a task seldom has two of.
         flagged = F.when(value.isNotNull(), F.col("arrival").bitwiseOR(F.when(is_date, 0).otherwise(1).cast("bigint")))
-        by_partition = _entries(rows, excluded, packed_arrival_key()).groupBy(*keys, "partition").agg(
-            *counts, F.min(flagged).alias("first")
-        )
+        by_partition = entries.groupBy(*keys, "partition").agg(*counts, F.min(flagged).alias("first"))
         profile = by_partition.groupBy(*keys).agg(
             *[F.sum(name).alias(name) for name in ("rows", "non_null", "date_hits")],
-            F.min_by(F.col("first") % 2 == 0, F.when(F.col("first").isNotNull(), F.coalesce("partition", F.lit(0)))).alias("date"),
+            F.min_by(
+                F.col("first") % 2 == 0, F.when(F.col("first").isNotNull(), F.coalesce("partition", F.lit(0)))
+            ).alias("date"),
         )
     else:
         code = F.when(is_date, F.lit(_DATE)).otherwise(F.lit(_STRING))
-        profile = _entries(rows, excluded, arrival_key()).groupBy(*keys).agg(
-            *counts, (_first_code(value, code) == _DATE).alias("date")
-        )
+        profile = entries.groupBy(*keys).agg(*counts, (_first_code(value, code) == _DATE).alias("date"))
     return profile.select(
         *keys, "rows", "non_null", "date_hits", F.coalesce("date", F.lit(False)).alias("first_is_date")
     )
@@ -120,8 +119,7 @@ def infer_types(rows: DataFrame, excluded=FILE_COLUMNS) -> DataFrame:
 
     ``mixed`` says that later values belong to another family of types.
     """
-    label = F.expr("schema_of_variant(value)")
-    text = F.expr("try_variant_get(value, '$', 'string')")
+    label, text = F.col("label"), F.col("text")
     kind = (
         F.when(label == "VOID", None)
         .when(label == "STRING", F.when(text == "", None).when(looks_like_date(text), _DATE).otherwise(_STRING))
@@ -130,11 +128,14 @@ def infer_types(rows: DataFrame, excluded=FILE_COLUMNS) -> DataFrame:
         .when(label.startswith("DECIMAL") | label.isin("DOUBLE", "FLOAT"), FIRST_TYPES.index("DOUBLE"))
         .otherwise(_STRING)
     )
-    typed = (
+    # The label is read once per value; the text only of strings.
+    labelled = (
         _entries(rows, excluded, arrival_key())
         .where(F.col("column_name").isNotNull())
-        .select("table_name", "column_name", "arrival", kind.alias("kind"))
+        .withColumn("label", F.expr("schema_of_variant(value)"))
+        .withColumn("text", F.when(label == "STRING", F.expr("try_variant_get(value, '$', 'string')")))
     )
+    typed = labelled.select("table_name", "column_name", "arrival", kind.alias("kind"))
     names = F.array(*[F.lit(name) for name in FIRST_TYPES])
     family = F.least(F.col("kind"), F.lit(_DATE))
     first = typed.groupBy("table_name", "column_name").agg(

@@ -16,7 +16,7 @@ from rowlake.sources.lake import RESERVED, Lake, Written
 from rowlake.sources.messages import drain_ranges, offset_bounds, within_ranges
 
 # Drains of up to this many messages are held in the executors' cache.
-CACHED_MESSAGES = 100_000
+CACHED_MESSAGES = 500_000
 
 OFFSET_SCHEMA = "partition int, committed bigint"
 

@@ -12,7 +12,7 @@ from dataclasses import dataclass, field
 from typing import Protocol
 
 from pyspark import StorageLevel, inheritable_thread_target
-from pyspark.sql import DataFrame, SparkSession, functions as F
+from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from rowlake import workspace
 from rowlake.metrics import observation, taken
@@ -146,6 +146,16 @@ def inferred_types(profile: TableProfile, mode: str) -> dict[str, str]:
     return types
 
 
+def processing_time() -> Column:
+    """The time of this batch, as text.
+
+    Text goes into compiled code by reference. As a timestamp it would be a
+    constant in the code, which Spark would compile anew for every table of
+    every batch; that took longer than the writes themselves.
+    """
+    return F.date_format(F.current_timestamp(), "yyyy-MM-dd'T'HH:mm:ss.SSSSSSXXX")
+
+
 def write_table(
     sink: Sink, table: str, staged: DataFrame, profile: TableProfile, mode: str, source: str, batch_id: int,
     keep_null_rows: bool = True, partition_by=(), zone: str | None = None,
@@ -158,7 +168,8 @@ def write_table(
     if not keep_null_rows:
         rows = rows.where(F.size("row") > 0)
     names = [name for name in inferred if name != INGESTION_TIMESTAMP]
-    stamp = F.current_timestamp() if mode == "stream" else normalize_timestamp(F.col(INGESTION_TIMESTAMP), zone)
+    sent = F.col(INGESTION_TIMESTAMP)
+    stamp = sent.try_cast("timestamp") if mode == "stream" else normalize_timestamp(sent, zone)
     # Text first, under plain names, so that the report below can compare it with its typed form.
     text = text_columns(rows.withColumn("stamp", stamp), names, ["stamp"], alias="v{}".format)
     columns, lost = [], F.lit(0)
@@ -202,6 +213,8 @@ def fan_out(
     row of any other table is a row of NULLs (H8). In bulk mode the ingestion
     timestamp is a key of every row, so no table is without keys.
     """
+    if mode == "stream":
+        rows = rows.withColumn(INGESTION_TIMESTAMP, processing_time())
     staged, release = staged_rows(rows, staging)
     try:
         profiles = {

@@ -116,7 +116,7 @@ def propagate_ts(spark, sf_dir):
         F.unix_timestamp(F.try_to_timestamp(F.col("row")["ingestion_timestamp"])).alias("sent"),
         F.col("row")["filename"].alias("filename"),
         F.col("row")["data_format"].alias("data_format"),
-        F.size("row").cast("bigint").alias("keys"),
+        F.size("row").alias("keys"),
     )
 
 

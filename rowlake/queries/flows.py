@@ -35,7 +35,7 @@ def topic_backlog(spark, sf_dir):
     lake = fx.new_lake(spark)
     bulk_ingest(log, lake, "half", max_messages=log.count() // 2)
     committed = committed_offsets(lake, "half")
-    return log_backlog(log, committed).withColumn("read_back", F.lit(lake.scan("part").count()))
+    return log_backlog(log, committed).withColumn("read_back", F.lit(lake.scan("part").count()).cast("bigint"))
 
 
 TOPIC_BACKLOG = """
