@@ -96,14 +96,16 @@ def _param(*names: str) -> Column:
     return F.coalesce(*[F.nullif(F.col("params")[name], F.lit("")) for name in names])
 
 
-def requested_columns(ops: DataFrame, backend: str, naming: str = "ingest") -> DataFrame:
+def requested_columns(
+    ops: DataFrame, backend: str, naming: str = "ingest", default_schema: str = DEFAULT_SCHEMA
+) -> DataFrame:
     """Operations with the table, column and type they ask for."""
     is_add, is_change = F.col("kind") == ADD, F.col("kind") == CHANGE
     if backend == "rdbms":
         column = _param("column_name", "attribute")
         label = _param("to_logical_type", "logical_type")
-        schema = F.when(F.col("kind") == DROP, F.lit(DEFAULT_SCHEMA)).otherwise(
-            F.coalesce(_param("schema_name"), F.lit(DEFAULT_SCHEMA))
+        schema = F.when(F.col("kind") == DROP, F.lit(default_schema)).otherwise(
+            F.coalesce(_param("schema_name"), F.lit(default_schema))
         )
         key = F.concat_ws(".", schema, F.col("requested_table"))
     else:
@@ -142,7 +144,8 @@ def _literal(codes: dict[str, str]) -> Column:
 
 
 def classify_operations(
-    ops: DataFrame, catalog: DataFrame, backend: str = "lake", naming: str = "ingest", block: int | None = BLOCK
+    ops: DataFrame, catalog: DataFrame, backend: str = "lake", naming: str = "ingest", block: int | None = BLOCK,
+    default_schema: str = DEFAULT_SCHEMA,
 ) -> DataFrame:
     """Status and error code of every operation, and what it would do.
 
@@ -151,7 +154,7 @@ def classify_operations(
     without columns is one whose schema cannot be read. If one request spells a
     new column in two ways, the spelling of the last ADD counts.
     """
-    requested = requested_columns(ops, backend, naming).withColumn("invalid", _invalid(backend))
+    requested = requested_columns(ops, backend, naming, default_schema).withColumn("invalid", _invalid(backend))
     tables = catalog.groupBy(F.col("table_name").alias("table_key")).agg(
         F.lit(True).alias("table_known"), F.bool_or(F.col("name").isNotNull()).alias("readable")
     )

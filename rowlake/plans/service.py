@@ -17,10 +17,11 @@ def apply_operations(ops: DataFrame, target: Lake | Rdbms, **options) -> DataFra
     return evolve.apply_operations(ops, target, **options)
 
 
-def introspect_evidence(requests: DataFrame, target: Lake | Rdbms, schema: str = evolve.DEFAULT_SCHEMA) -> DataFrame:
+def introspect_evidence(requests: DataFrame, target: Lake | Rdbms) -> DataFrame:
     """V3: ``requests(correlation_id, plan_id, dataset_id)`` answered from the catalog."""
     if isinstance(target, Lake):
         return evidence.evidence(requests, target)
     tables = requests.select(operation_table_name(F.col("dataset_id"), "rdbms").alias("t")).distinct()
+    schema = target.default_schema
     found = target.columns([(schema, row["t"]) for row in target.bounded(tables)])
     return evidence.evidence_rdbms(requests, found, schema)

@@ -28,7 +28,7 @@ def namespace(spark) -> tuple[rd.Rdbms, str]:
     name = f"rowlake_{uuid.uuid4().hex}"
     folder = workspace.new_folder(spark, "tables")
     spark.sql(f"CREATE NAMESPACE {rd.identifier(CATALOG, name)} LOCATION '{folder}'")
-    return rd.Rdbms(spark, CATALOG), name
+    return rd.Rdbms(spark, CATALOG, name), name
 
 
 def rdbms_append(spark, sf_dir):
@@ -116,7 +116,7 @@ def add_column_rdbms(spark, sf_dir):
     db, ns = namespace(spark)
     part = fx.table(spark, sf_dir, "part").select("p_partkey", "p_name")
     db.append(f"{ns}.part", part)
-    params = {"schema_name": ns, "column_name": "p_cost", "to_logical_type": "Double"}
+    params = {"column_name": "p_cost", "to_logical_type": "Double"}
     results = db.apply_operations(requests(spark, ("ADD_COLUMN", "part", params)))
     db.append(f"{ns}.part", part.withColumn("p_cost", F.col("p_partkey") / 4))
     status = results.first()["status"]
@@ -129,6 +129,31 @@ union all select p_partkey, p_name, p_partkey / 4, 'OK' from part
 """
 
 
+def drop_column_rdbms(spark, sf_dir):
+    """Drop a column and add it again: its old values are gone."""
+    db, ns = namespace(spark)
+    part = fx.table(spark, sf_dir, "part").select("p_partkey", "p_name", "p_size")
+    db.append(f"{ns}.part", part)
+    results = db.apply_operations(
+        requests(
+            spark,
+            ("DROP_COLUMN", "part", {"attribute": "p_size"}),
+            ("DROP_COLUMN", "part", {"column_name": "p_name"}),
+            ("ADD_COLUMN", "part", {"column_name": "p_size", "logical_type": "int"}),
+            ("DROP_COLUMN", "part", {"column_name": "p_name"}),
+        )
+    )
+    db.append(f"{ns}.part", part.drop("p_name"))
+    statuses = ",".join(r["status"] for r in results.orderBy("seq").collect())
+    return spark.table(db.name(ns, "part")).withColumn("statuses", F.lit(statuses))
+
+
+DROP_COLUMN_RDBMS = """
+select p_partkey, case when n = 1 then p_size end as p_size, 'OK,OK,OK,ALREADY_APPLIED' as statuses
+from part, range(2) r(n)
+"""
+
+
 def change_type_rdbms(spark, sf_dir):
     """Text to numbers through a copy of the table; '' becomes NULL."""
     db, ns = namespace(spark)
@@ -206,6 +231,7 @@ QUERIES = {
     "rdbms_catalog": (rdbms_catalog, RDBMS_CATALOG),
     "evidence_rdbms": (evidence_rdbms, EVIDENCE_RDBMS),
     "add_column_rdbms": (add_column_rdbms, ADD_COLUMN_RDBMS),
+    "drop_column_rdbms": (drop_column_rdbms, DROP_COLUMN_RDBMS),
     "change_type_rdbms": (change_type_rdbms, CHANGE_TYPE_RDBMS),
     "change_type_nullif": (change_type_nullif, CHANGE_TYPE_NULLIF),
     "operations_rdbms": (operations_rdbms, OPERATIONS_RDBMS),

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import json
 from collections.abc import Mapping
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
@@ -35,6 +36,23 @@ def kafka_stream(
     return reader.load().select("partition", "offset", F.col("value").cast("string").alias("value"))
 
 
+def kafka_batch(
+    spark: SparkSession, topic: str, servers: str, ranges: Mapping[int, tuple[int, int]] | None = None
+) -> DataFrame:
+    """S2 on a broker: the buffered messages, or those inside known offset ranges."""
+    reader = spark.read.format("kafka").option("kafka.bootstrap.servers", servers)
+    if ranges is None:
+        reader = reader.option("subscribe", topic)
+    else:
+        starts, ends = ({topic: {str(p): r[i] for p, r in ranges.items()}} for i in (0, 1))
+        reader = (
+            reader.option("assign", json.dumps({topic: sorted(ranges)}))
+            .option("startingOffsets", json.dumps(starts))
+            .option("endingOffsets", json.dumps(ends))
+        )
+    return reader.load().select("partition", "offset", F.col("value").cast("string").alias("value"))
+
+
 def replay_stream(spark: SparkSession, path: str, max_files_per_trigger: int | None = None) -> DataFrame:
     """S3: a Parquet message log as a stream, with the columns of S1."""
     reader = spark.readStream.schema(MESSAGE_SCHEMA)

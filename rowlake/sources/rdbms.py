@@ -15,7 +15,7 @@ from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
 
 from rowlake.functions.errors import error_class
 from rowlake.functions.labels import RDBMS_NUMERIC, SPARK_OF_RDBMS, rdbms_ddl_name
-from rowlake.functions.naming import RDBMS_IDENTIFIER_MAX
+from rowlake.functions.naming import physical_table_name
 from rowlake.metrics import observation, taken
 from rowlake.operators.evolve import (
     ADD, CODES, DEFAULT_SCHEMA, DROP, OK, RESULT_COLUMNS, block_size, classify_operations, requested_columns,
@@ -28,6 +28,12 @@ APPEND_BATCH = 5000
 BULK_BATCH = 1000
 INSERTION_TIMESTAMP = "insertion_timestamp"
 
+# Conditions under which a catalog says that it cannot alter a table in place.
+IN_PLACE_REFUSED = (
+    "UNSUPPORTED_FEATURE.TABLE_OPERATION",
+    "NOT_SUPPORTED_CHANGE_COLUMN",
+)
+
 # Operations of one request that reach the driver as statements.
 MAX_STATEMENTS = 10_000
 
@@ -85,9 +91,10 @@ def change_type_value(value, rdbms_type: str, mode: str = "strict"):
 class Rdbms:
     """The tables of one Spark catalog."""
 
-    def __init__(self, spark: SparkSession, catalog: str):
+    def __init__(self, spark: SparkSession, catalog: str, default_schema: str = DEFAULT_SCHEMA):
         self.spark = spark
         self.catalog = catalog
+        self.default_schema = default_schema
 
     def name(self, schema: str, table: str) -> str:
         return identifier(self.catalog, schema, table)
@@ -121,9 +128,14 @@ class Rdbms:
         self.spark.sql(f"CREATE TABLE IF NOT EXISTS {self.name(schema, table)} ({columns})")
 
     def append(self, table: str, df: DataFrame) -> Written:
-        """K6: insert by column name, from the executors. Missing columns are NULL, extra ones an error."""
-        schema, _, bare = table.rpartition(".") if "." in table else (DEFAULT_SCHEMA, "", table)
-        bare = bare[:RDBMS_IDENTIFIER_MAX]
+        """K6: insert by column name, from the executors. Missing columns are NULL, extra ones an error.
+
+        ``table`` is ``schema.table``, or a table of the default schema.
+        """
+        schema, dot, bare = table.partition(".")
+        if not dot:
+            schema, bare = self.default_schema, table
+        bare = self.spark.range(1).select(physical_table_name(F.lit(bare), "rdbms")).first()[0]
         frame = insertable(drop_technical(df))
         self.create(schema, bare, frame)
         observed = observation("insert")
@@ -156,27 +168,40 @@ class Rdbms:
         self.spark.sql(f"ALTER TABLE {self.name(schema, table)} ADD COLUMNS ({identifier(column)} {dtype})")
 
     def drop_column(self, schema: str, table: str, column: str) -> None:
-        """E4."""
-        self.spark.sql(f"ALTER TABLE {self.name(schema, table)} DROP COLUMN {identifier(column)}")
+        """By the database where it can, else through a copy."""
+        name = self.name(schema, table)
+        if not self._altered(f"ALTER TABLE {name} DROP COLUMN {identifier(column)}"):
+            self._replace(schema, table, self.spark.table(name).drop(column))
 
     def change_type(self, schema: str, table: str, column: str, rdbms_type: str, mode: str = "strict") -> None:
-        """By the database where it can, else through a copy that takes the table's name."""
+        """By the database where it can, else through a copy."""
         dtype = SPARK_OF_RDBMS.get(rdbms_type, "string")
         name = self.name(schema, table)
+        if not self._altered(f"ALTER TABLE {name} ALTER COLUMN {identifier(column)} TYPE {dtype}"):
+            value = change_type_value(quoted(column), rdbms_type, mode)
+            self._replace(schema, table, self.spark.table(name).withColumn(column, value))
+
+    def _altered(self, statement: str) -> bool:
+        """Run a change that some catalogs refuse to do in place."""
         try:
-            self.spark.sql(f"ALTER TABLE {name} ALTER COLUMN {identifier(column)} TYPE {dtype}")
-            return
-        except PySparkException:
-            pass
-        source = self.spark.table(name)
-        changed = source.select(
-            *[
-                change_type_value(quoted(c), rdbms_type, mode).alias(c) if c == column else quoted(c)
-                for c in source.columns
-            ]
-        )
+            self.spark.sql(statement)
+            return True
+        except PySparkException as refused:
+            if refused.getCondition() in IN_PLACE_REFUSED:
+                return False
+            raise
+
+    def _replace(self, schema: str, table: str, frame: DataFrame) -> None:
+        """Write a copy of a table and let it take the table's name."""
+        name = self.name(schema, table)
         copy, old = (f"{table[:20]}_{tag}_{uuid.uuid4().hex[:12]}" for tag in ("new", "old"))
-        self.append(f"{schema}.{copy}", changed)
+        rows = insertable(frame)
+        self.create(schema, copy, rows)
+        try:
+            self.insert(schema, copy, rows)
+        except Exception:
+            self.spark.sql(f"DROP TABLE {self.name(schema, copy)}")
+            raise
         self.spark.sql(f"ALTER TABLE {name} RENAME TO {identifier(schema, old)}")
         self.spark.sql(f"ALTER TABLE {self.name(schema, copy)} RENAME TO {identifier(schema, table)}")
         self.spark.sql(f"DROP TABLE {self.name(schema, old)}")
@@ -184,7 +209,9 @@ class Rdbms:
     def apply_operations(self, ops: DataFrame, mode: str = "strict") -> DataFrame:
         """E8 on the RDBMS: classify against the catalog, then run one statement per operation."""
         targets = self._targets(ops)
-        classified = classify_operations(ops, self.columns(targets), "rdbms", block=block_size(ops))
+        classified = classify_operations(
+            ops, self.columns(targets), "rdbms", block=block_size(ops), default_schema=self.default_schema
+        )
         done = classified.where(F.col("status") == OK).select("seq", "kind", "table_key", "column", "new_type")
         todo = sorted(self.bounded(done), key=lambda r: r["seq"])
         # The verdicts refer to the catalog as it was, which is held in the plan, not read again.
@@ -204,7 +231,7 @@ class Rdbms:
 
     def _targets(self, ops: DataFrame) -> list[tuple[str, str]]:
         """The distinct tables a request names."""
-        keys = requested_columns(ops, "rdbms").select("table_key").where("table_key IS NOT NULL").distinct()
+        keys = requested_columns(ops, "rdbms", default_schema=self.default_schema).select("table_key").where("table_key IS NOT NULL").distinct()
         return [tuple(row["table_key"].split(".", 1)) for row in self.bounded(keys)]
 
     def bounded(self, names: DataFrame) -> list:
@@ -224,10 +251,10 @@ class RdbmsSink:
 
     backend = "rdbms"
 
-    def __init__(self, db: Rdbms, schema: str = DEFAULT_SCHEMA):
+    def __init__(self, db: Rdbms, schema: str | None = None):
         self.db = db
         self.spark = db.spark
-        self.schema = schema
+        self.schema = schema or db.default_schema
 
     def prepare(self, table: str, inferred: Mapping[str, str], partition_by=()) -> Mapping[str, str]:
         if not self.db.exists(self.schema, table):

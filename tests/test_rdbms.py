@@ -39,6 +39,8 @@ def test_long_names_are_cut(spark):
     db, ns = namespace(spark)
     written = db.append(f"{ns}." + "x" * 70, spark.createDataFrame([(1,)], "a int"))
     assert written.table_name == f"{ns}." + "x" * 63 and written.rows == 1
+    assert db.append(f"{ns}.a.b-c", spark.createDataFrame([(1,)], "a int")).table_name == f"{ns}.b_c"
+    assert db.append("plain", spark.createDataFrame([(1,)], "a int")).table_name == f"{ns}.plain"
 
 
 def test_bulk_insert(spark):
@@ -61,14 +63,27 @@ def test_operations(spark):
         ("CHANGE_TYPE", "t", {"schema_name": ns, "column_name": "b", "logical_type": "bigint"}),
         ("CHANGE_TYPE", "t", {"schema_name": ns, "column_name": "zz", "logical_type": "bigint"}),
         ("ADD_COLUMN", "gone", {"schema_name": ns, "attribute": "c", "logical_type": "date"}),
+        ("DROP_COLUMN", "gone", {"attribute": "c"}),
+        ("DROP_COLUMN", "t", {"attribute": "a"}),
     )
     found = {r["seq"]: (r["status"], r["error_code"]) for r in apply_operations(asked, db).collect()}
     assert found == {
         0: ("OK", ""), 1: ("ALREADY_APPLIED", ""), 2: ("OK", ""), 3: ("TRANSIENT_ERROR", "RDBMS_COLUMN_NOT_READY"),
-        4: ("TRANSIENT_ERROR", "RDBMS_TABLE_NOT_READY"),
+        4: ("TRANSIENT_ERROR", "RDBMS_TABLE_NOT_READY"), 5: ("ALREADY_APPLIED", ""), 6: ("OK", ""),
     }
-    assert spark.table(db.name(ns, "t")).dtypes == [("a", "int"), ("b", "bigint"), ("c", "date")]
-    assert sorted(map(tuple, spark.table(db.name(ns, "t")).collect())) == [(1, 5, None), (2, None, None)]
+    assert spark.table(db.name(ns, "t")).dtypes == [("b", "bigint"), ("c", "date")]
+    assert sorted(map(tuple, spark.table(db.name(ns, "t")).collect()), key=str) == [(5, None), (None, None)]
+
+
+def test_a_failed_cast_keeps_the_table(spark):
+    db, ns = namespace(spark)
+    db.append(f"{ns}.t", spark.createDataFrame([("x",)], "b string"))
+    spark.conf.set("spark.sql.ansi.enabled", "true")
+    asked = requests(spark, ("CHANGE_TYPE", "t", {"column_name": "b", "logical_type": "bigint"}))
+    result = apply_operations(asked, db).first()
+    assert (result["status"], result["error_code"]) == ("PERMANENT_ERROR", "RDBMS_CHANGE_TYPE_FAILED")
+    assert [tuple(r) for r in spark.table(db.name(ns, "t")).collect()] == [("x",)]
+    assert [r["tableName"] for r in spark.sql(f"SHOW TABLES IN {rd.identifier('spark_catalog', ns)}").collect() if not r["isTemporary"]] == ["t"]
 
 
 @pytest.mark.parametrize(
@@ -123,7 +138,7 @@ def test_evidence(spark):
     db, ns = namespace(spark)
     db.append(f"{ns}.t", spark.createDataFrame([(1,)], "a int"))
     asked = spark.createDataFrame([("1", "p", "t"), ("2", "p", "u-1")], "correlation_id string, plan_id string, dataset_id string")
-    found = {r["correlation_id"]: r for r in introspect_evidence(asked, db, ns).collect()}
+    found = {r["correlation_id"]: r for r in introspect_evidence(asked, db).collect()}
     assert found["1"]["tables"][0]["name"] == f"{ns}.t" and found["1"]["tables"][0]["attributes"][0]["name"] == "a"
     assert found["2"]["tables"] == [] and '"table_name":"u_1","exists":false' in found["2"]["raw_evidence_json"]
 
