@@ -29,7 +29,7 @@ from rowlake.operators.shape import (
 )
 from rowlake.sources import files
 from rowlake.sources.envelope import FILE_COLUMNS, INGESTION_TIMESTAMP
-from rowlake.sources.lake import Lake, Written
+from rowlake.sources.lake import ROWS_PER_FILE, Lake, Written, file_count
 
 STAGED_SCHEMA = (
     "partition int, offset bigint, pos int, ingestion_timestamp string, "
@@ -158,9 +158,14 @@ def processing_time() -> Column:
 
 def write_table(
     sink: Sink, table: str, staged: DataFrame, profile: TableProfile, mode: str, source: str, batch_id: int,
-    keep_null_rows: bool = True, partition_by=(), zone: str | None = None,
+    keep_null_rows: bool = True, partition_by=(), zone: str | None = None, scattered: bool = False,
 ) -> Written:
-    """The rows of one table, typed as declared, as one batch of that table."""
+    """The rows of one table, typed as declared, as one batch of that table.
+
+    ``scattered`` says that the staged partitions hold all tables. The rows of
+    a small table are then filtered where they are and only those are moved;
+    joining partitions would move the whole batch to a few tasks.
+    """
     inferred = inferred_types(profile, mode)
     check_columns(table, inferred)
     declared = sink.prepare(table, inferred, partition_by)
@@ -172,6 +177,8 @@ def write_table(
     stamp = sent.try_cast("timestamp") if mode == "stream" else normalize_timestamp(sent, zone)
     # Text first, under plain names, so that the report below can compare it with its typed form.
     text = text_columns(rows.withColumn("stamp", stamp), names, ["stamp"], alias="v{}".format)
+    if scattered and profile.rows < ROWS_PER_FILE:
+        text = text.repartition(file_count(profile.rows))
     columns, lost = [], F.lit(0)
     position = {name: f"v{i}" for i, name in enumerate(names)}
     for name, dtype in declared.items():
@@ -185,7 +192,8 @@ def write_table(
             columns.append(typed.alias(name))
             if dtype != "string" or typed is not value:
                 lost = lost + F.count_if(value.isNotNull() & typed.isNull())
-    return sink.write_rows(table, text, columns, {"lost_values": lost}, source, batch_id, profile.rows)
+    rows_hint = None if scattered else profile.rows
+    return sink.write_rows(table, text, columns, {"lost_values": lost}, source, batch_id, rows_hint)
 
 
 def for_each_table(spark, tables: Iterable[str], write: Callable[[str], Written], writers: int) -> list[Written]:
@@ -226,7 +234,8 @@ def fan_out(
             sink.spark,
             profiles,
             lambda table: write_table(
-                sink, table, staged, profiles[table], mode, source, batch_id, keep_null_rows, partition_by, zone
+                sink, table, staged, profiles[table], mode, source, batch_id, keep_null_rows, partition_by, zone,
+                scattered=staging == "cache",
             ),
             limits.writers,
         )
@@ -245,15 +254,17 @@ def write_split_by_filename(
     named = df.withColumn("table_name", physical_table_name(logical_table_name(F.col("filename"))))
     staged, release = by_table(named, named.schema)
     try:
-        counts = staged.groupBy("table_name").count().limit(limits.max_tables + 1).collect()
-        if len(counts) > limits.max_tables:
-            raise ValueError(f"more than {limits.max_tables} tables, e.g. {counts[-1]['table_name']!r}")
+        found = staged.groupBy("table_name").count().limit(limits.max_tables + 1).collect()
+        if len(found) > limits.max_tables:
+            raise ValueError(f"more than {limits.max_tables} tables, e.g. {found[-1]['table_name']!r}")
+        counts = {row["table_name"]: row["count"] for row in found}
         flat = drop_technical(staged, with_filename=True)
         return for_each_table(
             lake.spark,
-            [row["table_name"] for row in counts],
+            counts,
             lambda table: lake.append(
-                table, flat.where(F.col("table_name") == table).drop("table_name"), source, batch_id, partition_by
+                table, flat.where(F.col("table_name") == table).drop("table_name"), source, batch_id, partition_by,
+                rows_hint=counts[table],
             ),
             limits.writers,
         )

@@ -18,14 +18,24 @@ from rowlake.functions.labels import RDBMS_NUMERIC, SPARK_OF_RDBMS, rdbms_ddl_na
 from rowlake.functions.naming import physical_table_name
 from rowlake.metrics import observation, taken
 from rowlake.operators.evolve import (
-    ADD, CODES, DEFAULT_SCHEMA, DROP, OK, RESULT_COLUMNS, block_size, classify_operations, requested_columns,
+    ADD,
+    CODES,
+    DEFAULT_SCHEMA,
+    DROP,
+    OK,
+    PERMANENT_ERROR,
+    RESULT_COLUMNS,
+    TRANSIENT_ERROR,
+    block_size,
+    classify_operations,
+    requested_columns,
 )
 from rowlake.operators.shape import drop_technical, quoted
 from rowlake.sources.lake import CATALOG_SCHEMA, SchemaMismatch, Written
 
-# Rows per insert of an append and of a bulk insert.
+# Fixed value: rows per insert.
 APPEND_BATCH = 5000
-BULK_BATCH = 1000
+
 INSERTION_TIMESTAMP = "insertion_timestamp"
 
 # Conditions under which a catalog says that it cannot alter a table in place.
@@ -292,11 +302,11 @@ def rdbms_report(classified: DataFrame, failures: list[tuple[int, str]]) -> Data
         classified.join(failed, "seq", "left")
         .withColumns(
             {
-                "error_code": F.when(hit, F.when(passing, code(codes["transient"])).otherwise(code(codes["failed"])))
+                "error_code": F.when(hit & passing, code(codes["transient"]))
+                .when(hit, code(codes["failed"]))
                 .otherwise(F.col("error_code")),
                 "error_message": F.coalesce("failure", "error_message"),
-                "status": F.when(hit, F.when(passing, "TRANSIENT_ERROR").otherwise("PERMANENT_ERROR"))
-                .otherwise(F.col("status")),
+                "status": F.when(hit & passing, TRANSIENT_ERROR).when(hit, PERMANENT_ERROR).otherwise(F.col("status")),
             }
         )
         .select(*RESULT_COLUMNS)
