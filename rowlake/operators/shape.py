@@ -75,13 +75,13 @@ def text_columns(rows: DataFrame, columns: Iterable[str], keep: Iterable[str] =
     columns = list(columns)
     names = [alias(i) if alias else name for i, name in enumerate(columns)]
     if len(columns) < WIDE_TABLE:
-        values = [F.col("row")[name] for name in columns]
-        source = rows
-    else:
-        fields = ", ".join("`" + name.replace("`", "``") + "` string" for name in columns)
-        source = rows.select(*keep, F.from_json(F.to_json("row"), fields).alias("wide"))
-        values = [F.col("wide").getField(name) for name in columns]
-    return source.select(*keep, *[blank_to_null(v).alias(n) for v, n in zip(values, names)])
+        return rows.select(*keep, *[blank_to_null(F.col("row")[c]).alias(n) for c, n in zip(columns, names)])
+    marked = [("`" + c.replace("`", "``") + "`", "`" + n.replace("`", "``") + "`") for c, n in zip(columns, names)]
+    parsed = F.from_json(F.to_json("row"), ", ".join(f"{c} string" for c, _ in marked))
+    # As text, because a thousand expressions built one by one take seconds.
+    return rows.select(*keep, parsed.alias("wide")).selectExpr(
+        *keep, *[f"nullif(wide.{c}, '') as {n}" for c, n in marked]
+    )
 
 
 def normalize_rows(rows: DataFrame, columns: Iterable[str], keep: Iterable[str] = ()) -> DataFrame:

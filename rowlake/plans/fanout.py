@@ -29,7 +29,7 @@ from rowlake.operators.shape import (
 )
 from rowlake.sources import files
 from rowlake.sources.envelope import FILE_COLUMNS, INGESTION_TIMESTAMP
-from rowlake.sources.lake import ROWS_PER_FILE, Lake, Written, file_count
+from rowlake.sources.lake import VALUES_PER_FILE, Lake, Written, file_count
 
 STAGED_SCHEMA = (
     "partition int, offset bigint, pos int, ingestion_timestamp string, "
@@ -177,8 +177,8 @@ def write_table(
     stamp = sent.try_cast("timestamp") if mode == "stream" else normalize_timestamp(sent, zone)
     # Text first, under plain names, so that the report below can compare it with its typed form.
     text = text_columns(rows.withColumn("stamp", stamp), names, ["stamp"], alias="v{}".format)
-    if scattered and profile.rows < ROWS_PER_FILE:
-        text = text.repartition(file_count(profile.rows))
+    if scattered and profile.rows * len(inferred) < VALUES_PER_FILE:
+        text = text.repartition(file_count(profile.rows, len(inferred)))
     columns, lost = [], F.lit(0)
     position = {name: f"v{i}" for i, name in enumerate(names)}
     for name, dtype in declared.items():

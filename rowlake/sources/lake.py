@@ -30,9 +30,9 @@ BATCH_NAME = re.compile(r"batch=(.*)-(\d+)")
 # Fixed value: a small append has one to eight files.
 SMALL_APPEND_FILES = 8
 
-# A small append makes a file per this many rows, a large one fewer.
-ROWS_PER_SMALL_FILE = 10_000
-ROWS_PER_FILE = 1_000_000
+# A small append makes a file per this many values, a large one fewer.
+VALUES_PER_SMALL_FILE = 100_000
+VALUES_PER_FILE = 10_000_000
 
 CATALOG_SCHEMA = (
     "table_name string, ordinal int, name string, dtype string, nullable boolean"
@@ -81,10 +81,11 @@ class Written:
     skipped: bool = False
 
 
-def file_count(rows: int) -> int:
-    """K9: an upper bound for the files of an append; it only ever joins partitions."""
-    small = min(SMALL_APPEND_FILES, math.ceil(rows / ROWS_PER_SMALL_FILE))
-    return max(1, small, math.ceil(rows / ROWS_PER_FILE))
+def file_count(rows: int, columns: int) -> int:
+    """K9: an upper bound for the files of an append, by the number of its values."""
+    values = rows * max(1, columns)
+    small = min(SMALL_APPEND_FILES, math.ceil(values / VALUES_PER_SMALL_FILE))
+    return max(1, small, math.ceil(values / VALUES_PER_FILE))
 
 
 class Lake:
@@ -247,7 +248,7 @@ class Lake:
             observed, F.count(F.lit(1)).alias("rows"), *[m.alias(n) for n, m in metrics.items()]
         ).select(*columns)
         if rows_hint is not None:
-            out = out.coalesce(file_count(rows_hint))
+            out = out.coalesce(file_count(rows_hint, len(columns)))
         batch = f"batch={files.safe_segment(source)}-{batch_id}"
         writer = out.write.mode("overwrite")
         if state.partition_by:

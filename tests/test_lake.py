@@ -95,4 +95,5 @@ def test_case_collision_is_refused(spark, lake):
 
 
 def test_file_count():
-    assert [file_count(n) for n in (0, 1, 10_001, 500_000, 5_000_000, 50_000_000)] == [1, 1, 2, 8, 8, 50]
+    cases = [(0, 3), (1, 0), (10_001, 10), (500_000, 10), (5_000_000, 10), (50_000_000, 10), (20_000, 1000)]
+    assert [file_count(*c) for c in cases] == [1, 1, 2, 8, 8, 50, 8]
