@@ -8,7 +8,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from rowlake.llm import simhash
+from rowlake.llm import secrets, simhash
 from rowlake.llm.common import table
 
 
@@ -17,6 +17,11 @@ def op2_simhash(spark, sf_dir):
     return found.select("doc_id", F.lpad(F.lower(F.hex("fp")), 16, "0").alias("fingerprint"), "component_id")
 
 
+def op3_secrets(spark, sf_dir):
+    return secrets.scan(table(spark, sf_dir, "documents"))
+
+
 QUERIES = {
     "op2_simhash": (op2_simhash, None),
+    "op3_secrets": (op3_secrets, None),
 }
