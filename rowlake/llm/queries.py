@@ -6,9 +6,10 @@ where SQL cannot express the method; those are tested against brute force).
 
 from __future__ import annotations
 
+import public_tokenizers
 from pyspark.sql import functions as F
 
-from rowlake.llm import secrets, simhash
+from rowlake.llm import bpe, decontaminate, secrets, simhash
 from rowlake.llm.common import table
 
 
@@ -21,7 +22,17 @@ def op3_secrets(spark, sf_dir):
     return secrets.scan(table(spark, sf_dir, "documents"))
 
 
+def op5_decontaminate(spark, sf_dir):
+    return decontaminate.report(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
+def op6_bpe(spark, sf_dir):
+    return bpe.digests(table(spark, sf_dir, "documents"), public_tokenizers.path("word_bpe_49k.json"))
+
+
 QUERIES = {
     "op2_simhash": (op2_simhash, None),
     "op3_secrets": (op3_secrets, None),
+    "op5_decontaminate": (op5_decontaminate, decontaminate.ORACLE_SQL),
+    "op6_bpe": (op6_bpe, None),
 }
