@@ -55,3 +55,43 @@ def utf8(batch: pa.RecordBatch, name: str = "text") -> list[bytes]:
 
 def sha256_hex(joined: Column) -> Column:
     return F.sha2(joined, 256)
+
+
+#: Total order of documents: rows without an id last, rows of one id by text.
+ORDER = "struct(doc_id is null as no_id, doc_id, text_key)"
+
+
+def in_order(docs: DataFrame) -> DataFrame:
+    """``bucket, ahead, doc_id, text_key, text``: all documents dealt by ranges of ``ORDER``, sorted within a partition.
+
+    Each bucket ends with a copy, marked ``ahead``, of the first document of the
+    next bucket (after the last: the first), so a task that reads on sees every
+    document beside its successor. Texts move once. The driver gets one key per
+    partition, which is where the ranges begin.
+    """
+    spark = docs.sparkSession
+    rows = texts(docs).withColumn("text_key", F.md5("text"))
+    n = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    keys = rows.select("doc_id", "text_key").withColumn("k", F.expr(ORDER))
+    dealt = keys.repartitionByRange(n, "k").withColumn("part", F.spark_partition_id())
+    firsts = sorted(tuple(r.k) for r in dealt.groupBy("part").agg(F.min("k").alias("k")).collect()) or [(True, None, "")]
+    kind = docs.schema["doc_id"].dataType.simpleString()
+    begins = "array(" + ", ".join(
+        f"struct({str(no_id).lower()} as no_id, cast({'null' if no_id else f"'{doc_id}'"} as {kind}) as doc_id, '{key}' as text_key)"
+        for no_id, doc_id, key in firsts
+    ) + ")"
+    # Binary search: the last range that begins at or before the row.
+    steps = max(1, len(firsts).bit_length())
+    middle = "cast((a.lo + a.hi) / 2 as int)"
+    bucket = (
+        f"aggregate(sequence(1, {steps}), struct(0 as lo, {len(firsts)} as hi), (a, x) -> if(a.hi - a.lo <= 1, a,"
+        f" if(get(begins, {middle}) <= k, struct({middle} as lo, a.hi as hi), struct(a.lo as lo, {middle} as hi))), a -> a.lo)"
+    ).replace("begins", begins)
+    placed = rows.withColumn("k", F.expr(ORDER)).withColumn("bucket", F.expr(bucket))
+    first = f"k = get({begins}, bucket)"
+    copies = (
+        f"explode(if({first}, array(struct(bucket as bucket, false as ahead),"
+        f" struct(pmod(bucket - 1, {len(firsts)}) as bucket, true as ahead)), array(struct(bucket as bucket, false as ahead)))) as b"
+    )
+    dealt = placed.selectExpr("doc_id", "text_key", "text", copies).selectExpr("b.bucket", "b.ahead", "doc_id", "text_key", "text")
+    return dealt.repartition(n, "bucket").sortWithinPartitions("bucket", "ahead", F.col("doc_id").isNull(), "doc_id", "text_key")

@@ -9,7 +9,7 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import functions as F
 
-from rowlake.llm import bpe, decontaminate, secrets, simhash
+from rowlake.llm import bpe, ctph, decontaminate, secrets, simhash
 from rowlake.llm.common import table
 
 
@@ -30,9 +30,14 @@ def op6_bpe(spark, sf_dir):
     return bpe.digests(table(spark, sf_dir, "documents"), public_tokenizers.path("word_bpe_49k.json"))
 
 
+def op9_ctph(spark, sf_dir):
+    return ctph.compare_with_next(table(spark, sf_dir, "documents"))
+
+
 QUERIES = {
     "op2_simhash": (op2_simhash, None),
     "op3_secrets": (op3_secrets, None),
     "op5_decontaminate": (op5_decontaminate, decontaminate.ORACLE_SQL),
     "op6_bpe": (op6_bpe, None),
+    "op9_ctph": (op9_ctph, None),
 }
