@@ -9,7 +9,7 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import functions as F
 
-from rowlake.llm import bpe, ctph, decontaminate, secrets, simhash
+from rowlake.llm import bpe, ctph, decontaminate, quality, secrets, simhash
 from rowlake.llm.common import table
 
 
@@ -22,6 +22,11 @@ def op3_secrets(spark, sf_dir):
     return secrets.scan(table(spark, sf_dir, "documents"))
 
 
+def op4_quality(spark, sf_dir):
+    docs = table(spark, sf_dir, "documents")
+    return quality.score(docs, quality.fit(docs, table(spark, sf_dir, "labels")))
+
+
 def op5_decontaminate(spark, sf_dir):
     return decontaminate.report(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
 
@@ -37,6 +42,7 @@ def op9_ctph(spark, sf_dir):
 QUERIES = {
     "op2_simhash": (op2_simhash, None),
     "op3_secrets": (op3_secrets, None),
+    "op4_quality": (op4_quality, None),
     "op5_decontaminate": (op5_decontaminate, decontaminate.ORACLE_SQL),
     "op6_bpe": (op6_bpe, None),
     "op9_ctph": (op9_ctph, None),
