@@ -1,0 +1,79 @@
+from collections import Counter
+from zlib import crc32
+
+import numpy as np
+import pytest
+
+from rowlake.llm import toxicity as tox
+from rowlake.llm.common import table
+
+
+def brute_shared(all_texts, wanted):
+    """Interpolated Kneser-Ney, level by level, from all n-grams in one place."""
+    level = Counter()
+    for text in all_texts:
+        for w in tox.words(text or ""):
+            level.update(tox.grams(w))
+    levels = [level]
+    for _ in range(tox.HISTORY):
+        level = Counter(g[1:] if len(g) > 1 else g for g in level)
+        levels.append(level)
+    discounts = [tox._discount(sum(n == 1 for n in x.values()), sum(n == 2 for n in x.values())) for x in levels]
+    of_history = [{} for _ in levels]
+    for counts, totals in zip(levels, of_history, strict=True):
+        for g, n in counts.items():
+            total, kinds = totals.get(g[:-1], (0, 0))
+            totals[g[:-1]] = total + n, kinds + 1
+
+    def p(g, i):
+        below = p(g[1:] or g, i + 1) if i + 1 < len(levels) else 1 / (len(levels[-1]) + 1)
+        if g[:-1] not in of_history[i]:
+            return below
+        total, kinds = of_history[i][g[:-1]]
+        return (max(levels[i][g] - discounts[i], 0) + discounts[i] * kinds * below) / total
+
+    return {g: p(g, 0) for g in wanted}
+
+
+def test_shared_model_against_counting(spark, sf_dir, monkeypatch):
+    monkeypatch.setattr(tox, "COUNTED", 500)
+    docs = table(spark, sf_dir, "documents").limit(60).repartition(3)
+    found = [r.text for r in docs.collect()]
+    wanted = sorted({g for w in (*tox.words(found[0]), "zyzzyva", "ñandú", "a") for g in tox.grams(w)})
+    got = tox.shared_model(docs, spark.createDataFrame([(g,) for g in wanted], "gram string"))
+    exact = brute_shared(found, wanted)
+    assert got.keys() == exact.keys() and all(np.isclose(got[g], exact[g]) for g in wanted)
+    # The letters that can follow a history share one whole.
+    every = {g[-1] for t in found for w in tox.words(t) for g in tox.grams(w)}
+    assert sum(brute_shared(found, ["^th" + c for c in every]).values()) == pytest.approx(1, abs=0.05)
+
+
+def test_held_out_accuracy(spark, sf_dir):
+    folder = sf_dir.replace("0.001", "0.1")
+    docs, labels = table(spark, folder, "documents"), table(spark, folder, "labels")
+    model = tox.fit(docs, labels)
+    scored = tox.score(docs, model)
+    assert scored.count() == docs.count() and scored.where("score is null or score < 0 or score > 1").count() == 0
+    rows = scored.join(labels, "doc_id").toPandas()
+    assert (rows.held_out == [crc32(str(i).encode()) % 4 == 2 for i in rows.doc_id]).all()
+    assert (rows.predicted == (rows.score >= 0.3)).all()
+    apart = rows[rows.held_out]
+    hit, true = apart.predicted == 1, apart.toxic == 1
+    assert (hit & true).sum() / true.sum() > 0.85 and (hit & ~true).sum() / (~true).sum() < 0.03
+    assert model.difference("moron") > 4 > abs(model.difference("the"))
+
+
+def test_odd_rows(spark):
+    rows = [(1, None, "a"), (1, "", "b"), (None, "words here", "c"), (2, "same text", "d"), (2, "same text", "e"), (3, "long " * 300_000, "f")]
+    docs = spark.createDataFrame(rows, "doc_id bigint, text string, score string")
+    none = spark.createDataFrame([], "doc_id bigint, toxic int")
+    got = tox.score(docs, tox.fit(docs, none)).collect()
+    assert [r.score for r in got] == [0.5] * 6
+    ids = [i for i in range(1, 99) if crc32(str(i).encode()) % 4 != 2][:40]
+    labels = spark.createDataFrame([(i, i % 2) for i in ids] + [(None, 1), (5, None)], "doc_id bigint, toxic int")
+    more = docs.union(spark.createDataFrame([(i, "you dreadful nasty thing" if i % 2 else "a calm and quiet day", "x") for i in ids], docs.schema))
+    model = tox.fit(more, labels)
+    assert model.difference("dreadful") > 0 > model.difference("quiet")
+    assert tox.score(more, model).count() == 6 + len(ids)
+    assert all(0 <= r.score <= 1 for r in tox.score(docs, model).collect())
+    assert tox.score(docs.limit(0), tox.fit(docs.limit(0), labels)).count() == 0
