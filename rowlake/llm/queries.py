@@ -9,7 +9,7 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import functions as F
 
-from rowlake.llm import bpe, ctph, decontaminate, quality, secrets, simhash, toxicity
+from rowlake.llm import bpe, ctph, decontaminate, quality, secrets, simhash, tokencount, toxicity
 from rowlake.llm.common import table
 
 
@@ -44,6 +44,11 @@ def op9_ctph(spark, sf_dir):
     return ctph.compare_with_next(table(spark, sf_dir, "documents"))
 
 
+def op10_token_counts(spark, sf_dir):
+    edited = tokencount.with_own_edits(table(spark, sf_dir, "documents"))
+    return tokencount.counts_after_edits(edited, public_tokenizers.path("byte_bpe_50k.tiktoken"), public_tokenizers.PATTERN)
+
+
 QUERIES = {
     "op2_simhash": (op2_simhash, None),
     "op3_secrets": (op3_secrets, None),
@@ -52,4 +57,5 @@ QUERIES = {
     "op6_bpe": (op6_bpe, None),
     "op8_toxicity": (op8_toxicity, None),
     "op9_ctph": (op9_ctph, None),
+    "op10_token_counts": (op10_token_counts, None),
 }
