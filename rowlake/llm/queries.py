@@ -9,7 +9,7 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import functions as F
 
-from rowlake.llm import bpe, ctph, decontaminate, quality, secrets, simhash, tokencount, toxicity
+from rowlake.llm import bpe, ctph, decontaminate, quality, secrets, simhash, suffixes, tokencount, toxicity
 from rowlake.llm.common import table
 
 
@@ -35,6 +35,10 @@ def op6_bpe(spark, sf_dir):
     return bpe.digests(table(spark, sf_dir, "documents"), public_tokenizers.path("word_bpe_49k.json"))
 
 
+def op7_suffix_dedup(spark, sf_dir):
+    return suffixes.remove(table(spark, sf_dir, "documents")).drop("kept")
+
+
 def op8_toxicity(spark, sf_dir):
     docs = table(spark, sf_dir, "documents")
     return toxicity.score(docs, toxicity.fit(docs, table(spark, sf_dir, "labels")))
@@ -55,6 +59,7 @@ QUERIES = {
     "op4_quality": (op4_quality, None),
     "op5_decontaminate": (op5_decontaminate, decontaminate.ORACLE_SQL),
     "op6_bpe": (op6_bpe, None),
+    "op7_suffix_dedup": (op7_suffix_dedup, None),
     "op8_toxicity": (op8_toxicity, None),
     "op9_ctph": (op9_ctph, None),
     "op10_token_counts": (op10_token_counts, None),
