@@ -9,10 +9,14 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import functions as F
 
-from rowlake.llm import bpe, ctph, decontaminate, quality, secrets, simhash, suffixes, tokencount, toxicity
+from rowlake.llm import bpe, ctph, decontaminate, passages, quality, secrets, simhash, suffixes, tokencount, toxicity
 from rowlake.llm.common import table
 
 
+def op1_passages(spark, sf_dir):
+    return passages.shared_passages(table(spark, sf_dir, "documents"))
+
+
 def op2_simhash(spark, sf_dir):
     found = simhash.near_duplicates(table(spark, sf_dir, "documents"))
     return found.select("doc_id", F.lpad(F.lower(F.hex("fp")), 16, "0").alias("fingerprint"), "component_id")
@@ -54,6 +58,7 @@ def op10_token_counts(spark, sf_dir):
 
 
 QUERIES = {
+    "op1_passages": (op1_passages, None),
     "op2_simhash": (op2_simhash, None),
     "op3_secrets": (op3_secrets, None),
     "op4_quality": (op4_quality, None),
