@@ -34,6 +34,7 @@ from hashlib import sha256
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 import xxhash
 import zstandard
 from pyspark.sql import DataFrame, functions as F
@@ -379,7 +380,7 @@ def _spans(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     names = ["ord", "key", "start", "stop"]
     held: list[tuple[np.ndarray, ...]] = []
     for batch in batches:
-        known = batch.filter(pa.compute.is_null(batch.column("payload")))
+        known = batch.filter(pc.is_null(batch.column("payload")))
         if known.num_rows:
             yield pa.RecordBatch.from_arrays([known.column(c) for c in names], names)
         for payload in batch.column("payload").drop_null().to_pylist():
