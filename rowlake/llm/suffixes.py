@@ -39,6 +39,7 @@ import xxhash
 import zstandard
 from pyspark.sql import DataFrame, functions as F
 
+from rowlake.llm.common import cut
 from rowlake.workspace import new_folder
 
 LENGTH = 50
@@ -48,7 +49,7 @@ GRAMS = LENGTH - GRAM + 1
 #: Members of a gram beyond which its windows are aggregated by hash.
 HOT = 200_000
 #: Anchors, and bytes of contexts, that a task settles together before it sends them on.
-UNIT, UNIT_BYTES = 2_000_000, 32 << 20
+UNIT, UNIT_BYTES = 500_000, 8 << 20
 #: Windows of a document looked at together.
 STEP = 1 << 21
 LAST = np.iinfo(np.int64).max
@@ -128,7 +129,7 @@ OPEN, SETTLED, WITNESS = 0, 1, 2
 
 def _offers(parts: int):
     def settle(held: list[tuple[np.ndarray, ...]]) -> Iterator[pa.RecordBatch]:
-        gram, order_id, place = (np.concatenate(c) for c in zip(*held, strict=True))
+        gram, order_id, key, place = (np.concatenate(c) for c in zip(*held, strict=True))
         order, begins = _groups(gram)
         ids = order_id[order]
         least, most = np.minimum.reduceat(ids, begins), np.maximum.reduceat(ids, begins)
@@ -138,27 +139,31 @@ def _offers(parts: int):
         # A gram shared here is sent once, with its count, for the documents of other tasks.
         told = order[begins[least != most]]
         kinds = (
-            (OPEN, gram[~shared], order_id[~shared], place[~shared], gram[~shared] % np.uint64(parts)),
-            (SETTLED, gram[shared], order_id[shared], place[shared], order_id[shared].view(np.uint64) % np.uint64(parts)),
-            (WITNESS, gram[told], order_id[told], counts[least != most], gram[told] % np.uint64(parts)),
+            (OPEN, ~shared, place, gram),
+            (SETTLED, shared, place, key.view(np.uint64)),
+            (WITNESS, told, None, gram),
         )
         rows = []
-        for kind, g, i, p, part in kinds:
+        for kind, chosen, p, dealt_by in kinds:
+            g, i, k = gram[chosen], order_id[chosen], key[chosen]
+            p = counts[least != most] if p is None else p[chosen]
+            part = dealt_by[chosen] % np.uint64(parts)
             to, starts = _groups(part)
             for own in np.split(to, starts[1:]) if len(to) else ():
                 own.sort()  # in the order of documents, which packs well
-                rows.append((int(part[own[0]]), kind, g[own].tobytes(), i[own].tobytes(), p[own].astype(np.int32).tobytes()))
-        columns = [pa.array(c, k) for c, k in zip(zip(*rows), (pa.int32(), pa.int32(), *[pa.binary()] * 3), strict=True)]
+                packed = (g[own], i[own], k[own], p[own].astype(np.int32))
+                rows.append((int(part[own[0]]), kind, *(x.tobytes() for x in packed)))
         if rows:
-            yield pa.RecordBatch.from_arrays(columns, ["part", "kind", "gram", "ord", "place"])
+            columns = [pa.array(c, k) for c, k in zip(zip(*rows), (pa.int32(), pa.int32(), *[pa.binary()] * 4), strict=True)]
+            yield pa.RecordBatch.from_arrays(columns, ["part", "kind", "gram", "ord", "key", "place"])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held, size = [], 0
         for batch in batches:
-            for order_id, data in zip(batch.column("ord").to_pylist(), batch.column("data").to_pylist(), strict=True):
+            for order_id, key, data in zip(*(batch.column(c).to_pylist() for c in ("ord", "key", "data")), strict=True):
                 gram, place, _, _ = anchors(data)
                 if len(gram):
-                    held.append((gram, np.full(len(gram), order_id, dtype=np.int64), place))
+                    held.append((gram, np.full(len(gram), order_id, np.int64), np.full(len(gram), key, np.int64), place))
                     size += len(gram)
                 if size >= UNIT:
                     yield from settle(held)
@@ -170,29 +175,26 @@ def _offers(parts: int):
 
 
 def _met(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """``ord, place`` of anchors whose gram is in two documents; ``hot``: grams in more than ``HOT`` places."""
+    """``ord, key, place`` of anchors whose gram is in two documents; ``hot``: grams in more than ``HOT`` places."""
 
-    def rows(order_id: np.ndarray, place: np.ndarray, hot: np.ndarray) -> pa.RecordBatch:
+    def rows(order_id: np.ndarray, key: np.ndarray, place: np.ndarray, hot: np.ndarray) -> pa.RecordBatch:
         more = np.zeros(len(hot), dtype=np.int64)
-        return pa.RecordBatch.from_arrays(
-            [
-                pa.array(np.concatenate([order_id, more])), pa.array(np.concatenate([place, more]).astype(np.int32)),
-                pa.array([None] * len(order_id) + hot.view(np.int64).tolist(), pa.int64()),
-            ],
-            ["ord", "place", "hot"],
-        )
+        columns = [pa.array(np.concatenate([c, more])) for c in (order_id, key)]
+        told = pa.array([None] * len(order_id) + hot.view(np.int64).tolist(), pa.int64())
+        places = pa.array(np.concatenate([place, more]).astype(np.int32))
+        return pa.RecordBatch.from_arrays([*columns, places, told], ["ord", "key", "place", "hot"])
 
     none = np.zeros(0, np.uint64)
     held = []
     for batch in batches:
-        for kind, gram, order_id, place in zip(*(batch.column(c).to_pylist() for c in ("kind", "gram", "ord", "place")), strict=True):
-            ids, places = np.frombuffer(order_id, np.int64), np.frombuffer(place, np.int32)
+        for kind, *packed in zip(*(batch.column(c).to_pylist() for c in ("kind", "gram", "ord", "key", "place")), strict=True):
+            gram, ids, keys, places = (np.frombuffer(x, k) for x, k in zip(packed, (np.uint64, np.int64, np.int64, np.int32), strict=True))
             if kind == SETTLED:
-                yield rows(ids, places, none)
+                yield rows(ids, keys, places, none)
             else:
-                held.append((np.full(len(ids), kind), np.frombuffer(gram, np.uint64), ids, places))
+                held.append((np.full(len(ids), kind, np.int8), gram, ids, keys, places))
     if held:
-        kind, gram, ids, places = (np.concatenate(c) for c in zip(*held, strict=True))
+        kind, gram, ids, keys, places = (np.concatenate(c) for c in zip(*held, strict=True))
         order, begins = _groups(gram)
         counts = _sizes(begins, len(order))
         own = ids[order]
@@ -200,7 +202,7 @@ def _met(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         shared = (np.minimum.reduceat(own, begins) != np.maximum.reduceat(own, begins)) | np.logical_or.reduceat(told, begins)
         members = np.add.reduceat(np.where(told, places[order], 1), begins)
         keep = order[np.repeat(shared, counts) & ~told]
-        yield rows(ids[keep], places[keep], gram[order[begins[shared & (members > HOT)]]])
+        yield rows(ids[keep], keys[keep], places[keep], gram[order[begins[shared & (members > HOT)]]])
 
 
 # 2. Contexts of these anchors.
@@ -373,7 +375,7 @@ def repeated(raw: np.ndarray, suffixes: np.ndarray, group: np.ndarray, order_id:
 
 
 #: Windows sorted together; grams are not split.
-SORTED = 1_000_000
+SORTED = 250_000
 
 
 def _spans(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -434,32 +436,45 @@ def _joint(gram: np.ndarray, place: np.ndarray) -> np.ndarray:
     return out
 
 
+def _copies(docs: DataFrame) -> DataFrame:
+    """``ord, key, start, stop``: the whole of every text that a smaller id has letter for letter."""
+    rows = _documents(docs).select("ord", "key", F.octet_length("data").alias("n"), F.md5("data").alias("digest"))
+    first = rows.groupBy("digest").agg(F.min("ord").alias("first"), F.max("ord").alias("most")).where("first < most")
+    copies = rows.where(F.col("n") >= LENGTH).join(first, "digest").where("ord > first")
+    return copies.select("ord", "key", F.lit(0).cast("bigint").alias("start"), F.col("n").cast("bigint").alias("stop")).distinct()
+
+
 def spans(docs: DataFrame) -> DataFrame:
     """``ord, key, start, stop`` of the bytes to remove; spans of a document may overlap."""
     spark = docs.sparkSession
     parts = int(spark.conf.get("spark.sql.shuffle.partitions"))
     rows = _documents(docs)
-    offers = rows.select("ord", "data").mapInArrow(_offers(parts), "part int, kind int, gram binary, ord binary, place binary")
+    offers = rows.select("ord", "key", "data").mapInArrow(
+        _offers(parts), "part int, kind int, gram binary, ord binary, key binary, place binary"
+    )
     folder = new_folder(spark, "anchors")
-    offers.repartition(parts, "part").mapInArrow(_met, "ord bigint, place int, hot bigint").write.parquet(folder)
+    offers.repartition(parts, "part").mapInArrow(_met, "ord bigint, key bigint, place int, hot bigint").write.parquet(folder)
     met = spark.read.parquet(folder)
     hot = frozenset(r.hot for r in met.where("hot is not null").select("hot").distinct().collect())
-    places = met.where("hot is null").groupBy("ord").agg(F.collect_set("place").alias("places"))
-    chosen = rows.select("ord", "key", "data").join(places, "ord").select("ord", "key", "data", "places")
+    copies = cut(_copies(docs))
+    places = met.where("hot is null").groupBy("ord", "key").agg(F.collect_set("place").alias("places"))
+    places = places.join(copies.select("ord", "key"), ["ord", "key"], "left_anti")
+    # All columns of ``rows`` go along, so that this exchange of texts serves remove() as well.
+    chosen = rows.join(places, ["ord", "key"])
     schema = "part int, ord bigint, key bigint, start bigint, stop bigint, payload binary"
-    cut = chosen.mapInArrow(_contexts(parts, hot, False), schema)
-    out = cut.repartition(parts, "part").mapInArrow(_spans, "ord bigint, key bigint, start bigint, stop bigint")
+    contexts = chosen.mapInArrow(_contexts(parts, hot, False), schema)
+    out = contexts.repartition(parts, "part").mapInArrow(_spans, "ord bigint, key bigint, start bigint, stop bigint")
     if hot:
         windows = chosen.mapInArrow(_contexts(parts, hot, True), schema).select("ord", "key", "start", "stop", "payload")
         least = windows.groupBy("payload").agg(F.min("ord").alias("least"), F.max("ord").alias("most")).where("least <> most")
         out = out.union(windows.join(least.drop("most"), "payload").where("ord > least").select("ord", "key", "start", "stop"))
-    return out
+    return out.union(copies)
 
 
 def remove(docs: DataFrame) -> DataFrame:
     """``doc_id, n_bytes, n_removed, n_spans, kept_sha256, kept`` of every row; ``kept`` are the bytes that stay."""
     found = spans(docs).groupBy("ord", "key").agg(F.sort_array(F.collect_set(F.struct("start", "stop"))).alias("spans"))
-    rows = _documents(docs).join(found, ["ord", "key"], "left").select("doc_id", "data", "spans")
+    rows = _documents(docs).join(found, ["ord", "key"], "left")
     names = ["doc_id", "n_bytes", "n_removed", "n_spans", "kept_sha256", "kept"]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
