@@ -48,7 +48,7 @@ def main() -> None:
 
     def ingest(**options):
         lake = fx.new_lake(spark)
-        bulk_ingest(log, lake, **options)
+        bulk_ingest(log, lake, "bench", **options)
         return lake
 
     def stream() -> None:

@@ -10,8 +10,9 @@ kind, target, params`` (a text map).
 
 from __future__ import annotations
 
+from collections.abc import Iterable
 from concurrent.futures import ThreadPoolExecutor
-from dataclasses import dataclass
+from dataclasses import dataclass, replace
 
 from pyspark import inheritable_thread_target
 from pyspark.sql import Column, DataFrame, Window, functions as F
@@ -54,8 +55,8 @@ RESULT_COLUMNS = [
 # A window task looks back over at most this many operations of one column.
 BLOCK = 1_000_000
 
-# Type changes of one column that one rewrite chains.
-MAX_CHAIN = 100
+# Casts that one projection nests; a longer chain goes on in another rewrite.
+NESTED_CASTS = 50
 
 
 def last_before(
@@ -271,9 +272,11 @@ class ColumnChange:
     casts: tuple[str, ...]
 
 
-def block_size(ops: DataFrame, block: int = BLOCK) -> int | None:
-    """No blocks for a request that fits into one."""
-    return None if ops.limit(block + 1).count() <= block else block
+def held(frame: DataFrame) -> DataFrame:
+    """The frame as it is now, in the shared folder; ``workspace.release`` removes it after its last use."""
+    folder = workspace.new_folder(frame.sparkSession, "operations")
+    frame.write.parquet(folder)
+    return frame.sparkSession.read.parquet(folder)
 
 
 def column_changes(classified: DataFrame) -> dict[str, list[ColumnChange]]:
@@ -291,21 +294,12 @@ def column_changes(classified: DataFrame) -> dict[str, list[ColumnChange]]:
         F.max_by("column", F.when(F.col("kind") == ADD, seq)).alias("added_name"),
         F.max_by("new_type", seq).alias("last_type"),
         F.first("first_name").alias("first_name"),
-        F.count_if(~places).alias("changes"),
-    ).collect()
-    chained = [row for row in folded if row["placed_by"] is None and row["changes"] > 1]
-    for row in chained:
-        if row["changes"] > MAX_CHAIN:
-            raise ValueError(f"more than {MAX_CHAIN} type changes of {row['table_key']}.{row['column_key']} in one request")
-    chains: dict[tuple[str, str], list[str]] = {}
-    if chained:
-        wanted = done.sparkSession.createDataFrame(
-            [(row["table_key"], row["column_key"]) for row in chained], "table_key string, column_key string"
-        )
-        for row in sorted(done.join(wanted, keys, "left_semi").collect(), key=lambda r: r["seq"]):
-            chains.setdefault((row["table_key"], row["column_key"]), []).append(row["new_type"])
+        F.transform(
+            F.sort_array(F.collect_list(F.when(~places, F.struct("seq", "new_type")))), lambda x: x["new_type"]
+        ).alias("types"),
+    )
     by_table: dict[str, list[ColumnChange]] = {}
-    for row in folded:
+    for row in folded.toLocalIterator():
         key, old = row["column_key"], row["first_name"]
         fresh = row["placed_by"] == ADD
         if row["placed_by"] == DROP:
@@ -313,12 +307,24 @@ def column_changes(classified: DataFrame) -> dict[str, list[ColumnChange]]:
         elif fresh:
             change = ColumnChange(key, old, row["added_name"], row["last_type"], True, ())
         else:
-            casts = chains.get((row["table_key"], key), [row["last_type"]])
-            change = ColumnChange(key, old, old, row["last_type"], False, tuple(casts))
+            change = ColumnChange(key, old, old, row["last_type"], False, shortened(row["types"]))
         by_table.setdefault(row["table_key"], []).append(change)
     return by_table
 
 
+def shortened(types: Iterable[str]) -> tuple[str, ...]:
+    """A sequence of casts without what adds nothing: a value that has been through a cycle of types once
+    comes out of the same cycle unchanged."""
+    out: list[str] = []
+    for dtype in types:
+        out.append(dtype)
+        for size in range(1, len(out) // 2 + 1):
+            if out[-size:] == out[-2 * size : -size]:
+                del out[-size:]
+                break
+    return tuple(out)
+
+
 def apply_to_table(lake: Lake, table: str, changes: list[ColumnChange], purge: bool = False) -> None:
     """The folded changes of one table, with at most one rewrite.
 
@@ -326,6 +332,12 @@ def apply_to_table(lake: Lake, table: str, changes: list[ColumnChange], purge: b
     A rewrite is needed for any other type change, for a name whose old values
     are still in the files, and for a partition column; ``purge`` asks for one.
     """
+    longest = max((len(c.casts) for c in changes), default=0)
+    if longest > NESTED_CASTS:
+        first = [replace(c, dtype=c.casts[:NESTED_CASTS][-1], casts=c.casts[:NESTED_CASTS]) for c in changes if c.casts]
+        apply_to_table(lake, table, first, purge)
+        rest = [replace(c, casts=c.casts[NESTED_CASTS:]) for c in changes if not c.casts or len(c.casts) > NESTED_CASTS]
+        return apply_to_table(lake, table, rest, purge)
     state = lake.required(table)
     fields = dict(state.fields)
     columns = {name: F.col("`" + name.replace("`", "``") + "`") for name in fields}
@@ -352,7 +364,7 @@ def apply_to_table(lake: Lake, table: str, changes: list[ColumnChange], purge: b
             fields[old], columns[old] = change.dtype, value
             rewrite = rewrite or (before, change.casts) != ("int", ("bigint",))
     if rewrite:
-        lake.rewrite(table, columns)
+        lake.rewrite(table, columns, purge)
     else:
         lake.declare(table, fields)
 
@@ -362,12 +374,8 @@ def apply_operations(
 ) -> DataFrame:
     """E8 on the lake: classify, carry out, and report one result per operation."""
     spark = lake.spark
-    block = block_size(ops)
     # Written down, because the catalog it was read from is about to change.
-    folder = workspace.new_folder(spark, "operations")
-    classify_operations(ops, lake.catalog(), "lake", naming, block).write.parquet(folder)
-    classified = spark.read.parquet(folder)
-
+    classified = held(classify_operations(ops, lake.catalog(), "lake", naming))
     by_table = column_changes(classified)
 
     def carry_out(table: str) -> tuple[str, str] | None:

@@ -10,6 +10,7 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, functions as F
 
+from rowlake.functions.naming import quoted
 from rowlake.functions.values import blank_to_null, is_date_name, looks_like_date
 from rowlake.sources.envelope import FILE_COLUMNS
 
@@ -161,8 +162,8 @@ def date_shares(df: DataFrame, pattern: str, min_conf: float) -> DataFrame:
         *[
             F.struct(
                 F.lit(name).alias("column_name"),
-                F.count(F.col(f"`{name}`")).alias("non_null"),
-                F.count_if(looks_like_date(F.col(f"`{name}`"), pattern)).alias("hits"),
+                F.count(quoted(name)).alias("non_null"),
+                F.count_if(looks_like_date(quoted(name), pattern)).alias("hits"),
             ).alias(f"c{index}")
             for index, name in enumerate(columns)
         ]

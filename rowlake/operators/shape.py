@@ -6,7 +6,13 @@ from collections.abc import Iterable, Mapping
 
 from pyspark.sql import Column, DataFrame, functions as F
 
-from rowlake.functions.naming import default_name, logical_table_name, logical_table_name_posix, physical_table_name
+from rowlake.functions.naming import (
+    default_name,
+    logical_table_name,
+    logical_table_name_posix,
+    physical_table_name,
+    quoted,
+)
 from rowlake.functions.values import (
     DATE_FORMAT,
     DATE_PATTERN,
@@ -23,18 +29,11 @@ from rowlake.sources.envelope import FILE_COLUMNS, INGESTION_TIMESTAMP, accept_r
 TECHNICAL_COLUMNS = ("data_format", "source_filename", "source_data_format")
 MIN_DATE_SHARE = 0.95
 
-# Columns of one table whose names may reach the driver.
-MAX_COLUMNS = 5_000
-
 # From this many columns on, a row is read as one JSON struct instead of by a
 # linear map lookup per column.
 WIDE_TABLE = 64
 
 
-def quoted(name: str) -> Column:
-    return F.col("`" + name.replace("`", "``") + "`")
-
-
 def name_table(batch: DataFrame, style: str = "windows") -> DataFrame:
     """The logical table of each envelope or row, from its file name."""
     rule = logical_table_name_posix if style == "posix" else logical_table_name
@@ -77,7 +76,12 @@ def text_columns(rows: DataFrame, columns: Iterable[str], keep: Iterable[str] =
     if len(columns) < WIDE_TABLE:
         return rows.select(*keep, *[blank_to_null(F.col("row")[c]).alias(n) for c, n in zip(columns, names)])
     marked = [("`" + c.replace("`", "``") + "`", "`" + n.replace("`", "``") + "`") for c, n in zip(columns, names)]
-    parsed = F.from_json(F.to_json("row"), ", ".join(f"{c} string" for c, _ in marked))
+    # Spark's column for what it cannot parse must not be one of the row's.
+    corrupt = "_corrupt"
+    while corrupt in columns:
+        corrupt += "_"
+    schema = ", ".join(f"{c} string" for c, _ in marked)
+    parsed = F.from_json(F.to_json("row"), schema, {"columnNameOfCorruptRecord": corrupt})
     # As text, because a thousand expressions built one by one take seconds.
     return rows.select(*keep, parsed.alias("wide")).selectExpr(
         *keep, *[f"nullif(wide.{c}, '') as {n}" for c, n in marked]
@@ -117,9 +121,9 @@ def typed_frame(rows: DataFrame, keep: Iterable[str] = ()) -> DataFrame:
     A number or truth column that also holds other values is text, so that no
     value is lost.
     """
-    found = infer_types(rows).limit(MAX_COLUMNS + 1).collect()
-    if len(found) > MAX_COLUMNS:
-        raise ValueError(f"table {found[0]['table_name']!r} has more than {MAX_COLUMNS} columns")
+    found = infer_types(rows).collect()
+    if len({r["table_name"] for r in found}) > 1:
+        raise ValueError("the rows are of more than one table; each has types of its own")
     types = {
         r["column_name"]: "string" if r["mixed"] and r["type"] != "DATE" else r["type"].lower() for r in found
     }

@@ -13,10 +13,10 @@ from rowlake.plans.fanout import Limits, Sink, fan_out
 from rowlake.sources import files
 from rowlake.sources.envelope import decode_envelope
 from rowlake.sources.lake import RESERVED, Lake, Written
-from rowlake.sources.messages import drain_ranges, offset_bounds, within_ranges
+from rowlake.sources.messages import drain_ranges, offset_bounds, open_bounds, within_ranges
 
-# Drains of up to this many messages are held in the executors' cache.
-CACHED_MESSAGES = 500_000
+# Bytes of a log, as Spark estimates the scan, up to which a drain is held in the executors' cache.
+CACHED_BYTES = 256 << 20
 
 OFFSET_SCHEMA = "partition int, committed bigint"
 
@@ -41,6 +41,7 @@ class OffsetLog:
     done: int = 0
     committed: dict[int, int] = field(default_factory=dict)
     planned: dict[int, tuple[int, int]] | None = None
+    log_name: str | None = None
 
     @staticmethod
     def path(lake: Lake, source: str) -> str:
@@ -57,6 +58,7 @@ class OffsetLog:
             body["done"],
             {int(p): end for p, end in body["committed"].items()},
             None if planned is None else {int(p): tuple(r) for p, r in planned.items()},
+            body.get("log_name"),
         )
 
     def write(self, lake: Lake, source: str) -> None:
@@ -72,57 +74,81 @@ def commit_offsets(lake: Lake, source: str) -> None:
     """The planned drain has succeeded; the next one starts at its ends."""
     log = OffsetLog.read(lake, source)
     ends = {partition: end for partition, (_, end) in (log.planned or {}).items()}
-    OffsetLog(log.done + 1, {**log.committed, **ends}).write(lake, source)
+    OffsetLog(log.done + 1, {**log.committed, **ends}, log_name=log.log_name).write(lake, source)
 
 
 def bulk_ingest(
     messages: DataFrame,
     lake: Lake,
-    source: str = "bulk",
+    source: str,
     max_messages: int | None = None,
     limits: Limits = Limits(),
     staging: str = "auto",
     ranges: dict[int, tuple[int, int]] | None = None,
     sink: Sink | None = None,
     zone: str | None = None,
+    log_name: str | None = None,
+    ends: DataFrame | None = None,
+    **options,
 ) -> Drained:
     """Drain what is buffered beyond the committed offsets into the lake tables.
 
+    ``source`` names the log in this lake: its offsets are kept under it. With
+    ``log_name`` (a topic, a path) the lake remembers which log that is and
+    refuses another under the same source.
+
     The offset ranges are written down first and committed after all tables
     are written. A drain that failed is run again over the same ranges under
     the same id, and its batches replace themselves. Ranges are found from the
-    log unless the caller knows them, as a broker does. Tables go to the lake
-    that keeps the offsets, or to ``sink``.
+    log unless the caller knows them, or knows the ``ends`` (partition,
+    first_offset, end_offset), as a broker does. Tables go to the lake that
+    keeps the offsets, or to ``sink``; ``options`` are those of ``fan_out``.
+    Both stagings have the same result; ``auto`` takes the cache for small scans.
     """
     sink = sink or lake
     state = OffsetLog.read(lake, source)
+    if log_name is not None and state.log_name not in (None, log_name):
+        raise ValueError(f"source {source!r} of this lake is the log {state.log_name!r}, not {log_name!r}")
     drain_id = state.done
     if state.planned is None:
         if ranges is None:
-            ranges = drain_ranges(offset_bounds(messages, committed_offsets(lake, source)), max_messages)
+            committed = committed_offsets(lake, source)
+            bounds = offset_bounds(messages, committed) if ends is None else open_bounds(ends, committed)
+            ranges = drain_ranges(bounds, max_messages, messages)
         if not ranges:
             return Drained([], {}, 0, 0)
-        state.planned = ranges
+        state.planned, state.log_name = ranges, log_name or state.log_name
         state.write(lake, source)
     ranges = state.planned
-    if staging == "auto":
-        buffered = sum(end - start for start, end in ranges.values())
-        staging = "cache" if buffered <= CACHED_MESSAGES else "table"
     seen = observation("drain")
     envelopes = decode_envelope(within_ranges(messages, ranges)).observe(
         seen, F.count(F.lit(1)).alias("messages"), F.count_if("malformed").alias("malformed")
     )
     rows = route_physical(envelopes.where("size(data) > 0"), sink.backend)
-    written = fan_out(rows, sink, source, drain_id, mode="bulk", staging=staging, limits=limits, zone=zone)
+    if staging == "auto":
+        staging = "cache" if scan_bytes(within_ranges(messages, ranges)) <= CACHED_BYTES else "table"
+    written = fan_out(rows, sink, source, drain_id, mode="bulk", staging=staging, limits=limits, zone=zone, **options)
     commit_offsets(lake, source)
     counts = taken(seen)
     return Drained(written, ranges, counts.get("messages", 0), counts.get("malformed", 0))
 
 
+def scan_bytes(frame: DataFrame) -> int:
+    """Spark's own estimate of what a scan reads; sources that do not know say a very large number."""
+    return int(str(frame._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
+
+
 def drain_in_steps(messages: DataFrame, lake: Lake, source: str, step: int, **options) -> list[Drained]:
-    """P4, first half: drain in steps of at most ``step`` messages until nothing is left."""
+    """P4, first half: drain in steps of at most ``step`` messages until nothing is left.
+
+    The ends are those at the start; they are found once and carried over.
+    """
+    found = messages.groupBy("partition").agg(
+        F.min("offset").alias("first_offset"), (F.max("offset") + 1).alias("end_offset")
+    )
+    ends = lake.spark.createDataFrame(found.collect(), found.schema)
     done = []
-    while (drained := bulk_ingest(messages, lake, source, step, **options)).ranges:
+    while (drained := bulk_ingest(messages, lake, source, step, ends=ends, **options)).ranges:
         done.append(drained)
     return done
 

@@ -6,9 +6,10 @@ table by table. Only names, types and counts reach the driver.
 
 from __future__ import annotations
 
-from collections.abc import Callable, Iterable, Mapping
+from collections.abc import Callable, Iterable, Iterator, Mapping
 from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass, field
+from itertools import islice
 from typing import Protocol
 
 from pyspark import StorageLevel, inheritable_thread_target
@@ -16,11 +17,10 @@ from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from rowlake import workspace
 from rowlake.metrics import observation, taken
-from rowlake.functions.naming import logical_table_name, physical_table_name, resolve_write_path
+from rowlake.functions.naming import logical_table_name, physical_table_name
 from rowlake.functions.values import normalize_timestamp
 from rowlake.operators.profile import packable, profile_columns
 from rowlake.operators.shape import (
-    MAX_COLUMNS,
     MIN_DATE_SHARE,
     check_columns,
     drop_technical,
@@ -29,7 +29,7 @@ from rowlake.operators.shape import (
 )
 from rowlake.sources import files
 from rowlake.sources.envelope import FILE_COLUMNS, INGESTION_TIMESTAMP
-from rowlake.sources.lake import VALUES_PER_FILE, Lake, Written, file_count
+from rowlake.sources.lake import VALUES_PER_FILE, Lake, SchemaMismatch, Written, file_count, identity
 
 STAGED_SCHEMA = (
     "partition int, offset bigint, pos int, ingestion_timestamp string, "
@@ -57,11 +57,9 @@ SALTS = 16
 
 @dataclass(frozen=True)
 class Limits:
-    """Names that may reach the driver; beyond that a batch fails and says why."""
+    """How much of a batch the driver has in hand at once; no bound of what a batch may hold."""
 
-    max_tables: int = 1_000
-    max_columns: int = MAX_COLUMNS
-    max_names: int = 1_000_000
+    page_tables: int = 1_000
     writers: int = 8
 
 
@@ -76,7 +74,7 @@ class TableProfile:
 def staged_rows(rows: DataFrame, how: str) -> tuple[DataFrame, Callable[[], None]]:
     """The batch, evaluated once, and what releases it.
 
-    ``cache`` suits a micro-batch. ``table`` suits a drain of any size: rows
+    ``cache`` suits a micro-batch or a drain that fits the executors' memory. ``table`` suits a drain of any size: rows
     are rebalanced on the table name, so that small tables share a task, a
     table that holds a third of the batch is split over many, and each write
     below reads the directory of its own table only. ``local`` saves that
@@ -85,7 +83,8 @@ def staged_rows(rows: DataFrame, how: str) -> tuple[DataFrame, Callable[[], None
     """
     kept = rows.select("partition", "offset", "pos", INGESTION_TIMESTAMP, "row", "table_name")
     if how == "cache":
-        cached = kept.persist(StorageLevel.MEMORY_AND_DISK)
+        # Sorted, so that Spark skips the cached blocks of other tables when it writes one.
+        cached = kept.sortWithinPartitions("table_name").persist(StorageLevel.MEMORY_AND_DISK)
         return cached, lambda: cached.unpersist()
     if how not in ("table", "local"):
         raise ValueError(f"unknown staging {how!r}")
@@ -107,27 +106,33 @@ def by_table(rows: DataFrame, schema, rebalance: bool = True) -> tuple[DataFrame
     return spark.read.schema(schema).parquet(folder), lambda: files.delete(spark, folder)
 
 
-def collect_profile(staged: DataFrame, limits: Limits) -> dict[str, TableProfile]:
-    """The profile of every table of the batch: one job, one driver row per column."""
+def profile_pages(staged: DataFrame, limits: Limits = Limits()) -> Iterator[dict[str, TableProfile]]:
+    """The profile of every table of the batch, a page of tables at a time.
+
+    One job makes it, with one row per column; the driver reads it in the
+    order of tables and holds a page and one partition of it.
+    """
     excluded = (*FILE_COLUMNS, INGESTION_TIMESTAMP)
     seen = observation("profile")
-    observed = staged.observe(seen, packable().alias("packable"))
-    entries = profile_columns(observed, excluded, packed=True).limit(limits.max_names + 1).collect()
-    if entries and not taken(seen).get("packable", False):
-        entries = profile_columns(staged, excluded).limit(limits.max_names + 1).collect()
-    if len(entries) > limits.max_names:
-        raise ValueError(f"more than {limits.max_names} columns in one batch, e.g. in {entries[-1]['table_name']!r}")
-    tables: dict[str, TableProfile] = {}
-    for entry in entries:
-        table = tables.setdefault(entry["table_name"], TableProfile())
-        table.rows += entry["rows"]
-        if entry["column_name"] is not None:
-            table.columns[entry["column_name"]] = entry.asDict()
-        if len(tables) > limits.max_tables:
-            raise ValueError(f"more than {limits.max_tables} tables in one batch, e.g. {entry['table_name']!r}")
-        if len(table.columns) > limits.max_columns:
-            raise ValueError(f"table {entry['table_name']!r} has more than {limits.max_columns} columns")
-    return tables
+    profile = profile_columns(staged.observe(seen, packable().alias("packable")), excluded, packed=True).persist()
+    if profile.count() and not taken(seen)["packable"]:
+        profile.unpersist()
+        profile = profile_columns(staged, excluded).persist()
+    try:
+        page: dict[str, TableProfile] = {}
+        for entry in profile.orderBy("table_name").toLocalIterator():
+            name = entry["table_name"]
+            if name not in page and len(page) >= limits.page_tables:
+                yield page
+                page = {}
+            table = page.setdefault(name, TableProfile())
+            table.rows += entry["rows"]
+            if entry["column_name"] is not None:
+                table.columns[entry["column_name"]] = entry.asDict()
+        if page:
+            yield page
+    finally:
+        profile.unpersist()
 
 
 def inferred_types(profile: TableProfile, mode: str) -> dict[str, str]:
@@ -159,6 +164,7 @@ def processing_time() -> Column:
 def write_table(
     sink: Sink, table: str, staged: DataFrame, profile: TableProfile, mode: str, source: str, batch_id: int,
     keep_null_rows: bool = True, partition_by=(), zone: str | None = None, scattered: bool = False,
+    on_type_mismatch: str = "cast",
 ) -> Written:
     """The rows of one table, typed as declared, as one batch of that table.
 
@@ -176,10 +182,11 @@ def write_table(
     sent = F.col(INGESTION_TIMESTAMP)
     stamp = sent.try_cast("timestamp") if mode == "stream" else normalize_timestamp(sent, zone)
     # Text first, under plain names, so that the report below can compare it with its typed form.
-    text = text_columns(rows.withColumn("stamp", stamp), names, ["stamp"], alias="v{}".format)
+    kept = ["stamp", *POSITION] if on_type_mismatch == "reject" else ["stamp"]
+    text = text_columns(rows.withColumn("stamp", stamp), names, kept, alias="v{}".format)
     if scattered and profile.rows * len(inferred) < VALUES_PER_FILE:
         text = text.repartition(file_count(profile.rows, len(inferred)))
-    columns, lost = [], F.lit(0)
+    columns, lost, misfits = [], F.lit(0), []
     position = {name: f"v{i}" for i, name in enumerate(names)}
     for name, dtype in declared.items():
         if name == INGESTION_TIMESTAMP:
@@ -191,18 +198,67 @@ def write_table(
             typed = typed_value(value, dtype, name, guard=mode == "stream")
             columns.append(typed.alias(name))
             if dtype != "string" or typed is not value:
-                lost = lost + F.count_if(value.isNotNull() & typed.isNull())
+                misfit = value.isNotNull() & typed.isNull()
+                lost = lost + F.count_if(misfit)
+                misfits.append(F.when(misfit, F.struct(F.lit(name).alias("column_name"), value.alias("value"))))
+    if on_type_mismatch == "error" and misfits:
+        found = text.select(F.coalesce(*misfits).alias("m")).where("m is not null").select("m.*").first()
+        if found:
+            raise SchemaMismatch(f"table {table!r}: {found['value']!r} does not fit {found['column_name']!r}")
     rows_hint = None if scattered else profile.rows
-    return sink.write_rows(table, text, columns, {"lost_values": lost}, source, batch_id, rows_hint)
+    written = sink.write_rows(table, text, columns, {"lost_values": lost}, source, batch_id, rows_hint)
+    if on_type_mismatch == "reject" and written.lost_values:
+        entries = text.select(*POSITION, F.explode(F.array(*misfits)).alias("m")).where("m is not null")
+        names = rejects_of(table)
+        sink.prepare(names, REJECT_FIELDS)
+        columns = [F.col(c).cast(t).alias(c) for c, t in zip((*POSITION, "m.column_name", "m.value"), REJECT_FIELDS.values())]
+        renamed = [c.alias(n) for c, n in zip(columns, REJECT_FIELDS, strict=True)]
+        sink.write_rows(names, entries, renamed, {"lost_values": F.lit(0)}, source, batch_id, written.lost_values)
+    return written
+
+
+# Where a value came from, and the columns of a table's rejects.
+POSITION = ("partition", "offset", "pos")
+REJECT_FIELDS = {"partition": "int", "offset": "bigint", "pos": "int", "column_name": "string", "value": "string"}
+
+
+def rejects_of(table: str) -> str:
+    """The table that keeps the text of values which did not fit ``table``."""
+    return f"{table}_rejects"
+
+
+class TableErrors(ValueError):
+    """Tables of a batch that could not be written; all others were."""
+
+    def __init__(self, failed: list[Written]):
+        super().__init__("; ".join(f"table {w.table_name!r}: {w.error}" for w in failed[:20]))
+        self.failed = failed
 
 
 def for_each_table(spark, tables: Iterable[str], write: Callable[[str], Written], writers: int) -> list[Written]:
-    """Write the tables from a few threads; the first error is raised after all have ended."""
+    """Write the tables from a few threads; a table that fails has its error in its report."""
+
+    def attempt(table: str) -> Written:
+        try:
+            return write(table)
+        except Exception as error:  # one table's error does not keep others from being written
+            return Written(table, 0, error=str(error), cause=error)
+
     with ThreadPoolExecutor(max_workers=max(1, writers)) as pool:
-        work = [pool.submit(inheritable_thread_target(spark)(write), table) for table in sorted(tables)]
+        work = [pool.submit(inheritable_thread_target(spark)(attempt), table) for table in sorted(tables)]
     return [done.result() for done in work]
 
 
+def settled(written: list[Written], on_error: str) -> list[Written]:
+    """The reports; failed tables are raised together unless the caller wants them as reports."""
+    failed = [w for w in written if w.error]
+    if failed and on_error == "raise":
+        if len(failed) == 1:
+            raise failed[0].cause
+        raise TableErrors(failed)
+    return written
+
+
 def fan_out(
     rows: DataFrame,
     sink: Sink,
@@ -214,84 +270,92 @@ def fan_out(
     keep_null_rows: bool = True,
     partition_by: Iterable[str] = (),
     zone: str | None = None,
+    on_type_mismatch: str = "cast",
+    on_error: str = "raise",
 ) -> list[Written]:
     """K3: stage, profile, and append every table of a routed batch.
 
     In stream mode a table without keys in this batch is skipped and a NULL
     row of any other table is a row of NULLs (H8). In bulk mode the ingestion
     timestamp is a key of every row, so no table is without keys.
+
+    A table that fails does not keep others from being written. Afterwards its
+    error is raised, or with ``on_error="report"`` left in its report. Values
+    that do not fit a declared type are NULL; ``on_type_mismatch="error"``
+    fails their table, ``"reject"`` also keeps their text, in the table's
+    rejects (see :func:`rejects_of`).
     """
     if mode == "stream":
         rows = rows.withColumn(INGESTION_TIMESTAMP, processing_time())
+    if on_type_mismatch not in ("cast", "error", "reject"):
+        raise ValueError(f"unknown on_type_mismatch {on_type_mismatch!r}")
     staged, release = staged_rows(rows, staging)
+    written: list[Written] = []
     try:
-        profiles = {
-            table: profile
-            for table, profile in collect_profile(staged, limits).items()
-            if profile.columns or (mode == "bulk" and profile.rows)
-        }
-        return for_each_table(
-            sink.spark,
-            profiles,
-            lambda table: write_table(
-                sink, table, staged, profiles[table], mode, source, batch_id, keep_null_rows, partition_by, zone,
-                scattered=staging == "cache",
-            ),
-            limits.writers,
-        )
+        for page in profile_pages(staged, limits):
+            profiles = {t: p for t, p in page.items() if p.columns or (mode == "bulk" and p.rows)}
+            written += for_each_table(
+                sink.spark,
+                profiles,
+                lambda table, of=profiles: write_table(
+                    sink, table, staged, of[table], mode, source, batch_id, keep_null_rows, partition_by, zone,
+                    scattered=staging == "cache", on_type_mismatch=on_type_mismatch,
+                ),
+                limits.writers,
+            )
     finally:
         release()
+    return settled(written, on_error)
 
 
 def write_split_by_filename(
-    df: DataFrame, lake: Lake, source: str = "split", batch_id: int = 0, limits: Limits = Limits(), partition_by=()
+    df: DataFrame, lake: Lake, source: str | None = None, batch_id: int | None = None, limits: Limits = Limits(),
+    partition_by=(), on_error: str = "raise",
 ) -> list[Written]:
     """K2: a flat frame with a ``filename`` column, one append per table.
 
     Files of one table are appended together, so the number of files does not
-    matter, only the number of tables. A NULL file name goes to the default table.
+    matter, only the number of tables, which are taken a page at a time. A NULL
+    file name goes to the default table. Identity is as in ``Lake.append``.
     """
+    identity(source, batch_id)
     named = df.withColumn("table_name", physical_table_name(logical_table_name(F.col("filename"))))
     staged, release = by_table(named, named.schema)
+    written: list[Written] = []
     try:
-        found = staged.groupBy("table_name").count().limit(limits.max_tables + 1).collect()
-        if len(found) > limits.max_tables:
-            raise ValueError(f"more than {limits.max_tables} tables, e.g. {found[-1]['table_name']!r}")
-        counts = {row["table_name"]: row["count"] for row in found}
+        counted = staged.groupBy("table_name").count().orderBy("table_name").toLocalIterator()
         flat = drop_technical(staged, with_filename=True)
-        return for_each_table(
-            lake.spark,
-            counts,
-            lambda table: lake.append(
-                table, flat.where(F.col("table_name") == table).drop("table_name"), source, batch_id, partition_by,
-                rows_hint=counts[table],
-            ),
-            limits.writers,
-        )
+        while page := {row["table_name"]: row["count"] for row in islice(counted, limits.page_tables)}:
+            written += for_each_table(
+                lake.spark,
+                page,
+                lambda table, of=page: lake.append(
+                    table, flat.where(F.col("table_name") == table).drop("table_name"), source, batch_id, partition_by,
+                    rows_hint=of[table],
+                ),
+                limits.writers,
+            )
     finally:
         release()
+    return settled(written, on_error)
 
 
 def write_frame(
     df: DataFrame, lake: Lake, base: str | None = None, table_name: str | None = None,
-    source: str = "batch", batch_id: int = 0, partition_by: Iterable[str] = (),
+    source: str | None = None, batch_id: int | None = None, partition_by: Iterable[str] = (),
 ) -> list[Written]:
-    """A flat frame to where its file names, a table name or a path say.
+    """A flat frame to where its file names, a table name or a directory say.
 
-    A ``filename`` column splits the frame into tables. Otherwise a table name
-    is put below the base path, unless that ends with it already. Without a
-    name the base must be a table directory below the lake root.
+    A ``filename`` column splits the frame into tables; otherwise
+    ``Lake.resolve`` finds the one table that is meant.
     """
     if "filename" in df.columns:
         return write_split_by_filename(df, lake, source, batch_id, partition_by=partition_by)
-    table = None
+    physical = None
     if table_name:
-        table = lake.spark.range(1).select(physical_table_name(F.lit(table_name))).first()[0]
-    target = resolve_write_path(base or lake.root, table, lake.root)
-    parent, _, leaf = target.rstrip("/").rpartition("/")
-    if parent.rstrip("/") != lake.root:
-        raise ValueError(f"{target!r} is no table directory of the lake at {lake.root!r}")
-    return [lake.append(leaf.lower(), drop_technical(df), source, batch_id, partition_by)]
+        physical = lake.spark.range(1).select(physical_table_name(F.lit(table_name))).first()[0]
+    table = lake.resolve(physical, base)
+    return [lake.append(table, drop_technical(df), source, batch_id, partition_by)]
 
 
 def written_frame(spark, reports: Iterable[Written]) -> DataFrame:

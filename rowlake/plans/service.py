@@ -23,5 +23,5 @@ def introspect_evidence(requests: DataFrame, target: Lake | Rdbms) -> DataFrame:
         return evidence.evidence(requests, target)
     tables = requests.select(operation_table_name(F.col("dataset_id"), "rdbms").alias("t")).distinct()
     schema = target.default_schema
-    found = target.columns([(schema, row["t"]) for row in target.bounded(tables)])
+    found = target.columns((schema, name) for name in target.named(tables, "t"))
     return evidence.evidence_rdbms(requests, found, schema)

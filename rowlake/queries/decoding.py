@@ -9,23 +9,30 @@ from rowlake.sources import envelope, messages
 
 
 def bounded_drain(spark, sf_dir):
-    log = fx.logged(spark, fx.orders_messages(spark, sf_dir))
-    ends = messages.offset_bounds(log)
-    committed = ends.select("partition", F.floor(F.col("end_offset") / 4).alias("committed"))
-    left = messages.offset_bounds(log, committed).agg(F.sum(F.col("end_offset") - F.col("start"))).first()[0]
-    drained = messages.bounded_drain(log, max_messages=left // 2, committed=committed)
+    """Half of what waits behind the first quarter, on a log with gaps between its offsets."""
+    gaps = fx.orders_messages(spark, sf_dir).withColumn("offset", F.col("offset") * 3)
+    log = fx.logged(spark, gaps)
+    committed = messages.offset_bounds(log).select("partition", F.floor(F.col("end_offset") / 4).alias("committed"))
+    waiting = messages.bounded_drain(log, committed=committed).count()
+    drained = messages.bounded_drain(log, max_messages=waiting // 2, committed=committed)
     return drained.select("partition", "offset", F.json_array_length(F.get_json_object("value", "$.data")).alias("rows"))
 
 
 BOUNDED_DRAIN = """
 with m as (
-  select ((o_orderkey // 20) % 4)::int as "partition", o_orderkey // 80 as "offset", count(*) as n
+  select ((o_orderkey // 20) % 4)::int as "partition", 3 * (o_orderkey // 80) as "offset", count(*) as n
   from orders group by all),
 e as (select "partition", (max("offset") + 1) // 4 as committed from m group by all),
 open as (
-  select m.*, row_number() over (order by m."partition", m."offset") as r, count(*) over () as total
-  from m join e using ("partition") where "offset" >= committed)
-select "partition", "offset", n::int as rows from open where r <= total // 2
+  select m.*, row_number() over (partition by "partition" order by m."offset") as r,
+    count(*) over (partition by "partition") as waiting
+  from m join e using ("partition") where "offset" >= committed),
+shares as (
+  select "partition", sum(waiting) over () // 2 as most, count(*) over () as parts,
+    row_number() over (order by waiting, "partition") as k
+  from (select distinct "partition", waiting from open))
+select "partition", "offset", n::int as rows from open join shares using ("partition")
+where r <= most // parts + (k <= most % parts)::int
 """
 
 

@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 from rowlake.functions import errors
 from rowlake.operators import evidence as ev
 from rowlake.operators.evolve import apply_operations as carry_out
+from rowlake.plans import service
 from rowlake.plans.fanout import fan_out
 from rowlake.queries import fixtures as fx
 from rowlake.queries.shaping import routed
@@ -223,12 +224,37 @@ _ERRORS = [
 ]
 
 
+def long_request(spark, sf_dir):
+    """A hundred and thirty type changes of one column in one request, then another column."""
+    lake, _ = _part_lake(spark, sf_dir)
+    types = [("int", "string", "bigint", "string", "double", "bigint")[i % 6] for i in range(130)] + ["bigint"]
+    changes = [("CHANGE_TYPE", "part", {"column_name": "p_size", "to_logical_type": t}) for t in types]
+    added = ("ADD_COLUMN", "part", {"column_name": "p_cost", "logical_type": "double"})
+    results = carry_out(requests(spark, *changes, added), lake)
+    statuses = ",".join(sorted({r["status"] for r in results.select("status").distinct().collect()}))
+    return lake.scan("part").select("p_partkey", "p_size", "p_cost").withColumn("statuses", F.lit(statuses))
+
+
+LONG_REQUEST = """
+select p_partkey::int as p_partkey, case when p_partkey % 5 <> 0 then p_size::bigint end as p_size,
+  null::double as p_cost, 'OK' as statuses from part
+"""
+
+
+def dispatch(spark, sf_dir):
+    """One operation per order, answered by the lake through the common entry."""
+    lake = fx.new_lake(spark)
+    lake.append("part", fx.table(spark, sf_dir, "part").select("p_partkey", "p_name"))
+    lake.append("customer", fx.table(spark, sf_dir, "customer").select("c_custkey", "c_name"))
+    return service.apply_operations(operations(spark, sf_dir), lake).drop("error_message")
+
+
 def classify_errors(spark, sf_dir):
     """An error log: one line per document, the error text before the document."""
     prefix = _pick([e[0] for e in _ERRORS], F.col("doc_id"))
     log = fx.table(spark, sf_dir, "documents").select(
         "doc_id",
-        F.concat(prefix, F.lit("["), F.translate("lang", "aeiou", ""), F.lit("]"), F.col("n_chars")).alias("message"),
+        F.concat(prefix, F.lit("["), "lang", F.lit("] "), "text").alias("message"),
         F.when(F.col("doc_id") % 23 == 0, "42P01").alias("state"),
     )
     return log.select("doc_id", errors.error_class(F.col("message"), F.col("state")).alias("error_class"))
@@ -308,6 +334,8 @@ QUERIES = {
     "drop_column": (drop_column, DROP_COLUMN),
     "change_type": (change_type, CHANGE_TYPE),
     "apply_operations": (apply_operations, APPLY_OPERATIONS),
+    "long_request": (long_request, LONG_REQUEST),
+    "dispatch": (dispatch, APPLY_OPERATIONS),
     "evidence_id": (evidence_id, EVIDENCE_ID),
     "classify_errors": (classify_errors, CLASSIFY_ERRORS),
     "introspect": (introspect, INTROSPECT),

@@ -8,7 +8,7 @@ from rowlake import workspace
 from rowlake.plans.bulk import bulk_ingest, committed_offsets, drain_in_steps, log_backlog
 from rowlake.queries import fixtures as fx
 from rowlake.queries.shaping import routed
-from rowlake.plans.fanout import fan_out
+from rowlake.plans.fanout import Limits, fan_out, rejects_of
 from rowlake.sources.messages import replay_stream
 from rowlake.streaming.ingest import drain_then_stream as start_after_drain, stream_ingest as start_stream
 
@@ -25,7 +25,14 @@ def stream_ingest(spark, sf_dir):
 def bulk(spark, sf_dir):
     lake = fx.new_lake(spark)
     log = fx.logged(spark, fx.sales_messages(spark, sf_dir))
-    bulk_ingest(log, lake)
+    bulk_ingest(log, lake, "sales")
+    return fx.sales_content(lake.scan)
+
+
+def bulk_ingest_staged(spark, sf_dir):
+    """The same drain through a written table, as for logs of any size."""
+    lake = fx.new_lake(spark)
+    bulk_ingest(fx.logged(spark, fx.sales_messages(spark, sf_dir)), lake, "sales", staging="table")
     return fx.sales_content(lake.scan)
 
 
@@ -40,8 +47,13 @@ def topic_backlog(spark, sf_dir):
 
 TOPIC_BACKLOG = """
 with m as (select (p_partkey // 20) % 4 as p, p_partkey // 80 as o, count(*) as n from part group by all),
-r as (select *, row_number() over (order by p, o) as r, count(*) over () as total from m)
-select (max(total) - max(total) // 2)::bigint as backlog, (sum(n) filter (r <= total // 2))::bigint as read_back from r
+r as (select *, row_number() over (partition by p order by o) as r, count(*) over (partition by p) as waiting from m),
+shares as (
+  select p, sum(waiting) over () as total, count(*) over () as parts, row_number() over (order by waiting, p) as k
+  from (select distinct p, waiting from r))
+select (max(total) - max(total) // 2)::bigint as backlog,
+  (sum(n) filter (r <= (total // 2) // parts + (k <= (total // 2) % parts)::int))::bigint as read_back
+from r join shares using (p)
 """
 
 
@@ -83,9 +95,67 @@ REPLAY_IDEMPOTENT = """
 select o_orderstatus, 2 * count(*) as rows, count(*) as keys from orders group by 1
 """
 
+def two_streams(spark, sf_dir):
+    """Two streams, each with a checkpoint of its own, into the same tables of one lake."""
+    lake = fx.new_lake(spark)
+    for part in (0, 1):
+        log = fx.orders_messages(spark, sf_dir).where(F.col("partition") % 2 == part)
+        source = replay_stream(spark, fx.written_log(spark, log))
+        start_stream(source, lake, workspace.new_folder(spark, "checkpoint"), drain=True).awaitTermination()
+    return lake.scan("orders").select(*fx.ORDERS)
+
+
+def two_logs(spark, sf_dir):
+    """Two logs with the same offsets, each under its name, into the same table of one lake."""
+    lake = fx.new_lake(spark)
+    log = fx.orders_messages(spark, sf_dir)
+    for name in ("north", "south"):
+        bulk_ingest(fx.logged(spark, log), lake, name, log_name=f"topic {name}")
+    return lake.scan("orders").groupBy("o_orderkey").agg(F.count(F.lit(1)).alias("rows"))
+
+
+def many_tables(spark, sf_dir):
+    """A table per supplier, more of them than a page of the profile holds."""
+    key, fields = F.col("s_suppkey"), {"s_suppkey": "cast(s_suppkey as string)", "s_name": "s_name"}
+    file = F.concat(F.lit("/in/s"), key, F.lit(".csv"))
+    log = fx.table(spark, sf_dir, "supplier").select(
+        (key % 4).cast("int").alias("partition"), key.alias("offset"),
+        fx.envelope(file, fx.sent_at(key), F.array(fx.row_of(fields))).alias("value"),
+    )
+    lake = fx.new_lake(spark)
+    bulk_ingest(fx.logged(spark, log), lake, "suppliers", limits=Limits(page_tables=7), staging="table")
+    stored = spark.read.parquet(f"{lake.root}/*/g0/batch=*")
+    return stored.select("s_suppkey", "s_name").withColumn("tables", F.lit(len(lake.table_names())))
+
+
+def rejects(spark, sf_dir):
+    """Text of a column that was first seen as a date is kept beside the table."""
+    lake = fx.new_lake(spark)
+    fan_out(routed(fx.orders_messages(spark, sf_dir)), lake, "first", 0)
+    words = {"o_orderkey": "cast(o_orderkey as string)", "o_orderdate": "concat('week of ', date_format(o_orderdate, 'yyyy-MM-dd'))"}
+    log = fx.messages(fx.table(spark, sf_dir, "orders"), "o_orderkey", fx.ORDERS_FILE, words)
+    fan_out(routed(log), lake, "second", 0, on_type_mismatch="reject")
+    lost = lake.scan("orders").where("o_orderdate is null").count()
+    return lake.scan(rejects_of("orders")).select("partition", "offset", "pos", "column_name", "value").withColumn("lost", F.lit(lost).cast("bigint"))
+
+
+REJECTS = """
+select ((o_orderkey // 20) % 4)::int as "partition", o_orderkey // 80 as "offset", (o_orderkey % 20)::int as pos,
+  'o_orderdate' as column_name, 'week of ' || strftime(o_orderdate, '%Y-%m-%d') as value, count(*) over () as lost
+from orders
+"""
+
+
 QUERIES = {
     "stream_ingest": (stream_ingest, fx.sales_sql()),
     "bulk_ingest": (bulk, fx.sales_sql()),
+    "bulk_ingest_staged": (bulk_ingest_staged, fx.sales_sql()),
+    "two_streams": (two_streams, fx.select_sql(fx.ORDERS_SQL | {"o_orderdate": "o_orderdate::date"}, "orders")),
+    "two_logs": (two_logs, "select o_orderkey::varchar as o_orderkey, 2::bigint as rows from orders"),
+    "many_tables": (
+        many_tables, "select s_suppkey::varchar as s_suppkey, s_name, (count(*) over ())::int as tables from supplier",
+    ),
+    "rejects": (rejects, REJECTS),
     "topic_backlog": (topic_backlog, TOPIC_BACKLOG),
     "drain_then_stream": (drain_then_stream, fx.sales_sql()),
     "drain_steps": (drain_steps, "select c_custkey::varchar as c_custkey, c_name, 3 as steps from customer"),

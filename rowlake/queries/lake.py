@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from rowlake import workspace
-from rowlake.plans.fanout import fan_out, write_split_by_filename, written_frame
+from rowlake.plans.fanout import fan_out, write_frame, write_split_by_filename, written_frame
 from rowlake.queries import fixtures as fx
 from rowlake.queries.shaping import routed
 from rowlake.sources.lake import store_parquet, write_parquet
@@ -15,8 +15,8 @@ def lake_scan(spark, sf_dir):
     orders = fx.table(spark, sf_dir, "orders").select("o_orderkey", "o_orderstatus", "o_orderpriority")
     late = F.col("o_orderkey") % 2 == 1
     lake = fx.new_lake(spark)
-    lake.append("orders", orders.where(~late), batch_id=0)
-    lake.append("orders", orders.where(late).drop("o_orderpriority"), batch_id=1)
+    lake.append("orders", orders.where(~late), "half", 0)
+    lake.append("orders", orders.where(late).drop("o_orderpriority"), "half", 1)
     return lake.scan("orders")
 
 
@@ -108,7 +108,37 @@ def parquet_overwrite(spark, sf_dir):
     return spark.read.parquet(folder)
 
 
+def append_twice(spark, sf_dir):
+    """Plain appends, without names for their batches: a frame, frames split by file, and after a rewrite."""
+    part = fx.table(spark, sf_dir, "part").select("p_partkey", "p_size")
+    lake = fx.new_lake(spark)
+    sized = lambda low: part.where(F.col("p_size") % 5 == low)
+    lake.append("part", sized(0))
+    write_frame(sized(1), lake, table_name="part")
+    for low in (2, 3):
+        write_split_by_filename(sized(low).withColumn("filename", F.lit("/in/part.csv")), lake)
+    lake.rewrite("part", {"p_partkey": F.col("p_partkey"), "p_size": F.col("p_size").cast("bigint")})
+    lake.append("part", sized(4))
+    return lake.scan("part")
+
+
+def write_path(spark, sf_dir):
+    """Where a frame goes by a name, by a directory, and by both."""
+    nation = fx.table(spark, sf_dir, "nation").select("n_nationkey", "n_name")
+    lake = fx.new_lake(spark)
+    write_frame(nation, lake, table_name="public.Nation-List")
+    write_frame(nation, lake, base=f"{lake.root}/Nation_List")
+    write_frame(nation, lake, base=f"{lake.root}/nation_list", table_name="nation_list")
+    return lake.scan("nation_list").withColumn("tables", F.lit(",".join(lake.table_names())))
+
+
+WRITE_PATH = """
+select n_nationkey, n_name, 'nation_list' as tables from nation, (values (1), (2), (3)) v(i)
+"""
+
 QUERIES = {
+    "append_twice": (append_twice, "select p_partkey, p_size::bigint as p_size from part"),
+    "write_path": (write_path, WRITE_PATH),
     "lake_scan": (lake_scan, LAKE_SCAN),
     "table_exists": (table_exists, TABLE_EXISTS),
     "lake_append": (lake_append, LAKE_APPEND),

@@ -155,19 +155,27 @@ from part, range(2) r(n)
 
 
 def change_type_rdbms(spark, sf_dir):
-    """Text to numbers through a copy of the table; '' becomes NULL."""
+    """Three changes of one table, text to numbers, through one copy of it; '' becomes NULL."""
     db, ns = namespace(spark)
-    part = fx.table(spark, sf_dir, "part").select(
-        "p_partkey", F.when(F.col("p_partkey") % 5 == 0, "").otherwise(fx.text("p_size")).alias("p_size")
-    )
+    text = F.when(F.col("p_partkey") % 5 == 0, "").otherwise(fx.text("p_size"))
+    part = fx.table(spark, sf_dir, "part").select("p_partkey", *[text.alias(c) for c in ("p_size", "p_wide", "p_real")])
     db.append(f"{ns}.part", part)
-    params = {"schema_name": ns, "attribute": "p_size", "to_logical_type": "integer"}
-    results = db.apply_operations(requests(spark, ("CHANGE_TYPE", "part", params)))
-    status = results.first()["status"]
-    return spark.table(db.name(ns, "part")).withColumn("status", F.lit(status))
-
-
-CHANGE_TYPE_RDBMS = "select p_partkey, case when p_partkey % 5 <> 0 then p_size end as p_size, 'OK' as status from part"
+    copies, replace = [], db._replace
+    db._replace = lambda *parts: (copies.append(parts), replace(*parts))
+    types = {"p_size": "integer", "p_wide": "bigint", "p_real": "double"}
+    changes = [
+        ("CHANGE_TYPE", "part", {"schema_name": ns, "attribute": c, "to_logical_type": t}) for c, t in types.items()
+    ]
+    statuses = {r["status"] for r in db.apply_operations(requests(spark, *changes)).collect()}
+    out = spark.table(db.name(ns, "part"))
+    return out.withColumn("status", F.lit(",".join(sorted(statuses)))).withColumn("copies", F.lit(len(copies)))
+
+
+CHANGE_TYPE_RDBMS = """
+select p_partkey, case when p_partkey % 5 <> 0 then p_size end as p_size,
+  case when p_partkey % 5 <> 0 then p_size::bigint end as p_wide, case when p_partkey % 5 <> 0 then p_size::double end as p_real,
+  'OK' as status, 1 as copies from part
+"""
 
 
 def change_type_nullif(spark, sf_dir):

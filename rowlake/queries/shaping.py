@@ -47,6 +47,26 @@ def normalize_rows(spark, sf_dir):
     return shape.normalize_rows(routed(fx.orders_messages(spark, sf_dir)), fx.ORDERS)
 
 
+def wide_rows(spark, sf_dir):
+    """Rows of 63, 64 and 65 keys, one of them named like Spark's column for what it cannot parse."""
+    out = None
+    for n in (63, 64, 65):
+        keys = [f"k{i}" for i in range(n - 1)]
+        pairs = [x for i, k in enumerate(keys) for x in (F.lit(k), (F.col("l_linenumber") + i).cast("string"))]
+        row = F.create_map(*pairs, F.lit("_corrupt_record"), fx.text("l_orderkey"))
+        rows = fx.table(spark, sf_dir, "lineitem").select(row.alias("row"))
+        wide = shape.normalize_rows(rows, [*keys, "_corrupt_record"])
+        wide = wide.select(F.lit(n).alias("keys"), "_corrupt_record", "k0", F.col(keys[-1]).alias("last"))
+        out = wide if out is None else out.union(wide)
+    return out
+
+
+WIDE_ROWS = """
+select n::int as keys, l_orderkey::varchar as _corrupt_record, l_linenumber::varchar as k0, (l_linenumber + n - 2)::varchar as last
+from lineitem, (values (63), (64), (65)) v(n)
+"""
+
+
 def _flat_orders(spark, sf_dir):
     orders = fx.table(spark, sf_dir, "orders")
     return orders.select(
@@ -126,6 +146,7 @@ from orders
 """
 
 QUERIES = {
+    "wide_rows": (wide_rows, WIDE_ROWS),
     "route_by_table": (route_by_table, ROUTE_BY_TABLE),
     "materialized_columns": (materialized_columns, MATERIALIZED_COLUMNS),
     "normalize_rows": (normalize_rows, fx.select_sql(fx.ORDERS_SQL, "orders")),

@@ -3,7 +3,8 @@
     <root>/<table>/schema.json                     declared schema and generation
     <root>/<table>/g<generation>/batch=<source>-<id>/part-*.parquet
 
-An append owns one batch directory and overwrites it, so running a batch again
+An append makes a batch directory of its own. Given a source and a batch id, it
+owns the directory of these and overwrites it, so running such a batch again
 replaces its rows. A rewrite writes the next generation completely and then
 replaces ``schema.json``, which is what readers follow. There is one writer
 per table at a time.
@@ -14,8 +15,10 @@ from __future__ import annotations
 import json
 import math
 import re
+import uuid
 from collections.abc import Mapping
 from dataclasses import asdict, dataclass, field, replace
+from pathlib import PurePosixPath
 
 from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
 
@@ -26,6 +29,8 @@ from rowlake.sources import files
 SCHEMA_FILE = "schema.json"
 RESERVED = "_rowlake"
 BATCH_NAME = re.compile(r"batch=(.*)-(\d+)")
+# Sources of appends without an identity; these are never run again, so a rewrite need not remember them.
+ONCE = "once."
 
 # Fixed value: a small append has one to eight files.
 SMALL_APPEND_FILES = 8
@@ -79,6 +84,19 @@ class Written:
     rows: int
     lost_values: int = 0
     skipped: bool = False
+    error: str | None = None
+    cause: Exception | None = field(default=None, repr=False, compare=False)
+
+
+def identity(source: str | None, batch_id: int | None) -> tuple[str, int]:
+    """What names a batch directory: as given, or never used before."""
+    if (source is None) != (batch_id is None):
+        raise ValueError("a source and a batch id come together or not at all")
+    if source is None:
+        return f"{ONCE}{uuid.uuid4().hex}", 0
+    if source.startswith(ONCE):
+        raise ValueError(f"sources do not begin with {ONCE!r}")
+    return source, batch_id
 
 
 def file_count(rows: int, columns: int) -> int:
@@ -100,9 +118,23 @@ class Lake:
     # -- names and state ---------------------------------------------------
 
     def path(self, table: str) -> str:
-        if not table or table.startswith(RESERVED):
-            raise ValueError(f"{table!r} cannot name a table")
-        return f"{self.root}/{files.safe_segment(table)}"
+        if not table:
+            raise ValueError("a table needs a name")
+        segment = files.safe_segment(table)
+        # The lake keeps its own files below the reserved name.
+        return f"{self.root}/{'%5F' + segment[1:] if segment.startswith(RESERVED) else segment}"
+
+    def resolve(self, table: str | None = None, place: str | None = None) -> str:
+        """The table that a write is for, from its physical name, a directory, or both.
+
+        Tables are the directories directly below the root. The root with a
+        name means the table of that name; without one it holds no rows.
+        """
+        place, root = PurePosixPath(place or self.root), PurePosixPath(self.root)
+        found = table if place == root else place.name.lower() if place.parent == root else None
+        if found is None or table not in (None, found):
+            raise ValueError(f"no table of the lake at {self.root!r}: {place} with the name {table!r}")
+        return found
 
     def state(self, table: str) -> TableState | None:
         text = files.read_text(self.spark, f"{self.path(table)}/{SCHEMA_FILE}")
@@ -216,13 +248,18 @@ class Lake:
         self,
         table: str,
         df: DataFrame,
-        source: str = "batch",
-        batch_id: int = 0,
+        source: str | None = None,
+        batch_id: int | None = None,
         partition_by=(),
         on_type_mismatch: str = "cast",
         rows_hint: int | None = None,
     ) -> Written:
-        """K1: append by name under the declared schema; no schema merge."""
+        """K1: append by name under the declared schema; no schema merge.
+
+        Each call adds its rows. With a source and a batch id, which come
+        together, a second call with the same two replaces the rows of the first.
+        """
+        identity(source, batch_id)
         state = self.ensure(table, dict(df.dtypes), partition_by)
         columns, lost = self.align(table, df, state.fields, on_type_mismatch)
         return self.write_batch(
@@ -241,7 +278,8 @@ class Lake:
 
     def write_batch(self, table, state, df, columns, metrics, source, batch_id, rows_hint=None) -> Written:
         """Write ``df.select(columns)`` as one batch directory; count in the same job."""
-        if batch_id <= state.merged.get(source, -1):
+        source, batch_id = identity(source, batch_id)
+        if batch_id <= state.merged.get(files.safe_segment(source), -1):
             return Written(table, 0, skipped=True)
         observed = observation("append")
         out = df.observe(
@@ -266,16 +304,19 @@ class Lake:
         gone = [name for name in state.fields if name not in fields]
         self.store(table, replace(state, fields=dict(fields), dropped=sorted({*state.dropped, *gone})))
 
-    def rewrite(self, table: str, columns: Mapping[str, F.Column]) -> None:
+    def rewrite(self, table: str, columns: Mapping[str, F.Column], purge: bool = False) -> None:
         """Write the next generation as a projection of the table, then switch to it.
 
         The projection needs no shuffle. Batches merged here are remembered,
-        so that running one of them again does not add its rows twice.
+        so that running one of them again does not add its rows twice. Older
+        generations stay for readers that have begun, until a purge or :meth:`vacuum`.
         """
         state = self.required(table)
         merged = dict(state.merged)
         for name in self._batches(table, state):
             source, batch_id = BATCH_NAME.fullmatch(name).groups()
+            if source.startswith(ONCE):
+                continue
             merged[source] = max(merged.get(source, -1), int(batch_id))
         current = self.scan(table)
         out = current.select(*[column.alias(name) for name, column in columns.items()])
@@ -286,17 +327,28 @@ class Lake:
         writer = out.write.mode("overwrite")
         if kept:
             writer = writer.partitionBy(*kept)
-        writer.parquet(f"{self.path(table)}/g{generation}/batch=rewrite-{generation}")
+        writer.parquet(f"{self.path(table)}/g{generation}/batch={ONCE}rewrite-{generation}")
         state = TableState(fields, generation, [], merged, kept)
         self._verify(table, state)
         self.store(table, state)
+        if purge:
+            self.vacuum(table)
+
+    def vacuum(self, table: str) -> list[str]:
+        """Remove the generations that ``schema.json`` has left behind."""
+        kept = f"g{self.required(table).generation}"
+        gone = [n for n in files.names(self.spark, self.path(table)) if re.fullmatch(r"g\d+", n) and n != kept]
+        for name in gone:
+            files.delete(self.spark, f"{self.path(table)}/{name}")
+        return gone
 
     def _verify(self, table: str, state: TableState) -> None:
         """E5: the files of a generation hold the declared types."""
-        if not self._batches(table, state) or state.partition_by:
+        if not self._batches(table, state):
             return
-        stored = dict(self.spark.read.parquet(f"{self.path(table)}/g{state.generation}/batch=*").dtypes)
-        wrong = {n: t for n, t in state.fields.items() if stored.get(n) != t}
+        # Values of partition columns are in the names of directories, so only the files are asked.
+        stored = dict(self.spark.read.option("recursiveFileLookup", "true").parquet(f"{self.path(table)}/g{state.generation}").dtypes)
+        wrong = {n: t for n, t in state.fields.items() if n not in state.partition_by and stored.get(n) != t}
         if wrong:
             raise RuntimeError(f"rewrite of {table!r} did not produce {wrong}, got {stored}")
 

@@ -5,7 +5,7 @@ from __future__ import annotations
 import json
 from collections.abc import Mapping
 
-from pyspark.sql import DataFrame, SparkSession, functions as F
+from pyspark.sql import DataFrame, SparkSession, Window, functions as F
 
 MESSAGE_SCHEMA = "partition int, offset bigint, value string"
 
@@ -67,10 +67,19 @@ def replay_batch(spark: SparkSession, path: str) -> DataFrame:
 
 
 def offset_bounds(messages: DataFrame, committed: DataFrame | None = None) -> DataFrame:
-    """(partition, start, end_offset) of what is not consumed yet; ``start`` inclusive."""
+    """(partition, start, end_offset) of what is not consumed yet; ``start`` inclusive.
+
+    One aggregate over a log. A source that knows its ends, as a broker does,
+    gives them to :func:`open_bounds` instead.
+    """
     bounds = messages.groupBy("partition").agg(
         F.min("offset").alias("first_offset"), (F.max("offset") + 1).alias("end_offset")
     )
+    return open_bounds(bounds, committed)
+
+
+def open_bounds(bounds: DataFrame, committed: DataFrame | None = None) -> DataFrame:
+    """(partition, first_offset, end_offset) of a source, from the committed offsets on."""
     if committed is None:
         return bounds.select("partition", F.col("first_offset").alias("start"), "end_offset")
     return bounds.join(committed, "partition", "left").select(
@@ -80,30 +89,52 @@ def offset_bounds(messages: DataFrame, committed: DataFrame | None = None) -> Da
     )
 
 
-def drain_ranges(bounds: DataFrame, max_messages: int | None = None) -> dict[int, tuple[int, int]]:
+def shares(buffered: Mapping[int, int], most: int) -> dict[int, int]:
+    """How many messages each partition gives to a drain of ``most``: as even as their numbers allow."""
+    out: dict[int, int] = {}
+    left, open_ = most, len(buffered)
+    for partition, n in sorted(buffered.items(), key=lambda item: (item[1], item[0])):
+        out[partition] = min(n, -(-left // open_))
+        left, open_ = left - out[partition], open_ - 1
+    return out
+
+
+def drain_ranges(
+    bounds: DataFrame, max_messages: int | None = None, messages: DataFrame | None = None
+) -> dict[int, tuple[int, int]]:
     """The offset range to read from each partition, at most ``max_messages`` in all.
 
     One row per partition of the topic reaches the driver, as in any Kafka
-    client. The cap is used up in partition order, so a drain is repeatable.
+    client. The cap counts messages, not offsets, and is shared by the
+    partitions, so a step reads from all of them; for that the log itself is
+    asked where the last message of each share is. Without the log, as on a
+    broker, offsets stand for messages.
     """
-    ranges: dict[int, tuple[int, int]] = {}
-    left = max_messages
-    for row in sorted(bounds.where("end_offset > start").collect(), key=lambda r: r["partition"]):
-        end = row["end_offset"] if left is None else min(row["end_offset"], row["start"] + left)
-        if end > row["start"]:
-            ranges[row["partition"]] = (row["start"], end)
-        if left is not None:
-            left -= end - row["start"]
-    return ranges
+    ranges = {r["partition"]: (r["start"], r["end_offset"]) for r in bounds.where("end_offset > start").collect()}
+    if max_messages is None or not ranges:
+        return ranges
+    if messages is None:
+        buffered = {p: end - start for p, (start, end) in ranges.items()}
+        return {p: (ranges[p][0], ranges[p][0] + n) for p, n in shares(buffered, max_messages).items() if n}
+    waiting = within_ranges(messages, ranges).select("partition", "offset")
+    counts = {r["partition"]: r["count"] for r in waiting.groupBy("partition").count().collect()}
+    wanted = {p: n for p, n in shares(counts, max_messages).items() if n}
+    # The n-th offset of each partition; Spark keeps no more than the largest share of each before the shuffle.
+    place = F.row_number().over(Window.partitionBy("partition").orderBy("offset"))
+    ranked = waiting.withColumn("n", place).where(F.col("n") <= max(wanted.values(), default=0))
+    share = F.create_map(*[F.lit(x) for pair in wanted.items() for x in pair]) if wanted else F.lit(None)
+    last = ranked.where(F.col("n") == share[F.col("partition")]).collect() if wanted else []
+    return {r["partition"]: (ranges[r["partition"]][0], r["offset"] + 1) for r in last}
 
 
 def within_ranges(messages: DataFrame, ranges: Mapping[int, tuple[int, int]]) -> DataFrame:
-    """Messages inside the offset ranges; the predicate reaches the scan."""
+    """Messages inside the offset ranges; partitions of one range share a test, which reaches the scan."""
+    alike: dict[tuple[int, int], list[int]] = {}
+    for partition, span in ranges.items():
+        alike.setdefault(span, []).append(partition)
     keep = F.lit(False)
-    for partition, (start, end) in ranges.items():
-        keep = keep | (
-            (F.col("partition") == partition) & (F.col("offset") >= start) & (F.col("offset") < end)
-        )
+    for (start, end), partitions in alike.items():
+        keep = keep | (F.col("partition").isin(partitions) & (F.col("offset") >= start) & (F.col("offset") < end))
     return messages.where(keep)
 
 
@@ -111,4 +142,4 @@ def bounded_drain(
     messages: DataFrame, max_messages: int | None = None, committed: DataFrame | None = None
 ) -> DataFrame:
     """The messages that are buffered now, from the committed offsets on."""
-    return within_ranges(messages, drain_ranges(offset_bounds(messages, committed), max_messages))
+    return within_ranges(messages, drain_ranges(offset_bounds(messages, committed), max_messages, messages))

@@ -8,8 +8,9 @@ catalog; any other Spark catalog works as well.
 from __future__ import annotations
 
 import uuid
-from collections.abc import Iterable, Mapping
+from collections.abc import Iterable, Iterator, Mapping
 
+from pyspark import StorageLevel
 from pyspark.errors import PySparkException
 from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
 
@@ -18,16 +19,16 @@ from rowlake.functions.labels import RDBMS_NUMERIC, SPARK_OF_RDBMS, rdbms_ddl_na
 from rowlake.functions.naming import physical_table_name
 from rowlake.metrics import observation, taken
 from rowlake.operators.evolve import (
-    ADD,
     CODES,
     DEFAULT_SCHEMA,
-    DROP,
     OK,
     PERMANENT_ERROR,
     RESULT_COLUMNS,
     TRANSIENT_ERROR,
-    block_size,
+    ColumnChange,
     classify_operations,
+    column_changes,
+    held,
     requested_columns,
 )
 from rowlake.operators.shape import drop_technical, quoted
@@ -44,9 +45,6 @@ IN_PLACE_REFUSED = (
     "NOT_SUPPORTED_CHANGE_COLUMN",
 )
 
-# Operations of one request that reach the driver as statements.
-MAX_STATEMENTS = 10_000
-
 
 def register_jdbc_catalog(
     spark: SparkSession, name: str, url: str, driver: str, batch: int = APPEND_BATCH, writers: int = 8, **options: str
@@ -90,19 +88,41 @@ def ddl_types(df: DataFrame, style: str = "spark") -> dict[str, str]:
 def change_type_value(value, rdbms_type: str, mode: str = "strict"):
     """The value under its new type; '' is NULL for numbers.
 
-    ``strict`` fails on text that does not fit, as the database does;
-    ``lenient`` makes it NULL.
+    ``strict`` fails on a value that does not fit, as the database does,
+    whatever the session says about ANSI casts; ``lenient`` makes it NULL.
     """
     source = F.nullif(value.cast("string"), F.lit("")) if rdbms_type in RDBMS_NUMERIC else value
-    target = SPARK_OF_RDBMS.get(rdbms_type, "string")
-    return source.try_cast(target) if mode == "lenient" else source.cast(target)
+    typed = source.try_cast(SPARK_OF_RDBMS.get(rdbms_type, "string"))
+    if mode == "lenient":
+        return typed
+    refusal = F.concat(F.lit(f"invalid input for type {rdbms_type}: "), source.cast("string"))
+    return F.when(source.isNotNull() & typed.isNull(), F.raise_error(refusal)).otherwise(typed)
+
+
+def sql_name(*parts: str) -> str:
+    """A name as the database itself quotes it."""
+    return ".".join('"' + part.replace('"', '""') + '"' for part in parts)
+
+
+def type_change_statement(schema: str, table: str, column: str, rdbms_type: str) -> str:
+    """E6 as one statement of the database, which converts in place: text for a client of its own to send."""
+    name = sql_name(column)
+    value = f"NULLIF({name}::text, '')" if rdbms_type in RDBMS_NUMERIC else name
+    return f"ALTER TABLE {sql_name(schema, table)} ALTER COLUMN {name} TYPE {rdbms_type} USING {value}::{rdbms_type}"
+
+
+def create_statement(schema: str, table: str, frame: DataFrame, style: str = "spark") -> str:
+    """K7 as the statement of the database, with the column types of T11 or T12."""
+    columns = ", ".join(f"{sql_name(n)} {t}" for n, t in ddl_types(frame, style).items())
+    return f"CREATE TABLE IF NOT EXISTS {sql_name(schema, table)} ({columns})"
 
 
 class Rdbms:
     """The tables of one Spark catalog."""
 
-    def __init__(self, spark: SparkSession, catalog: str, default_schema: str = DEFAULT_SCHEMA):
+    def __init__(self, spark: SparkSession, catalog: str, default_schema: str = DEFAULT_SCHEMA, readers: int = 64):
         self.spark = spark
+        self.readers = readers
         self.catalog = catalog
         self.default_schema = default_schema
 
@@ -164,11 +184,16 @@ class Rdbms:
     def bulk_insert(self, table: str, df: DataFrame, drop_columns: Iterable[str] = ()) -> Written:
         """K8: drop columns, stamp the insertion time, create if missing; an empty frame does nothing."""
         frame = df.drop(*drop_columns)
-        if frame.isEmpty():
+        if not frame.columns:
             return Written(table, 0)
         if INSERTION_TIMESTAMP not in frame.columns:
             frame = frame.withColumn(INSERTION_TIMESTAMP, F.current_timestamp())
-        return self.append(table, frame)
+        # The input may be costly or differ between runs, so it is evaluated once.
+        held = frame.persist(StorageLevel.MEMORY_AND_DISK)
+        try:
+            return Written(table, 0) if held.isEmpty() else self.append(table, held)
+        finally:
+            held.unpersist()
 
     # -- schema changes ----------------------------------------------------
 
@@ -179,17 +204,54 @@ class Rdbms:
 
     def drop_column(self, schema: str, table: str, column: str) -> None:
         """By the database where it can, else through a copy."""
-        name = self.name(schema, table)
-        if not self._altered(f"ALTER TABLE {name} DROP COLUMN {identifier(column)}"):
-            self._replace(schema, table, self.spark.table(name).drop(column))
+        self.change(schema, table, [ColumnChange(column.lower(), column, None, None, False, ())])
 
     def change_type(self, schema: str, table: str, column: str, rdbms_type: str, mode: str = "strict") -> None:
         """By the database where it can, else through a copy."""
-        dtype = SPARK_OF_RDBMS.get(rdbms_type, "string")
+        self.change(schema, table, [ColumnChange(column.lower(), column, column, rdbms_type, False, (rdbms_type,))], mode)
+
+    def change(self, schema: str, table: str, changes: Iterable[ColumnChange], mode: str = "strict") -> None:
+        """The folded changes of one table.
+
+        What the catalog can alter is altered; all the rest is one projection
+        and so one copy of the table.
+        """
+        name, values = self.name(schema, table), {}
+        fresh = []
+        for change in changes:
+            old = change.first_name
+            if old is not None and (change.fresh or change.name is None):
+                if not self._altered(f"ALTER TABLE {name} DROP COLUMN {identifier(old)}"):
+                    values[old] = None
+            if change.fresh:
+                fresh.append((change.name, change.dtype))
+            elif change.name is not None:
+                values_now = quoted(old)
+                in_place = len(change.casts) == 1 and self._altered(
+                    f"ALTER TABLE {name} ALTER COLUMN {identifier(old)} TYPE {SPARK_OF_RDBMS.get(change.dtype, 'string')}"
+                )
+                if not in_place:
+                    for dtype in change.casts:
+                        values_now = change_type_value(values_now, dtype, mode)
+                    values[old] = values_now
+        if values:
+            stored = self.read(schema, table)
+            columns = [values.get(c, quoted(c)) for c in stored.columns]
+            self._replace(schema, table, stored.select(*[v.alias(c) for v, c in zip(columns, stored.columns) if v is not None]))
+        for column, rdbms_type in fresh:
+            self.add_column(schema, table, column, rdbms_type)
+
+    def read(self, schema: str, table: str) -> DataFrame:
+        """The whole table, in parts: a JDBC scan is cut along its first integer column, others ignore that."""
         name = self.name(schema, table)
-        if not self._altered(f"ALTER TABLE {name} ALTER COLUMN {identifier(column)} TYPE {dtype}"):
-            value = change_type_value(quoted(column), rdbms_type, mode)
-            self._replace(schema, table, self.spark.table(name).withColumn(column, value))
+        numbers = [f.name for f in self.schema(schema, table).fields if isinstance(f.dataType, (T.IntegerType, T.LongType))]
+        if not numbers or not self.spark.conf.get(f"spark.sql.catalog.{self.catalog}.url", None):
+            return self.spark.table(name)
+        low, high = self.spark.table(name).agg(F.min(quoted(numbers[0])), F.max(quoted(numbers[0]))).first()
+        if low is None:
+            return self.spark.table(name)
+        bounds = {"partitionColumn": numbers[0], "lowerBound": low, "upperBound": high + 1, "numPartitions": self.readers}
+        return self.spark.read.options(**bounds).table(name)
 
     def _altered(self, statement: str) -> bool:
         """Run a change that some catalogs refuse to do in place."""
@@ -202,7 +264,11 @@ class Rdbms:
             raise
 
     def _replace(self, schema: str, table: str, frame: DataFrame) -> None:
-        """Write a copy of a table and let it take the table's name."""
+        """Write a copy of a table and let it take the table's name.
+
+        Keys, indexes, defaults, grants and NOT NULL are not copied. If the
+        second renaming fails the table has its old name again.
+        """
         name = self.name(schema, table)
         copy, old = (f"{table[:20]}_{tag}_{uuid.uuid4().hex[:12]}" for tag in ("new", "old"))
         rows = insertable(frame)
@@ -213,43 +279,33 @@ class Rdbms:
             self.spark.sql(f"DROP TABLE {self.name(schema, copy)}")
             raise
         self.spark.sql(f"ALTER TABLE {name} RENAME TO {identifier(schema, old)}")
-        self.spark.sql(f"ALTER TABLE {self.name(schema, copy)} RENAME TO {identifier(schema, table)}")
+        try:
+            self.spark.sql(f"ALTER TABLE {self.name(schema, copy)} RENAME TO {identifier(schema, table)}")
+        except Exception:
+            self.spark.sql(f"ALTER TABLE {self.name(schema, old)} RENAME TO {identifier(schema, table)}")
+            raise
         self.spark.sql(f"DROP TABLE {self.name(schema, old)}")
 
     def apply_operations(self, ops: DataFrame, mode: str = "strict") -> DataFrame:
-        """E8 on the RDBMS: classify against the catalog, then run one statement per operation."""
-        targets = self._targets(ops)
-        classified = classify_operations(
-            ops, self.columns(targets), "rdbms", block=block_size(ops), default_schema=self.default_schema
+        """E8 on the RDBMS: classify against the catalog, then carry out the folded changes of each table."""
+        keys = requested_columns(ops, "rdbms", default_schema=self.default_schema).select("table_key")
+        targets = self.named(keys.where("table_key IS NOT NULL").distinct(), "table_key")
+        # Held, because the catalog it was read from is about to change.
+        classified = held(
+            classify_operations(ops, self.columns(tuple(t.split(".", 1)) for t in targets), "rdbms", default_schema=self.default_schema)
         )
-        done = classified.where(F.col("status") == OK).select("seq", "kind", "table_key", "column", "new_type")
-        todo = sorted(self.bounded(done), key=lambda r: r["seq"])
-        # The verdicts refer to the catalog as it was, which is held in the plan, not read again.
         failures = []
-        for op in todo:
-            schema, table = op["table_key"].split(".", 1)
+        for key, changes in sorted(column_changes(classified).items()):
+            schema, table = key.split(".", 1)
             try:
-                if op["kind"] == ADD:
-                    self.add_column(schema, table, op["column"], op["new_type"])
-                elif op["kind"] == DROP:
-                    self.drop_column(schema, table, op["column"])
-                else:
-                    self.change_type(schema, table, op["column"], op["new_type"], mode)
-            except Exception as error:  # reported per operation below
-                failures.append((op["seq"], str(error)))
+                self.change(schema, table, sorted(changes, key=lambda c: c.key), mode)
+            except Exception as error:  # reported for the operations of the table below
+                failures.append((key, str(error)))
         return rdbms_report(classified, failures)
 
-    def _targets(self, ops: DataFrame) -> list[tuple[str, str]]:
-        """The distinct tables a request names."""
-        keys = requested_columns(ops, "rdbms", default_schema=self.default_schema).select("table_key").where("table_key IS NOT NULL").distinct()
-        return [tuple(row["table_key"].split(".", 1)) for row in self.bounded(keys)]
-
-    def bounded(self, names: DataFrame) -> list:
-        """What a request asks of the database; too much is an error."""
-        found = names.limit(MAX_STATEMENTS + 1).collect()
-        if len(found) > MAX_STATEMENTS:
-            raise ValueError(f"more than {MAX_STATEMENTS} tables or statements in one request")
-        return found
+    def named(self, names: DataFrame, column: str) -> Iterator[str]:
+        """The names a request asks of the database, read a partition at a time."""
+        return (row[column] for row in names.toLocalIterator())
 
 
 class RdbmsSink:
@@ -290,22 +346,22 @@ def rdbms_report(classified: DataFrame, failures: list[tuple[int, str]]) -> Data
     """Results, with failed statements classed as passing or permanent."""
     if not failures:
         return classified.select(*RESULT_COLUMNS)
-    failed = classified.sparkSession.createDataFrame(failures, "seq bigint, failure string")
+    failed = classified.sparkSession.createDataFrame(failures, "table_key string, failure string")
     codes = CODES["rdbms"]
 
     def code(of: dict[str, str]):
         return F.create_map(*[F.lit(x) for pair in of.items() for x in pair])[F.col("kind")]
 
-    hit = F.col("failure").isNotNull()
+    hit = F.col("failure").isNotNull() & (F.col("status") == OK)
     passing = (error_class(F.col("failure")) != "permanent") & code(codes["transient"]).isNotNull()
     return (
-        classified.join(failed, "seq", "left")
+        classified.join(failed, "table_key", "left")
         .withColumns(
             {
                 "error_code": F.when(hit & passing, code(codes["transient"]))
                 .when(hit, code(codes["failed"]))
                 .otherwise(F.col("error_code")),
-                "error_message": F.coalesce("failure", "error_message"),
+                "error_message": F.when(hit, F.col("failure")).otherwise(F.col("error_message")),
                 "status": F.when(hit & passing, TRANSIENT_ERROR).when(hit, PERMANENT_ERROR).otherwise(F.col("status")),
             }
         )

@@ -6,11 +6,20 @@ from pyspark.sql import functions as F
 from rowlake import workspace
 from rowlake.operators.shape import route_physical
 from rowlake.plans import bulk
-from rowlake.plans.fanout import Limits, collect_profile, fan_out, staged_rows, write_frame, write_split_by_filename
+from rowlake.plans.fanout import (
+    Limits,
+    TableErrors,
+    fan_out,
+    profile_pages,
+    rejects_of,
+    staged_rows,
+    write_frame,
+    write_split_by_filename,
+)
 from rowlake.queries import fixtures as fx
 from rowlake.sources.envelope import decode_envelope
 from rowlake.sources.lake import Lake, SchemaMismatch
-from rowlake.sources.messages import MESSAGE_SCHEMA, replay_stream
+from rowlake.sources.messages import MESSAGE_SCHEMA, drain_ranges, open_bounds, replay_stream, shares
 from rowlake.streaming.ingest import keep_streaming, process_batch, stream_ingest
 
 
@@ -46,7 +55,7 @@ def test_null_rows_and_keyless_tables(spark, lake):
 
 def test_bulk_counts_and_keeps_keyless_rows(spark, lake):
     batch = log(spark, envelope("a.csv", {"k": "1"}, None), envelope("empty.csv", {}), "garbage", {"filename": "a.csv"})
-    drained = bulk.bulk_ingest(batch, lake)
+    drained = bulk.bulk_ingest(batch, lake, "bulk")
     assert (drained.messages, drained.malformed) == (4, 1)
     assert {w.table_name: w.rows for w in drained.tables} == {"a": 2, "empty": 1}
     stamp = F.unix_timestamp("ingestion_timestamp")
@@ -56,7 +65,7 @@ def test_bulk_counts_and_keeps_keyless_rows(spark, lake):
 @pytest.mark.parametrize("staging", ["cache", "table", "local"])
 def test_stagings_agree(spark, sf_dir, staging):
     lake = fx.new_lake(spark)
-    drained = bulk.bulk_ingest(fx.logged(spark, fx.sales_messages(spark, sf_dir)), lake, staging=staging)
+    drained = bulk.bulk_ingest(fx.logged(spark, fx.sales_messages(spark, sf_dir)), lake, "bulk", staging=staging)
     expected = {"orders": "orders", "customer": "customer", "line_item": "lineitem"}
     for written in drained.tables:
         assert written.rows == fx.table(spark, sf_dir, expected[written.table_name]).count()
@@ -70,7 +79,7 @@ def test_staged_copy_is_removed(spark, lake):
 
     folder = workspace.shared_folder(spark) + "/rowlake"
     before = set(files.names(spark, folder))
-    bulk.bulk_ingest(log(spark, envelope("a.csv", {"k": "1"})), lake, staging="table")
+    bulk.bulk_ingest(log(spark, envelope("a.csv", {"k": "1"})), lake, "bulk", staging="table")
     assert not [n for n in set(files.names(spark, folder)) - before if n.startswith("staged")]
 
 
@@ -83,7 +92,7 @@ def test_stream_is_batch(spark, sf_dir):
         on_batch=lambda i, written: batches.append(i),
     ).awaitTermination()
     assert len(batches) >= 3
-    bulk.bulk_ingest(spark.read.parquet(path), drained)
+    bulk.bulk_ingest(spark.read.parquet(path), drained, "bulk")
     left, right = fx.sales_content(streamed.scan), fx.sales_content(drained.scan)
     assert left.exceptAll(right).isEmpty() and right.exceptAll(left).isEmpty()
 
@@ -91,7 +100,7 @@ def test_stream_is_batch(spark, sf_dir):
 def test_replayed_batch(spark, lake):
     batch = log(spark, envelope("a.csv", {"k": "1"}, {"k": "2"}))
     for batch_id in (0, 0, 1, 0):
-        process_batch(decode_envelope(batch), batch_id, lake)
+        process_batch(decode_envelope(batch), batch_id, lake, "s")
     assert len(content(lake, "a", "k")) == 4
 
 
@@ -104,11 +113,11 @@ def test_failed_drain_is_run_again(spark, lake, monkeypatch):
 
     monkeypatch.setattr(bulk, "commit_offsets", fail)
     with pytest.raises(OSError):
-        bulk.bulk_ingest(batch, lake)
+        bulk.bulk_ingest(batch, lake, "bulk")
     monkeypatch.setattr(bulk, "commit_offsets", commit)
-    bulk.bulk_ingest(batch, lake)
+    bulk.bulk_ingest(batch, lake, "bulk")
     assert content(lake, "a", "k") == [("1",)] and content(lake, "b", "k") == [("2",)]
-    assert bulk.bulk_ingest(batch, lake).ranges == {}
+    assert bulk.bulk_ingest(batch, lake, "bulk").ranges == {}
     assert bulk.log_backlog(batch, bulk.committed_offsets(lake, "bulk")).first()[0] == 0
 
 
@@ -119,6 +128,18 @@ def test_drain_in_steps(spark, lake):
     assert len(content(lake, "a", "k")) == 7
 
 
+def test_steps_read_from_all_partitions_and_count_messages(spark, lake):
+    numbers = [(p, 100 * o, json.dumps(envelope("a.csv", {"k": f"{p}-{o}"}))) for p, n in ((0, 2), (1, 5), (2, 9)) for o in range(n)]
+    messages = spark.createDataFrame(numbers, MESSAGE_SCHEMA)
+    done = bulk.drain_in_steps(messages, lake, "steps", 7)
+    assert [d.messages for d in done] == [7, 7, 2]
+    assert done[0].ranges == {0: (0, 101), 1: (0, 201), 2: (0, 101)}
+    assert len(set(content(lake, "a", "k"))) == 16
+    assert shares({0: 1, 1: 9, 2: 3}, 9) == {0: 1, 2: 3, 1: 5} and shares({}, 4) == {}
+    ends = spark.createDataFrame([(0, 0, 300), (1, 0, 5)], "partition int, first_offset long, end_offset long")
+    assert drain_ranges(open_bounds(ends), 8) == {0: (0, 4), 1: (0, 4)}
+
+
 def test_backlog(spark):
     ends = spark.createDataFrame([(0, 10), (1, 5), (2, 7)], "partition int, end_offset bigint")
     committed = spark.createDataFrame([(0, 10), (1, None)], "partition int, committed bigint")
@@ -153,17 +174,90 @@ def test_case_collision_names_both_keys(spark, lake):
 
 
 def test_row_key_named_like_the_stamp(spark, lake):
-    bulk.bulk_ingest(log(spark, envelope("a.csv", {"k": "1", "ingestion_timestamp": "never", "filename": "x"})), lake)
+    bulk.bulk_ingest(log(spark, envelope("a.csv", {"k": "1", "ingestion_timestamp": "never", "filename": "x"})), lake, "bulk")
     assert lake.scan("a").columns == ["k", "ingestion_timestamp"]
 
 
-def test_limits(spark):
-    batch = log(spark, envelope("a.csv", {"k": "1", "l": "2"}), envelope("b.csv", {"k": "1"}))
+def test_pages_of_the_profile(spark, lake):
+    batch = log(spark, *[envelope(f"t{i}.csv", {"k": "1", f"l{i}": "2"}) for i in range(5)], envelope("t0.csv", {"m": "3"}))
     staged, release = staged_rows(routed(batch), "cache")
-    for limits in (Limits(max_tables=1), Limits(max_columns=1), Limits(max_names=1)):
-        with pytest.raises(ValueError, match="more than 1"):
-            collect_profile(staged, limits)
+    pages = list(profile_pages(staged, Limits(page_tables=2)))
     release()
+    assert [sorted(p) for p in pages] == [["t0", "t1"], ["t2", "t3"], ["t4"]]
+    assert sorted(pages[0]["t0"].columns) == ["k", "l0", "m"] and pages[0]["t0"].rows == 2
+
+
+@pytest.mark.parametrize("staging", ["cache", "table"])
+def test_more_tables_than_a_page(spark, lake, staging):
+    batch = log(spark, *[envelope(f"/in/t{i}.csv", {"k": str(i)}) for i in range(41)])
+    written = bulk.bulk_ingest(batch, lake, "many", limits=Limits(page_tables=7), staging=staging).tables
+    assert len(written) == 41 and len(lake.table_names()) == 41
+    stored = spark.read.parquet(f"{lake.root}/*/g0/batch=*")
+    assert sorted(int(r.k) for r in stored.collect()) == list(range(41))
+
+
+def test_a_thousand_and_one_tables(spark, lake):
+    rows = spark.range(1001).select("id", F.concat(F.lit("/in/t"), "id", F.lit(".csv")).alias("filename"))
+    written = write_split_by_filename(rows, lake, limits=Limits(page_tables=300))
+    assert len(written) == 1001 and sum(w.rows for w in written) == 1001
+
+
+def test_one_bad_table_does_not_stop_others(spark, lake):
+    lake.append("b", spark.createDataFrame([("x",)], "other string"))
+    lake.append("d", spark.createDataFrame([("x",)], "other string"))
+    batch = log(spark, *[envelope(f"{t}.csv", {"k": t}) for t in "abcd"])
+    with pytest.raises(TableErrors) as raised:
+        fan_out(routed(batch), lake, "s", 0)
+    assert [w.table_name for w in raised.value.failed] == ["b", "d"]
+    assert content(lake, "a", "k") == [("a",)] and content(lake, "c", "k") == [("c",)]
+    reports = fan_out(routed(batch), lake, "s", 0, on_error="report")
+    assert [(w.table_name, bool(w.error)) for w in reports] == [("a", False), ("b", True), ("c", False), ("d", True)]
+
+
+def test_plain_appends_add_rows(spark, lake):
+    frame = spark.createDataFrame([(1,)], "id int")
+    for _ in range(2):
+        lake.append("t", frame)
+        write_split_by_filename(frame.selectExpr("id", "'t.csv' as filename"), lake)
+        write_frame(frame, lake, table_name="t")
+    lake.rewrite("t", {"id": F.col("id")})
+    lake.append("t", frame)
+    assert content(lake, "t", "id") == [(1,)] * 7
+    for identity in ({"source": "s"}, {"batch_id": 1}):
+        with pytest.raises(ValueError, match="together"):
+            lake.append("t", frame, **identity)
+
+
+def test_streams_and_logs_do_not_meet(spark, lake):
+    for value in ("1", "2"):
+        path = fx.written_log(spark, log(spark, envelope("a.csv", {"k": value}), "garbage"))
+        seen = stream_ingest(replay_stream(spark, path), lake, workspace.new_folder(spark, "checkpoint"), drain=True)
+        seen.awaitTermination()
+        assert seen.lastProgress["observedMetrics"]["envelopes"].asDict() == {"messages": 2, "malformed": 1}
+    assert content(lake, "a", "k") == [("1",), ("2",)]
+    for name in ("x", "y"):
+        bulk.bulk_ingest(log(spark, envelope("b.csv", {"k": name})), lake, name, log_name=name)
+    assert content(lake, "b", "k") == [("x",), ("y",)]
+    with pytest.raises(ValueError, match="is the log 'x'"):
+        bulk.bulk_ingest(log(spark, envelope("b.csv", {"k": "z"})), lake, "x", log_name="z")
+
+
+def test_rejects_keep_the_text(spark, lake):
+    fan_out(routed(log(spark, envelope("a.csv", {"d": "2024-01-01", "e": "2024-01-01"}))), lake, "s", 0)
+    odd = routed(log(spark, envelope("a.csv", {"d": "soon", "e": "2024-02-02"}, {"d": "x", "e": "y"})))
+    with pytest.raises(SchemaMismatch, match="does not fit"):
+        fan_out(odd, lake, "s", 1, on_type_mismatch="error")
+    written = fan_out(odd, lake, "s", 1, on_type_mismatch="reject")
+    assert [(w.rows, w.lost_values) for w in written] == [(2, 3)]
+    assert content(lake, rejects_of("a"), "pos", "column_name", "value") == [(0, "d", "soon"), (1, "d", "x"), (1, "e", "y")]
+    fan_out(odd, lake, "s", 1, on_type_mismatch="reject")
+    assert len(content(lake, rejects_of("a"), "value")) == 3
+
+
+def test_reserved_name(spark, lake):
+    assert [w.table_name for w in bulk.bulk_ingest(log(spark, envelope("_rowlake.csv", {"k": "1"})), lake, "s").tables] == ["_rowlake"]
+    assert content(lake, "_rowlake", "k") == [("1",)]
+    assert {r.table_name for r in lake.catalog().collect()} == {"_rowlake"}
 
 
 def test_split_by_filename(spark, lake):
@@ -182,32 +276,32 @@ def test_rerun_keeps_its_ranges(spark, lake, monkeypatch):
     commit = bulk.commit_offsets
     monkeypatch.setattr(bulk, "commit_offsets", lambda *_: (_ for _ in ()).throw(OSError("lost")))
     with pytest.raises(OSError):
-        bulk.bulk_ingest(old, lake)
+        bulk.bulk_ingest(old, lake, "bulk")
     monkeypatch.setattr(bulk, "commit_offsets", commit)
     lake.rewrite("a", {c: F.col(c) for c in lake.scan("a").columns})
     grown = log(spark, envelope("a.csv", {"k": "1"}), envelope("a.csv", {"k": "2"}), envelope("a.csv", {"k": "3"}))
-    assert bulk.bulk_ingest(grown, lake).ranges == {0: (0, 1)}
-    assert bulk.bulk_ingest(grown, lake).ranges == {0: (1, 2), 1: (0, 1)}
+    assert bulk.bulk_ingest(grown, lake, "bulk").ranges == {0: (0, 1)}
+    assert bulk.bulk_ingest(grown, lake, "bulk").ranges == {0: (1, 2), 1: (0, 1)}
     assert content(lake, "a", "k") == [("1",), ("2",), ("3",)]
 
 
 def test_empty_batch(spark, lake):
     assert fan_out(routed(log(spark)), lake, "s", 0) == []
     assert fan_out(routed(log(spark)), lake, "s", 0, mode="bulk", staging="table") == []
-    assert bulk.bulk_ingest(log(spark), lake).tables == []
+    assert bulk.bulk_ingest(log(spark), lake, "bulk").tables == []
 
 
 def test_write_frame(spark, lake):
     frame = spark.createDataFrame([(1, "csv")], "id int, data_format string")
     write_frame(frame, lake, table_name="public.Some-Table")
-    write_frame(frame, lake, base=f"{lake.root}/Some_Table", batch_id=1)
-    write_frame(frame, lake, base=f"{lake.root}/some_table", table_name="some_table", batch_id=2)
-    write_frame(frame.selectExpr("id", "'/x/Some_Table.csv' as filename"), lake, batch_id=3)
-    assert content(lake, "some_table", "id") == [(1,)] * 4 and lake.table_names() == ["some_table"]
-    with pytest.raises(ValueError):
-        write_frame(frame, lake)
-    with pytest.raises(ValueError):
-        write_frame(frame, lake, base="/somewhere/else")
+    write_frame(frame, lake, base=f"{lake.root}/Some_Table")
+    write_frame(frame, lake, base=f"{lake.root}/some_table/", table_name="some_table")
+    write_frame(frame, lake, base=lake.root + "/", table_name="some_table")
+    write_frame(frame.selectExpr("id", "'/x/Some_Table.csv' as filename"), lake)
+    assert content(lake, "some_table", "id") == [(1,)] * 5 and lake.table_names() == ["some_table"]
+    for place in ({}, {"base": "/somewhere/else"}, {"base": f"{lake.root}/a", "table_name": "b"}, {"base": f"{lake.root}/a/b"}):
+        with pytest.raises(ValueError, match="no table of the lake"):
+            write_frame(frame, lake, **place)
 
 
 def test_restart_goes_on_from_the_checkpoint(spark, lake):
@@ -234,6 +328,6 @@ def test_restart_goes_on_from_the_checkpoint(spark, lake):
 def test_times_without_an_offset(spark, lake):
     sent = "2024-07-01T10:00:00"
     batch = log(spark, envelope("a.csv", {"k": "1"}, sent=sent), envelope("a.csv", {"k": "2"}, sent=sent + "Z"), envelope("a.csv", {"k": "3"}, sent="2024-07-01"))
-    bulk.bulk_ingest(batch, lake, zone="Europe/Vienna")
+    bulk.bulk_ingest(batch, lake, "bulk", zone="Europe/Vienna")
     found = lake.scan("a").select("k", F.date_format("ingestion_timestamp", "yyyy-MM-dd HH:mm")).collect()
     assert sorted(map(tuple, found)) == [("1", "2024-07-01 08:00"), ("2", "2024-07-01 10:00"), ("3", "2024-06-30 22:00")]

@@ -65,7 +65,7 @@ def test_arrival_order_is_partition_offset_position(spark):
     # Such offsets do not fit into the packed key, so the batch is profiled with the other one.
     staged = frame.withColumn("ingestion_timestamp", F.lit(None).cast("string"))
     assert frame.agg(profile.packable()).first()[0] is False
-    found = fanout.collect_profile(staged, fanout.Limits())
+    found, = fanout.profile_pages(staged)
     assert found["t"].columns["c"]["first_is_date"]
 
 

@@ -5,6 +5,7 @@ import pytest
 
 import __spark_entry__ as registered
 from check_queries import TABLES, compare
+from rowlake.queries import QUERIES
 
 
 @pytest.fixture(scope="module")
@@ -17,9 +18,10 @@ def connection(sf_dir):
 
 def test_names_match():
     assert set(registered.oracle_sql()) <= set(registered.queries())
+    assert set(QUERIES) <= set(registered.queries())
 
 
-@pytest.mark.parametrize("name", sorted(registered.queries()))
+@pytest.mark.parametrize("name", sorted(QUERIES))
 def test_query(spark, connection, sf_dir, name):
     ok, note = compare(spark, connection, name, sf_dir)
     assert ok, note

@@ -101,7 +101,7 @@ def test_failed_statements(spark, monkeypatch, message, code, status):
     def fail(*_):
         raise RuntimeError(message)
 
-    monkeypatch.setattr(db, "change_type", fail)
+    monkeypatch.setattr(db, "change", fail)
     asked = requests(spark, ("CHANGE_TYPE", "t", {"schema_name": ns, "column_name": "b", "logical_type": "bigint"}))
     result = db.apply_operations(asked).first()
     assert (result["status"], result["error_code"], result["error_message"]) == (status, code, message)
@@ -109,11 +109,11 @@ def test_failed_statements(spark, monkeypatch, message, code, status):
 
 def test_failed_drop_is_permanent(spark):
     classified = spark.createDataFrame(
-        [(1, "c", "p", "i", "OK", "", "", "e", "DROP_COLUMN")],
+        [(1, "c", "p", "i", "OK", "", "", "e", "DROP_COLUMN", "s.t")],
         "seq bigint, correlation_id string, plan_id string, idempotency_key string, status string, error_code string, "
-        "error_message string, evidence_snapshot_id string, kind string",
+        "error_message string, evidence_snapshot_id string, kind string, table_key string",
     )
-    result = rd.rdbms_report(classified, [(1, "timeout")]).first()
+    result = rd.rdbms_report(classified, [("s.t", "timeout")]).first()
     assert (result["status"], result["error_code"]) == ("PERMANENT_ERROR", "LAKE_DROP_COLUMN_FAILED")
 
 
@@ -121,9 +121,46 @@ def test_strict_and_lenient_casts(spark):
     frame = spark.createDataFrame([("5",), ("",), ("x",)], "v string")
     lenient = [r[0] for r in frame.select(rd.change_type_value(F.col("v"), "INTEGER", "lenient")).collect()]
     assert lenient == [5, None, None]
-    spark.conf.set("spark.sql.ansi.enabled", "true")
-    with pytest.raises(Exception, match="CAST_INVALID_INPUT"):
-        frame.select(rd.change_type_value(F.col("v"), "INTEGER")).collect()
+    for ansi in ("false", "true"):
+        spark.conf.set("spark.sql.ansi.enabled", ansi)
+        with pytest.raises(Exception, match="invalid input for type INTEGER: x"):
+            frame.select(rd.change_type_value(F.col("v"), "INTEGER")).collect()
+        kept = frame.where("v <> 'x'").select(rd.change_type_value(F.col("v"), "INTEGER")).collect()
+        assert [r[0] for r in kept] == [5, None]
+
+
+def test_statements_of_the_database():
+    assert rd.type_change_statement("public", "t", "a", "BIGINT") == (
+        'ALTER TABLE "public"."t" ALTER COLUMN "a" TYPE BIGINT USING NULLIF("a"::text, \'\')::BIGINT'
+    )
+    assert rd.type_change_statement("s", 'q"t', "a", "DATE") == 'ALTER TABLE "s"."q""t" ALTER COLUMN "a" TYPE DATE USING "a"::DATE'
+
+
+def test_create_statement(spark):
+    frame = spark.createDataFrame([], "a int, b string, c double")
+    ddl = rd.ddl_types(frame)
+    wanted = ", ".join(f'"{n}" {t}' for n, t in ddl.items())
+    assert rd.create_statement("s", "t", frame) == f'CREATE TABLE IF NOT EXISTS "s"."t" ({wanted})'
+    assert list(ddl) == ["a", "b", "c"]
+
+
+def test_failed_rename_gives_the_name_back(spark, monkeypatch):
+    db, ns = namespace(spark)
+    db.append(f"{ns}.t", spark.createDataFrame([("5",)], "b string"))
+    run, renames = spark.sql, []
+
+    def second_fails(statement):
+        if "RENAME TO" in statement:
+            renames.append(statement)
+            if len(renames) == 2:
+                raise RuntimeError("lost")
+        return run(statement)
+
+    monkeypatch.setattr(spark, "sql", second_fails)
+    with pytest.raises(RuntimeError, match="lost"):
+        db.change_type(ns, "t", "b", "BIGINT")
+    monkeypatch.undo()
+    assert [tuple(r) for r in spark.table(db.name(ns, "t")).collect()] == [("5",)]
 
 
 def test_sink_refuses_new_columns(spark):
