@@ -60,7 +60,7 @@ def op10_token_counts(spark, sf_dir):
 QUERIES = {
     "op1_passages": (op1_passages, None),
     "op2_simhash": (op2_simhash, None),
-    "op3_secrets": (op3_secrets, None),
+    "op3_secrets": (op3_secrets, secrets.oracle_sql()),
     "op4_quality": (op4_quality, None),
     "op5_decontaminate": (op5_decontaminate, decontaminate.ORACLE_SQL),
     "op6_bpe": (op6_bpe, None),

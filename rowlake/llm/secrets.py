@@ -189,3 +189,48 @@ def redact(docs: DataFrame) -> DataFrame:
         length = F.char_length("text").cast(kind)
         found = found.withColumn("n_chars", F.when(F.size("__secret_cuts") > 0, length).otherwise(F.col("n_chars")))
     return found.select(*docs.columns)
+
+
+def oracle_sql() -> str:
+    """The same report for DuckDB, from the same patterns; entropy from the characters of each window."""
+
+    def text(value: str) -> str:
+        return "'" + value.replace("'", "''") + "'"
+
+    def matches(kind: str, pattern: str, group: int) -> str:
+        return (
+            f"select doc_id, {KINDS.index(kind)} as kind, string_split_regex(x, {text(pattern)}) as gaps,"
+            f" regexp_extract_all(x, {text(pattern)}, 0) as found, regexp_extract_all(x, {text(pattern)}, {group}) as secrets from t"
+        )
+
+    every = [matches(k, p, g) for k, (p, g, _) in PATTERNS.items()] + [matches(k, p, 0) for k, (_, p, _) in CLASSES.items()]
+    least = " ".join(f"when {KINDS.index(k)} then {n}" for k, (_, _, n) in PATTERNS.items())
+    bits = " ".join(f"when {KINDS.index(k)} then {b!r}" for k, (_, _, b) in CLASSES.items())
+    names = " ".join(f"when {i} then '{k}'" for i, k in enumerate(KINDS))
+    allowed = " or ".join(f"regexp_full_match(secret, {text(p)})" for p in ALLOWED)
+    n_base = len(PATTERNS)
+    written = "string_agg(name || ':' || start || ':' || stop, ',' order by start, kind, stop)"
+    return f"""
+with t as (select doc_id, coalesce(text, '') as x from documents),
+m as ({" union all ".join(every)}),
+p as (
+  select doc_id, kind, found[i] as whole, secrets[i] as secret,
+    list_sum(list_transform(gaps[1:i], lambda g: length(g))) + coalesce(list_sum(list_transform(found[1:i - 1], lambda f: length(f))), 0) as start
+  from (select *, unnest(range(1, len(found) + 1)) as i from m)),
+base as (
+  select doc_id, kind, start::bigint as start, (start + length(whole))::bigint as stop from p
+  where kind < {n_base} and length(secret) >= case kind {least} end),
+w as (
+  select doc_id, kind, start as candidate, start + j as place, list_aggregate(string_split(secret[j + 1 : j + {WINDOW}], ''), 'entropy') as bits
+  from (select *, unnest(range(0, length(secret) - {WINDOW} + 1)) as j from p where kind >= {n_base} and not ({allowed}))),
+hot as (
+  select *, coalesce(place > lag(place) over (partition by doc_id, kind, candidate order by place) + {WINDOW}, true) as fresh
+  from w where bits >= case kind {bits} end),
+runs as (select *, sum(fresh::int) over (partition by doc_id, kind, candidate order by place) as run from hot),
+more as (
+  select doc_id, kind, min(place)::bigint as start, (max(place) + {WINDOW})::bigint as stop from runs group by doc_id, kind, candidate, run),
+spans as (select *, case kind {names} end as name from (select * from base union all select * from more))
+select t.doc_id, {", ".join(f"count(*) filter (kind = {i}) as n_{k}" for i, k in enumerate(PATTERNS))},
+  sha256(coalesce({written} filter (kind < {n_base}), '')) as base_sha256, coalesce({written}, '') as spans
+from t left join spans using (doc_id) group by t.doc_id
+"""
