@@ -64,7 +64,7 @@ QUERIES = {
     "op4_quality": (op4_quality, None),
     "op5_decontaminate": (op5_decontaminate, decontaminate.ORACLE_SQL),
     "op6_bpe": (op6_bpe, None),
-    "op7_suffix_dedup": (op7_suffix_dedup, None),
+    "op7_suffix_dedup": (op7_suffix_dedup, suffixes.ORACLE_SQL),
     "op8_toxicity": (op8_toxicity, None),
     "op9_ctph": (op9_ctph, None),
     "op10_token_counts": (op10_token_counts, None),

@@ -499,3 +499,29 @@ def remove(docs: DataFrame) -> DataFrame:
 
     kind = docs.schema["doc_id"].dataType.simpleString()
     return rows.mapInArrow(run, f"doc_id {kind}, n_bytes bigint, n_removed bigint, n_spans bigint, kept_sha256 string, kept binary")
+
+
+#: The same result for DuckDB, window by window, on hexadecimal text (two characters a byte, cut into blocks).
+ORACLE_SQL = """
+with d as (select doc_id, hex(encode(coalesce(text, ''))) as h from documents),
+b as (
+  select doc_id, 256 * b as first, substr(h, 512 * b + 1, 610) as t
+  from (select *, unnest(range(0, (length(h) // 2 - 50) // 256 + 1)) as b from d where length(h) >= 100)),
+w as (
+  select doc_id, first + j as i, substr(t, 2 * j + 1, 100) as s
+  from (select *, unnest(range(0, least(256, length(t) // 2 - 49))) as j from b)),
+f as (select s, min(doc_id) as least from w group by s having count(distinct doc_id) > 1),
+gone as (select doc_id, i from w join f using (s) where least < doc_id),
+fresh as (select *, coalesce(i > lag(i) over (partition by doc_id order by i) + 50, true) as begins from gone),
+runs as (
+  select doc_id, min(i) as start, max(i) + 50 as stop
+  from (select *, sum(begins::int) over (partition by doc_id order by i) as run from fresh) group by doc_id, run),
+placed as (select *, coalesce(lag(stop) over (partition by doc_id order by start), 0) as before from runs),
+cut as (
+  select doc_id, count(*) as n_spans, sum(stop - start) as n_removed, max(stop) as last,
+    string_agg(substr(h, 2 * before + 1, 2 * (start - before)), '' order by start) as kept
+  from placed join d using (doc_id) group by doc_id)
+select doc_id, length(h) // 2 as n_bytes, coalesce(n_removed, 0)::bigint as n_removed, coalesce(n_spans, 0) as n_spans,
+  sha256(unhex(coalesce(kept, '') || substr(h, 2 * coalesce(last, 0) + 1))) as kept_sha256
+from d left join cut using (doc_id)
+"""
