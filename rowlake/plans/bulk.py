@@ -4,14 +4,25 @@ from __future__ import annotations
 
 import json
 from dataclasses import asdict, dataclass, field
+from itertools import islice
 
+from pyspark import StorageLevel
 from pyspark.sql import DataFrame, functions as F
 
+from rowlake.functions.naming import physical_table_name
 from rowlake.metrics import observation, taken
-from rowlake.operators.shape import route_physical
-from rowlake.plans.fanout import Limits, Sink, fan_out
+from rowlake.operators.shape import (
+    detect_dates,
+    final_projection,
+    name_table,
+    normalize_ingestion_timestamp,
+    route_physical,
+    stringify,
+    typed_frame,
+)
+from rowlake.plans.fanout import Limits, Sink, fan_out, for_each_table, settled
 from rowlake.sources import files
-from rowlake.sources.envelope import decode_envelope
+from rowlake.sources.envelope import INGESTION_TIMESTAMP, decode_envelope, decode_envelope_typed, explode_rows
 from rowlake.sources.lake import RESERVED, Lake, Written
 from rowlake.sources.messages import drain_ranges, offset_bounds, open_bounds, within_ranges
 
@@ -133,6 +144,33 @@ def bulk_ingest(
     return Drained(written, ranges, counts.get("messages", 0), counts.get("malformed", 0))
 
 
+def typed_ingest(
+    messages: DataFrame, lake: Lake, source: str, batch_id: int, limits: Limits = Limits(), zone: str | None = None
+) -> list[Written]:
+    """P2 for logs with JSON types: S2, D2, T2, T7, T6, H7 for each table of a bounded batch.
+
+    Columns have the type of their first value, text columns of dates become
+    dates, and all else is stored as text. Tables are taken a page at a time.
+    """
+    envelopes = name_table(decode_envelope_typed(messages))
+    named = envelopes.withColumn("table_name", physical_table_name(F.col("table_name")))
+    rows = explode_rows(named).where(F.col("row").isNotNull()).persist(StorageLevel.MEMORY_AND_DISK)
+    written: list[Written] = []
+
+    def write(table: str) -> Written:
+        own = rows.where(F.col("table_name") == table)
+        frame = detect_dates(normalize_ingestion_timestamp(typed_frame(own, [INGESTION_TIMESTAMP]), zone))
+        return lake.append(table, final_projection(stringify(frame)), source, batch_id)
+
+    try:
+        names = (r["table_name"] for r in rows.select("table_name").distinct().orderBy("table_name").toLocalIterator())
+        while page := list(islice(names, limits.page_tables)):
+            written += for_each_table(lake.spark, page, write, limits.writers)
+    finally:
+        rows.unpersist()
+    return settled(written, "raise")
+
+
 def scan_bytes(frame: DataFrame) -> int:
     """Spark's own estimate of what a scan reads; sources that do not know say a very large number."""
     return int(str(frame._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))

@@ -5,7 +5,13 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from rowlake import workspace
-from rowlake.plans.bulk import bulk_ingest, committed_offsets, drain_in_steps, log_backlog
+from rowlake.plans.bulk import (
+    bulk_ingest,
+    committed_offsets,
+    drain_in_steps,
+    log_backlog,
+    typed_ingest as ingest_typed,
+)
 from rowlake.queries import fixtures as fx
 from rowlake.queries.shaping import routed
 from rowlake.plans.fanout import Limits, fan_out, rejects_of
@@ -95,6 +101,19 @@ REPLAY_IDEMPOTENT = """
 select o_orderstatus, 2 * count(*) as rows, count(*) as keys from orders group by 1
 """
 
+def typed_ingest(spark, sf_dir):
+    """A log with JSON types, stored as text and dates, under the type of each first value."""
+    lake = fx.new_lake(spark)
+    ingest_typed(fx.logged(spark, fx.event_messages(spark, sf_dir)), lake, "events", 0)
+    return lake.scan("events").select("event_id", "is_error", "seen")
+
+
+TYPED_INGEST = """
+select event_id::varchar as event_id, (event_type = 'error')::varchar as is_error,
+  case when event_id % 8 <> 3 then ts::date end as seen from events
+"""
+
+
 def two_streams(spark, sf_dir):
     """Two streams, each with a checkpoint of its own, into the same tables of one lake."""
     lake = fx.new_lake(spark)
@@ -150,6 +169,7 @@ QUERIES = {
     "stream_ingest": (stream_ingest, fx.sales_sql()),
     "bulk_ingest": (bulk, fx.sales_sql()),
     "bulk_ingest_staged": (bulk_ingest_staged, fx.sales_sql()),
+    "typed_ingest": (typed_ingest, TYPED_INGEST),
     "two_streams": (two_streams, fx.select_sql(fx.ORDERS_SQL | {"o_orderdate": "o_orderdate::date"}, "orders")),
     "two_logs": (two_logs, "select o_orderkey::varchar as o_orderkey, 2::bigint as rows from orders"),
     "many_tables": (
