@@ -145,14 +145,17 @@ def shared_model(docs: DataFrame, wanted: DataFrame) -> dict[str, float]:
         histories = rows.groupBy("h").agg(F.sum("n").alias("total"), F.count(F.lit(1)).alias("kinds"))
         here = asked.withColumn("h", F.expr(history)).join(level, "gram", "left").join(histories, "h", "left")
         once, twice, kinds = level.agg(*[F.count_if(F.col("n") == i) for i in (1, 2)], F.count(F.lit(1))).first()
-        found.append((here.select("gram", "n", "total", "kinds").toPandas().fillna(0), _discount(once, twice), kinds))
+        found.append((here.na.fill(0).select("gram", "n", "total", "kinds").toArrow(), _discount(once, twice), kinds))
         asked = asked.select(F.expr(shorter).alias("gram")).distinct()
         level = cut(level.select(F.expr(shorter).alias("gram")).groupBy("gram").agg(F.count(F.lit(1)).alias("n")))
     below: dict[str, float] = {}
-    for rows, d, kinds in reversed(found):
-        lower = rows["gram"].map(lambda g: below[g[1:] or g]) if below else 1 / (kinds + 1)
-        own = (np.maximum(rows["n"] - d, 0) + d * rows["kinds"] * lower) / np.maximum(rows["total"], 1)
-        below = dict(zip(rows["gram"], np.where(rows["total"] > 0, own, lower), strict=True))
+    while found:  # from the shortest n-grams up, a level at a time
+        rows, d, kinds = found.pop()
+        names = rows.column("gram").to_pylist()
+        n, total, forms = (rows.column(c).to_numpy() for c in ("n", "total", "kinds"))
+        lower = np.array([below[g[1:] or g] for g in names]) if below else np.full(len(names), 1 / (kinds + 1))
+        own = (np.maximum(n - d, 0) + d * forms * lower) / np.maximum(total, 1)
+        below = dict(zip(names, np.where(total > 0, own, lower).tolist(), strict=True))
     return below
 
 
@@ -224,13 +227,14 @@ def fit(docs: DataFrame, labels: DataFrame) -> Model:
     apart = F.pmod(F.xxhash64("doc_id", F.lit("calibration")), F.lit(CALIBRATION)) == 0
     counted = documents_of(docs, chosen.where(~apart)).mapInArrow(_class_grams, "label int, gram string, n bigint")
     of_class = cut(counted.groupBy("label", "gram").agg(F.sum("n").alias("n")))
-    rows = of_class.toPandas()
     # The sample takes as many as it may of either label; the share is that of all labels.
     share = labels.where(F.col("toxic").isin(0, 1) & F.col("doc_id").isNotNull() & ~held_out(FOLDS, HELD)).agg(F.avg("toxic")).first()[0]
     model = Model(0.5 if share is None else float(share))
-    if len(set(rows["label"])) < 2:
+    if of_class.select("label").distinct().count() < 2:
         return model
-    model.seen, model.other = class_differences(rows, shared_model(docs, of_class))
+    shared_shares = shared_model(docs, of_class)
+    model.seen, model.other = class_differences(of_class.toPandas(), shared_shares)
+    del shared_shares
     shared = docs.sparkSession.sparkContext.broadcast(model)
 
     def features(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
