@@ -56,6 +56,20 @@ def main() -> None:
         source = replay_stream(spark, path, max_files_per_trigger=int(cpus))
         stream_ingest(source, lake, workspace.new_folder(spark, "checkpoint"), drain=True).awaitTermination()
 
+    key = F.col("c_custkey")
+    wide_log = fx.logged(
+        spark,
+        fx.table(spark, sf_dir, "customer").select(
+            (key % 4).cast("int").alias("partition"), key.alias("offset"),
+            fx.envelope(
+                F.concat(F.lit("/in/t"), key % 500, F.lit(".csv")), fx.sent_at(key), F.array(fx.row_of(fx.CUSTOMER))
+            ).alias("value"),
+        ),
+    )
+
+    def many_tables():
+        bulk_ingest(wide_log, fx.new_lake(spark), "bench")
+
     loaded = ingest()
     nothing = spark.createDataFrame([], OFFSET_SCHEMA)
 
@@ -72,6 +86,7 @@ def main() -> None:
         "bulk_ingest": ingest,
         "bulk_ingest_staged": lambda: ingest(staging="table"),
         "stream_ingest": stream,
+        "ingest_500_tables": many_tables,
         "lake_scan": lambda: flat.agg(*[F.count(c) for c in flat.columns]).collect(),
         "detect_dates": lambda: shape.date_columns(flat),
         "topic_backlog": lambda: log_backlog(log, nothing).collect(),
@@ -82,7 +97,7 @@ def main() -> None:
         "change_type_rewrite": change("CHANGE_TYPE", column_name="l_quantity", to_logical_type="double"),
         "drop_column": change("DROP_COLUMN", column_name="l_extra"),
     }
-    once = {"change_type_rewrite", "add_column", "drop_column"}
+    once = {"ingest_500_tables", "change_type_rewrite", "add_column", "drop_column"}
     timings = {}
     for name, job in jobs.items():
         runs = []
