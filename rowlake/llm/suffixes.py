@@ -37,7 +37,7 @@ import pyarrow as pa
 import pyarrow.compute as pc
 import xxhash
 import zstandard
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from rowlake.llm.common import cut
 from rowlake.workspace import new_folder
@@ -122,12 +122,25 @@ def _column(batch: pa.RecordBatch, name: str) -> np.ndarray:
     return batch.column(name).to_numpy(zero_copy_only=False)
 
 
+def _dealt(spark: SparkSession, parts: int) -> np.ndarray:
+    """For each partition a number that Spark's hash sends to it, so that no two parts meet in one task."""
+    numbers = spark.range(32 * parts).selectExpr("cast(id as int) as id", f"pmod(hash(cast(id as int)), {parts}) as part")
+    out = np.arange(parts, dtype=np.int32)
+    for r in numbers.groupBy("part").agg(F.min("id").alias("id")).collect():
+        out[r.part] = r.id
+    return out
+
+
+def _part(dealt: np.ndarray, by: np.ndarray) -> np.ndarray:
+    return dealt[(by.view(np.uint64) % np.uint64(len(dealt))).astype(np.int64)]
+
+
 # 1. Anchors whose gram is in two documents.
 
 OPEN, SETTLED, WITNESS = 0, 1, 2
 
 
-def _offers(parts: int):
+def _offers(dealt: np.ndarray):
     def settle(held: list[tuple[np.ndarray, ...]]) -> Iterator[pa.RecordBatch]:
         gram, order_id, key, place = (np.concatenate(c) for c in zip(*held, strict=True))
         order, begins = _groups(gram)
@@ -140,14 +153,14 @@ def _offers(parts: int):
         told = order[begins[least != most]]
         kinds = (
             (OPEN, ~shared, place, gram),
-            (SETTLED, shared, place, key.view(np.uint64)),
+            (SETTLED, shared, place, key),
             (WITNESS, told, None, gram),
         )
         rows = []
         for kind, chosen, p, dealt_by in kinds:
             g, i, k = gram[chosen], order_id[chosen], key[chosen]
             p = counts[least != most] if p is None else p[chosen]
-            part = dealt_by[chosen] % np.uint64(parts)
+            part = _part(dealt, dealt_by[chosen])
             to, starts = _groups(part)
             for own in np.split(to, starts[1:]) if len(to) else ():
                 own.sort()  # in the order of documents, which packs well
@@ -208,15 +221,14 @@ def _met(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 # 2. Contexts of these anchors.
 
 
-def _contexts(parts: int, hot: frozenset[int], windows_of_hot: bool):
+def _contexts(dealt: np.ndarray, hot: frozenset[int], windows_of_hot: bool):
     """Contexts by gram, and spans that are settled; or, of hot grams only, their windows."""
     hot_grams = np.array(sorted(hot), dtype=np.int64).view(np.uint64)
     names = ["part", "ord", "key", "start", "stop", "payload"]
 
     def spans(order_id, key, start, stop) -> pa.RecordBatch:
         n = len(order_id)
-        spread = (np.arange(n) // 4096 % parts).astype(np.int32)
-        columns = [pa.array(spread), *(pa.array(np.asarray(c, dtype=np.int64)) for c in (order_id, key, start, stop)), pa.nulls(n, pa.binary())]
+        columns = [pa.array(_part(dealt, key)), *(pa.array(np.asarray(c, dtype=np.int64)) for c in (order_id, key, start, stop)), pa.nulls(n, pa.binary())]
         return pa.RecordBatch.from_arrays(columns, names)
 
     def settle(held: list[tuple]) -> Iterator[pa.RecordBatch]:
@@ -231,14 +243,14 @@ def _contexts(parts: int, hot: frozenset[int], windows_of_hot: bool):
             sizes = np.array([len(t) for t in text])
             yield spans(order_id[again], key[again], start[again], start[again] + sizes[again])
         rest = np.flatnonzero(~again)
-        part = (gram[rest] % np.uint64(parts)).astype(np.int32)
+        part = _part(dealt, gram[rest])
         to, begins = _groups(part)
         rows = []
         for own in np.split(rest[to], begins[1:]) if len(to) else ():
             own.sort()
             sizes = np.array([len(text[i]) for i in own], dtype=np.int32)
             raw = [np.array([len(own)], np.int64).tobytes(), gram[own].tobytes(), order_id[own].tobytes(), key[own].tobytes(), start[own].tobytes(), at[own].tobytes(), sizes.tobytes()]
-            rows.append((int(gram[own[0]] % np.uint64(parts)), zstandard.compress(b"".join([*raw, *(text[i] for i in own)]), 1)))
+            rows.append((int(_part(dealt, gram[own[:1]])[0]), zstandard.compress(b"".join([*raw, *(text[i] for i in own)]), 1)))
         if rows:
             n, nothing = len(rows), pa.nulls(len(rows), pa.int64())
             yield pa.RecordBatch.from_arrays([pa.array([r[0] for r in rows], pa.int32()), *[nothing] * 4, pa.array([r[1] for r in rows], pa.binary())], names)
@@ -449,8 +461,9 @@ def spans(docs: DataFrame) -> DataFrame:
     spark = docs.sparkSession
     parts = int(spark.conf.get("spark.sql.shuffle.partitions"))
     rows = _documents(docs)
+    dealt = _dealt(spark, parts)
     offers = rows.select("ord", "key", "data").mapInArrow(
-        _offers(parts), "part int, kind int, gram binary, ord binary, key binary, place binary"
+        _offers(dealt), "part int, kind int, gram binary, ord binary, key binary, place binary"
     )
     folder = new_folder(spark, "anchors")
     offers.repartition(parts, "part").mapInArrow(_met, "ord bigint, key bigint, place int, hot bigint").write.parquet(folder)
@@ -462,10 +475,10 @@ def spans(docs: DataFrame) -> DataFrame:
     # All columns of ``rows`` go along, so that this exchange of texts serves remove() as well.
     chosen = rows.join(places, ["ord", "key"])
     schema = "part int, ord bigint, key bigint, start bigint, stop bigint, payload binary"
-    contexts = chosen.mapInArrow(_contexts(parts, hot, False), schema)
+    contexts = chosen.mapInArrow(_contexts(dealt, hot, False), schema)
     out = contexts.repartition(parts, "part").mapInArrow(_spans, "ord bigint, key bigint, start bigint, stop bigint")
     if hot:
-        windows = chosen.mapInArrow(_contexts(parts, hot, True), schema).select("ord", "key", "start", "stop", "payload")
+        windows = chosen.mapInArrow(_contexts(dealt, hot, True), schema).select("ord", "key", "start", "stop", "payload")
         least = windows.groupBy("payload").agg(F.min("ord").alias("least"), F.max("ord").alias("most")).where("least <> most")
         out = out.union(windows.join(least.drop("most"), "payload").where("ord > least").select("ord", "key", "start", "stop"))
     return out.union(copies)
