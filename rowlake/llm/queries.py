@@ -40,7 +40,7 @@ def op6_bpe(spark, sf_dir):
 
 
 def op7_suffix_dedup(spark, sf_dir):
-    return suffixes.remove(table(spark, sf_dir, "documents")).drop("kept")
+    return suffixes.remove(table(spark, sf_dir, "documents"), keep_text=False).drop("kept")
 
 
 def op8_toxicity(spark, sf_dir):

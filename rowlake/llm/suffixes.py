@@ -484,19 +484,29 @@ def spans(docs: DataFrame) -> DataFrame:
     return out.union(copies)
 
 
-def remove(docs: DataFrame) -> DataFrame:
-    """``doc_id, n_bytes, n_removed, n_spans, kept_sha256, kept`` of every row; ``kept`` are the bytes that stay."""
+def remove(docs: DataFrame, keep_text: bool = True) -> DataFrame:
+    """``doc_id, n_bytes, n_removed, n_spans, kept_sha256, kept`` of every row; ``kept`` are the bytes that stay
+    (null without ``keep_text``)."""
     found = spans(docs).groupBy("ord", "key").agg(F.sort_array(F.collect_set(F.struct("start", "stop"))).alias("spans"))
     rows = _documents(docs).join(found, ["ord", "key"], "left")
     names = ["doc_id", "n_bytes", "n_removed", "n_spans", "kept_sha256", "kept"]
 
+    def batch_of(ids: pa.Array, out: list[tuple]) -> pa.RecordBatch:
+        kinds = (pa.int64(), pa.int64(), pa.int64(), pa.string(), pa.binary())
+        return pa.RecordBatch.from_arrays([ids, *(pa.array(c, k) for c, k in zip(zip(*out), kinds, strict=True))], names)
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            out = []
-            for data, own in zip(batch.column("data").to_pylist(), batch.column("spans").to_pylist(), strict=True):
+            first, size, out = 0, 0, []
+            columns = batch.column("doc_id"), batch.column("data"), batch.column("spans")
+            for i in range(batch.num_rows):
+                data, own = columns[1][i].as_py(), columns[2][i]
+                if own.is_valid:
+                    starts, stops = (own.values.field(c).to_numpy().tolist() for c in ("start", "stop"))
+                else:
+                    starts, stops = [], []
                 kept, last, count, removed = [], 0, 0, 0
-                for s in own or ():
-                    start, stop = s["start"], s["stop"]
+                for start, stop in zip(starts, stops, strict=True):
                     if start > last or not count:
                         kept.append(data[last:start])
                         count += 1
@@ -505,10 +515,13 @@ def remove(docs: DataFrame) -> DataFrame:
                         removed += stop - last
                         last = stop
                 kept = b"".join([*kept, data[last:]])
-                out.append((len(data), removed, count, sha256(kept).hexdigest(), kept))
-            kinds = (pa.int64(), pa.int64(), pa.int64(), pa.string(), pa.binary())
-            columns = [pa.array(c, k) for c, k in zip(zip(*out), kinds, strict=True)]
-            yield pa.RecordBatch.from_arrays([batch.column("doc_id"), *columns], names)
+                out.append((len(data), removed, count, sha256(kept).hexdigest(), kept if keep_text else None))
+                size += len(data)
+                if size >= UNIT_BYTES:
+                    yield batch_of(columns[0].slice(first, i + 1 - first), out)
+                    first, size, out = i + 1, 0, []
+            if out:
+                yield batch_of(columns[0].slice(first), out)
 
     kind = docs.schema["doc_id"].dataType.simpleString()
     return rows.mapInArrow(run, f"doc_id {kind}, n_bytes bigint, n_removed bigint, n_spans bigint, kept_sha256 string, kept binary")
