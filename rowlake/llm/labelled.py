@@ -13,17 +13,22 @@ def held_out(modulus: int, remainder: int) -> Column:
     return F.coalesce(F.crc32(F.col("doc_id").cast("string")) % modulus == remainder, F.lit(False))
 
 
+def usable(labels: DataFrame, column: str, modulus: int, remainder: int) -> DataFrame:
+    """``doc_id, label`` of all documents that are not held out; several labels count as the lowest, null ones as none."""
+    return (
+        labels.where(F.col("doc_id").isNotNull() & F.col(column).isin(0, 1) & ~held_out(modulus, remainder))
+        .groupBy(F.col("doc_id").cast("bigint").alias("doc_id")).agg(F.min(column).cast("int").alias("label"))
+    )
+
+
 def sample(labels: DataFrame, column: str, modulus: int, remainder: int, per_class: int) -> DataFrame:
     """``doc_id, label`` of at most ``per_class`` documents of either label that are not held out, by a hash of the id.
 
     Several labels of one document count as the lowest; null labels as none.
     """
-    usable = (
-        labels.where(F.col("doc_id").isNotNull() & F.col(column).isin(0, 1) & ~held_out(modulus, remainder))
-        .groupBy(F.col("doc_id").cast("bigint").alias("doc_id")).agg(F.min(column).cast("int").alias("label"))
-    )
     order = F.xxhash64("doc_id")
-    taken = [usable.where(F.col("label") == x).orderBy(order, "doc_id").limit(per_class) for x in (0, 1)]
+    all_usable = usable(labels, column, modulus, remainder)
+    taken = [all_usable.where(F.col("label") == x).orderBy(order, "doc_id").limit(per_class) for x in (0, 1)]
     return cut(taken[0].union(taken[1]))
 
 

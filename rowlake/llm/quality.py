@@ -6,8 +6,9 @@ is the sum of the index vectors of its neighbours over **all** documents. Tasks
 add up whole numbers for their part, which are added by bucket, so the sum does
 not depend on the order. A document is the mean and the spread of the vectors
 of its words. A two-layer network in numpy learns from a bounded sample of
-labelled documents; a temperature fitted on a fifth of them that it has not
-seen makes its outputs probabilities.
+labelled documents, each label weighted to the share it has among all labels;
+a temperature fitted on a fifth of them that it has not seen, with the same
+weights, makes its outputs probabilities.
 
 What the driver holds is fixed in size: ``BUCKETS`` x ``WIDTH`` numbers and the
 features of at most ``2 * PER_CLASS`` documents. Inputs of a score are the
@@ -28,7 +29,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 
-from rowlake.llm.labelled import documents_of, held_out, sample, sigmoid
+from rowlake.llm.labelled import documents_of, held_out, sample, sigmoid, usable
 
 BUCKETS = 1 << 15
 WIDTH = 32
@@ -177,25 +178,31 @@ class Network:
         return sigmoid(self.logits(x) / self.temperature)
 
 
-def train(x: np.ndarray, y: np.ndarray) -> Network:
-    """Fits the layers on four of five rows and the temperature on the rest; rows come in a fixed order."""
-    base = float(y.mean()) if len(y) else 0.5
+def train(x: np.ndarray, y: np.ndarray, share: float | None = None) -> Network:
+    """Fits the layers on four of five rows and the temperature on the rest; rows come in a fixed order.
+
+    ``share`` is that of good labels among all usable ones (None: that of ``y``); rows are
+    weighted by it, so that a bound on either label in the sample does not move the scores.
+    """
+    base = (float(y.mean()) if len(y) else 0.5) if share is None else share
     if len(np.unique(y)) < 2 or len(y) < 10:
         return Network(base)
     rng = np.random.default_rng(SEED)
     apart = np.zeros(len(y), dtype=bool)
     apart[4::5] = True
-    fit_x, fit_y = x[~apart], y[~apart]
-    net = Network(base, fit_x.mean(axis=0), fit_x.std(axis=0) + 1e-3)
+    weight = np.where(y == 1, base / y.mean(), (1 - base) / (1 - y.mean()))
+    fit_x, fit_y, fit_w = x[~apart], y[~apart], weight[~apart]
+    centre = np.average(fit_x, axis=0, weights=fit_w)
+    net = Network(base, centre, np.sqrt(np.average((fit_x - centre) ** 2, axis=0, weights=fit_w)) + 1e-3)
     size = x.shape[1]
     params = [rng.normal(0, size**-0.5, (size, HIDDEN)), np.zeros(HIDDEN), rng.normal(0, HIDDEN**-0.5, HIDDEN), np.zeros(1)]
     z = net.standard(fit_x)
     first, second, step = [np.zeros_like(p) for p in params], [np.zeros_like(p) for p in params], 0
     for _ in range(EPOCHS):
         for rows in np.array_split(rng.permutation(len(z)), max(1, len(z) // 256)):
-            a, t = z[rows], fit_y[rows]
+            a, t, w = z[rows], fit_y[rows], fit_w[rows]
             h = np.tanh(a @ params[0] + params[1])
-            d = (sigmoid(h @ params[2] + params[3]) - t) / len(rows)
+            d = w * (sigmoid(h @ params[2] + params[3]) - t) / len(rows)
             back = np.outer(d, params[2]) * (1 - h * h)
             grads = [a.T @ back + 1e-4 * params[0], back.sum(axis=0), h.T @ d + 1e-4 * params[2], d.sum(keepdims=True)]
             step += 1
@@ -205,9 +212,9 @@ def train(x: np.ndarray, y: np.ndarray) -> Network:
                 params[i] = params[i] - 3e-3 * (first[i] / (1 - 0.9**step)) / (np.sqrt(second[i] / (1 - 0.999**step)) + 1e-8)
     net.layers = tuple(params)
     if apart.any():
-        said, truth = net.logits(x[apart]), y[apart]
+        said, truth, w = net.logits(x[apart]), y[apart], weight[apart]
         options = np.geomspace(0.25, 8, 61)
-        loss = [np.logaddexp(0, np.where(truth == 1, -said, said) / t).mean() for t in options]
+        loss = [(w * np.logaddexp(0, np.where(truth == 1, -said, said) / t)).mean() for t in options]
         net.temperature = float(options[int(np.argmin(loss))])
     return net
 
@@ -235,11 +242,14 @@ def fit(docs: DataFrame, labels: DataFrame) -> Model:
                 [batch.column("doc_id"), batch.column("label"), pa.array(rows, pa.list_(pa.float64()))], ["doc_id", "label", "x"]
             )
 
+    # The sample takes as many as it may of either label; the share is that of all labels of these documents.
+    ids = docs.select(F.col("doc_id").cast("bigint").alias("doc_id"))
+    share = usable(labels, "quality", FOLDS, HELD).join(ids, "doc_id", "left_semi").agg(F.avg("label")).first()[0]
     chosen = documents_of(docs, sample(labels, "quality", FOLDS, HELD, PER_CLASS))
     found = chosen.mapInArrow(features, "doc_id bigint, label int, x array<double>").toArrow()
     order = np.argsort(found.column("doc_id").to_numpy(), kind="stable")
     x = np.array(found.column("x").to_pylist(), dtype=np.float64).reshape(-1, FEATURES)[order]
-    return Model(vectors, train(x, found.column("label").to_numpy().astype(np.float64)[order]))
+    return Model(vectors, train(x, found.column("label").to_numpy().astype(np.float64)[order], share))
 
 
 def _scored(docs: DataFrame, model: Model, kept: bool) -> DataFrame:

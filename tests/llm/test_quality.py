@@ -74,3 +74,27 @@ def test_odd_rows(spark, sf_dir):
     taken = labelled.sample(twice, "quality", 3, 1, 10).collect()
     assert [(r.doc_id, r.label) for r in taken] in ([(2, 0)], [])
     assert labelled.documents_of(docs, labelled.sample(twice, "quality", 99, 98, 10)).count() == 1
+
+
+def test_a_bounded_sample_keeps_the_share_of_all_labels():
+    rng = np.random.default_rng(3)
+    y = (rng.random(12_000) < 0.86).astype(float)
+    x = np.zeros((len(y), quality.FEATURES))
+    x[:, 0] = rng.normal(size=len(y)) + 1.5 * y
+    x[:, -1] = 0.6
+    bad = np.flatnonzero(y == 0)
+    some = np.sort(np.concatenate([bad, np.flatnonzero(y == 1)[: len(bad)]]))
+    whole, bounded = quality.train(x, y), quality.train(x[some], y[some], y.mean())
+    assert bounded.base == whole.base
+    kept = [(net.scores(x)[y == 1] >= 0.5).mean() for net in (whole, bounded)]
+    assert abs(kept[0] - kept[1]) < 0.03
+    assert abs(bounded.scores(x).mean() - y.mean()) < 0.03
+    assert abs(quality.train(x[some], y[some]).scores(x).mean() - y.mean()) > 0.1
+
+
+def test_share_of_all_usable_labels(spark, monkeypatch):
+    monkeypatch.setattr(quality, "PER_CLASS", 40)
+    docs = spark.createDataFrame([(i, f"text {i}") for i in range(600)], "doc_id bigint, text string")
+    labels = spark.createDataFrame([(i, int(i % 4 != 0)) for i in range(1000)] + [(None, 0), (3, None)], "doc_id bigint, quality int")
+    wanted = np.mean([i % 4 != 0 for i in range(600) if crc32(str(i).encode()) % 3 != 1])
+    assert abs(quality.fit(docs, labels).network.base - wanted) < 1e-12
