@@ -9,7 +9,7 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import functions as F
 
-from rowlake.llm import bpe, ctph, decontaminate, passages, quality, secrets, simhash, suffixes, tokencount, toxicity
+from rowlake.llm import bpe, centroids, ctph, decontaminate, passages, quality, secrets, simhash, suffixes, tokencount, toxicity
 from rowlake.llm.common import table
 
 
@@ -57,6 +57,10 @@ def op10_token_counts(spark, sf_dir):
     return tokencount.counts_after_edits(edited, public_tokenizers.path("byte_bpe_50k.tiktoken"), public_tokenizers.PATTERN)
 
 
+def op12_centroids(spark, sf_dir):
+    return centroids.report(table(spark, sf_dir, "embeddings"))
+
+
 QUERIES = {
     "op1_passages": (op1_passages, None),
     "op2_simhash": (op2_simhash, None),
@@ -68,4 +72,5 @@ QUERIES = {
     "op8_toxicity": (op8_toxicity, None),
     "op9_ctph": (op9_ctph, None),
     "op10_token_counts": (op10_token_counts, None),
+    "op12_centroids": (op12_centroids, centroids.oracle_sql()),
 }
