@@ -9,7 +9,7 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import functions as F
 
-from rowlake.llm import bpe, centroids, ctph, decontaminate, passages, quality, secrets, simhash, suffixes, tokencount, toxicity
+from rowlake.llm import bpe, centroids, ctph, decontaminate, passages, pii, quality, secrets, simhash, suffixes, tokencount, toxicity
 from rowlake.llm.common import table
 
 
@@ -61,6 +61,10 @@ def op12_centroids(spark, sf_dir):
     return centroids.report(table(spark, sf_dir, "embeddings"))
 
 
+def op13_personal_data(spark, sf_dir):
+    return pii.report(table(spark, sf_dir, "documents"))
+
+
 QUERIES = {
     "op1_passages": (op1_passages, None),
     "op2_simhash": (op2_simhash, None),
@@ -73,4 +77,5 @@ QUERIES = {
     "op9_ctph": (op9_ctph, None),
     "op10_token_counts": (op10_token_counts, None),
     "op12_centroids": (op12_centroids, centroids.oracle_sql()),
+    "op13_personal_data": (op13_personal_data, None),
 }
