@@ -9,7 +9,8 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import functions as F
 
-from rowlake.llm import bpe, centroids, ctph, decontaminate, passages, pii, quality, secrets, simhash, suffixes, tokencount, toxicity
+from rowlake.llm import bpe, centroids, ctph, decontaminate, lexical, passages, pii, quality, secrets
+from rowlake.llm import simhash, suffixes, tokencount, toxicity
 from rowlake.llm.common import table
 
 
@@ -57,6 +58,10 @@ def op10_token_counts(spark, sf_dir):
     return tokencount.counts_after_edits(edited, public_tokenizers.path("byte_bpe_50k.tiktoken"), public_tokenizers.PATTERN)
 
 
+def op11_ranked_search(spark, sf_dir):
+    return lexical.rank(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
 def op12_centroids(spark, sf_dir):
     return centroids.report(table(spark, sf_dir, "embeddings"))
 
@@ -76,6 +81,7 @@ QUERIES = {
     "op8_toxicity": (op8_toxicity, None),
     "op9_ctph": (op9_ctph, None),
     "op10_token_counts": (op10_token_counts, None),
+    "op11_ranked_search": (op11_ranked_search, lexical.ORACLE_SQL),
     "op12_centroids": (op12_centroids, centroids.oracle_sql()),
     "op13_personal_data": (op13_personal_data, None),
 }
