@@ -155,6 +155,14 @@ def lineitem_messages(spark: SparkSession, sf_dir: str, first_partition: int = 1
     )
 
 
+def single_messages(df: DataFrame, key: str, filename: str, fields: dict[str, str], partitions: int = LOG_PARTITIONS) -> DataFrame:
+    """One message per row of a table with a dense unique key; the key deals the partitions."""
+    value = envelope(F.lit(filename), sent_at(F.floor(F.col(key) / ROWS_PER_MESSAGE)), F.array(row_of(fields)))
+    return df.select(
+        (F.col(key) % partitions).cast("int").alias("partition"), F.floor(F.col(key) / partitions).alias("offset"), value.alias("value")
+    )
+
+
 def orders_messages(spark, sf_dir, **options) -> DataFrame:
     return messages(table(spark, sf_dir, "orders"), "o_orderkey", ORDERS_FILE, ORDERS, **options)
 

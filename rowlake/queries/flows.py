@@ -15,8 +15,9 @@ from rowlake.plans.bulk import (
 from rowlake.queries import fixtures as fx
 from rowlake.queries.shaping import routed
 from rowlake.plans.fanout import Limits, fan_out, rejects_of
-from rowlake.sources.messages import replay_stream
-from rowlake.streaming.ingest import drain_then_stream as start_after_drain, stream_ingest as start_stream
+from rowlake.sources.messages import MAX_OFFSETS_PER_TRIGGER, replay_stream
+from rowlake.sources.offsets import offset_stream as open_offsets
+from rowlake.streaming.ingest import drain_then_stream as start_after_drain, drained, stream_ingest as start_stream
 
 
 def stream_ingest(spark, sf_dir):
@@ -28,6 +29,20 @@ def stream_ingest(spark, sf_dir):
     return fx.sales_content(lake.scan)
 
 
+def offset_stream(spark, sf_dir):
+    """A message per order, taken by offsets: two runs from one checkpoint, the log growing in between."""
+    log = fx.single_messages(fx.table(spark, sf_dir, "orders"), "o_orderkey", fx.ORDERS_FILE, fx.ORDERS)
+    half = F.lit(log.count() // 2 // fx.LOG_PARTITIONS)
+    path, checkpoint = workspace.new_folder(spark, "log"), workspace.new_folder(spark, "checkpoint")
+    lake, taken = fx.new_lake(spark), []
+    for part in (F.col("offset") < half, F.col("offset") >= half):
+        log.where(part).write.mode("append").parquet(path)
+        query = drained(start_stream(open_offsets(spark, path), lake, checkpoint, trigger_interval="0 seconds"))
+        taken += [p["numInputRows"] for p in query.recentProgress]
+    within = max(taken) <= MAX_OFFSETS_PER_TRIGGER and sum(taken) == log.count()
+    return lake.scan("orders").select(*fx.ORDERS).withColumn("within", F.lit(within))
+
+
 def bulk(spark, sf_dir):
     lake = fx.new_lake(spark)
     log = fx.logged(spark, fx.sales_messages(spark, sf_dir))
@@ -167,6 +182,9 @@ from orders
 
 QUERIES = {
     "stream_ingest": (stream_ingest, fx.sales_sql()),
+    "offset_stream": (
+        offset_stream, fx.select_sql(fx.ORDERS_SQL | {"o_orderdate": "o_orderdate::date", "within": "true"}, "orders"),
+    ),
     "bulk_ingest": (bulk, fx.sales_sql()),
     "bulk_ingest_staged": (bulk_ingest_staged, fx.sales_sql()),
     "typed_ingest": (typed_ingest, TYPED_INGEST),
