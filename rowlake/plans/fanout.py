@@ -182,7 +182,7 @@ def write_table(
     sent = F.col(INGESTION_TIMESTAMP)
     stamp = sent.try_cast("timestamp") if mode == "stream" else normalize_timestamp(sent, zone)
     # Text first, under plain names, so that the report below can compare it with its typed form.
-    kept = ["stamp", *POSITION] if on_type_mismatch == "reject" else ["stamp"]
+    kept = ["stamp", *POSITION] if on_type_mismatch == "reject" or getattr(sink, "by_place", False) else ["stamp"]
     text = text_columns(rows.withColumn("stamp", stamp), names, kept, alias="v{}".format)
     if scattered and profile.rows * len(inferred) < VALUES_PER_FILE:
         text = text.repartition(file_count(profile.rows, len(inferred)))

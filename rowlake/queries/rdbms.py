@@ -19,6 +19,7 @@ from rowlake.queries import fixtures as fx
 from rowlake.queries.evolution import operations, operations_sql, requests
 from rowlake.sources import rdbms as rd
 from rowlake.sources.envelope import decode_envelope
+from rowlake.sources.ledger import LEDGER
 
 CATALOG = "spark_catalog"
 
@@ -112,6 +113,44 @@ def fan_out_rdbms(spark, sf_dir):
     return fx.sales_content(lambda table: spark.table(db.name(ns, table)))
 
 
+def rdbms_replay(spark, sf_dir):
+    """One batch twice, a batch that fails after staging and is run again, and one whose entries were lost."""
+    db, ns = namespace(spark)
+    sink = rd.RdbmsSink(db, ns)
+    log = decode_envelope(fx.logged(spark, fx.orders_messages(spark, sf_dir)))
+    written = []
+
+    def run(batch_id, part):
+        rows = route_physical(log.where(F.col("partition") == part), "rdbms")
+        written.append(sum(w.rows for w in fan_out(rows, sink, "orders", batch_id)))
+
+    def failing(of, name, when):
+        """The batch, with one step of it failing."""
+        step = getattr(of, name)
+        setattr(of, name, lambda *args: (_ for _ in ()).throw(OSError("lost")) if when(*args) else step(*args))
+        try:
+            run(1 if of is db else 2, 1 if of is db else 2)
+        except OSError:
+            written.append(-1)
+        finally:
+            setattr(of, name, step)
+
+    run(0, 0)
+    run(0, 0)
+    failing(db, "insert", lambda schema, table, frame: table != LEDGER)
+    run(1, 1)
+    failing(sink.ledger, "_add", lambda entries: "log_offset" in entries.columns and not entries.where("log_offset is not null").isEmpty())
+    run(2, 2)
+    run(3, 3)
+    runs = ",".join("all" if n > 0 else "none" if n == 0 else "lost" for n in written)
+    return spark.table(db.name(ns, "Orders")).select("o_orderkey", "o_orderstatus").withColumn("runs", F.lit(runs))
+
+
+RDBMS_REPLAY = """
+select o_orderkey::varchar as o_orderkey, o_orderstatus, 'all,none,lost,all,lost,none,all' as runs from orders
+"""
+
+
 def add_column_rdbms(spark, sf_dir):
     db, ns = namespace(spark)
     part = fx.table(spark, sf_dir, "part").select("p_partkey", "p_name")
@@ -235,6 +274,7 @@ from r
 QUERIES = {
     "fan_out_rdbms": (fan_out_rdbms, fx.sales_sql()),
     "rdbms_append": (rdbms_append, RDBMS_APPEND),
+    "rdbms_replay": (rdbms_replay, RDBMS_REPLAY),
     "rdbms_bulk_insert": (rdbms_bulk_insert, "select p_partkey, p_name, p_size, true as stamped from part"),
     "rdbms_catalog": (rdbms_catalog, RDBMS_CATALOG),
     "evidence_rdbms": (evidence_rdbms, EVIDENCE_RDBMS),

@@ -33,6 +33,7 @@ from rowlake.operators.evolve import (
 )
 from rowlake.operators.shape import drop_technical, quoted
 from rowlake.sources.lake import CATALOG_SCHEMA, SchemaMismatch, Written
+from rowlake.sources.ledger import LEDGER, Ledger
 
 # Fixed value: rows per insert.
 APPEND_BATCH = 5000
@@ -311,18 +312,23 @@ class Rdbms:
 class RdbmsSink:
     """One schema of a catalog as the target of a fan-out.
 
-    An insert cannot replace an earlier one, so a batch that is run again
-    after a failure inserts its rows again.
+    A batch that is run again inserts only rows that are not in yet, which the
+    ledger table of the schema knows. Without one (``ledger=None``) its rows
+    are inserted again.
     """
 
     backend = "rdbms"
 
-    def __init__(self, db: Rdbms, schema: str | None = None):
+    def __init__(self, db: Rdbms, schema: str | None = None, ledger: str | None = LEDGER):
         self.db = db
         self.spark = db.spark
         self.schema = schema or db.default_schema
+        self.ledger = Ledger(db, self.schema, ledger) if ledger else None
+        self.by_place = self.ledger is not None
 
     def prepare(self, table: str, inferred: Mapping[str, str], partition_by=()) -> Mapping[str, str]:
+        if self.ledger is not None and table == self.ledger.name:
+            raise ValueError(f"the name {table!r} is that of the ledger")
         if not self.db.exists(self.schema, table):
             schema = T.StructType([T.StructField(n, T.DataType.fromDDL(t)) for n, t in inferred.items()])
             self.db.create(self.schema, table, insertable(self.spark.createDataFrame([], schema)))
@@ -333,6 +339,10 @@ class RdbmsSink:
         return declared
 
     def write_rows(self, table, rows, columns, metrics, source, batch_id, rows_hint) -> Written:
+        if self.ledger is not None:
+            names = rows.select(*columns).columns
+            seen = self.ledger.write(table, rows, columns, names, metrics, source, batch_id)
+            return Written(table, seen["inserted"], seen.get("lost_values") or 0, skipped=bool(seen["rows"]) and not seen["inserted"])
         observed = observation("insert")
         counted = rows.observe(
             observed, F.count(F.lit(1)).alias("rows"), *[m.alias(n) for n, m in metrics.items()]
