@@ -8,7 +8,7 @@ from __future__ import annotations
 
 from collections.abc import Callable, Iterable, Iterator, Mapping
 from concurrent.futures import ThreadPoolExecutor
-from dataclasses import dataclass, field
+from dataclasses import dataclass, field, replace
 from itertools import islice
 from typing import Protocol
 
@@ -151,6 +151,11 @@ def inferred_types(profile: TableProfile, mode: str) -> dict[str, str]:
     return types
 
 
+def via_types(profile: TableProfile, mode: str) -> dict[str, str]:
+    """Columns whose JSON type gives their values a spelling of their own; none for logs of text."""
+    return {}
+
+
 def processing_time() -> Column:
     """The time of this batch, as text.
 
@@ -161,31 +166,14 @@ def processing_time() -> Column:
     return F.date_format(F.current_timestamp(), "yyyy-MM-dd'T'HH:mm:ss.SSSSSSXXX")
 
 
-def write_table(
-    sink: Sink, table: str, staged: DataFrame, profile: TableProfile, mode: str, source: str, batch_id: int,
-    keep_null_rows: bool = True, partition_by=(), zone: str | None = None, scattered: bool = False,
-    on_type_mismatch: str = "cast",
-) -> Written:
-    """The rows of one table, typed as declared, as one batch of that table.
+def typed_columns(
+    declared: Mapping[str, str], names: list[str], mode: str, via: Mapping[str, str]
+) -> tuple[list[Column], Column, list[Column]]:
+    """Of a frame with ``stamp`` and the text ``v0``, ``v1`` ... of the names: the declared columns, how many
+    values of a row do not fit them, and for each column the value that does not.
 
-    ``scattered`` says that the staged partitions hold all tables. The rows of
-    a small table are then filtered where they are and only those are moved;
-    joining partitions would move the whole batch to a few tasks.
+    ``via`` names the JSON type of a column's values, whose spelling they get.
     """
-    inferred = inferred_types(profile, mode)
-    check_columns(table, inferred)
-    declared = sink.prepare(table, inferred, partition_by)
-    rows = staged.where(F.col("table_name") == table)
-    if not keep_null_rows:
-        rows = rows.where(F.size("row") > 0)
-    names = [name for name in inferred if name != INGESTION_TIMESTAMP]
-    sent = F.col(INGESTION_TIMESTAMP)
-    stamp = sent.try_cast("timestamp") if mode == "stream" else normalize_timestamp(sent, zone)
-    # Text first, under plain names, so that the report below can compare it with its typed form.
-    kept = ["stamp", *POSITION] if on_type_mismatch == "reject" or getattr(sink, "by_place", False) else ["stamp"]
-    text = text_columns(rows.withColumn("stamp", stamp), names, kept, alias="v{}".format)
-    if scattered and profile.rows * len(inferred) < VALUES_PER_FILE:
-        text = text.repartition(file_count(profile.rows, len(inferred)))
     columns, lost, misfits = [], F.lit(0), []
     position = {name: f"v{i}" for i, name in enumerate(names)}
     for name, dtype in declared.items():
@@ -195,28 +183,153 @@ def write_table(
             columns.append(F.lit(None).cast(dtype).alias(name))
         else:
             value = F.col(position[name])
-            typed = typed_value(value, dtype, name, guard=mode == "stream")
+            spelled = value.try_cast(via[name]).cast("string") if name in via else value
+            typed = typed_value(spelled, dtype, name, guard=mode == "stream")
             columns.append(typed.alias(name))
             if dtype != "string" or typed is not value:
                 misfit = value.isNotNull() & typed.isNull()
-                lost = lost + F.count_if(misfit)
+                lost = lost + F.when(misfit, 1).otherwise(0)
                 misfits.append(F.when(misfit, F.struct(F.lit(name).alias("column_name"), value.alias("value"))))
-    if on_type_mismatch == "error" and misfits:
+    return columns, lost, misfits
+
+
+def stamp_column(mode: str, zone: str | None) -> Column:
+    sent = F.col(INGESTION_TIMESTAMP)
+    return sent.try_cast("timestamp") if mode == "stream" else normalize_timestamp(sent, zone)
+
+
+def misfit_error(table: str, found) -> SchemaMismatch:
+    return SchemaMismatch(f"table {table!r}: {found['value']!r} does not fit {found['column_name']!r}")
+
+
+def write_table(
+    sink: Sink, table: str, staged: DataFrame, profile: TableProfile, declared: Mapping[str, str], how: "How"
+) -> Written:
+    """The rows of one table, typed as declared, as one batch of that table.
+
+    ``how.scattered`` says that the staged partitions hold all tables. The rows of
+    a small table are then filtered where they are and only those are moved;
+    joining partitions would move the whole batch to a few tasks.
+    """
+    rows = staged.where(F.col("table_name") == table)
+    if not how.keep_null_rows:
+        rows = rows.where(F.size("row") > 0)
+    names = sorted(profile.columns)
+    # Text first, under plain names, so that the report below can compare it with its typed form.
+    kept = ["stamp", *POSITION] if how.on_type_mismatch == "reject" or getattr(sink, "by_place", False) else ["stamp"]
+    text = text_columns(rows.withColumn("stamp", stamp_column(how.mode, how.zone)), names, kept, alias="v{}".format)
+    if how.scattered and profile.rows * len(names) < VALUES_PER_FILE:
+        text = text.repartition(file_count(profile.rows, len(names)))
+    columns, lost, misfits = typed_columns(declared, names, how.mode, via_types(profile, how.mode))
+    if how.on_type_mismatch == "error" and misfits:
         found = text.select(F.coalesce(*misfits).alias("m")).where("m is not null").select("m.*").first()
         if found:
-            raise SchemaMismatch(f"table {table!r}: {found['value']!r} does not fit {found['column_name']!r}")
-    rows_hint = None if scattered else profile.rows
-    written = sink.write_rows(table, text, columns, {"lost_values": lost}, source, batch_id, rows_hint)
-    if on_type_mismatch == "reject" and written.lost_values:
-        entries = text.select(*POSITION, F.explode(F.array(*misfits)).alias("m")).where("m is not null")
-        names = rejects_of(table)
-        sink.prepare(names, REJECT_FIELDS)
-        columns = [F.col(c).cast(t).alias(c) for c, t in zip((*POSITION, "m.column_name", "m.value"), REJECT_FIELDS.values())]
-        renamed = [c.alias(n) for c, n in zip(columns, REJECT_FIELDS, strict=True)]
-        sink.write_rows(names, entries, renamed, {"lost_values": F.lit(0)}, source, batch_id, written.lost_values)
+            raise misfit_error(table, found)
+    rows_hint = None if how.scattered else profile.rows
+    written = sink.write_rows(table, text, columns, {"lost_values": F.sum(lost)}, how.source, how.batch_id, rows_hint)
+    if how.on_type_mismatch == "reject" and written.lost_values:
+        write_rejects(sink, table, text, misfits, written.lost_values, how)
     return written
 
 
+def write_rejects(sink: Sink, table: str, text: DataFrame, misfits: list[Column], lost: int, how: "How") -> None:
+    """The text of the values of a table that did not fit, in its table of rejects."""
+    entries = text.select(*POSITION, F.explode(F.array(*misfits)).alias("m")).where("m is not null")
+    names = rejects_of(table)
+    sink.prepare(names, REJECT_FIELDS)
+    columns = [F.col(c).cast(t).alias(c) for c, t in zip((*POSITION, "m.column_name", "m.value"), REJECT_FIELDS.values())]
+    renamed = [c.alias(n) for c, n in zip(columns, REJECT_FIELDS, strict=True)]
+    sink.write_rows(names, entries, renamed, {"lost_values": F.lit(0)}, how.source, how.batch_id, lost)
+
+
+def write_alike(
+    sink: Lake, tables: Mapping[str, TableProfile], staged: DataFrame, declared: Mapping[str, str], via: Mapping[str, str], how: "How"
+) -> list[Written]:
+    """Tables of equal declared columns, all with one write; each gets its own directory of it as its batch.
+
+    Rows are rebalanced on the table, so that small tables share a task and a
+    large one is split. Counts come from the footers of what was written. Only if
+    a value was lost does a second aggregate say in which tables.
+    """
+    rows = staged.where(F.col("table_name").isin(list(tables)))
+    if not how.keep_null_rows:
+        rows = rows.where(F.size("row") > 0)
+    names = sorted(name for name in declared if name != INGESTION_TIMESTAMP)
+    stamped = rows.withColumn("stamp", stamp_column(how.mode, how.zone))
+    text = text_columns(stamped, names, ["table_name", "stamp", *POSITION], alias="v{}".format)
+    columns, lost, misfits = typed_columns(declared, names, how.mode, via)
+    failed: list[Written] = []
+    if how.on_type_mismatch == "error" and misfits:
+        found = text.select("table_name", F.coalesce(*misfits).alias("m")).where("m is not null").groupBy("table_name")
+        for row in found.agg(F.first("m").alias("m")).collect():
+            error = misfit_error(row["table_name"], row["m"])
+            failed.append(Written(row["table_name"], 0, error=str(error), cause=error))
+    left = [t for t in tables if t not in {w.table_name for w in failed}]
+    if not left:
+        return failed
+    if failed:
+        text = text.where(F.col("table_name").isin(left))
+    seen = observation("tables")
+    out = text.observe(seen, F.sum(lost).alias("lost")).select("table_name", *columns)
+    if how.scattered:
+        out = out.hint("rebalance", "table_name")
+    written = sink.write_tables(left, out, how.source, how.batch_id, how.writers)
+    if taken(seen).get("lost"):
+        of_table = text.groupBy("table_name").agg(F.sum(lost).alias("lost")).where("lost > 0")
+        lost_in = {r["table_name"]: r["lost"] for r in of_table.collect()}
+        written = [replace(w, lost_values=lost_in.get(w.table_name, 0)) for w in written]
+        if how.on_type_mismatch == "reject":
+            for table, n in sorted(lost_in.items()):
+                write_rejects(sink, table, text.where(F.col("table_name") == table), misfits, n, how)
+    return failed + written
+
+
+@dataclass(frozen=True)
+class How:
+    """What is the same for all tables of a fan-out."""
+
+    mode: str
+    source: str
+    batch_id: int
+    keep_null_rows: bool = True
+    partition_by: tuple[str, ...] = ()
+    zone: str | None = None
+    scattered: bool = False
+    on_type_mismatch: str = "cast"
+    writers: int = 8
+
+
+def write_page(sink: Sink, staged: DataFrame, profiles: Mapping[str, TableProfile], how: How) -> list[Written]:
+    """The tables of a page: those of equal declared columns together where the sink can, all others one by one."""
+    ready: dict[str, Mapping[str, str]] = {}
+
+    def prepare(table: str) -> Written:
+        inferred = inferred_types(profiles[table], how.mode)
+        check_columns(table, inferred)
+        ready[table] = sink.prepare(table, inferred, how.partition_by)
+        return Written(table, 0)
+
+    refused = [w for w in for_each_table(sink.spark, profiles, prepare, how.writers) if w.error]
+    alike: dict[tuple, list[str]] = {}
+    for table in sorted(ready):
+        together = hasattr(sink, "write_tables") and not how.partition_by
+        key = (*ready[table].items(), *via_types(profiles[table], how.mode).items()) if together else (table,)
+        alike.setdefault(key, []).append(table)
+    single = [own[0] for own in alike.values() if len(own) == 1]
+    written = for_each_table(
+        sink.spark, single, lambda table: write_table(sink, table, staged, profiles[table], ready[table], how), how.writers
+    )
+    for own in alike.values():
+        if len(own) > 1:
+            try:
+                written += write_alike(
+                    sink, {t: profiles[t] for t in own}, staged, ready[own[0]], via_types(profiles[own[0]], how.mode), how
+                )
+            except Exception as error:  # other groups are still written
+                written += [Written(t, 0, error=str(error), cause=error) for t in own]
+    return sorted(refused + written, key=lambda w: w.table_name)
+
+
 # Where a value came from, and the columns of a table's rejects.
 POSITION = ("partition", "offset", "pos")
 REJECT_FIELDS = {"partition": "int", "offset": "bigint", "pos": "int", "column_name": "string", "value": "string"}
@@ -289,20 +402,15 @@ def fan_out(
         rows = rows.withColumn(INGESTION_TIMESTAMP, processing_time())
     if on_type_mismatch not in ("cast", "error", "reject"):
         raise ValueError(f"unknown on_type_mismatch {on_type_mismatch!r}")
+    how = How(
+        mode, source, batch_id, keep_null_rows, tuple(partition_by), zone, staging == "cache", on_type_mismatch, limits.writers
+    )
     staged, release = staged_rows(rows, staging)
     written: list[Written] = []
     try:
         for page in profile_pages(staged, limits):
             profiles = {t: p for t, p in page.items() if p.columns or (mode == "bulk" and p.rows)}
-            written += for_each_table(
-                sink.spark,
-                profiles,
-                lambda table, of=profiles: write_table(
-                    sink, table, staged, of[table], mode, source, batch_id, keep_null_rows, partition_by, zone,
-                    scattered=staging == "cache", on_type_mismatch=on_type_mismatch,
-                ),
-                limits.writers,
-            )
+            written += write_page(sink, staged, profiles, how)
     finally:
         release()
     return settled(written, on_error)

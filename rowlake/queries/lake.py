@@ -122,6 +122,17 @@ def append_twice(spark, sf_dir):
     return lake.scan("part")
 
 
+def late_batch(spark, sf_dir):
+    """Batches that come in any order around a rewrite: written ones are not added again, late ones are added."""
+    part = fx.table(spark, sf_dir, "part").select("p_partkey", "p_size")
+    lake = fx.new_lake(spark)
+    append = lambda i: lake.append("part", part.where(F.col("p_partkey") % 5 == i), "sales", i)
+    append(1), append(4)
+    lake.rewrite("part", {"p_partkey": F.col("p_partkey"), "p_size": F.col("p_size").cast("bigint")})
+    skipped = [append(i).skipped for i in (0, 1, 3, 4, 2)]
+    return lake.scan("part").withColumn("skipped", F.lit(",".join(map(str, skipped))))
+
+
 def write_path(spark, sf_dir):
     """Where a frame goes by a name, by a directory, and by both."""
     nation = fx.table(spark, sf_dir, "nation").select("n_nationkey", "n_name")
@@ -137,6 +148,9 @@ select n_nationkey, n_name, 'nation_list' as tables from nation, (values (1), (2
 """
 
 QUERIES = {
+    "late_batch": (
+        late_batch, "select p_partkey, p_size::bigint as p_size, 'False,True,False,True,False' as skipped from part",
+    ),
     "append_twice": (append_twice, "select p_partkey, p_size::bigint as p_size from part"),
     "write_path": (write_path, WRITE_PATH),
     "lake_scan": (lake_scan, LAKE_SCAN),

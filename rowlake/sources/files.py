@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from functools import lru_cache
+
 from pyspark.sql import SparkSession
 
 # Characters that a path pattern or a path parser would read as something else.
@@ -13,8 +15,15 @@ def safe_segment(name: str) -> str:
     return "".join(f"%{ord(ch):02X}" if ch in UNSAFE else ch for ch in name)
 
 
+@lru_cache(maxsize=4)
+def _java(jvm) -> tuple:
+    """The classes used here; finding one by its name takes several calls, which many tables would repeat."""
+    hadoop = jvm.org.apache.hadoop.fs
+    return hadoop.Path, jvm.org.apache.commons.io.IOUtils, hadoop.FileContext, hadoop.Options.Rename
+
+
 def _path(spark: SparkSession, path: str):
-    return spark._jvm.org.apache.hadoop.fs.Path(path)
+    return _java(spark._jvm)[0](path)
 
 
 def _fs(spark: SparkSession, path):
@@ -40,6 +49,15 @@ def delete(spark: SparkSession, path: str) -> None:
     _fs(spark, target).delete(target, True)
 
 
+def rename(spark: SparkSession, path: str, to: str) -> None:
+    """Give a folder another place, which must be free; folders above it are made."""
+    source, target = _path(spark, path), _path(spark, to)
+    fs = _fs(spark, target)
+    fs.mkdirs(target.getParent())
+    if not fs.rename(source, target):
+        raise OSError(f"could not rename {path} to {to}")
+
+
 def matching(spark: SparkSession, pattern: str) -> list[str]:
     """The paths that match a pattern."""
     target = _path(spark, pattern)
@@ -53,7 +71,7 @@ def read_text(spark: SparkSession, path: str) -> str | None:
         return None
     stream = fs.open(target)
     try:
-        return spark._jvm.org.apache.commons.io.IOUtils.toString(stream, "UTF-8")
+        return _java(spark._jvm)[1].toString(stream, "UTF-8")
     finally:
         stream.close()
 
@@ -67,11 +85,10 @@ def replace_text(spark: SparkSession, path: str, text: str) -> None:
         stream.write(bytearray(text.encode("utf-8")))
     finally:
         stream.close()
-    jvm = spark._jvm
-    rename = jvm.org.apache.hadoop.fs.Options.Rename
+    _, _, file_context, rename = _java(spark._jvm)
     options = spark.sparkContext._gateway.new_array(rename, 1)
     options[0] = rename.OVERWRITE
-    context = jvm.org.apache.hadoop.fs.FileContext.getFileContext(
+    context = file_context.getFileContext(
         target.makeQualified(fs.getUri(), fs.getWorkingDirectory()).toUri(), spark._jsc.hadoopConfiguration()
     )
     context.rename(part, target, options)

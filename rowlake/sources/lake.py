@@ -12,14 +12,17 @@ per table at a time.
 
 from __future__ import annotations
 
+import hashlib
 import json
 import math
 import re
 import uuid
-from collections.abc import Mapping
+from collections.abc import Iterable, Mapping
+from concurrent.futures import ThreadPoolExecutor
 from dataclasses import asdict, dataclass, field, replace
 from pathlib import PurePosixPath
 
+from pyspark import inheritable_thread_target
 from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
 
 from rowlake.metrics import observation, taken
@@ -55,7 +58,7 @@ class TableState:
     fields: dict[str, str]
     generation: int = 0
     dropped: list[str] = field(default_factory=list)
-    merged: dict[str, int] = field(default_factory=dict)
+    merged: dict[str, list[list[int]]] = field(default_factory=dict)
     partition_by: list[str] = field(default_factory=list)
 
     def to_json(self) -> str:
@@ -68,6 +71,8 @@ class TableState:
         body = json.loads(text)
         body.pop("table_name", None)
         body["fields"] = {f["name"]: f["type"] for f in body["fields"]}
+        # Older files hold the highest id alone.
+        body["merged"] = {s: [[0, ids]] if isinstance(ids, int) else ids for s, ids in body["merged"].items()}
         return TableState(**body)
 
     def schema(self) -> T.StructType:
@@ -75,6 +80,29 @@ class TableState:
             [T.StructField(n, T.DataType.fromDDL(t)) for n, t in self.fields.items()]
         )
 
+    def has(self, source: str, batch_id: int) -> bool:
+        """Whether the rows of a batch are in the table under no name of their own any more."""
+        return any(low <= batch_id <= high for low, high in self.merged.get(files.safe_segment(source), []))
+
+
+def with_ids(merged: Mapping[str, list[list[int]]], batches: Iterable[str]) -> dict[str, list[list[int]]]:
+    """Batch ids by source, as ranges of consecutive ones, with those of more batch directories."""
+    ids: dict[str, list[list[int]]] = {source: [list(r) for r in ranges] for source, ranges in merged.items()}
+    for name in batches:
+        source, batch_id = BATCH_NAME.fullmatch(name).groups()
+        if not source.startswith(ONCE):
+            ids.setdefault(source, []).append([int(batch_id)] * 2)
+    out: dict[str, list[list[int]]] = {}
+    for source, ranges in ids.items():
+        joined: list[list[int]] = []
+        for low, high in sorted(ranges):
+            if joined and low <= joined[-1][1] + 1:
+                joined[-1][1] = max(joined[-1][1], high)
+            else:
+                joined.append([low, high])
+        out[source] = joined
+    return out
+
 
 @dataclass(frozen=True)
 class Written:
@@ -279,7 +307,7 @@ class Lake:
     def write_batch(self, table, state, df, columns, metrics, source, batch_id, rows_hint=None) -> Written:
         """Write ``df.select(columns)`` as one batch directory; count in the same job."""
         source, batch_id = identity(source, batch_id)
-        if batch_id <= state.merged.get(files.safe_segment(source), -1):
+        if state.has(source, batch_id):
             return Written(table, 0, skipped=True)
         observed = observation("append")
         out = df.observe(
@@ -295,6 +323,44 @@ class Lake:
         seen = taken(observed)
         return Written(table, seen.get("rows", 0), seen.get("lost_values") or 0)
 
+    def write_tables(self, tables, rows, source, batch_id, writers: int = 8) -> list[Written]:
+        """One batch of many tables by one write of ``rows``, which has ``table_name`` and the columns of them all.
+
+        Spark writes a directory per table; each is then renamed to be the
+        table's batch, as Spark's own committers do with files. A batch that
+        stops in between is run again as a whole.
+        """
+        spark = self.spark
+        source, batch_id = identity(source, batch_id)
+        states = {table: self.required(table) for table in tables}
+        open_ = [t for t, state in states.items() if not state.has(source, batch_id)]
+        skipped = [Written(t, 0, skipped=True) for t in tables if t not in open_]
+        if not open_:
+            return skipped
+        if skipped:
+            rows = rows.where(F.col("table_name").isin(open_))
+        # A digest names the directories, whatever characters and length a name has.
+        column = "_rowlake_table"
+        folder = f"{self.root}/{RESERVED}/tables/{uuid.uuid4().hex}"
+        # No one reads the folder before it is whole, so tasks may put their files in place themselves.
+        writer = rows.withColumn(column, F.md5("table_name")).drop("table_name").write.partitionBy(column)
+        writer.option("mapreduce.fileoutputcommitter.algorithm.version", "2").parquet(folder)
+        counted = spark.read.schema(f"{column} string").parquet(folder).groupBy(column).count().collect()
+        counts = {r[column]: r["count"] for r in counted}
+
+        def take(table: str) -> Written:
+            own = hashlib.md5(table.encode()).hexdigest()
+            batch = f"{self.path(table)}/g{states[table].generation}/batch={files.safe_segment(source)}-{batch_id}"
+            files.delete(spark, batch)
+            if own in counts:
+                files.rename(spark, f"{folder}/{column}={own}", batch)
+            return Written(table, counts.get(own, 0))
+
+        with ThreadPoolExecutor(max_workers=max(1, writers)) as pool:
+            written = list(pool.map(inheritable_thread_target(spark)(take), open_))
+        files.delete(spark, folder)
+        return skipped + written
+
     # -- schema changes ----------------------------------------------------
 
     def declare(self, table: str, fields: Mapping[str, str]) -> None:
@@ -312,12 +378,7 @@ class Lake:
         generations stay for readers that have begun, until a purge or :meth:`vacuum`.
         """
         state = self.required(table)
-        merged = dict(state.merged)
-        for name in self._batches(table, state):
-            source, batch_id = BATCH_NAME.fullmatch(name).groups()
-            if source.startswith(ONCE):
-                continue
-            merged[source] = max(merged.get(source, -1), int(batch_id))
+        merged = with_ids(state.merged, self._batches(table, state))
         current = self.scan(table)
         out = current.select(*[column.alias(name) for name, column in columns.items()])
         fields = dict(out.dtypes)

@@ -331,3 +331,39 @@ def test_times_without_an_offset(spark, lake):
     bulk.bulk_ingest(batch, lake, "bulk", zone="Europe/Vienna")
     found = lake.scan("a").select("k", F.date_format("ingestion_timestamp", "yyyy-MM-dd HH:mm")).collect()
     assert sorted(map(tuple, found)) == [("1", "2024-07-01 08:00"), ("2", "2024-07-01 10:00"), ("3", "2024-06-30 22:00")]
+
+
+def test_tables_of_equal_columns_share_one_write(spark, lake, monkeypatch):
+    names = ["t a", "t'b", "T=c", "0012", "x?y*z", "l" * 120, "ü"]
+    batch = lambda value: routed(log(spark, *[envelope(f"{n}.csv", {"k": f"{n} {value}", "d": "2024-01-01"}, None) for n in names], envelope("own.csv", {"q": value})))
+    writes, write = [], Lake.write_tables
+    monkeypatch.setattr(Lake, "write_tables", lambda self, tables, *a: (writes.append(sorted(tables)), write(self, tables, *a))[1])
+    for staging in ("cache", "table"):
+        for value in ("1", "2"):  # the second replaces the first
+            written = fan_out(batch(value), lake, staging, 0, staging=staging)
+            assert [w.rows for w in written if w.table_name != "own"] == [2] * 7
+            if value == "1":
+                fan_out(batch("other"), lake, staging, 1, staging=staging)
+    assert len(writes) == 6 and all(len(w) == 7 for w in writes)
+    for name in sorted(t for t in lake.table_names() if t != "own"):
+        table = writes[0][[lake.path(t).rsplit("/", 1)[1] for t in writes[0]].index(name)]
+        found = [r.k for r in lake.scan(table).select("k").collect()]
+        assert sorted(x.rsplit(" ", 1)[1] for x in found if x) == ["2", "2", "other", "other"] and found.count(None) == 4
+    assert fan_out(batch("3"), lake, "c", 0, keep_null_rows=False)[0].rows == 1
+
+
+def test_tables_written_together_keep_their_own_reports(spark, lake):
+    fan_out(routed(log(spark, *[envelope(f"{t}.csv", {"k": "2024-01-01"}) for t in "abcd"])), lake, "s", 0)
+    lake.rewrite("c", {c: F.col(c) for c in lake.scan("c").columns})
+    lake.append("e", spark.createDataFrame([("x",)], "other string"))
+    odd = routed(log(spark, envelope("a.csv", {"k": "no"}, {"k": "2024-02-02"}), envelope("b.csv", {"k": "2024-03-03"}), envelope("d.csv", {"k": "odd"}), envelope("e.csv", {"k": "1"})))
+    with pytest.raises(TableErrors) as raised:
+        fan_out(odd, lake, "s", 1, on_type_mismatch="error")
+    assert [w.table_name for w in raised.value.failed] == ["a", "d", "e"]
+    assert content(lake, "a", "k") == content(lake, "d", "k") and len(content(lake, "b", "k")) == 2
+    reports = fan_out(odd, lake, "s", 2, on_type_mismatch="reject", on_error="report")
+    assert [(w.table_name, w.rows, w.lost_values, bool(w.error)) for w in reports] == [("a", 2, 1, False), ("b", 1, 0, False), ("d", 1, 1, False), ("e", 0, 0, True)]
+    assert content(lake, rejects_of("a"), "pos", "value") == [(0, "no")] and content(lake, rejects_of("d"), "value") == [("odd",)]
+    again = fan_out(routed(log(spark, *[envelope(f"{t}.csv", {"k": "2024-01-01"}) for t in "abcd"])), lake, "s", 0)
+    assert [(w.table_name, w.rows, w.skipped) for w in again] == [("a", 1, False), ("b", 1, False), ("c", 0, True), ("d", 1, False)]
+    assert len(content(lake, "c", "k")) == 1 and len(content(lake, "b", "k")) == 3

@@ -2,7 +2,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from rowlake.functions.naming import physical_table_name
-from rowlake.sources.lake import SchemaMismatch, file_count
+from rowlake.sources.lake import SchemaMismatch, TableState, file_count
 
 
 def frame(spark, *rows, schema="id int, name string"):
@@ -45,12 +45,24 @@ def test_replay_after_rewrite_is_skipped(spark, lake):
     assert lake.append("t", frame(spark, (1, "a")), "s", 0).skipped
     lake.append("t", frame(spark, (2, "b")), "s", 1)
     assert content(lake, "t") == [(1, "A"), (2, "b")]
-    assert lake.state("t").generation == 1 and lake.state("t").merged == {"s": 0}
+    assert lake.state("t").generation == 1 and lake.state("t").merged == {"s": [[0, 0]]}
     lake.rewrite("t", {"id": F.col("id")})
-    assert lake.state("t").merged == {"s": 1}
+    assert lake.state("t").merged == {"s": [[0, 1]]}
     assert content(lake, "t") == [(1,), (2,)]
 
 
+def test_a_late_batch_after_a_rewrite_is_written(spark, lake):
+    for batch_id in (5, 7, 6, 9):
+        lake.append("t", frame(spark, (batch_id, "a")), "s", batch_id)
+    lake.rewrite("t", {"id": F.col("id"), "name": F.col("name")})
+    assert lake.state("t").merged == {"s": [[5, 7], [9, 9]]}
+    assert [lake.append("t", frame(spark, (i, "a")), "s", i).skipped for i in (3, 6, 8, 9)] == [False, True, False, True]
+    assert content(lake, "t") == [(i, "a") for i in (3, 5, 6, 7, 8, 9)]
+    lake.rewrite("t", {"id": F.col("id")})
+    assert lake.state("t").merged == {"s": [[3, 3], [5, 9]]}
+    assert TableState.from_json(lake.state("t").to_json().replace("[[3, 3], [5, 9]]", "4")).merged == {"s": [[0, 4]]}
+
+
 def test_rewrite_of_an_empty_table(spark, lake):
     lake.ensure("t", {"id": "int"})
     assert content(lake, "t") == []
