@@ -115,12 +115,11 @@ def materialized_columns(rows: DataFrame, excluded=FILE_COLUMNS) -> DataFrame:
     )
 
 
-def infer_types(rows: DataFrame, excluded=FILE_COLUMNS) -> DataFrame:
-    """Per table and column the type of the first value, for JSON typed rows.
-
-    ``mixed`` says that later values belong to another family of types.
-    """
-    label, text = F.col("label"), F.col("text")
+def typed_entry(value: Column) -> Column:
+    """Of a JSON value: its text, and the code of its type; NULL for null and for the empty text, which T1 passes over."""
+    # The label is read once per value; the text of strings tells dates from others.
+    label = F.schema_of_variant(value)
+    text = F.try_variant_get(value, "$", "string")
     kind = (
         F.when(label == "VOID", None)
         .when(label == "STRING", F.when(text == "", None).when(looks_like_date(text), _DATE).otherwise(_STRING))
@@ -129,21 +128,44 @@ def infer_types(rows: DataFrame, excluded=FILE_COLUMNS) -> DataFrame:
         .when(label.startswith("DECIMAL") | label.isin("DOUBLE", "FLOAT"), FIRST_TYPES.index("DOUBLE"))
         .otherwise(_STRING)
     )
-    # The label is read once per value; the text only of strings.
-    labelled = (
-        _entries(rows, excluded, arrival_key())
-        .where(F.col("column_name").isNotNull())
-        .withColumn("label", F.expr("schema_of_variant(value)"))
-        .withColumn("text", F.when(label == "STRING", F.expr("try_variant_get(value, '$', 'string')")))
-    )
-    typed = labelled.select("table_name", "column_name", "arrival", kind.alias("kind"))
+    return F.struct(text.alias("text"), kind.cast("int").alias("kind"))
+
+
+def _types(entries: DataFrame, *more: Column) -> DataFrame:
+    """T1 by table and column of entries with ``arrival`` and ``kind``, and further aggregates of them."""
     names = F.array(*[F.lit(name) for name in FIRST_TYPES])
     family = F.least(F.col("kind"), F.lit(_DATE))
-    first = typed.groupBy("table_name", "column_name").agg(
+    first = entries.groupBy("table_name", "column_name").agg(
         F.coalesce(_first_code(F.col("kind"), F.col("kind")), F.lit(_STRING)).alias("first_code"),
         F.coalesce(F.min(family) < F.max(family), F.lit(False)).alias("mixed"),
+        *more,
+    )
+    return first.withColumn("type", F.get(names, F.col("first_code"))).drop("first_code")
+
+
+def infer_types(rows: DataFrame, excluded=FILE_COLUMNS) -> DataFrame:
+    """Per table and column the type of the first value, for JSON typed rows.
+
+    ``mixed`` says that later values belong to another family of types.
+    """
+    entries = _entries(rows, excluded, arrival_key()).where(F.col("column_name").isNotNull())
+    typed = entries.withColumn("entry", typed_entry(F.col("value")))
+    return _types(typed.withColumn("kind", F.col("entry.kind"))).select("table_name", "column_name", "type", "mixed")
+
+
+def profile_typed(rows: DataFrame, excluded=FILE_COLUMNS) -> DataFrame:
+    """T1 and T6 of all tables in one grouped pass, for rows whose values are typed entries.
+
+    As :func:`profile_columns`, with the first type and ``mixed``; an entry with
+    a NULL column keeps tables without columns visible.
+    """
+    text = F.col("value.text")
+    entries = _entries(rows, excluded, arrival_key()).withColumns({"kind": F.col("value.kind"), "text": blank_to_null(text)})
+    profile = _types(
+        entries, F.count_if("is_row").alias("rows"), F.count("text").alias("non_null"),
+        F.count_if(looks_like_date(F.col("text"))).alias("date_hits"),
     )
-    return first.select("table_name", "column_name", F.get(names, F.col("first_code")).alias("type"), "mixed")
+    return profile.withColumn("first_is_date", F.col("type") == FIRST_TYPES[_DATE])
 
 
 def date_like_columns(columns: DataFrame) -> DataFrame:

@@ -22,7 +22,7 @@ from rowlake.functions.values import (
     normalize_timestamp,
     to_date,
 )
-from rowlake.operators.profile import date_shares, infer_types
+from rowlake.operators.profile import date_shares, infer_types, typed_entry
 from rowlake.sources.envelope import FILE_COLUMNS, INGESTION_TIMESTAMP, accept_row_or_data
 
 # Columns that never reach a table, and the share of dates that makes a date column.
@@ -56,6 +56,15 @@ def route_physical(batch: DataFrame, backend: str = "lake") -> DataFrame:
     return fill_rows(accept_row_or_data(name_table(batch).withColumn("table_name", physical)))
 
 
+def route_typed(batch: DataFrame, backend: str = "lake") -> DataFrame:
+    """H1 for JSON typed envelopes: each value is a typed entry, its text with the code of its type."""
+    physical = physical_table_name(F.col("table_name"), backend)
+    rows = accept_row_or_data(name_table(batch).withColumn("table_name", physical))
+    entries = F.transform_values("row", lambda _, value: typed_entry(value))
+    none = F.from_json(F.lit("{}"), "map<string,struct<text:string,kind:int>>")
+    return rows.withColumn("row", F.coalesce(entries, none))
+
+
 def check_columns(table: str, columns: Iterable[str]) -> None:
     """Two names that differ only by case cannot share a table."""
     seen: dict[str, str] = {}

@@ -4,25 +4,14 @@ from __future__ import annotations
 
 import json
 from dataclasses import asdict, dataclass, field
-from itertools import islice
 
-from pyspark import StorageLevel
 from pyspark.sql import DataFrame, functions as F
 
-from rowlake.functions.naming import physical_table_name
 from rowlake.metrics import observation, taken
-from rowlake.operators.shape import (
-    detect_dates,
-    final_projection,
-    name_table,
-    normalize_ingestion_timestamp,
-    route_physical,
-    stringify,
-    typed_frame,
-)
-from rowlake.plans.fanout import Limits, Sink, fan_out, for_each_table, settled
+from rowlake.operators.shape import route_physical, route_typed
+from rowlake.plans.fanout import Limits, Sink, fan_out
 from rowlake.sources import files
-from rowlake.sources.envelope import INGESTION_TIMESTAMP, decode_envelope, decode_envelope_typed, explode_rows
+from rowlake.sources.envelope import decode_envelope, decode_envelope_typed, decode_messages_typed
 from rowlake.sources.lake import RESERVED, Lake, Written
 from rowlake.sources.messages import drain_ranges, offset_bounds, open_bounds, within_ranges
 
@@ -100,6 +89,7 @@ def bulk_ingest(
     zone: str | None = None,
     log_name: str | None = None,
     ends: DataFrame | None = None,
+    typed: bool = False,
     **options,
 ) -> Drained:
     """Drain what is buffered beyond the committed offsets into the lake tables.
@@ -114,6 +104,7 @@ def bulk_ingest(
     log unless the caller knows them, or knows the ``ends`` (partition,
     first_offset, end_offset), as a broker does. Tables go to the lake that
     keeps the offsets, or to ``sink``; ``options`` are those of ``fan_out``.
+    With ``typed`` the JSON types of values count (T1), as in :func:`typed_ingest`.
     Both stagings have the same result; ``auto`` takes the cache for small scans.
     """
     sink = sink or lake
@@ -132,43 +123,32 @@ def bulk_ingest(
         state.write(lake, source)
     ranges = state.planned
     seen = observation("drain")
-    envelopes = decode_envelope(within_ranges(messages, ranges)).observe(
+    decode, route = (decode_messages_typed, route_typed) if typed else (decode_envelope, route_physical)
+    envelopes = decode(within_ranges(messages, ranges)).observe(
         seen, F.count(F.lit(1)).alias("messages"), F.count_if("malformed").alias("malformed")
     )
-    rows = route_physical(envelopes.where("size(data) > 0"), sink.backend)
+    rows = route(envelopes.where("size(data) > 0"), sink.backend)
     if staging == "auto":
         staging = "cache" if scan_bytes(within_ranges(messages, ranges)) <= CACHED_BYTES else "table"
-    written = fan_out(rows, sink, source, drain_id, mode="bulk", staging=staging, limits=limits, zone=zone, **options)
+    mode = "typed" if typed else "bulk"
+    written = fan_out(rows, sink, source, drain_id, mode=mode, staging=staging, limits=limits, zone=zone, **options)
     commit_offsets(lake, source)
     counts = taken(seen)
     return Drained(written, ranges, counts.get("messages", 0), counts.get("malformed", 0))
 
 
 def typed_ingest(
-    messages: DataFrame, lake: Lake, source: str, batch_id: int, limits: Limits = Limits(), zone: str | None = None
+    messages: DataFrame, lake: Lake, source: str, batch_id: int, limits: Limits = Limits(), zone: str | None = None, **options
 ) -> list[Written]:
-    """P2 for logs with JSON types: S2, D2, T2, T7, T6, H7 for each table of a bounded batch.
+    """P2 for logs with JSON types: S2, D2, T1, T2, T7, T6, H7 for all tables of a bounded batch.
 
     Columns have the type of their first value, text columns of dates become
-    dates, and all else is stored as text. Tables are taken a page at a time.
+    dates, and all else is stored as text. The types of all tables come from one
+    grouped pass over the staged rows. ``bulk_ingest(typed=True)`` does the same
+    from the committed offsets on.
     """
-    envelopes = name_table(decode_envelope_typed(messages))
-    named = envelopes.withColumn("table_name", physical_table_name(F.col("table_name")))
-    rows = explode_rows(named).where(F.col("row").isNotNull()).persist(StorageLevel.MEMORY_AND_DISK)
-    written: list[Written] = []
-
-    def write(table: str) -> Written:
-        own = rows.where(F.col("table_name") == table)
-        frame = detect_dates(normalize_ingestion_timestamp(typed_frame(own, [INGESTION_TIMESTAMP]), zone))
-        return lake.append(table, final_projection(stringify(frame)), source, batch_id)
-
-    try:
-        names = (r["table_name"] for r in rows.select("table_name").distinct().orderBy("table_name").toLocalIterator())
-        while page := list(islice(names, limits.page_tables)):
-            written += for_each_table(lake.spark, page, write, limits.writers)
-    finally:
-        rows.unpersist()
-    return settled(written, "raise")
+    rows = route_typed(decode_envelope_typed(messages).where(F.size("data") > 0))
+    return fan_out(rows, lake, source, batch_id, "typed", **{"staging": "table", "limits": limits, "zone": zone, **options})
 
 
 def scan_bytes(frame: DataFrame) -> int:

@@ -19,7 +19,7 @@ from rowlake import workspace
 from rowlake.metrics import observation, taken
 from rowlake.functions.naming import logical_table_name, physical_table_name
 from rowlake.functions.values import normalize_timestamp
-from rowlake.operators.profile import packable, profile_columns
+from rowlake.operators.profile import packable, profile_columns, profile_typed
 from rowlake.operators.shape import (
     MIN_DATE_SHARE,
     check_columns,
@@ -31,12 +31,6 @@ from rowlake.sources import files
 from rowlake.sources.envelope import FILE_COLUMNS, INGESTION_TIMESTAMP
 from rowlake.sources.lake import VALUES_PER_FILE, Lake, SchemaMismatch, Written, file_count, identity
 
-STAGED_SCHEMA = (
-    "partition int, offset bigint, pos int, ingestion_timestamp string, "
-    "row map<string,string>, table_name string"
-)
-
-
 class Sink(Protocol):
     """Where tables live: a ``Lake``, or an ``RdbmsSink``."""
 
@@ -88,7 +82,7 @@ def staged_rows(rows: DataFrame, how: str) -> tuple[DataFrame, Callable[[], None
         return cached, lambda: cached.unpersist()
     if how not in ("table", "local"):
         raise ValueError(f"unknown staging {how!r}")
-    return by_table(kept, STAGED_SCHEMA, rebalance=how == "table")
+    return by_table(kept, kept.schema, rebalance=how == "table")
 
 
 def by_table(rows: DataFrame, schema, rebalance: bool = True) -> tuple[DataFrame, Callable[[], None]]:
@@ -106,18 +100,22 @@ def by_table(rows: DataFrame, schema, rebalance: bool = True) -> tuple[DataFrame
     return spark.read.schema(schema).parquet(folder), lambda: files.delete(spark, folder)
 
 
-def profile_pages(staged: DataFrame, limits: Limits = Limits()) -> Iterator[dict[str, TableProfile]]:
+def profile_pages(staged: DataFrame, limits: Limits = Limits(), typed: bool = False) -> Iterator[dict[str, TableProfile]]:
     """The profile of every table of the batch, a page of tables at a time.
 
     One job makes it, with one row per column; the driver reads it in the
-    order of tables and holds a page and one partition of it.
+    order of tables and holds a page and one partition of it. ``typed`` rows
+    hold typed entries (T1).
     """
     excluded = (*FILE_COLUMNS, INGESTION_TIMESTAMP)
-    seen = observation("profile")
-    profile = profile_columns(staged.observe(seen, packable().alias("packable")), excluded, packed=True).persist()
-    if profile.count() and not taken(seen)["packable"]:
-        profile.unpersist()
-        profile = profile_columns(staged, excluded).persist()
+    if typed:
+        profile = profile_typed(staged, excluded).persist()
+    else:
+        seen = observation("profile")
+        profile = profile_columns(staged.observe(seen, packable().alias("packable")), excluded, packed=True).persist()
+        if profile.count() and not taken(seen)["packable"]:
+            profile.unpersist()
+            profile = profile_columns(staged, excluded).persist()
     try:
         page: dict[str, TableProfile] = {}
         for entry in profile.orderBy("table_name").toLocalIterator():
@@ -139,21 +137,28 @@ def inferred_types(profile: TableProfile, mode: str) -> dict[str, str]:
     """The column types of a new table, in final order.
 
     A column is a date if its first value is one; in bulk mode also if nearly
-    all of its values are.
+    all of its values are, in typed mode if it is a text column of which that holds.
     """
     types = {}
+    via = via_types(profile, mode)
     for name in sorted(profile.columns):
         entry = profile.columns[name]
         share = entry["date_hits"] / entry["non_null"] if entry["non_null"] else 0.0
-        is_date = entry["first_is_date"] or (mode == "bulk" and share >= MIN_DATE_SHARE)
-        types[name] = "date" if is_date else "string"
+        by_share = mode != "stream" and name not in via and share >= MIN_DATE_SHARE
+        types[name] = "date" if entry["first_is_date"] or by_share else "string"
     types[INGESTION_TIMESTAMP] = "timestamp"
     return types
 
 
 def via_types(profile: TableProfile, mode: str) -> dict[str, str]:
-    """Columns whose JSON type gives their values a spelling of their own; none for logs of text."""
-    return {}
+    """The number and truth columns of typed rows; their text is that of their type.
+
+    One that also holds other values is text, so that no value is lost.
+    """
+    if mode != "typed":
+        return {}
+    kept = {name: entry["type"].lower() for name, entry in profile.columns.items() if not entry["mixed"]}
+    return {name: kind for name, kind in sorted(kept.items()) if kind in ("boolean", "bigint", "double")}
 
 
 def processing_time() -> Column:
@@ -390,7 +395,9 @@ def fan_out(
 
     In stream mode a table without keys in this batch is skipped and a NULL
     row of any other table is a row of NULLs (H8). In bulk mode the ingestion
-    timestamp is a key of every row, so no table is without keys.
+    timestamp is a key of every row, so no table is without keys. In typed mode,
+    for the rows of ``route_typed``, columns have the type of their first value
+    (T1), and what is no date is stored as its text (H7).
 
     A table that fails does not keep others from being written. Afterwards its
     error is raised, or with ``on_error="report"`` left in its report. Values
@@ -408,9 +415,10 @@ def fan_out(
     staged, release = staged_rows(rows, staging)
     written: list[Written] = []
     try:
-        for page in profile_pages(staged, limits):
-            profiles = {t: p for t, p in page.items() if p.columns or (mode == "bulk" and p.rows)}
-            written += write_page(sink, staged, profiles, how)
+        text = staged.withColumn("row", F.transform_values("row", lambda _, v: v["text"])) if mode == "typed" else staged
+        for page in profile_pages(staged, limits, mode == "typed"):
+            profiles = {t: p for t, p in page.items() if p.columns or (mode != "stream" and p.rows)}
+            written += write_page(sink, text, profiles, how)
     finally:
         release()
     return settled(written, on_error)

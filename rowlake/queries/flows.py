@@ -129,6 +129,31 @@ select event_id::varchar as event_id, (event_type = 'error')::varchar as is_erro
 """
 
 
+def typed_tables(spark, sf_dir):
+    """A table per kind of event, all typed in one pass; the values of one kind are text now and then."""
+    file = F.concat(F.lit("/in/"), "event_type", F.lit(".json"))
+    rows = fx.table(spark, sf_dir, "events").withColumn("data", F.array(fx.row_of(fx.EVENTS)))
+    key = F.col("event_id")
+    value = F.regexp_replace(fx.envelope(file, fx.sent_at(key), F.col("data")), '"value":', '"amount":')
+    value = F.when(F.expr("event_type = 'click' and event_id % 7 = 0"), F.regexp_replace(value, '"amount":[^,]*', '"amount":"n/a"')).otherwise(value)
+    log = rows.select((key % 4).cast("int").alias("partition"), key.alias("offset"), value.alias("value"))
+    lake = fx.new_lake(spark)
+    bulk_ingest(fx.logged(spark, log), lake, "typed", typed=True, staging="table")
+    frames = [lake.scan(t).withColumn("table_name", F.lit(t)) for t in sorted(lake.table_names())]
+    out = frames[0]
+    for frame in frames[1:]:
+        out = out.unionByName(frame)
+    number = F.col("amount").try_cast("double")
+    return out.select("table_name", "event_id", "is_error", "seen", number.alias("amount"), (F.col("amount") == "n/a").alias("odd"))
+
+
+TYPED_TABLES = """
+select event_type as table_name, event_id::varchar as event_id, (event_type = 'error')::varchar as is_error,
+  case when event_id % 8 <> 3 then ts::date end as seen, case when not odd then value end as amount, odd
+from (select *, event_type = 'click' and event_id % 7 = 0 as odd from events)
+"""
+
+
 def two_streams(spark, sf_dir):
     """Two streams, each with a checkpoint of its own, into the same tables of one lake."""
     lake = fx.new_lake(spark)
@@ -188,6 +213,7 @@ QUERIES = {
     "bulk_ingest": (bulk, fx.sales_sql()),
     "bulk_ingest_staged": (bulk_ingest_staged, fx.sales_sql()),
     "typed_ingest": (typed_ingest, TYPED_INGEST),
+    "typed_tables": (typed_tables, TYPED_TABLES),
     "two_streams": (two_streams, fx.select_sql(fx.ORDERS_SQL | {"o_orderdate": "o_orderdate::date"}, "orders")),
     "two_logs": (two_logs, "select o_orderkey::varchar as o_orderkey, 2::bigint as rows from orders"),
     "many_tables": (

@@ -32,9 +32,14 @@ def decode_envelope(messages: DataFrame) -> DataFrame:
     return _decode(messages, ENVELOPE_SCHEMA)
 
 
+def decode_messages_typed(messages: DataFrame) -> DataFrame:
+    """As D1, with JSON typed values."""
+    return _decode(messages, TYPED_ENVELOPE_SCHEMA)
+
+
 def decode_envelope_typed(messages: DataFrame) -> DataFrame:
     """Envelope fields with JSON typed values; messages without a list are skipped."""
-    return _decode(messages, TYPED_ENVELOPE_SCHEMA).where(F.col("data").isNotNull())
+    return decode_messages_typed(messages).where(F.col("data").isNotNull())
 
 
 def explode_rows(envelopes: DataFrame) -> DataFrame:
