@@ -48,6 +48,16 @@ def packed_arrival_key() -> Column:
     return offset.bitwiseOR(F.shiftleft(F.coalesce(F.col("pos"), F.lit(0)).cast("bigint"), 1))
 
 
+def unpacked(partition: Column, first: Column) -> Column:
+    """The arrival key of a packed one and its partition."""
+    def number(value: Column) -> Column:
+        return value.cast("decimal(38,0)")
+
+    offset, pos = F.shiftright(first, POSITION_BITS + 1), F.shiftright(first, 1).bitwiseAND((1 << POSITION_BITS) - 1)
+    power = [F.lit("1" + "0" * n).cast("decimal(38,0)") for n in (30, 11, 1)]
+    return number(partition) * power[0] + number(offset) * power[1] + number(pos) * power[2]
+
+
 def packable() -> Column:
     """An aggregate: do the offsets and positions of a batch fit into a packed key?"""
     fits = F.coalesce(F.col("offset"), F.lit(0)).between(0, (1 << OFFSET_BITS) - 1) & (
@@ -73,7 +83,7 @@ def _entries(rows: DataFrame, excluded, arrival: Column) -> DataFrame:
 
 
 def profile_columns(rows: DataFrame, excluded=FILE_COLUMNS, packed: bool = False) -> DataFrame:
-    """Per table and column: value count, date hits, is the first value a date.
+    """Per table and column: value count, date hits, is the first value a date, and the arrival key of that value.
 
     The entry with a NULL column keeps tables without columns visible;
     ``rows`` adds up, over the columns of a table, to its number of rows. The
@@ -92,17 +102,19 @@ def profile_columns(rows: DataFrame, excluded=FILE_COLUMNS, packed: bool = False
         # The partition is a key of its own, which a task seldom has two of.
         flagged = F.when(value.isNotNull(), F.col("arrival").bitwiseOR(F.when(is_date, 0).otherwise(1).cast("bigint")))
         by_partition = entries.groupBy(*keys, "partition").agg(*counts, F.min(flagged).alias("first"))
+        of_value = F.when(F.col("first").isNotNull(), F.coalesce("partition", F.lit(0)))
         profile = by_partition.groupBy(*keys).agg(
             *[F.sum(name).alias(name) for name in ("rows", "non_null", "date_hits")],
-            F.min_by(
-                F.col("first") % 2 == 0, F.when(F.col("first").isNotNull(), F.coalesce("partition", F.lit(0)))
-            ).alias("date"),
-        )
+            F.min_by("first", of_value).alias("first"), F.min(of_value).alias("of"),
+        ).withColumns({"date": F.col("first") % 2 == 0, "first_arrival": unpacked(F.col("of"), F.col("first"))})
     else:
         code = F.when(is_date, F.lit(_DATE)).otherwise(F.lit(_STRING))
-        profile = entries.groupBy(*keys).agg(*counts, (_first_code(value, code) == _DATE).alias("date"))
+        first = F.min(F.when(value.isNotNull(), F.col("arrival")))
+        profile = entries.groupBy(*keys).agg(
+            *counts, (_first_code(value, code) == _DATE).alias("date"), first.cast("decimal(38,0)").alias("first_arrival")
+        )
     return profile.select(
-        *keys, "rows", "non_null", "date_hits", F.coalesce("date", F.lit(False)).alias("first_is_date")
+        *keys, "rows", "non_null", "date_hits", F.coalesce("date", F.lit(False)).alias("first_is_date"), "first_arrival"
     )
 
 
@@ -137,10 +149,11 @@ def _types(entries: DataFrame, *more: Column) -> DataFrame:
     family = F.least(F.col("kind"), F.lit(_DATE))
     first = entries.groupBy("table_name", "column_name").agg(
         F.coalesce(_first_code(F.col("kind"), F.col("kind")), F.lit(_STRING)).alias("first_code"),
-        F.coalesce(F.min(family) < F.max(family), F.lit(False)).alias("mixed"),
-        *more,
+        F.min(family).alias("low"), F.max(family).alias("high"), *more,
     )
-    return first.withColumn("type", F.get(names, F.col("first_code"))).drop("first_code")
+    return first.withColumns(
+        {"type": F.get(names, F.col("first_code")), "mixed": F.coalesce(F.col("low") < F.col("high"), F.lit(False))}
+    ).drop("first_code")
 
 
 def infer_types(rows: DataFrame, excluded=FILE_COLUMNS) -> DataFrame:
@@ -164,10 +177,45 @@ def profile_typed(rows: DataFrame, excluded=FILE_COLUMNS) -> DataFrame:
     profile = _types(
         entries, F.count_if("is_row").alias("rows"), F.count("text").alias("non_null"),
         F.count_if(looks_like_date(F.col("text"))).alias("date_hits"),
+        F.min(F.when(F.col("kind").isNotNull(), F.col("arrival"))).cast("decimal(38,0)").alias("first_arrival"),
     )
     return profile.withColumn("first_is_date", F.col("type") == FIRST_TYPES[_DATE])
 
 
+#: A profile as it is kept; ``type``, ``low`` and ``high`` (the families of types met) are those of typed logs.
+PROFILE_SCHEMA = (
+    "table_name string, column_name string, rows bigint, non_null bigint, date_hits bigint, first_is_date boolean, "
+    "first_arrival decimal(38,0), type string, low int, high int"
+)
+
+
+def as_kept(profile: DataFrame) -> DataFrame:
+    """A profile of either kind in the form it is kept in."""
+    fields = [f.split() for f in PROFILE_SCHEMA.split(", ")]
+    return profile.select(
+        *[(F.col(name) if name in profile.columns else F.lit(None)).cast(kind).alias(name) for name, kind in fields]
+    )
+
+
+def merged(profiles: DataFrame, min_conf: float) -> DataFrame:
+    """T1 and T6 over the kept profiles of any number of batches, as over one batch that holds them all.
+
+    Counts add up and the first value is that of the smallest arrival key, so
+    the order of batches and how often they have been merged do not matter.
+    ``verdict`` is the type that the column would have.
+    """
+    at = F.col("first_arrival")
+    both = profiles.groupBy("table_name", "column_name").agg(
+        *[F.sum(name).alias(name) for name in ("rows", "non_null", "date_hits")],
+        F.coalesce(F.min_by("first_is_date", F.when(at.isNotNull(), at)), F.lit(False)).alias("first_is_date"),
+        F.min(at).alias("first_arrival"), F.min_by("type", F.when(at.isNotNull(), at)).alias("type"),
+        F.min("low").alias("low"), F.max("high").alias("high"),
+    )
+    spelled = F.col("type").isin(*FIRST_TYPES[:_DATE]) & (F.col("low") == F.col("high"))
+    by_share = F.coalesce(F.expr("date_hits / nullif(non_null, 0)") >= min_conf, F.lit(False)) & ~F.coalesce(spelled, F.lit(False))
+    return both.withColumn("verdict", F.when(F.col("first_is_date") | by_share, "date").otherwise("string"))
+
+
 def date_like_columns(columns: DataFrame) -> DataFrame:
     """T4: the columns whose name means a date."""
     return columns.where(is_date_name(F.col("column_name")))

@@ -27,6 +27,7 @@ from rowlake.operators.shape import (
     text_columns,
     typed_value,
 )
+from rowlake.plans.history import keep_profile
 from rowlake.sources import files
 from rowlake.sources.envelope import FILE_COLUMNS, INGESTION_TIMESTAMP
 from rowlake.sources.lake import VALUES_PER_FILE, Lake, SchemaMismatch, Written, file_count, identity
@@ -100,12 +101,14 @@ def by_table(rows: DataFrame, schema, rebalance: bool = True) -> tuple[DataFrame
     return spark.read.schema(schema).parquet(folder), lambda: files.delete(spark, folder)
 
 
-def profile_pages(staged: DataFrame, limits: Limits = Limits(), typed: bool = False) -> Iterator[dict[str, TableProfile]]:
+def profile_pages(
+    staged: DataFrame, limits: Limits = Limits(), typed: bool = False, keep: Callable[[DataFrame], object] | None = None
+) -> Iterator[dict[str, TableProfile]]:
     """The profile of every table of the batch, a page of tables at a time.
 
     One job makes it, with one row per column; the driver reads it in the
     order of tables and holds a page and one partition of it. ``typed`` rows
-    hold typed entries (T1).
+    hold typed entries (T1). ``keep`` gets the whole profile before the first page.
     """
     excluded = (*FILE_COLUMNS, INGESTION_TIMESTAMP)
     if typed:
@@ -117,6 +120,8 @@ def profile_pages(staged: DataFrame, limits: Limits = Limits(), typed: bool = Fa
             profile.unpersist()
             profile = profile_columns(staged, excluded).persist()
     try:
+        if keep:
+            keep(profile)
         page: dict[str, TableProfile] = {}
         for entry in profile.orderBy("table_name").toLocalIterator():
             name = entry["table_name"]
@@ -390,6 +395,7 @@ def fan_out(
     zone: str | None = None,
     on_type_mismatch: str = "cast",
     on_error: str = "raise",
+    history: Lake | None = None,
 ) -> list[Written]:
     """K3: stage, profile, and append every table of a routed batch.
 
@@ -403,7 +409,8 @@ def fan_out(
     error is raised, or with ``on_error="report"`` left in its report. Values
     that do not fit a declared type are NULL; ``on_type_mismatch="error"``
     fails their table, ``"reject"`` also keeps their text, in the table's
-    rejects (see :func:`rejects_of`).
+    rejects (see :func:`rejects_of`). With ``history``, a lake, the profile of
+    the batch is kept under the batch's name (see :mod:`rowlake.plans.history`).
     """
     if mode == "stream":
         rows = rows.withColumn(INGESTION_TIMESTAMP, processing_time())
@@ -416,7 +423,8 @@ def fan_out(
     written: list[Written] = []
     try:
         text = staged.withColumn("row", F.transform_values("row", lambda _, v: v["text"])) if mode == "typed" else staged
-        for page in profile_pages(staged, limits, mode == "typed"):
+        keep = history and (lambda profile: keep_profile(history, profile, source, batch_id))
+        for page in profile_pages(staged, limits, mode == "typed", keep):
             profiles = {t: p for t, p in page.items() if p.columns or (mode != "stream" and p.rows)}
             written += write_page(sink, text, profiles, how)
     finally:

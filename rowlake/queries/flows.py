@@ -15,6 +15,7 @@ from rowlake.plans.bulk import (
 from rowlake.queries import fixtures as fx
 from rowlake.queries.shaping import routed
 from rowlake.plans.fanout import Limits, fan_out, rejects_of
+from rowlake.plans.history import drifted, merged_profile as merge_profiles
 from rowlake.sources.messages import MAX_OFFSETS_PER_TRIGGER, replay_stream
 from rowlake.sources.offsets import offset_stream as open_offsets
 from rowlake.streaming.ingest import drain_then_stream as start_after_drain, drained, stream_ingest as start_stream
@@ -154,6 +155,44 @@ from (select *, event_type = 'click' and event_id % 7 = 0 as odd from events)
 """
 
 
+# Dates that turn into words after the first third of the orders, and a column that is blank until then.
+_DRIFT = {
+    "o_orderkey": "cast(o_orderkey as string)",
+    "o_when": "if(o_orderkey % 3 = 0, date_format(o_orderdate, 'yyyy-MM-dd'), if(o_orderkey % 2 = 0, 'soon', null))",
+    "o_late": "if(o_orderkey % 3 = 0, '', date_format(o_orderdate, 'yyyy-MM-dd'))",
+    "o_word": "if(o_orderkey % 3 = 0 and o_orderkey % 2 = 0, o_orderstatus, if(o_orderkey % 3 = 0, '', date_format(o_orderdate, 'yyyy-MM-dd')))",
+}
+
+
+def merged_profile(spark, sf_dir):
+    """A log in three batches, the last one first and one run twice: their profiles are that of one batch."""
+    orders = fx.table(spark, sf_dir, "orders")
+    log = fx.logged(spark, fx.single_messages(orders, "o_orderkey", fx.ORDERS_FILE, _DRIFT, partitions=3))
+    lake = fx.new_lake(spark)
+    for batch_id in (2, 0, 1, 0):
+        fan_out(routed(log.where(F.col("partition") == batch_id)), lake, "orders", batch_id, mode="bulk", history=lake)
+    drift = drifted(lake).select("column_name", F.lit(True).alias("drifted"))
+    return merge_profiles(lake).join(drift, "column_name", "left").select(
+        "table_name", "column_name", "non_null", "date_hits", "first_is_date", "verdict", F.coalesce("drifted", F.lit(False)).alias("drifted")
+    )
+
+
+MERGED_PROFILE = """
+with v as (
+  select o_orderkey % 3 as p, o_orderkey // 3 as o, unnest(['o_orderkey', 'o_when', 'o_late', 'o_word']) as column_name, unnest([
+    o_orderkey::varchar, case when o_orderkey % 3 = 0 then strftime(o_orderdate, '%Y-%m-%d') when o_orderkey % 2 = 0 then 'soon' end,
+    case when o_orderkey % 3 <> 0 then strftime(o_orderdate, '%Y-%m-%d') end,
+    case when o_orderkey % 3 <> 0 then strftime(o_orderdate, '%Y-%m-%d') when o_orderkey % 2 = 0 then o_orderstatus end]) as x
+  from orders),
+m as (
+  select column_name, count(x) as non_null, count(*) filter (x like '____-__-__') as date_hits,
+    arg_min(x like '____-__-__', (p, o)) filter (x is not null) as first_is_date from v group by 1),
+d as (select *, case when first_is_date or date_hits >= 0.95 * non_null then 'date' else 'string' end as verdict from m)
+select 'orders' as table_name, *, column_name in ('o_when', 'o_word', 'o_late') and
+  case column_name when 'o_when' then 'string' else 'date' end <> verdict as drifted from d
+"""
+
+
 def two_streams(spark, sf_dir):
     """Two streams, each with a checkpoint of its own, into the same tables of one lake."""
     lake = fx.new_lake(spark)
@@ -214,6 +253,7 @@ QUERIES = {
     "bulk_ingest_staged": (bulk_ingest_staged, fx.sales_sql()),
     "typed_ingest": (typed_ingest, TYPED_INGEST),
     "typed_tables": (typed_tables, TYPED_TABLES),
+    "merged_profile": (merged_profile, MERGED_PROFILE),
     "two_streams": (two_streams, fx.select_sql(fx.ORDERS_SQL | {"o_orderdate": "o_orderdate::date"}, "orders")),
     "two_logs": (two_logs, "select o_orderkey::varchar as o_orderkey, 2::bigint as rows from orders"),
     "many_tables": (
