@@ -50,16 +50,19 @@ def route_by_table(batch: DataFrame, style: str = "windows") -> DataFrame:
     return fill_rows(accept_row_or_data(name_table(batch, style)))
 
 
-def route_physical(batch: DataFrame, backend: str = "lake") -> DataFrame:
-    """H1 with the physical name, so that two spellings of a table meet in one."""
-    physical = physical_table_name(F.col("table_name"), backend)
-    return fill_rows(accept_row_or_data(name_table(batch).withColumn("table_name", physical)))
+def _physical(batch: DataFrame, backend: str, letters: str | None) -> DataFrame:
+    name = physical_table_name(F.col("table_name"), backend)
+    return name_table(batch).withColumn("table_name", F.when(F.col("letter"), letters).otherwise(name) if letters else name)
 
 
-def route_typed(batch: DataFrame, backend: str = "lake") -> DataFrame:
+def route_physical(batch: DataFrame, backend: str = "lake", letters: str | None = None) -> DataFrame:
+    """H1 with the physical name, so that two spellings of a table meet in one; dead letters go to the table of that name."""
+    return fill_rows(accept_row_or_data(_physical(batch, backend, letters)))
+
+
+def route_typed(batch: DataFrame, backend: str = "lake", letters: str | None = None) -> DataFrame:
     """H1 for JSON typed envelopes: each value is a typed entry, its text with the code of its type."""
-    physical = physical_table_name(F.col("table_name"), backend)
-    rows = accept_row_or_data(name_table(batch).withColumn("table_name", physical))
+    rows = accept_row_or_data(_physical(batch, backend, letters))
     entries = F.transform_values("row", lambda _, value: typed_entry(value))
     none = F.from_json(F.lit("{}"), "map<string,struct<text:string,kind:int>>")
     return rows.withColumn("row", F.coalesce(entries, none))

@@ -11,7 +11,7 @@ from rowlake.metrics import observation, taken
 from rowlake.operators.shape import route_physical, route_typed
 from rowlake.plans.fanout import Limits, Sink, fan_out
 from rowlake.sources import files
-from rowlake.sources.envelope import decode_envelope, decode_envelope_typed, decode_messages_typed
+from rowlake.sources.envelope import decode_envelope, decode_envelope_typed, decode_messages_typed, decode_with_letters
 from rowlake.sources.lake import RESERVED, Lake, Written
 from rowlake.sources.messages import drain_ranges, offset_bounds, open_bounds, within_ranges
 
@@ -90,6 +90,7 @@ def bulk_ingest(
     log_name: str | None = None,
     ends: DataFrame | None = None,
     typed: bool = False,
+    dead_letters: str | None = None,
     **options,
 ) -> Drained:
     """Drain what is buffered beyond the committed offsets into the lake tables.
@@ -105,6 +106,9 @@ def bulk_ingest(
     first_offset, end_offset), as a broker does. Tables go to the lake that
     keeps the offsets, or to ``sink``; ``options`` are those of ``fan_out``.
     With ``typed`` the JSON types of values count (T1), as in :func:`typed_ingest`.
+    ``dead_letters`` names a table that keeps the place and the text of each
+    message without rows, malformed or not a list; it is written in the same pass
+    as all others, so a drain that is run again replaces its letters too.
     Both stagings have the same result; ``auto`` takes the cache for small scans.
     """
     sink = sink or lake
@@ -123,15 +127,21 @@ def bulk_ingest(
         state.write(lake, source)
     ranges = state.planned
     seen = observation("drain")
-    decode, route = (decode_messages_typed, route_typed) if typed else (decode_envelope, route_physical)
-    envelopes = decode(within_ranges(messages, ranges)).observe(
+    taken_now, route = within_ranges(messages, ranges), route_typed if typed else route_physical
+    if dead_letters:
+        decoded = decode_with_letters(taken_now, typed)
+    else:
+        decoded = (decode_messages_typed if typed else decode_envelope)(taken_now)
+    envelopes = decoded.observe(
         seen, F.count(F.lit(1)).alias("messages"), F.count_if("malformed").alias("malformed")
     )
-    rows = route(envelopes.where("size(data) > 0"), sink.backend)
+    rows = route(envelopes.where("size(data) > 0"), sink.backend, dead_letters)
     if staging == "auto":
-        staging = "cache" if scan_bytes(within_ranges(messages, ranges)) <= CACHED_BYTES else "table"
+        staging = "cache" if scan_bytes(taken_now) <= CACHED_BYTES else "table"
     mode = "typed" if typed else "bulk"
-    written = fan_out(rows, sink, source, drain_id, mode=mode, staging=staging, limits=limits, zone=zone, **options)
+    written = fan_out(
+        rows, sink, source, drain_id, mode=mode, staging=staging, limits=limits, zone=zone, letters=dead_letters, **options
+    )
     commit_offsets(lake, source)
     counts = taken(seen)
     return Drained(written, ranges, counts.get("messages", 0), counts.get("malformed", 0))

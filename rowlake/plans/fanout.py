@@ -29,7 +29,7 @@ from rowlake.operators.shape import (
 )
 from rowlake.plans.history import keep_profile
 from rowlake.sources import files
-from rowlake.sources.envelope import FILE_COLUMNS, INGESTION_TIMESTAMP
+from rowlake.sources.envelope import FILE_COLUMNS, INGESTION_TIMESTAMP, LETTER_FIELDS
 from rowlake.sources.lake import VALUES_PER_FILE, Lake, SchemaMismatch, Written, file_count, identity
 
 class Sink(Protocol):
@@ -307,6 +307,7 @@ class How:
     scattered: bool = False
     on_type_mismatch: str = "cast"
     writers: int = 8
+    letters: str | None = None
 
 
 def write_page(sink: Sink, staged: DataFrame, profiles: Mapping[str, TableProfile], how: How) -> list[Written]:
@@ -314,7 +315,7 @@ def write_page(sink: Sink, staged: DataFrame, profiles: Mapping[str, TableProfil
     ready: dict[str, Mapping[str, str]] = {}
 
     def prepare(table: str) -> Written:
-        inferred = inferred_types(profiles[table], how.mode)
+        inferred = LETTER_FIELDS if table == how.letters else inferred_types(profiles[table], how.mode)
         check_columns(table, inferred)
         ready[table] = sink.prepare(table, inferred, how.partition_by)
         return Written(table, 0)
@@ -396,6 +397,7 @@ def fan_out(
     on_type_mismatch: str = "cast",
     on_error: str = "raise",
     history: Lake | None = None,
+    letters: str | None = None,
 ) -> list[Written]:
     """K3: stage, profile, and append every table of a routed batch.
 
@@ -411,13 +413,14 @@ def fan_out(
     fails their table, ``"reject"`` also keeps their text, in the table's
     rejects (see :func:`rejects_of`). With ``history``, a lake, the profile of
     the batch is kept under the batch's name (see :mod:`rowlake.plans.history`).
+    ``letters`` names the table of dead letters among the rows, whose columns are fixed.
     """
     if mode == "stream":
         rows = rows.withColumn(INGESTION_TIMESTAMP, processing_time())
     if on_type_mismatch not in ("cast", "error", "reject"):
         raise ValueError(f"unknown on_type_mismatch {on_type_mismatch!r}")
     how = How(
-        mode, source, batch_id, keep_null_rows, tuple(partition_by), zone, staging == "cache", on_type_mismatch, limits.writers
+        mode, source, batch_id, keep_null_rows, tuple(partition_by), zone, staging == "cache", on_type_mismatch, limits.writers, letters
     )
     staged, release = staged_rows(rows, staging)
     written: list[Written] = []

@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from rowlake import workspace
+from rowlake.plans import bulk as bulk_plans
 from rowlake.plans.bulk import (
     bulk_ingest,
     committed_offsets,
@@ -193,6 +194,39 @@ select 'orders' as table_name, *, column_name in ('o_when', 'o_word', 'o_late')
 """
 
 
+def dead_letters(spark, sf_dir):
+    """A message per order, some broken and some without rows: a drain, run again after a failure, and a stream of the rest."""
+    single = fx.single_messages(fx.table(spark, sf_dir, "orders"), "o_orderkey", fx.ORDERS_FILE, fx.ORDERS, partitions=2)
+    order = F.col("offset") * 2 + F.col("partition")
+    value = F.when(order % 7 == 0, F.concat(F.lit('{"filename": broken '), order)).when(
+        order % 7 == 1, F.concat(F.lit('{"filename":"Orders.csv","rows":'), order, F.lit("}"))
+    ).otherwise(F.col("value"))
+    log = fx.logged(spark, single.withColumn("value", value))
+    lake, first, checkpoint = fx.new_lake(spark), F.col("partition") == 0, workspace.new_folder(spark, "checkpoint")
+    commit = bulk_plans.commit_offsets
+    try:
+        bulk_plans.commit_offsets = lambda *_: (_ for _ in ()).throw(OSError("lost"))
+        bulk_ingest(log.where(first), lake, "orders", dead_letters="dead_letters")
+    except OSError:
+        pass
+    finally:
+        bulk_plans.commit_offsets = commit
+    bulk_ingest(log.where(first), lake, "orders", dead_letters="dead_letters")
+    source = replay_stream(spark, fx.written_log(spark, log.where(~first)))
+    start_stream(source, lake, checkpoint, drain=True, dead_letters="dead_letters").awaitTermination()
+    rows = F.lit(lake.scan("orders").where("o_orderkey is not null").count()).cast("bigint")
+    return lake.scan("dead_letters").select("log_partition", "log_offset", "reason", "value").withColumn("rows", rows)
+
+
+DEAD_LETTERS = """
+with o as (select o_orderkey as k, o_orderkey % 2 as p, o_orderkey // 2 as o from orders)
+select p::int as log_partition, o as log_offset, case k % 7 when 0 then 'malformed' else 'no list' end as reason,
+  case k % 7 when 0 then '{"filename": broken ' || k else '{"filename":"Orders.csv","rows":' || k || '}' end as value,
+  (select count(*) from o where k % 7 > 1) as rows
+from o where k % 7 = 0 or (k % 7 = 1 and p = 0)
+"""
+
+
 def two_streams(spark, sf_dir):
     """Two streams, each with a checkpoint of its own, into the same tables of one lake."""
     lake = fx.new_lake(spark)
@@ -254,6 +288,7 @@ QUERIES = {
     "typed_ingest": (typed_ingest, TYPED_INGEST),
     "typed_tables": (typed_tables, TYPED_TABLES),
     "merged_profile": (merged_profile, MERGED_PROFILE),
+    "dead_letters": (dead_letters, DEAD_LETTERS),
     "two_streams": (two_streams, fx.select_sql(fx.ORDERS_SQL | {"o_orderdate": "o_orderdate::date"}, "orders")),
     "two_logs": (two_logs, "select o_orderkey::varchar as o_orderkey, 2::bigint as rows from orders"),
     "many_tables": (

@@ -17,13 +17,13 @@ INGESTION_TIMESTAMP = "ingestion_timestamp"
 _MALFORMED = "_malformed"
 
 
-def _decode(messages: DataFrame, schema: str) -> DataFrame:
+def _decode(messages: DataFrame, schema: str, *keep: str) -> DataFrame:
     parsed = F.from_json(
         "value", f"{schema}, {_MALFORMED} string", {"columnNameOfCorruptRecord": _MALFORMED}
     )
     fields = [F.col(f"msg.{name}").alias(name) for name in ("filename", "data_format", INGESTION_TIMESTAMP, "data")]
-    return messages.select("partition", "offset", parsed.alias("msg")).select(
-        "partition", "offset", *fields, F.col(f"msg.{_MALFORMED}").isNotNull().alias("malformed")
+    return messages.select("partition", "offset", *keep, parsed.alias("msg")).select(
+        "partition", "offset", *keep, *fields, F.col(f"msg.{_MALFORMED}").isNotNull().alias("malformed")
     )
 
 
@@ -42,6 +42,30 @@ def decode_envelope_typed(messages: DataFrame) -> DataFrame:
     return decode_messages_typed(messages).where(F.col("data").isNotNull())
 
 
+# Why a message is a dead letter, and what is kept of it.
+MALFORMED, NO_LIST = "malformed", "no list"
+LETTER_FIELDS = {
+    "log_offset": "bigint", "log_partition": "int", "reason": "string", "value": "string", INGESTION_TIMESTAMP: "timestamp",
+}
+
+
+def decode_with_letters(messages: DataFrame, typed: bool = False, no_list: bool = True) -> DataFrame:
+    """D1, D2 with a second output: messages that hold no rows become one row that says which message it was.
+
+    ``letter`` marks them. These are the malformed ones and, with ``no_list``, those whose ``data`` is no
+    list. Their row has the message's place, the reason and its text, so they take the way of all rows.
+    """
+    decoded = _decode(messages, TYPED_ENVELOPE_SCHEMA if typed else ENVELOPE_SCHEMA, "value")
+    dead = F.col("malformed") | (F.col("data").isNull() if no_list else F.lit(False))
+    kept = {
+        "log_partition": F.col("partition").cast("string"), "log_offset": F.col("offset").cast("string"),
+        "reason": F.when(F.col("malformed"), MALFORMED).otherwise(NO_LIST), "value": F.col("value"),
+    }
+    kind = "variant" if typed else "string"
+    row = F.create_map(*[x for name, text in kept.items() for x in (F.lit(name), text.cast(kind))])
+    return decoded.withColumns({"letter": dead, "data": F.when(dead, F.array(row)).otherwise(F.col("data"))}).drop("value")
+
+
 def explode_rows(envelopes: DataFrame) -> DataFrame:
     """D3: one row per list element, with its position; an empty list gives a NULL row."""
     kept = [name for name in envelopes.columns if name != "data"]
