@@ -19,6 +19,7 @@ from rowlake.plans.fanout import Limits, fan_out, rejects_of
 from rowlake.plans.history import drifted, merged_profile as merge_profiles
 from rowlake.sources.messages import MAX_OFFSETS_PER_TRIGGER, replay_stream
 from rowlake.sources.offsets import offset_stream as open_offsets
+from rowlake.streaming.backlog import BacklogListener, log_ends
 from rowlake.streaming.ingest import drain_then_stream as start_after_drain, drained, stream_ingest as start_stream
 
 
@@ -45,6 +46,34 @@ def offset_stream(spark, sf_dir):
     return lake.scan("orders").select(*fx.ORDERS).withColumn("within", F.lit(within))
 
 
+# Offsets a trigger of the query below takes.
+BACKLOG_STEP = 4000
+
+
+def stream_backlog(spark, sf_dir):
+    """What is left of a log after each trigger of the stream that reads it, down to nothing."""
+    log = fx.single_messages(fx.table(spark, sf_dir, "orders"), "o_orderkey", fx.ORDERS_FILE, {"o_orderkey": "cast(o_orderkey as string)"})
+    path = fx.written_log(spark, log)
+    listener = BacklogListener(log_ends(path))
+    spark.streams.addListener(listener)
+    try:
+        stream = start_stream(
+            open_offsets(spark, path, BACKLOG_STEP), fx.new_lake(spark), workspace.new_folder(spark, "checkpoint"), trigger_interval="0 seconds"
+        )
+        listener.settled(drained(stream))
+    finally:
+        spark.streams.removeListener(listener)
+    by_trigger = listener.frame(spark).groupBy("batch_id").agg(F.sum("backlog").alias("backlog"), F.sum("end_offset").alias("end_offset"))
+    return by_trigger
+
+
+STREAM_BACKLOG = f"""
+with n as (select count(*) as n from orders)
+select i as batch_id, greatest(n - (i + 1) * {BACKLOG_STEP}, 0)::bigint as backlog, n::bigint as end_offset
+from n, range((select count(*) from orders)) r(i) where i * {BACKLOG_STEP} < n
+"""
+
+
 def bulk(spark, sf_dir):
     lake = fx.new_lake(spark)
     log = fx.logged(spark, fx.sales_messages(spark, sf_dir))
@@ -283,6 +312,7 @@ QUERIES = {
     "offset_stream": (
         offset_stream, fx.select_sql(fx.ORDERS_SQL | {"o_orderdate": "o_orderdate::date", "within": "true"}, "orders"),
     ),
+    "stream_backlog": (stream_backlog, STREAM_BACKLOG),
     "bulk_ingest": (bulk, fx.sales_sql()),
     "bulk_ingest_staged": (bulk_ingest_staged, fx.sales_sql()),
     "typed_ingest": (typed_ingest, TYPED_INGEST),

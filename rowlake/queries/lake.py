@@ -9,6 +9,8 @@ from rowlake.plans.fanout import fan_out, write_frame, write_split_by_filename,
 from rowlake.queries import fixtures as fx
 from rowlake.queries.shaping import routed
 from rowlake.sources.lake import store_parquet, write_parquet
+from rowlake.sources.rdbms import identifier
+from rowlake.sources.splits import equi_depth
 
 
 def lake_scan(spark, sf_dir):
@@ -133,6 +135,36 @@ def late_batch(spark, sf_dir):
     return lake.scan("part").withColumn("skipped", F.lit(",".join(map(str, skipped))))
 
 
+def compact_batches(spark, sf_dir):
+    """Many small batches packed into one, a merged one run again, a late and a new one added, and packed once more."""
+    orders = fx.table(spark, sf_dir, "orders").select("o_orderkey", "o_orderstatus", "o_totalprice")
+    lake = fx.new_lake(spark)
+    append = lambda i: lake.append("orders", orders.where(F.col("o_orderkey") % 15 == i), "sales", i)
+    for i in (*range(6), *range(7, 13)):
+        append(i)
+    into = len(lake.compact("orders")[0])
+    skipped = [append(i).skipped for i in (3, 6, 13, 14)]
+    lake.vacuum("orders")
+    lake.compact("orders")
+    batches = len(lake._batches("orders", lake.state("orders")))
+    note = f"{into} {batches} {' '.join(map(str, skipped))}"
+    return lake.scan("orders").withColumn("note", F.lit(note))
+
+
+def split_scan(spark, sf_dir):
+    """Orders read part by part, cut along a column of which one value holds half of all rows and a tenth are null."""
+    key = F.col("o_orderkey")
+    skewed = F.when(key % 10 == 0, None).when(key % 2 == 0, 7).otherwise(F.col("o_custkey"))
+    orders = fx.table(spark, sf_dir, "orders").select("o_orderkey", skewed.cast("bigint").alias("cut"))
+    predicates = equi_depth(orders, ["cut", "o_orderkey"], 16, identifier)
+    part = F.coalesce(*[F.when(F.expr(p), i) for i, p in enumerate(predicates)])
+    met = sum((F.when(F.coalesce(F.expr(p), F.lit(False)), 1).otherwise(0) for p in predicates), F.lit(0))
+    placed = orders.select("o_orderkey", part.alias("part"), met.alias("met"))
+    sizes = placed.groupBy("part").count().agg(F.max("count").alias("most"), F.avg("count").alias("mean"))
+    even = sizes.select((F.col("most") <= 2 * F.col("mean")).alias("even"))
+    return placed.select("o_orderkey", "met", F.lit(even.first()["even"]).alias("even"))
+
+
 def write_path(spark, sf_dir):
     """Where a frame goes by a name, by a directory, and by both."""
     nation = fx.table(spark, sf_dir, "nation").select("n_nationkey", "n_name")
@@ -148,6 +180,10 @@ select n_nationkey, n_name, 'nation_list' as tables from nation, (values (1), (2
 """
 
 QUERIES = {
+    "compact_batches": (
+        compact_batches, "select o_orderkey, o_orderstatus, o_totalprice, '12 1 True False False False' as note from orders",
+    ),
+    "split_scan": (split_scan, "select o_orderkey, 1 as met, true as even from orders"),
     "late_batch": (
         late_batch, "select p_partkey, p_size::bigint as p_size, 'False,True,False,True,False' as skipped from part",
     ),

@@ -43,6 +43,12 @@ def names(spark: SparkSession, path: str) -> list[str]:
     return [status.getPath().getName() for status in _fs(spark, target).listStatus(target)]
 
 
+def size(spark: SparkSession, path: str) -> int:
+    """The bytes of all files in a directory."""
+    target = _path(spark, path)
+    return _fs(spark, target).getContentSummary(target).getLength()
+
+
 def delete(spark: SparkSession, path: str) -> None:
     """Remove a folder that this run has made."""
     target = _path(spark, path)

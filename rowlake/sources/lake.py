@@ -34,6 +34,10 @@ RESERVED = "_rowlake"
 BATCH_NAME = re.compile(r"batch=(.*)-(\d+)")
 # Sources of appends without an identity; these are never run again, so a rewrite need not remember them.
 ONCE = "once."
+# Batches that hold the rows of others; one counts only if ``schema.json`` names it.
+PACK = f"{ONCE}pack."
+#: Batch directories below half of this are packed together up to it.
+PACK_BYTES = 128 << 20
 
 # Fixed value: a small append has one to eight files.
 SMALL_APPEND_FILES = 8
@@ -53,13 +57,18 @@ class SchemaMismatch(ValueError):
 
 @dataclass(frozen=True)
 class TableState:
-    """What ``schema.json`` says: columns, generation, dropped names, merged batches."""
+    """What ``schema.json`` says: columns, generation, dropped names, merged batches.
+
+    ``packs`` are directories that hold merged batches, ``packed`` those whose rows they hold.
+    """
 
     fields: dict[str, str]
     generation: int = 0
     dropped: list[str] = field(default_factory=list)
     merged: dict[str, list[list[int]]] = field(default_factory=dict)
     partition_by: list[str] = field(default_factory=list)
+    packs: list[str] = field(default_factory=list)
+    packed: list[str] = field(default_factory=list)
 
     def to_json(self) -> str:
         body = asdict(self)
@@ -116,6 +125,23 @@ class Written:
     cause: Exception | None = field(default=None, repr=False, compare=False)
 
 
+def _is_pack(name: str) -> bool:
+    return name.startswith(f"batch={PACK}")
+
+
+def first_fit(sizes: Mapping[str, int], most: int) -> list[list[str]]:
+    """Names in bins of at most ``most`` in sum, the largest first."""
+    bins: list[tuple[int, list[str]]] = []
+    for name, size in sorted(sizes.items(), key=lambda item: (-item[1], item[0])):
+        for i, (held, own) in enumerate(bins):
+            if held + size <= most:
+                bins[i] = (held + size, [*own, name])
+                break
+        else:
+            bins.append((size, [name]))
+    return [own for _, own in bins]
+
+
 def identity(source: str | None, batch_id: int | None) -> tuple[str, int]:
     """What names a batch directory: as given, or never used before."""
     if (source is None) != (batch_id is None):
@@ -183,7 +209,7 @@ class Lake:
 
     def _batches(self, table: str, state: TableState) -> list[str]:
         found = files.names(self.spark, f"{self.path(table)}/g{state.generation}")
-        return [name for name in found if BATCH_NAME.fullmatch(name)]
+        return [n for n in found if BATCH_NAME.fullmatch(n) and n not in state.packed and (not _is_pack(n) or n in state.packs)]
 
     def scan(self, table: str) -> DataFrame:
         """The whole table with its declared schema; absent columns are NULL."""
@@ -191,14 +217,22 @@ class Lake:
         return self._read(table, state, state.schema())
 
     def _read(self, table: str, state: TableState, schema: T.StructType) -> DataFrame:
-        if not self._batches(table, state):
+        batches = self._batches(table, state)
+        if not batches:
             return self.spark.createDataFrame([], schema)
-        reader = self.spark.read.schema(schema)
+        # All there are by a pattern, unless some of what is there does not count.
+        there = files.names(self.spark, f"{self.path(table)}/g{state.generation}")
+        all_count = len(batches) == sum(bool(BATCH_NAME.fullmatch(n)) for n in there)
+        stored = self._stored(table, state, schema, None if all_count else batches)
+        return stored.select(*[quoted(name) for name in schema.names])
+
+    def _stored(self, table: str, state: TableState, schema: T.StructType, batches: list[str] | None) -> DataFrame:
+        """The files of some batches, or of all there are."""
         generation = f"{self.path(table)}/g{state.generation}"
+        reader = self.spark.read.schema(schema)
         if state.partition_by:
             reader = reader.option("basePath", generation)
-        stored = reader.parquet(f"{generation}/batch=*")
-        return stored.select(*[quoted(name) for name in schema.names])
+        return reader.parquet(*[f"{generation}/{name}" for name in batches or ["batch=*"]])
 
     def catalog(self) -> DataFrame:
         """One row per declared column of every table, read from the schema files.
@@ -395,12 +429,45 @@ class Lake:
         if purge:
             self.vacuum(table)
 
+    def compact(self, table: str, pack_bytes: int = PACK_BYTES) -> list[list[str]]:
+        """K9: small batch directories packed into few, without a shuffle; which ones went into each.
+
+        Directories are put together by their bytes, first fit from the largest
+        down. Packs are written beside them and count from the moment that
+        ``schema.json`` names them, which also remembers the ids of the batches
+        in them: one that is run again is in the table already. The small
+        directories stay for readers that have begun, until :meth:`vacuum`.
+        """
+        state = self.required(table)
+        generation = f"{self.path(table)}/g{state.generation}"
+        sizes = {name: files.size(self.spark, f"{generation}/{name}") for name in self._batches(table, state)}
+        bins = [own for own in first_fit({n: s for n, s in sizes.items() if s < pack_bytes / 2}, pack_bytes) if len(own) > 1]
+        if not bins:
+            return []
+        schema, made = state.schema(), []
+        for own in bins:
+            name = f"batch={PACK}{uuid.uuid4().hex}-0"
+            rows = self._stored(table, state, schema, own).select(*[quoted(n) for n in schema.names]).coalesce(1)
+            writer = rows.write.partitionBy(*state.partition_by) if state.partition_by else rows.write
+            writer.parquet(f"{generation}/{name}")
+            made.append(name)
+        gone = {name for own in bins for name in own}
+        packs = [n for n in state.packs if n not in gone] + made
+        merged = with_ids(state.merged, gone)
+        self.store(table, replace(state, merged=merged, packs=packs, packed=sorted({*state.packed, *gone})))
+        return bins
+
     def vacuum(self, table: str) -> list[str]:
-        """Remove the generations that ``schema.json`` has left behind."""
-        kept = f"g{self.required(table).generation}"
+        """Remove the generations and batch directories that ``schema.json`` has left behind."""
+        state = self.required(table)
+        kept = f"g{state.generation}"
         gone = [n for n in files.names(self.spark, self.path(table)) if re.fullmatch(r"g\d+", n) and n != kept]
+        there = files.names(self.spark, f"{self.path(table)}/{kept}")
+        gone += [f"{kept}/{n}" for n in there if n in state.packed or (_is_pack(n) and n not in state.packs)]
         for name in gone:
             files.delete(self.spark, f"{self.path(table)}/{name}")
+        if state.packed:
+            self.store(table, replace(state, packed=[]))
         return gone
 
     def _verify(self, table: str, state: TableState) -> None:

@@ -34,6 +34,7 @@ from rowlake.operators.evolve import (
 from rowlake.operators.shape import drop_technical, quoted
 from rowlake.sources.lake import CATALOG_SCHEMA, SchemaMismatch, Written
 from rowlake.sources.ledger import LEDGER, Ledger
+from rowlake.sources.splits import SPLITTABLE, equi_depth
 
 # Fixed value: rows per insert.
 APPEND_BATCH = 5000
@@ -243,16 +244,19 @@ class Rdbms:
             self.add_column(schema, table, column, rdbms_type)
 
     def read(self, schema: str, table: str) -> DataFrame:
-        """The whole table, in parts: a JDBC scan is cut along its first integer column, others ignore that."""
+        """The whole table; from a database in parts of equal depth (S5), other catalogs cut their own scans."""
         name = self.name(schema, table)
-        numbers = [f.name for f in self.schema(schema, table).fields if isinstance(f.dataType, (T.IntegerType, T.LongType))]
-        if not numbers or not self.spark.conf.get(f"spark.sql.catalog.{self.catalog}.url", None):
+        prefix = f"spark.sql.catalog.{self.catalog}."
+        if not self.spark.conf.get(f"{prefix}url", None):
             return self.spark.table(name)
-        low, high = self.spark.table(name).agg(F.min(quoted(numbers[0])), F.max(quoted(numbers[0]))).first()
-        if low is None:
-            return self.spark.table(name)
-        bounds = {"partitionColumn": numbers[0], "lowerBound": low, "upperBound": high + 1, "numPartitions": self.readers}
-        return self.spark.read.options(**bounds).table(name)
+        fields = self.schema(schema, table).fields
+        # Whole numbers first, as keys are; no more than two columns are looked at.
+        whole = [f.name for f in fields if isinstance(f.dataType, (T.IntegerType, T.LongType))]
+        cut_by = [*whole, *(f.name for f in fields if isinstance(f.dataType, SPLITTABLE) and f.name not in whole)][:2]
+        predicates = equi_depth(self.spark.table(name).select(*map(quoted, cut_by)), cut_by, self.readers, sql_name) if cut_by else ["1 = 1"]
+        settings = {k.removeprefix(prefix): v for k, v in self.spark.conf.getAll.items() if k.startswith(prefix)}
+        url = settings.pop("url")
+        return self.spark.read.jdbc(url, sql_name(schema, table), predicates=predicates, properties=settings)
 
     def _altered(self, statement: str) -> bool:
         """Run a change that some catalogs refuse to do in place."""

@@ -2,7 +2,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from rowlake.functions.naming import physical_table_name
-from rowlake.sources.lake import SchemaMismatch, TableState, file_count
+from rowlake.sources.lake import Lake, SchemaMismatch, TableState, file_count, first_fit
 
 
 def frame(spark, *rows, schema="id int, name string"):
@@ -108,3 +108,48 @@ def test_case_collision_is_refused(spark, lake):
 def test_file_count():
     cases = [(0, 3), (1, 0), (10_001, 10), (500_000, 10), (5_000_000, 10), (50_000_000, 10), (20_000, 1000)]
     assert [file_count(*c) for c in cases] == [1, 1, 2, 8, 8, 50, 8]
+
+
+@pytest.mark.parametrize("partition_by", [[], ["name"]])
+def test_small_batches_are_packed(spark, lake, partition_by):
+    for i in range(6):
+        lake.append("t", frame(spark, (i, f"n{i % 2}")), "s", i, partition_by=partition_by)
+    lake.append("t", frame(spark, (9, None)), partition_by=partition_by)
+    lake.append("t", frame(spark, (7, "z")), "other", 3)
+    expected = content(lake, "t")
+    before = lake.scan("t")
+    assert len(lake.compact("t", 1 << 20)[0]) == 8 and content(lake, "t") == expected
+    assert before.count() == 8  # a reader that has begun
+    assert [lake.append("t", frame(spark, (i, "again")), "s", i).skipped for i in (0, 5)] == [True, True]
+    assert lake.append("t", frame(spark, (3, "again")), "other", 3).skipped
+    assert lake.compact("t", 1 << 20) == []
+    lake.append("t", frame(spark, (20, "late")), "s", 6)
+    lake.append("t", frame(spark, (21, "late")), "s", 9)
+    lake.append("t", frame(spark, (22, "late")), "s", 9)
+    assert len(lake.vacuum("t")) == 8 and lake.state("t").packed == []
+    assert len(lake.compact("t", 1 << 20)[0]) == 3
+    assert content(lake, "t") == sorted([*expected, (20, "late"), (22, "late")], key=str)
+    lake.vacuum("t")
+    assert lake.state("t").merged == {"s": [[0, 6], [9, 9]], "other": [[3, 3]]} and len(lake._batches("t", lake.state("t"))) == 1
+    lake.rewrite("t", {"id": F.col("id"), "name": F.col("name")})
+    assert content(lake, "t") == sorted([*expected, (20, "late"), (22, "late")], key=str)
+    assert lake.append("t", frame(spark, (6, "x")), "s", 6).skipped and lake.state("t").packs == []
+
+
+def test_an_unfinished_pack_is_not_read(spark, lake, monkeypatch):
+    for i in range(3):
+        lake.append("t", frame(spark, (i, "a")), "s", i)
+    store = Lake.store
+    monkeypatch.setattr(Lake, "store", lambda *_: (_ for _ in ()).throw(OSError("lost")))
+    with pytest.raises(OSError):
+        lake.compact("t", 1 << 20)
+    monkeypatch.setattr(Lake, "store", store)
+    assert len(content(lake, "t")) == 3
+    assert len(lake.vacuum("t")) == 1
+    lake.compact("t", 1 << 20)
+    assert content(lake, "t") == [(i, "a") for i in range(3)]
+
+
+def test_first_fit():
+    assert first_fit({"a": 5, "b": 4, "c": 3, "d": 3, "e": 1}, 8) == [["a", "c"], ["b", "d", "e"]]
+    assert first_fit({}, 8) == [] and first_fit({"x": 9}, 8) == [["x"]]
