@@ -14,13 +14,15 @@ equal places, so only windows of one anchor gram are ever compared:
    are anchors whose gram occurs in two documents or more.
 2. Around these, documents cut contexts: the bytes of all windows of an anchor.
    A context that a task has twice is settled there; one copy goes on.
-3. Contexts meet by gram. Their windows are sorted; of equal ones, all but those
-   of the smallest id go.
+3. Contexts meet by gram and are sorted by what follows from the anchor on. Where
+   neighbours agree for long enough, and the bytes before the anchor have equal
+   hashes, windows are equal; all but those of the smallest id go, once their
+   bytes have been compared.
 4. Documents drop the union of their spans.
 
-A gram in more than ``HOT`` places is not brought together in one task: its
-windows are aggregated by 128-bit hash instead (map-side minima first), which
-spreads them whatever their number.
+A gram in more than ``HOT`` places does not go to one task: after step 2 its
+windows meet one by one, each under its own 50 bytes, with the smallest id of a
+task first. Which grams these are is a table that is joined.
 
 A null text is an empty one. Repeated rows, and rows of one id, do not remove
 each other's bytes. A null id counts as larger than any other. Texts below 50
@@ -34,8 +36,6 @@ from hashlib import sha256
 
 import numpy as np
 import pyarrow as pa
-import pyarrow.compute as pc
-import xxhash
 import zstandard
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
@@ -46,8 +46,10 @@ LENGTH = 50
 GRAM = 16
 #: Grams of a window.
 GRAMS = LENGTH - GRAM + 1
-#: Members of a gram beyond which its windows are aggregated by hash.
+#: Members of a gram beyond which its windows are dealt out by their own bytes.
 HOT = 200_000
+#: Bytes of contexts that a task of step 3 is meant to get.
+PART_BYTES = 64 << 20
 #: Anchors, and bytes of contexts, that a task settles together before it sends them on.
 UNIT, UNIT_BYTES = 500_000, 8 << 20
 #: Windows of a document looked at together.
@@ -118,10 +120,6 @@ def _documents(docs: DataFrame) -> DataFrame:
     return docs.select("doc_id", order.alias("ord"), F.xxhash64(text).alias("key"), text.cast("binary").alias("data"))
 
 
-def _column(batch: pa.RecordBatch, name: str) -> np.ndarray:
-    return batch.column(name).to_numpy(zero_copy_only=False)
-
-
 def _dealt(spark: SparkSession, parts: int) -> np.ndarray:
     """For each partition a number that Spark's hash sends to it, so that no two parts meet in one task."""
     numbers = spark.range(32 * parts).selectExpr("cast(id as int) as id", f"pmod(hash(cast(id as int)), {parts}) as part")
@@ -188,22 +186,20 @@ def _offers(dealt: np.ndarray):
 
 
 def _met(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """``ord, key, place`` of anchors whose gram is in two documents; ``hot``: grams in more than ``HOT`` places."""
+    """``gram, ord, key, place`` of anchors whose gram is in two documents; with ``hot`` a gram in more than ``HOT`` places alone."""
+    names = ["gram", "ord", "key", "place", "hot"]
 
-    def rows(order_id: np.ndarray, key: np.ndarray, place: np.ndarray, hot: np.ndarray) -> pa.RecordBatch:
-        more = np.zeros(len(hot), dtype=np.int64)
-        columns = [pa.array(np.concatenate([c, more])) for c in (order_id, key)]
-        told = pa.array([None] * len(order_id) + hot.view(np.int64).tolist(), pa.int64())
-        places = pa.array(np.concatenate([place, more]).astype(np.int32))
-        return pa.RecordBatch.from_arrays([*columns, places, told], ["ord", "key", "place", "hot"])
+    def rows(gram: np.ndarray, order_id: np.ndarray, key: np.ndarray, place: np.ndarray) -> pa.RecordBatch:
+        n = len(gram)
+        columns = [pa.array(gram.view(np.int64)), pa.array(order_id), pa.array(key), pa.array(place.astype(np.int32))]
+        return pa.RecordBatch.from_arrays([*columns, pa.array(np.zeros(n, dtype=bool))], names)
 
-    none = np.zeros(0, np.uint64)
     held = []
     for batch in batches:
         for kind, *packed in zip(*(batch.column(c).to_pylist() for c in ("kind", "gram", "ord", "key", "place")), strict=True):
             gram, ids, keys, places = (np.frombuffer(x, k) for x, k in zip(packed, (np.uint64, np.int64, np.int64, np.int32), strict=True))
             if kind == SETTLED:
-                yield rows(ids, keys, places, none)
+                yield rows(gram, ids, keys, places)
             else:
                 held.append((np.full(len(ids), kind, np.int8), gram, ids, keys, places))
     if held:
@@ -215,119 +211,194 @@ def _met(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         shared = (np.minimum.reduceat(own, begins) != np.maximum.reduceat(own, begins)) | np.logical_or.reduceat(told, begins)
         members = np.add.reduceat(np.where(told, places[order], 1), begins)
         keep = order[np.repeat(shared, counts) & ~told]
-        yield rows(ids[keep], keys[keep], places[keep], gram[order[begins[shared & (members > HOT)]]])
+        yield rows(gram[keep], ids[keep], keys[keep], places[keep])
+        hot = gram[order[begins[shared & (members > HOT)]]]
+        if len(hot):
+            nothing = [pa.nulls(len(hot), k) for k in (pa.int64(), pa.int64(), pa.int32())]
+            yield pa.RecordBatch.from_arrays([pa.array(hot.view(np.int64)), *nothing, pa.array(np.ones(len(hot), dtype=bool))], names)
 
 
 # 2. Contexts of these anchors.
 
 
-def _contexts(dealt: np.ndarray, hot: frozenset[int], windows_of_hot: bool):
-    """Contexts by gram, and spans that are settled; or, of hot grams only, their windows."""
-    hot_grams = np.array(sorted(hot), dtype=np.int64).view(np.uint64)
-    names = ["part", "ord", "key", "start", "stop", "payload"]
+CONTEXTS, SPANS = 0, 1
+_SPAN = (np.int64,) * 4
+
+
+def _packed(columns, *more: bytes) -> bytes:
+    return zstandard.compress(b"".join([np.array([len(columns[0])], np.int64).tobytes(), *(c.tobytes() for c in columns), *more]), 1)
+
+
+def _unpacked(payload: bytes, kinds) -> tuple[list[np.ndarray], np.ndarray]:
+    """The columns of a payload, and the bytes after them."""
+    raw = zstandard.decompress(payload)
+    n, at, columns = int(np.frombuffer(raw, np.int64, 1)[0]), 8, []
+    for kind in kinds:
+        columns.append(np.frombuffer(raw, kind, n, at))
+        at += n * np.dtype(kind).itemsize
+    return columns, np.frombuffer(raw, np.uint8, -1, at)
+
+
+def _joined(order_id: np.ndarray, key: np.ndarray, start: np.ndarray, stop: np.ndarray) -> tuple[np.ndarray, ...]:
+    """Spans of documents, in order, those that touch as one. Each document's spans are cut where they are long apart."""
+    order = np.lexsort((start, key, order_id))
+    o, k, a, b = order_id[order], key[order], start[order], stop[order]
+    new = np.concatenate([[True], (o[1:] != o[:-1]) | (k[1:] != k[:-1])])
+    # The farthest end so far within a document: documents are set apart by more than any place.
+    far = np.int64(1) << np.int64(40)
+    shift = np.cumsum(new) * far
+    reach = np.maximum.accumulate(b + shift)
+    fresh = new | np.concatenate([[True], (a + shift)[1:] > reach[:-1]])
+    first = np.flatnonzero(fresh)
+    last = np.concatenate([first[1:] - 1, [len(order) - 1]])
+    return o[first], k[first], a[first], (reach - shift)[last]
+
 
-    def spans(order_id, key, start, stop) -> pa.RecordBatch:
-        n = len(order_id)
-        columns = [pa.array(_part(dealt, key)), *(pa.array(np.asarray(c, dtype=np.int64)) for c in (order_id, key, start, stop)), pa.nulls(n, pa.binary())]
-        return pa.RecordBatch.from_arrays(columns, names)
+def _span_rows(order_id, key, start, stop) -> pa.RecordBatch:
+    columns = [pa.array(c) for c in (order_id, key, start, stop)]
+    return pa.RecordBatch.from_arrays(columns, ["ord", "key", "start", "stop"])
 
-    def settle(held: list[tuple]) -> Iterator[pa.RecordBatch]:
-        gram, at, start, order_id, key = (np.array([x[i] for x in held], dtype=t) for i, t in enumerate((np.uint64, np.int32, np.int64, np.int64, np.int64)))
+
+def _held_contexts(batches: Iterator[pa.RecordBatch], hot: bool) -> Iterator[tuple]:
+    """Units of the contexts of hot or of other grams: columns and bytes, which of them go on, and the spans of those
+    that the unit also has of a smaller id."""
+
+    def settled(held: list[tuple]) -> tuple:
+        kinds = (np.uint64, np.int32, np.int64, np.int64, np.int64)
+        gram, at, start, order_id, key = (np.array([x[i] for x in held], dtype=t) for i, t in enumerate(kinds))
         text = [x[5] for x in held]
         same: dict[tuple, int] = {}
         owner = np.array([same.setdefault((x[0], x[1], x[5]), i) for i, x in enumerate(held)])
         best = np.full(len(held), LAST, dtype=np.int64)
         np.minimum.at(best, owner, order_id)
         again = order_id > best[owner]
-        if again.any():
-            sizes = np.array([len(t) for t in text])
-            yield spans(order_id[again], key[again], start[again], start[again] + sizes[again])
-        rest = np.flatnonzero(~again)
-        part = _part(dealt, gram[rest])
+        sizes = np.array([len(t) for t in text], dtype=np.int32)
+        gone = tuple(c[again] for c in (order_id, key, start, start + sizes))
+        return (gram, order_id, key, start, at, sizes), text, np.flatnonzero(~again), gone
+
+    held, size = [], 0
+    for batch in batches:
+        places = batch.column("places")
+        for i, (order_id, key, data) in enumerate(zip(*(batch.column(c).to_pylist() for c in ("ord", "key", "data")), strict=True)):
+            wanted = places[i].values.to_numpy(zero_copy_only=False)
+            wanted = wanted[(wanted & 1) == hot] >> 1
+            if not len(wanted):
+                continue
+            gram, place, first, count = anchors(data)
+            chosen = np.isin(place, wanted)
+            own = (a[chosen].tolist() for a in (gram, place - first, first, count))
+            for g, a, f, c in zip(*own, strict=True):
+                held.append((g, a, f, order_id, key, data[f : f + c + LENGTH - 1]))
+                size += c + LENGTH - 1
+            if size >= UNIT_BYTES:
+                yield settled(held)
+                held, size = [], 0
+    if held:
+        yield settled(held)
+
+
+def _contexts(dealt: np.ndarray):
+    """Contexts by gram and spans by document, many of either in a row."""
+    def rows(kind: int, part: np.ndarray, pack) -> pa.RecordBatch | None:
         to, begins = _groups(part)
-        rows = []
-        for own in np.split(rest[to], begins[1:]) if len(to) else ():
+        out = []
+        for own in np.split(to, begins[1:]) if len(to) else ():
             own.sort()
-            sizes = np.array([len(text[i]) for i in own], dtype=np.int32)
-            raw = [np.array([len(own)], np.int64).tobytes(), gram[own].tobytes(), order_id[own].tobytes(), key[own].tobytes(), start[own].tobytes(), at[own].tobytes(), sizes.tobytes()]
-            rows.append((int(_part(dealt, gram[own[:1]])[0]), zstandard.compress(b"".join([*raw, *(text[i] for i in own)]), 1)))
-        if rows:
-            n, nothing = len(rows), pa.nulls(len(rows), pa.int64())
-            yield pa.RecordBatch.from_arrays([pa.array([r[0] for r in rows], pa.int32()), *[nothing] * 4, pa.array([r[1] for r in rows], pa.binary())], names)
+            out.append((int(part[own[0]]), kind, pack(own)))
+        if not out:
+            return None
+        columns = [pa.array(c, t) for c, t in zip(zip(*out), (pa.int32(), pa.int32(), pa.binary()), strict=True)]
+        return pa.RecordBatch.from_arrays(columns, ["part", "kind", "payload"])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        held, size = [], 0
-        for batch in batches:
-            places = batch.column("places")
-            for i, (order_id, key, data) in enumerate(zip(*(batch.column(c).to_pylist() for c in ("ord", "key", "data")), strict=True)):
-                gram, place, first, count = anchors(data)
-                wanted = np.isin(place, places[i].values.to_numpy(zero_copy_only=False))
-                if len(hot_grams):
-                    wanted &= np.isin(gram, hot_grams) == windows_of_hot
-                elif windows_of_hot:
-                    continue
-                if windows_of_hot:
-                    yield from hashed(order_id, key, data, first[wanted], count[wanted])
-                    continue
-                own = (a[wanted].tolist() for a in (gram, place - first, first, count))
-                for g, a, f, c in zip(*own, strict=True):
-                    held.append((g, a, f, order_id, key, data[f : f + c + LENGTH - 1]))
-                    size += c + LENGTH - 1
-                if size >= UNIT_BYTES:
-                    yield from settle(held)
-                    held, size = [], 0
-        if held:
-            yield from settle(held)
-
-    def hashed(order_id: int, key: int, data: bytes, first: np.ndarray, count: np.ndarray) -> Iterator[pa.RecordBatch]:
-        starts = [s for f, c in zip(first.tolist(), count.tolist(), strict=True) for s in range(f, f + c)]
-        for at in range(0, len(starts), 50_000):
-            own = starts[at : at + 50_000]
-            digests = [xxhash.xxh3_128_digest(data[s : s + LENGTH]) for s in own]
-            n = len(own)
-            columns = [pa.array(np.zeros(n, np.int32)), *(pa.array(np.full(n, v, np.int64)) for v in (order_id, key)), pa.array(np.array(own, np.int64)), pa.array(np.array(own, np.int64) + LENGTH), pa.array(digests, pa.binary())]
-            yield pa.RecordBatch.from_arrays(columns, names)
+        for columns, text, rest, gone in _held_contexts(batches, False):
+            kept = [c[rest] for c in columns]
+            found = rows(CONTEXTS, _part(dealt, kept[0]), lambda own: _packed([c[own] for c in kept], *(text[i] for i in rest[own])))
+            if found:
+                yield found
+            if len(gone[0]):
+                merged = _joined(*gone)
+                yield rows(SPANS, _part(dealt, merged[1]), lambda own: _packed([c[own] for c in merged]))
 
     return run
 
 
-# 3. Windows of the contexts of a gram, sorted.
+def _hot_windows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """``ord, key, start, stop, window``: spans that a unit has settled, and each of its other windows of hot grams, with its bytes."""
+    names = ["ord", "key", "start", "stop", "window"]
+
+    def rows(columns, window: list[bytes | None]) -> pa.RecordBatch:
+        return pa.RecordBatch.from_arrays([*(pa.array(c) for c in columns), pa.array(window, pa.binary())], names)
+
+    for (_, order_id, key, start, _, sizes), text, rest, gone in _held_contexts(batches, True):
+        if not len(rest):
+            continue
+        own = np.array([o for i in rest.tolist() for o in range(sizes[i] - LENGTH + 1)], dtype=np.int64)
+        of = np.repeat(rest, sizes[rest] - LENGTH + 1)
+        window = [text[i][s : s + LENGTH] for i, s in zip(of.tolist(), own.tolist(), strict=True)]
+        number: dict[bytes, int] = {}
+        which = np.array([number.setdefault(w, len(number)) for w in window])
+        least = np.full(len(number), LAST, dtype=np.int64)
+        np.minimum.at(least, which, order_id[of])
+        # A window goes on for the smallest id of the unit, at each of its places.
+        again = order_id[of] > least[which]
+        first = start[of] + own
+        columns = (order_id[of], key[of], first, first + LENGTH)
+        settled = [np.concatenate([g, c[again]]) for g, c in zip(gone, columns, strict=True)]
+        if len(settled[0]):
+            merged = _joined(*settled)
+            yield rows(merged, [None] * len(merged[0]))
+        yield rows([c[~again] for c in columns], [w for w, a in zip(window, again.tolist(), strict=True) if not a])
+
+
+# 3. Contexts of a gram, sorted by what follows.
 
 
 class Buffer:
-    """Bytes with prefix polynomial hashes; suffixes are compared to a bounded length."""
+    """Suffixes of a buffer with prefix polynomial hashes, compared as far as each has ``room``."""
 
-    def __init__(self, raw: np.ndarray) -> None:
-        self.raw = raw
-        self.powers = _powers(LENGTH)
+    def __init__(self, raw: np.ndarray, at: np.ndarray, room: np.ndarray) -> None:
+        self.raw, self.at, self.room = raw, at, room
         # Prefix sums of byte times power, so a string's hash times the power of its place.
         self.place = _powers(len(raw))
         self.sums = np.concatenate([np.zeros(1, np.uint64), np.cumsum((raw.astype(np.uint64) + np.uint64(1)) * self.place[: len(raw)], dtype=np.uint64)])
 
-    def same(self, a: np.ndarray, b: np.ndarray, length: np.ndarray | int) -> np.ndarray:
-        """Whether the hashes of two strings of a length agree, brought to one place by powers."""
-        x = (self.sums[a + length] - self.sums[a]) * self.place[b]
-        y = (self.sums[b + length] - self.sums[b]) * self.place[a]
-        return x == y
+    def hashes(self, begin: np.ndarray, length: int) -> np.ndarray:
+        """Hashes of strings of one length, which do not depend on their places."""
+        return (self.sums[begin + length] - self.sums[begin]) * self.place[len(self.raw) - begin]
+
+    def same(self, a: np.ndarray, b: np.ndarray, length: np.ndarray) -> np.ndarray:
+        """Whether the hashes of the first bytes of two suffixes agree, brought to one place by powers."""
+        p, q = self.at[a], self.at[b]
+        return (self.sums[p + length] - self.sums[p]) * self.place[q] == (self.sums[q + length] - self.sums[q]) * self.place[p]
 
     def common(self, a: np.ndarray, b: np.ndarray) -> np.ndarray:
-        """How far two suffixes agree, up to ``LENGTH``, by binary search."""
-        low, high = np.zeros(len(a), np.int64), np.full(len(a), LENGTH, np.int64)
-        while (open_ := low < high).any():
-            middle = np.where(open_, (low + high + 1) // 2, low)
-            agree = self.same(a, b, middle)
-            low, high = np.where(agree, middle, low), np.where(agree, high, middle - 1)
+        """How far two suffixes agree, as far as both have room, by binary search."""
+        high = np.minimum(self.room[a], self.room[b])
+        low = np.zeros(len(a), np.int64)
+        whole = self.same(a, b, high)
+        low[whole] = high[whole]
+        live = np.flatnonzero(low < high)
+        while live.size:
+            middle = (low[live] + high[live] + 1) // 2
+            agree = self.same(a[live], b[live], middle)
+            low[live] = np.where(agree, middle, low[live])
+            high[live] = np.where(agree, high[live], middle - 1)
+            live = live[low[live] < high[live]]
         return low
 
     def less(self, a: np.ndarray, b: np.ndarray, or_equal: bool) -> np.ndarray:
         far = self.common(a, b)
-        whole = far == LENGTH
-        at = np.minimum(far, LENGTH - 1)
-        return np.where(whole, or_equal, self.raw[a + at] < self.raw[b + at])
-
-    def sort(self, suffixes: np.ndarray, group: np.ndarray) -> np.ndarray:
-        """The suffixes sorted within runs of equal ``group``; all merges of a level at once."""
-        out = suffixes.copy()
+        most = np.minimum(self.room[a], self.room[b])
+        at = np.minimum(far, np.maximum(most - 1, 0))
+        differ = self.raw[self.at[a] + at] < self.raw[self.at[b] + at]
+        # One is the beginning of the other: the shorter is less.
+        ends = np.where(self.room[a] == self.room[b], or_equal, self.room[a] < self.room[b])
+        return np.where(far == most, ends, differ)
+
+    def sort(self, group: np.ndarray) -> np.ndarray:
+        """The numbers of the suffixes, sorted within runs of equal ``group``; all merges of a level at once."""
+        out = np.arange(len(group))
         begins = np.flatnonzero(np.concatenate([[True], group[1:] != group[:-1]]))
         sizes = _sizes(begins, len(out))
         begin, stop = np.repeat(begins, sizes), np.repeat(begins + sizes, sizes)
@@ -358,61 +429,83 @@ class Buffer:
         return out
 
 
-def repeated(raw: np.ndarray, suffixes: np.ndarray, group: np.ndarray, order_id: np.ndarray) -> np.ndarray:
-    """Whether each window (its start in ``raw``, its group, its document) is equal to one of a smaller id in its group."""
-    order = np.lexsort((suffixes, group))
-    buffer = Buffer(raw)
-    placed = buffer.sort(suffixes[order], group[order])
-    back = np.argsort(suffixes, kind="stable")  # suffixes are distinct places
-    which = back[np.searchsorted(suffixes[back], placed)]
-    g = group[which]
-    equal = np.zeros(len(placed), dtype=bool)
-    equal[1:] = (g[1:] == g[:-1]) & buffer.same(placed[1:], placed[:-1], LENGTH)
-    # Verification: what the hashes call equal must be so byte by byte.
-    claimed = np.flatnonzero(equal)
-    view = np.lib.stride_tricks.sliding_window_view(raw, LENGTH) if len(raw) >= LENGTH else np.zeros((0, LENGTH), np.uint8)
-    for at in range(0, len(claimed), 1 << 17):
-        own = claimed[at : at + (1 << 17)]
-        if not (view[placed[own]] == view[placed[own - 1]]).all():  # a collision: exact strings decide
-            keys = [(view[x].tobytes(), g) for x, g in zip(suffixes.tolist(), group.tolist(), strict=True)]
-            best: dict[tuple[bytes, int], int] = {}
-            for k, i in zip(keys, order_id.tolist(), strict=True):
-                best[k] = min(best.get(k, i), i)
-            return np.array([i > best[k] for k, i in zip(keys, order_id.tolist(), strict=True)])
-    begins = np.flatnonzero(~equal)
-    least = np.minimum.reduceat(order_id[which], begins) if len(begins) else np.zeros(0, np.int64)
-    out = np.zeros(len(suffixes), dtype=bool)
-    out[which] = order_id[which] > np.repeat(least, _sizes(begins, len(placed)))
-    return out
+def repeated(
+    raw: np.ndarray, begin: np.ndarray, size: np.ndarray, at: np.ndarray, group: np.ndarray, order_id: np.ndarray
+) -> tuple[np.ndarray, np.ndarray]:
+    """Windows that are equal to one of a smaller id in their group: their contexts, and their places in these.
+
+    A context is ``size`` bytes at ``begin``, its anchor ``at`` bytes behind that; contexts
+    come by group. Sorted by what follows from the anchor on, those that agree for
+    so many bytes are neighbours, so one sort serves the windows at all places.
+    """
+    anchor = begin + at
+    buffer = Buffer(raw, anchor, np.minimum(size - at, LENGTH).astype(np.int64))
+    order = buffer.sort(group)
+    far = np.full(len(order), -1, dtype=np.int64)
+    far[1:] = np.where(group[order[1:]] == group[order[:-1]], buffer.common(order[:-1], order[1:]), -1)
+    view = np.lib.stride_tricks.sliding_window_view(raw, LENGTH)
+    found: list[tuple[np.ndarray, np.ndarray]] = []
+    for before in range(GRAMS):  # bytes of the window before the anchor
+        run = np.cumsum(far < LENGTH - before)
+        inside = np.flatnonzero((before <= at[order]) & (at[order] - before <= size[order] - LENGTH))
+        if len(inside) < 2:
+            continue
+        run = run[inside]
+        # Only those of a run with another one can be equal to it.
+        twice = np.concatenate([run[1:] == run[:-1], [False]])
+        twice[1:] |= run[1:] == run[:-1]
+        inside, run = inside[twice], run[twice]
+        if not len(inside):
+            continue
+        own = order[inside]
+        start = anchor[own] - before
+        key = _mixed(buffer.hashes(start, before) + run.astype(np.uint64) * MIX) if before else run.astype(np.uint64)
+        by = np.lexsort((order_id[own], key))
+        own, start, key = own[by], start[by], key[by]
+        begins = np.flatnonzero(np.concatenate([[True], key[1:] != key[:-1]]))
+        first = np.repeat(begins, _sizes(begins, len(key)))
+        claimed = np.flatnonzero(order_id[own] > order_id[own[first]])
+        if not len(claimed):
+            continue
+        # Verification: what the hashes call equal must be so byte by byte.
+        if all((view[start[c]] == view[start[first[c]]]).all() for c in np.split(claimed, range(1 << 17, len(claimed), 1 << 17))):
+            gone = claimed
+        else:  # a collision: exact strings decide
+            best: dict[tuple, int] = {}
+            texts = [(int(g), view[x].tobytes()) for g, x in zip(group[own], start, strict=True)]
+            for t, i in zip(texts, order_id[own].tolist(), strict=True):
+                best[t] = min(best.get(t, i), i)
+            gone = np.array([i > best[t] for t, i in zip(texts, order_id[own].tolist(), strict=True)]).nonzero()[0]
+        found.append((own[gone], at[own[gone]] - before))
+    if not found:
+        return np.zeros(0, np.int64), np.zeros(0, np.int64)
+    return tuple(np.concatenate(c) for c in zip(*found, strict=True))
 
 
-#: Windows sorted together; grams are not split.
-SORTED = 250_000
+#: Bytes of contexts sorted together; grams are not split.
+SORTED = 4 << 20
 
 
 def _spans(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    names = ["ord", "key", "start", "stop"]
     held: list[tuple[np.ndarray, ...]] = []
     for batch in batches:
-        known = batch.filter(pc.is_null(batch.column("payload")))
-        if known.num_rows:
-            yield pa.RecordBatch.from_arrays([known.column(c) for c in names], names)
-        for payload in batch.column("payload").drop_null().to_pylist():
-            raw = zstandard.decompress(payload)
-            n = int(np.frombuffer(raw, np.int64, 1)[0])
-            at, columns = 8, []
-            for kind in (np.uint64, np.int64, np.int64, np.int64, np.int32, np.int32):
-                columns.append(np.frombuffer(raw, kind, n, at))
-                at += n * np.dtype(kind).itemsize
-            held.append((*columns, np.frombuffer(raw, np.uint8, -1, at)))
+        for kind, payload in zip(*(batch.column(c).to_pylist() for c in ("kind", "payload")), strict=True):
+            if kind == SPANS:
+                yield _span_rows(*_unpacked(payload, _SPAN)[0])
+            else:
+                columns, raw = _unpacked(payload, (np.uint64, np.int64, np.int64, np.int64, np.int32, np.int32))
+                held.append((*columns, raw))
     if not held:
         return
     gram, order_id, key, start, at, size = (np.concatenate(c) for c in list(zip(*held, strict=True))[:6])
     raw = np.concatenate([h[6] for h in held])
     offset = np.cumsum(size, dtype=np.int64) - size
     order, begins = _groups(gram)
-    counts = size - LENGTH + 1
-    total = np.cumsum(counts[order])
+    # A gram of one context has nothing to meet here; its documents' other tasks have settled it.
+    alone = np.repeat(_sizes(begins, len(order)) == 1, _sizes(begins, len(order)))
+    order = order[~alone]
+    begins = np.flatnonzero(np.concatenate([[True], gram[order[1:]] != gram[order[:-1]]])) if len(order) else begins[:0]
+    total = np.cumsum(size[order], dtype=np.int64)
     # Whole grams at a time, so that what is sorted together stays bounded.
     cuts, last = [0], 0
     for b in begins[1:].tolist():
@@ -421,31 +514,16 @@ def _spans(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             last = total[b - 1]
     for lo, hi in zip(cuts, [*cuts[1:], len(order)], strict=True):
         own = order[lo:hi]
-        n = counts[own]
-        which = np.repeat(own, n)
-        step = np.arange(len(which)) - np.repeat(np.cumsum(n) - n, n)
-        # Equal windows have their anchor's gram in common, and at the same place.
-        group = _joint(gram[which], at[which] - step)
+        if not len(own):
+            continue
         lengths = size[own].astype(np.int64)
         begin = np.cumsum(lengths) - lengths
         bytes_of = np.repeat(offset[own] - begin, lengths) + np.arange(lengths.sum())
-        gone = repeated(raw[bytes_of], np.repeat(begin, n) + step, group, order_id[which])
-        hit = np.flatnonzero(gone)
-        if len(hit):
-            fresh = np.concatenate([[True], (hit[1:] != hit[:-1] + 1) | (which[hit[1:]] != which[hit[:-1]])])
-            first = hit[fresh]
-            final = hit[np.concatenate([np.flatnonzero(fresh)[1:] - 1, [len(hit) - 1]])]
-            of = which[first]
-            columns = [order_id[of], key[of], start[of] + step[first], start[of] + step[final] + LENGTH]
-            yield pa.RecordBatch.from_arrays([pa.array(c) for c in columns], names)
-
-
-def _joint(gram: np.ndarray, place: np.ndarray) -> np.ndarray:
-    """A number for each pair of gram and place."""
-    order, begins = _groups(place, gram)
-    out = np.empty(len(gram), dtype=np.int64)
-    out[order] = np.repeat(np.arange(len(begins)), _sizes(begins, len(gram)))
-    return out
+        which, place = repeated(raw[bytes_of], begin, lengths, at[own].astype(np.int64), gram[own], order_id[own])
+        if len(which):
+            of = own[which]
+            first = start[of] + place
+            yield _span_rows(*_joined(order_id[of], key[of], first, first + LENGTH))
 
 
 def _copies(docs: DataFrame) -> DataFrame:
@@ -461,26 +539,38 @@ def spans(docs: DataFrame) -> DataFrame:
     spark = docs.sparkSession
     parts = int(spark.conf.get("spark.sql.shuffle.partitions"))
     rows = _documents(docs)
-    dealt = _dealt(spark, parts)
     offers = rows.select("ord", "key", "data").mapInArrow(
-        _offers(dealt), "part int, kind int, gram binary, ord binary, key binary, place binary"
+        _offers(_dealt(spark, parts)), "part int, kind int, gram binary, ord binary, key binary, place binary"
     )
     folder = new_folder(spark, "anchors")
-    offers.repartition(parts, "part").mapInArrow(_met, "ord bigint, key bigint, place int, hot bigint").write.parquet(folder)
+    offers.repartition(parts, "part").mapInArrow(
+        _met, "gram bigint, ord bigint, key bigint, place int, hot boolean"
+    ).write.parquet(folder)
     met = spark.read.parquet(folder)
-    hot = frozenset(r.hot for r in met.where("hot is not null").select("hot").distinct().collect())
+    members, any_hot = met.agg(F.count_if(~F.col("hot")), F.max("hot")).first()
+    placed = met.where("not hot")
+    if any_hot:
+        # Spark broadcasts the table of hot grams only while it is small.
+        hot = met.where("hot").select("gram", F.lit(1).alias("is_hot")).distinct()
+        placed = placed.join(hot, "gram", "left")
+    else:
+        placed = placed.withColumn("is_hot", F.lit(0))
     copies = cut(_copies(docs))
-    places = met.where("hot is null").groupBy("ord", "key").agg(F.collect_set("place").alias("places"))
+    marked = (F.col("place").cast("bigint") * 2 + F.coalesce("is_hot", F.lit(0))).alias("place")
+    places = placed.select("ord", "key", marked).groupBy("ord", "key").agg(F.collect_set("place").alias("places"))
     places = places.join(copies.select("ord", "key"), ["ord", "key"], "left_anti")
     # All columns of ``rows`` go along, so that this exchange of texts serves remove() as well.
     chosen = rows.join(places, ["ord", "key"])
-    schema = "part int, ord bigint, key bigint, start bigint, stop bigint, payload binary"
-    contexts = chosen.mapInArrow(_contexts(dealt, hot, False), schema)
+    # As many parts as the contexts have bytes for, each around an anchor with half its grams on average.
+    parts = max(parts, -(-members * (LENGTH + GRAMS // 2) // PART_BYTES))
+    contexts = chosen.mapInArrow(_contexts(_dealt(spark, parts)), "part int, kind int, payload binary")
     out = contexts.repartition(parts, "part").mapInArrow(_spans, "ord bigint, key bigint, start bigint, stop bigint")
-    if hot:
-        windows = chosen.mapInArrow(_contexts(dealt, hot, True), schema).select("ord", "key", "start", "stop", "payload")
-        least = windows.groupBy("payload").agg(F.min("ord").alias("least"), F.max("ord").alias("most")).where("least <> most")
-        out = out.union(windows.join(least.drop("most"), "payload").where("ord > least").select("ord", "key", "start", "stop"))
+    if any_hot:
+        windows = chosen.mapInArrow(_hot_windows, "ord bigint, key bigint, start bigint, stop bigint, window binary")
+        met_again = windows.where("window is not null")
+        least = met_again.groupBy("window").agg(F.min("ord").alias("least"), F.max("ord").alias("most")).where("least <> most")
+        out = out.union(windows.where("window is null").drop("window"))
+        out = out.union(met_again.join(least.drop("most"), "window").where("ord > least").select("ord", "key", "start", "stop"))
     return out.union(copies)
 
 

@@ -39,7 +39,7 @@ def made(seed):
     return [*rows, (None, passages[0] * 2), (None, passages[0] * 2), (None, None), (3, ""), (-5, passages[1])]
 
 
-@pytest.mark.parametrize(("seed", "limits"), [(1, {}), (2, {"UNIT": 30, "UNIT_BYTES": 500, "SORTED": 100, "STEP": 64}), (3, {"HOT": 3, "UNIT": 50})])
+@pytest.mark.parametrize(("seed", "limits"), [(1, {}), (2, {"UNIT": 30, "UNIT_BYTES": 500, "SORTED": 3000, "STEP": 64, "PART_BYTES": 2000}), (3, {"HOT": 3, "UNIT": 50}), (4, {"HOT": 3, "UNIT": 50, "UNIT_BYTES": 900})])
 def test_odd_rows(spark, monkeypatch, seed, limits):
     for name, value in limits.items():
         monkeypatch.setattr(suffixes, name, value)
@@ -56,25 +56,61 @@ def test_whole_table(spark, sf_dir):
     assert sum(r[2] for r in wanted) > 10_000
 
 
-def test_sort_and_collisions(monkeypatch):
+def test_sort_within_groups():
     rng = np.random.default_rng(3)
     raw = rng.choice(np.frombuffer(b"ab", np.uint8), 4000)
     starts = rng.permutation(3900)[:1500]
+    room = rng.integers(1, 51, 1500)
     group = np.sort(rng.integers(0, 40, 1500))
-    got = suffixes.Buffer(raw).sort(starts, group)
+    got = suffixes.Buffer(raw, starts, room).sort(group)
     for g in range(40):
         own = got[group == g].tolist()
-        texts = [raw[s : s + 50].tobytes() for s in own]
-        assert texts == sorted(texts) and sorted(own) == sorted(starts[group == g].tolist())
-    raw = np.tile(raw[:90], 20)
-    starts, group = np.arange(1700), np.arange(1700) % 7
-    ids = rng.integers(0, 50, 1700)
-    exact = suffixes.repeated(raw, starts, group, ids)
-    best = {}
-    for s, g, i in zip(starts.tolist(), group.tolist(), ids.tolist()):
-        k = raw[s : s + 50].tobytes(), g
-        best[k] = min(best.get(k, i), i)
-    assert exact.tolist() == [i > best[raw[s : s + 50].tobytes(), g] for s, g, i in zip(starts.tolist(), group.tolist(), ids.tolist())]
-    # With a hash that calls all strings equal, verification still decides.
-    monkeypatch.setattr(suffixes.Buffer, "same", lambda self, a, b, length: np.ones(len(a), dtype=bool))
-    assert suffixes.repeated(raw, starts, group, ids).tolist() == exact.tolist()
+        texts = [raw[starts[i] : starts[i] + room[i]].tobytes() for i in own]
+        assert texts == sorted(texts) and sorted(own) == np.flatnonzero(group == g).tolist()
+
+
+def cases(seed):
+    """Contexts of some anchor grams, over few letters, so that windows repeat."""
+    rng = random.Random(seed)
+    grams = [bytes(rng.choices(b"ab", k=16)) for _ in range(6)]
+    sides = [bytes(rng.choices(b"abc", k=34)) for _ in range(4)]
+    rows = []
+    for _ in range(300):
+        g = rng.randrange(6)
+        at = rng.randint(0, 34)
+        right = rng.randint(34 - at, 34)
+        left, after = (bytearray(rng.choice(sides)) for _ in range(2))
+        if rng.random() < 0.3:
+            left[rng.randrange(34)] = 120
+        rows.append((g, (bytes(left)[34 - at :] + grams[g] + bytes(after)[:right]), at, rng.randint(0, 40)))
+    return sorted(rows, key=lambda r: r[0])
+
+
+@pytest.mark.parametrize("collide", [False, True])
+def test_equal_windows_of_contexts(monkeypatch, collide):
+    if collide:  # with a hash that calls all strings equal, verification still decides
+        monkeypatch.setattr(suffixes.Buffer, "same", lambda self, a, b, length: np.ones(len(a), dtype=bool))
+        monkeypatch.setattr(suffixes.Buffer, "hashes", lambda self, begin, length: np.zeros(len(begin), dtype=np.uint64))
+    for seed in range(5):
+        rows = cases(seed)
+        size = np.array([len(r[1]) for r in rows])
+        begin = np.cumsum(size) - size
+        raw = np.frombuffer(b"".join(r[1] for r in rows), np.uint8)
+        at, group, ids = (np.array([r[i] for r in rows]) for i in (2, 0, 3))
+        which, place = suffixes.repeated(raw, begin, size, at, group, ids)
+        best, wanted = {}, set()
+        every = [(i, s, (r[0], r[2] - s, r[1][s : s + 50]), r[3]) for i, r in enumerate(rows) for s in range(len(r[1]) - 49)]
+        for _, _, k, o in every:
+            best[k] = min(best.get(k, o), o)
+        wanted = {(i, s) for i, s, k, o in every if o > best[k]}
+        assert set(zip(which.tolist(), place.tolist())) == wanted and len(which) == len(wanted) > 20
+
+
+def test_joined_spans():
+    rng = np.random.default_rng(5)
+    o, k, a = (rng.integers(0, n, 300) for n in (4, 2, 900))
+    b = a + rng.integers(1, 40, 300)
+    covered = {(x, y, p) for x, y, s, e in zip(o, k, a, b) for p in range(s, e)}
+    got = list(zip(*(c.tolist() for c in suffixes._joined(o, k, a, b))))
+    assert {(x, y, p) for x, y, s, e in got for p in range(s, e)} == covered
+    assert all(p[:2] != q[:2] or p[3] < q[2] for p, q in zip(got, got[1:]))
