@@ -302,6 +302,20 @@ def encoded(docs: DataFrame, path: str) -> DataFrame:
     return per_batch(texts(docs), of, f"doc_id {docs.schema['doc_id'].dataType.simpleString()}, n_tokens bigint, ids array<int>")
 
 
+def coded(docs: DataFrame, path: str) -> DataFrame:
+    """``doc_id, n_tokens, ids, decoded_sha256`` of every row: its tokens, and a digest of the text that these decode to."""
+
+    def of(batch: pa.RecordBatch) -> pa.RecordBatch:
+        own = codec(path)
+        ids = [x for step in _steps(batch.column("text").to_pylist()) for x in own.encode(step)]
+        digests_of = [sha256(own.decode(x).encode()).hexdigest() for x in ids]
+        columns = [batch.column("doc_id"), pa.array(map(len, ids), pa.int64()), pa.array(ids, pa.list_(pa.int32())), pa.array(digests_of, pa.string())]
+        return pa.RecordBatch.from_arrays(columns, ["doc_id", "n_tokens", "ids", "decoded_sha256"])
+
+    kind = docs.schema["doc_id"].dataType.simpleString()
+    return per_batch(texts(docs), of, f"doc_id {kind}, n_tokens bigint, ids array<int>, decoded_sha256 string")
+
+
 def decoded(tokens: DataFrame, path: str) -> DataFrame:
     """``doc_id, text``: the ids of every row as the vocabulary writes them; null ids are none, unknown ids are left out."""
 

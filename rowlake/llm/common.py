@@ -9,7 +9,7 @@ from __future__ import annotations
 from collections.abc import Callable, Iterator
 
 import pyarrow as pa
-from pyspark.sql import DataFrame, SparkSession, functions as F
+from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from rowlake.workspace import shared_folder
 
@@ -53,6 +53,27 @@ def utf8(batch: pa.RecordBatch, name: str = "text") -> list[bytes]:
     return batch.column(name).cast(pa.binary()).to_pylist()
 
 
+def free(frame: DataFrame, *names: str) -> list[str]:
+    """Names for columns of our own that the frame does not have, whatever it has."""
+    taken = {c.lower() for c in frame.columns}
+    out = []
+    for name in names:
+        while name.lower() in taken:
+            name = f"_{name}"
+        taken.add(name.lower())
+        out.append(name)
+    return out
+
+
+def dealt(spark: SparkSession, parts: int) -> list[int]:
+    """For each partition a number that Spark's hash sends to it, so that no two parts meet in one task."""
+    numbers = spark.range(32 * parts).selectExpr("cast(id as int) as id", f"pmod(hash(cast(id as int)), {parts}) as part")
+    out = list(range(parts))
+    for r in numbers.groupBy("part").agg(F.min("id").alias("id")).collect():
+        out[r.part] = r.id
+    return out
+
+
 #: Total order of documents: rows without an id last, rows of one id by text.
 ORDER = "struct(doc_id is null as no_id, doc_id, text_key)"
 
@@ -69,25 +90,35 @@ def in_order(docs: DataFrame) -> DataFrame:
     rows = texts(docs).withColumn("text_key", F.md5("text"))
     n = int(spark.conf.get("spark.sql.shuffle.partitions"))
     keys = rows.select("doc_id", "text_key").withColumn("k", F.expr(ORDER))
-    dealt = keys.repartitionByRange(n, "k").withColumn("part", F.spark_partition_id())
-    firsts = sorted(tuple(r.k) for r in dealt.groupBy("part").agg(F.min("k").alias("k")).collect()) or [(True, None, "")]
-    kind = docs.schema["doc_id"].dataType.simpleString()
-    begins = "array(" + ", ".join(
-        f"struct({str(no_id).lower()} as no_id, cast({'null' if no_id else f"'{doc_id}'"} as {kind}) as doc_id, '{key}' as text_key)"
+    ranges = keys.repartitionByRange(n, "k").withColumn("part", F.spark_partition_id())
+    found = ranges.groupBy("part").agg(F.min("k").alias("k")).collect()
+    firsts = sorted((tuple(r.k) for r in found), key=lambda k: (k[0], k[1] if not k[0] else 0, k[2])) or [(True, None, "")]
+    kind = docs.schema["doc_id"].dataType
+    # As values, not as text, so that ids may be of any type and hold any characters.
+    begins = F.array(*[
+        F.struct(F.lit(no_id).alias("no_id"), F.lit(doc_id).cast(kind).alias("doc_id"), F.lit(key).alias("text_key"))
         for no_id, doc_id, key in firsts
-    ) + ")"
-    # Binary search: the last range that begins at or before the row.
-    steps = max(1, len(firsts).bit_length())
-    middle = "cast((a.lo + a.hi) / 2 as int)"
-    bucket = (
-        f"aggregate(sequence(1, {steps}), struct(0 as lo, {len(firsts)} as hi), (a, x) -> if(a.hi - a.lo <= 1, a,"
-        f" if(get(begins, {middle}) <= k, struct({middle} as lo, a.hi as hi), struct(a.lo as lo, {middle} as hi))), a -> a.lo)"
-    ).replace("begins", begins)
-    placed = rows.withColumn("k", F.expr(ORDER)).withColumn("bucket", F.expr(bucket))
-    first = f"k = get({begins}, bucket)"
-    copies = (
-        f"explode(if({first}, array(struct(bucket as bucket, false as ahead),"
-        f" struct(pmod(bucket - 1, {len(firsts)}) as bucket, true as ahead)), array(struct(bucket as bucket, false as ahead)))) as b"
-    )
-    dealt = placed.selectExpr("doc_id", "text_key", "text", copies).selectExpr("b.bucket", "b.ahead", "doc_id", "text_key", "text")
-    return dealt.repartition(n, "bucket").sortWithinPartitions("bucket", "ahead", F.col("doc_id").isNull(), "doc_id", "text_key")
+    ])
+
+    def halved(a: Column, _: Column) -> Column:
+        """One step of a binary search for the last range that begins at or before the row."""
+        middle = F.shiftright(a["lo"] + a["hi"], 1)
+        after = F.get(begins, middle) <= F.col("k")
+        lo, hi = F.when(after, middle).otherwise(a["lo"]), F.when(after, a["hi"]).otherwise(middle)
+        return F.when(a["hi"] - a["lo"] <= 1, a).otherwise(F.struct(lo.alias("lo"), hi.alias("hi")))
+
+    ends = F.struct(F.lit(0).alias("lo"), F.lit(len(firsts)).alias("hi"))
+    steps = F.sequence(F.lit(1), F.lit(max(1, len(firsts).bit_length())))
+    bucket = F.aggregate(steps, ends, halved, lambda a: a["lo"])
+    placed = rows.withColumn("k", F.expr(ORDER)).withColumn("range", bucket)
+    # Each range goes to a partition of its own, under the number that is sent there.
+    numbers = F.array(*[F.lit(x) for x in dealt(spark, n)[: len(firsts)]])
+
+    def copy(of: Column, ahead: bool) -> Column:
+        return F.struct(F.get(numbers, of).alias("bucket"), F.lit(ahead).alias("ahead"))
+
+    own = copy(F.col("range"), False)
+    before = copy(F.pmod(F.col("range") - 1, F.lit(len(firsts))).cast("int"), True)
+    copies = F.when(F.col("k") == F.get(begins, F.col("range")), F.array(own, before)).otherwise(F.array(own))
+    spread = placed.select("doc_id", "text_key", "text", F.explode(copies).alias("b")).select("b.bucket", "b.ahead", "doc_id", "text_key", "text")
+    return spread.repartition(n, "bucket").sortWithinPartitions("bucket", "ahead", F.col("doc_id").isNull(), "doc_id", "text_key")

@@ -17,7 +17,7 @@ def usable(labels: DataFrame, column: str, modulus: int, remainder: int) -> Data
     """``doc_id, label`` of all documents that are not held out; several labels count as the lowest, null ones as none."""
     return (
         labels.where(F.col("doc_id").isNotNull() & F.col(column).isin(0, 1) & ~held_out(modulus, remainder))
-        .groupBy(F.col("doc_id").cast("bigint").alias("doc_id")).agg(F.min(column).cast("int").alias("label"))
+        .groupBy(F.col("doc_id").try_cast("bigint").alias("doc_id")).agg(F.min(column).cast("int").alias("label"))
     )
 
 
@@ -37,7 +37,7 @@ def documents_of(docs: DataFrame, labelled: DataFrame) -> DataFrame:
 
     ``labelled`` is bounded by :func:`sample`, so it may be broadcast.
     """
-    rows = docs.select(F.col("doc_id").cast("bigint").alias("doc_id"), F.coalesce("text", F.lit("")).alias("text"))
+    rows = docs.select(F.col("doc_id").try_cast("bigint").alias("doc_id"), F.coalesce("text", F.lit("")).alias("text"))
     met = rows.join(F.broadcast(labelled), "doc_id")
     return met.groupBy("doc_id", "label").agg(F.min_by("text", F.md5("text")).alias("text"))
 

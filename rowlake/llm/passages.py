@@ -3,7 +3,7 @@
 Seeds are five-word k-mers at minimizers (of each eight in a row, the smallest
 hash), so two texts that agree in twelve words running share a seed. Each seed
 is joined to its first occurrence: the document of the smallest id that has it.
-So links are linear in the text, however many documents share a passage. The
+So matches are linear in the text, however many documents share a passage. The
 matches of a document with a first owner are chained: both orders must rise, and
 moving on costs in proportion to the words passed on both sides; a Fenwick tree
 of prefix maxima finds each best predecessor in logarithmic time. Chains are
@@ -12,8 +12,19 @@ each seed that travel with it; a word whose code is not known counts as a
 mismatch. Chains that touch in a document are one passage, whoever owns them.
 Passages have at least ``LEAST_WORDS`` words and ``IDENTITY`` of them aligned.
 
+Phrases of a passage may have been met before, each in another document, which
+then owns its seed and hides who else has the whole. So stretches full of
+matches that no owner of ``LEAST_WORDS`` explains go on to another round: there
+the documents that have them compete again, by runs of two seeds, then of four,
+which other documents hardly have met singly.
+
+A document is linked to the owners of its passages, and to the others that have
+the same words of an owner: as many of them as overlap it there by
+``LEAST_WORDS``, counted from how many begin and end at each place of the
+owner's text and never paired off. A pair that two owners link counts for each.
+
 A result names, for each document, its passages that occur before it, the
-documents it was aligned to, the number of its links from either side, and the
+owners it was aligned to, the number of its links from either side, and the
 class: the smallest id reachable over links.
 
 A null text is an empty one. Null ids count as larger than any other and are
@@ -46,6 +57,10 @@ JOIN = 10
 WORTH, GAP = 5.0, 0.1
 #: Seeds and words below which a chain is chance.
 LEAST_SEEDS, LEAST_CHAIN = 2, 10
+#: Seeds of a run that are joined in each round.
+RUNS = (1, 2, 4)
+#: Words between matches of one stretch, and matches from which a stretch goes on to the next round.
+STRETCH, LEAST_MATCHES = 2 * WINDOW, 3
 LAST = np.iinfo(np.int64).max
 WORD = re.compile(rb"[0-9a-z\x80-\xff]+")
 REMEMBERED = 1_000_000
@@ -200,64 +215,109 @@ def align(x: list[int], y: list[int], x_codes: np.ndarray, y_codes: np.ndarray)
     return x0, x1 + more, y0, y1 + more, matched + more
 
 
-def passages(rows: list[tuple[int, list[int], list[int], np.ndarray, np.ndarray]]) -> list[tuple[int, int, float, list[int]]]:
-    """``start, stop, identity, owners`` of a document's passages from its matches with each owner."""
+Owner = tuple[int, int, int]  # id, first word and end of its words
+
+
+def passages(rows: list[tuple[int, list[int], list[int], np.ndarray, np.ndarray]]) -> list[tuple[int, int, float, list[Owner]]]:
+    """``start, stop, identity, owners`` of a document's passages from its matches with each owner.
+
+    Owners are those who alone have ``LEAST_WORDS`` words of a passage.
+    """
     found = []
     for owner, x, y, x_codes, y_codes in rows:
         for chain in chains(x, y):
             own = np.array(chain)
-            start, stop, _, _, matched = align([x[m] for m in chain], [y[m] for m in chain], x_codes[own], y_codes[own])
+            start, stop, first, last, matched = align([x[m] for m in chain], [y[m] for m in chain], x_codes[own], y_codes[own])
             if stop - start >= LEAST_CHAIN and matched >= IDENTITY * (stop - start):
-                found.append((start, stop, matched, owner))
+                found.append((start, stop, matched, owner, first, last))
     found.sort()
-    out: list[tuple[int, int, float, list[int]]] = []
-    group: list[tuple[int, int, int, int]] = []
+    out: list[tuple[int, int, float, list[Owner]]] = []
+    group: list[tuple] = []
+    end = 0
 
     def close() -> None:
-        start, stop = group[0][0], max(g[1] for g in group)
+        start, stop = group[0][0], end
         # Words aligned to several owners count once.
         gone, matched = start, 0.0
-        for s, e, m, _ in group:
+        words: dict[int, int] = {}
+        places: dict[int, tuple[int, int]] = {}
+        for s, e, m, owner, first, last in group:
             fresh = max(0, e - max(s, gone))
             matched += fresh * min(1.0, m / (e - s))
             gone = max(gone, e)
+            words[owner] = words.get(owner, 0) + e - s
+            low, high = places.get(owner, (first, last))
+            places[owner] = min(low, first), max(high, last)
         if stop - start >= LEAST_WORDS and matched >= IDENTITY * (stop - start):
-            out.append((start, stop, matched / (stop - start), sorted({g[3] for g in group})))
+            out.append((start, stop, matched / (stop - start), [(o, *places[o]) for o in sorted(words) if words[o] >= LEAST_WORDS]))
 
     for c in found:
-        if group and c[0] > max(g[1] for g in group) + JOIN:
+        if group and c[0] > end + JOIN:
             close()
             group = []
+        end = max(end, c[1]) if group else c[1]
         group.append(c)
     if group:
         close()
     return out
 
 
+def unexplained(places: np.ndarray, found: list[tuple]) -> np.ndarray:
+    """Of the sorted, distinct places of matches, those in dense stretches outside passages that have an owner."""
+    free = np.ones(len(places), dtype=bool)
+    for start, stop, _, owners in found:
+        if owners:
+            free &= (places < start) | (places >= stop)
+    left = np.flatnonzero(free)
+    if len(left) < LEAST_MATCHES:
+        return left[:0]
+    cuts = np.flatnonzero(np.diff(places[left]) > STRETCH) + 1
+    kept = [
+        own for own in np.split(left, cuts)
+        if len(own) >= LEAST_MATCHES and places[own[-1]] - places[own[0]] + K + WINDOW >= LEAST_WORDS
+    ]
+    return np.concatenate(kept) if kept else left[:0]
+
+
+_FOUND = (
+    "ord bigint, key bigint, passages array<struct<start:int,stop:int,identity:double>>, "
+    "links array<struct<owner:bigint,first:int,last:int>>, rest array<struct<place:int,gram:bigint,codes:bigint>>"
+)
+_KINDS = [
+    pa.int64(), pa.int64(), pa.list_(pa.struct([("start", pa.int32()), ("stop", pa.int32()), ("identity", pa.float64())])),
+    pa.list_(pa.struct([("owner", pa.int64()), ("first", pa.int32()), ("last", pa.int32())])),
+    pa.list_(pa.struct([("place", pa.int32()), ("gram", pa.int64()), ("codes", pa.int64())])),
+]
+
+
 def _chained(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Passages of each document from its matches, which come sorted by document, owner and place."""
-    names = ["ord", "key", "passages", "owners"]
-    kinds = [pa.int64(), pa.int64(), pa.list_(pa.struct([("start", pa.int32()), ("stop", pa.int32()), ("identity", pa.float64())])), pa.list_(pa.int64())]
+    """``_FOUND`` of each document from its matches, which come sorted by document, owner and place."""
+    names = ["ord", "key", "passages", "links", "rest"]
+    wanted = ("ord", "key", "owner", "place", "owner_place", "codes", "owner_codes", "gram")
 
     def result(document: tuple[int, int], parts: list[np.ndarray]) -> tuple | None:
-        owner, x, y, x_codes, y_codes = (np.concatenate([p[i] for p in parts]) for i in range(5))
+        owner, x, y, x_codes, y_codes, gram = (np.concatenate([p[i] for p in parts]) for i in range(6))
         cuts = np.flatnonzero(owner[1:] != owner[:-1]) + 1
         rows = [
             (int(owner[own[0]]), x[own].tolist(), y[own].tolist(), x_codes[own], y_codes[own])
             for own in np.split(np.arange(len(owner)), cuts) if len(own) >= LEAST_SEEDS
         ]
         found = passages(rows)
-        if not found:
+        places, at = np.unique(x, return_index=True)
+        rest = at[unexplained(places, found)]
+        if not found and not len(rest):
             return None
         spans = [{"start": s, "stop": e, "identity": i} for s, e, i, _ in found]
-        return (*document, spans, sorted({o for *_, owners in found for o in owners}))
+        links = [{"owner": o, "first": f, "last": e} for *_, owners in found for o, f, e in owners]
+        again = [{"place": int(x[i]), "gram": int(gram[i]), "codes": int(x_codes[i])} for i in rest.tolist()]
+        return (*document, spans, links, again)
 
     def batch_of(rows: list[tuple]) -> pa.RecordBatch:
-        return pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(zip(*rows), kinds, strict=True)], names)
+        return pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(zip(*rows), _KINDS, strict=True)], names)
 
     document, parts, out = None, [], []
     for batch in batches:
-        columns = [batch.column(c).to_numpy(zero_copy_only=False) for c in ("ord", "key", "owner", "place", "owner_place", "codes", "owner_codes")]
+        columns = [batch.column(c).to_numpy(zero_copy_only=False) for c in wanted]
         new = np.flatnonzero((columns[0][1:] != columns[0][:-1]) | (columns[1][1:] != columns[1][:-1])) + 1
         for lo, hi in zip([0, *new.tolist()], [*new.tolist(), batch.num_rows], strict=True):
             if lo == hi:
@@ -283,40 +343,92 @@ def _documents(docs: DataFrame) -> DataFrame:
     return docs.select("doc_id", order.alias("ord"), F.xxhash64(text).alias("key"), text.cast("binary").alias("data"))
 
 
-def found_passages(docs: DataFrame) -> DataFrame:
-    """``ord, key, passages, owners`` of the documents that have passages which occur under a smaller id."""
-    found = _documents(docs).select("ord", "key", "data").mapInArrow(
+def first_round(docs: DataFrame) -> DataFrame:
+    """``_FOUND`` by single seeds."""
+    return _matched(_documents(docs).select("ord", "key", "data").mapInArrow(
         _seed_rows, "ord bigint, key bigint, place int, gram bigint, codes bigint"
-    )
+    ))
+
+
+def _matched(found: DataFrame) -> DataFrame:
+    """``_FOUND`` of documents whose seeds occur under a smaller id."""
     # Grams of one document are dropped by the join below, whose condition only other documents meet.
     first = found.groupBy("gram").agg(F.min(F.struct("ord", "place", "codes")).alias("first")).select(
-        "gram", F.col("first.ord").alias("owner"), F.col("first.place").alias("owner_place"), F.col("first.codes").alias("owner_codes")
+        F.col("gram").alias("first_gram"), F.col("first.ord").alias("owner"), F.col("first.place").alias("owner_place"),
+        F.col("first.codes").alias("owner_codes"),
     )
-    matches = found.join(first, (found["gram"] == first["gram"]) & (F.col("ord") > F.col("owner"))).select(
-        "ord", "key", "owner", "place", "owner_place", "codes", "owner_codes"
+    matches = found.join(first, (F.col("gram") == F.col("first_gram")) & (F.col("ord") > F.col("owner"))).select(
+        "ord", "key", "owner", "place", "owner_place", "codes", "owner_codes", "gram"
     )
     dealt = matches.repartition("ord", "key").sortWithinPartitions("ord", "key", "owner", "place", "owner_place")
-    return dealt.mapInArrow(
-        _chained, "ord bigint, key bigint, passages array<struct<start:int,stop:int,identity:double>>, owners array<bigint>"
+    return dealt.mapInArrow(_chained, _FOUND)
+
+
+def _runs(found: DataFrame, apart: int) -> DataFrame:
+    """The unexplained seeds of a round, each joined to the one ``apart`` places behind it in its stretch."""
+    near = f"element_at(rest, i + {apart + 1}).place - rest[i].place <= {apart * STRETCH}"
+    each = (
+        f"inline(transform(filter(sequence(0, greatest(size(rest) - {apart + 1}, 0)), i -> i + {apart} < size(rest) and {near}),"
+        f" i -> struct(rest[i].place as place, xxhash64(rest[i].gram, element_at(rest, i + {apart + 1}).gram) as gram, rest[i].codes as codes)))"
+    )
+    return found.where(f"size(rest) > {apart}").selectExpr("ord", "key", each)
+
+
+def found_passages(docs: DataFrame) -> DataFrame:
+    """``ord, key, passages, links`` of the documents that have passages which occur under a smaller id, from all rounds."""
+    rounds = [cut(first_round(docs))]
+    for before, run in zip(RUNS, RUNS[1:]):
+        rounds.append(cut(_matched(_runs(rounds[-1], run - before))))
+    every = rounds[0]
+    for more in rounds[1:]:
+        every = every.union(more)
+    # Passages that a later round has found again, or that overlap, are one.
+    joined = (
+        "aggregate(array_sort(flatten(collect_list(passages))), cast(array() as array<struct<start:int,stop:int,identity:double>>), (a, x) ->"
+        " if(size(a) > 0 and x.start < element_at(a, -1).stop, concat(slice(a, 1, size(a) - 1), array(named_struct("
+        "'start', element_at(a, -1).start, 'stop', greatest(element_at(a, -1).stop, x.stop), 'identity', greatest(element_at(a, -1).identity, x.identity)))),"
+        " concat(a, array(x))))"
+    )
+    return every.where("size(passages) > 0").groupBy("ord", "key").agg(
+        F.expr(joined).alias("passages"), F.array_distinct(F.flatten(F.collect_list("links"))).alias("links")
     )
 
 
+def link_counts(links: DataFrame) -> DataFrame:
+    """``ord, n`` from ``ord, owner, first, last``: how many documents each is linked to, through its owners or as one.
+
+    Two that have words of one owner are linked if these overlap by ``LEAST_WORDS``: all but those that begin
+    too late and those that end too early, which are never the same.
+    """
+    def at(place: str, name: str) -> DataFrame:
+        counts = links.groupBy("owner", place).agg(F.count(F.lit(1)).alias("n"))
+        return counts.groupBy("owner").agg(F.collect_list(F.struct(F.col(place).alias("at"), "n")).alias(name), F.sum("n").alias(f"{name}_n"))
+
+    # A row per owner, with at most as many places as its text has words.
+    owners = at("first", "begins").join(at("last", "ends"), "owner")
+    late = f"aggregate(filter(begins, b -> b.at > last - {LEAST_WORDS}), 0L, (a, b) -> a + b.n)"
+    early = f"aggregate(filter(ends, b -> b.at < first + {LEAST_WORDS}), 0L, (a, b) -> a + b.n)"
+    # The document itself is among them, and its owner is not.
+    members = links.join(owners, "owner").selectExpr("ord", f"begins_n - {late} - {early} as n")
+    return members.union(owners.selectExpr("owner", "begins_n")).groupBy("ord").agg(F.sum("n").alias("n"))
+
+
 def shared_passages(docs: DataFrame) -> DataFrame:
     """One row per document: ``doc_id, class_id, n_links, n_passages, n_repeated`` (words), ``passages, owners``.
 
-    Links go to the owners of a document's passages; ``n_links`` counts them and
-    those that come to it. A null id has no class.
+    A null id has no class and no links.
     """
     found = cut(found_passages(docs))
-    links = found.where(F.col("ord") != LAST).select("ord", F.explode("owners").alias("owner")).distinct()
-    ends = links.select("ord").union(links.select("owner")).groupBy("ord").agg(F.count(F.lit(1)).alias("n"))
+    links = found.where(F.col("ord") != LAST).select("ord", F.inline("links")).groupBy("ord", "owner").agg(
+        F.min("first").alias("first"), F.max("last").alias("last")
+    )
     of = components(links.select(F.col("ord").alias("a"), F.col("owner").alias("b"))).select(F.col("node").alias("ord"), "component")
     rows = _documents(docs).select("doc_id", "ord", "key")
-    own = found.groupBy("ord", "key").agg(F.first("passages").alias("passages"), F.first("owners").alias("owners"))
-    out = rows.join(own, ["ord", "key"], "left").join(ends, "ord", "left").join(of, "ord", "left")
+    owners = F.array_sort(F.array_distinct(F.col("links.owner")))
+    out = rows.join(found, ["ord", "key"], "left").join(link_counts(links), "ord", "left").join(of, "ord", "left")
     return out.select(
         "doc_id", F.coalesce("component", F.col("doc_id").cast("bigint")).alias("class_id"), F.coalesce("n", F.lit(0)).cast("bigint").alias("n_links"),
         F.when(F.col("passages").isNull(), 0).otherwise(F.size("passages")).cast("bigint").alias("n_passages"),
         F.expr("aggregate(coalesce(passages, array()), 0L, (a, p) -> a + p.stop - p.start)").alias("n_repeated"),
-        "passages", "owners",
+        "passages", owners.alias("owners"),
     )

@@ -27,7 +27,7 @@ from zlib import crc32
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import DataFrame, functions as F, types as T
 
 from rowlake.llm.labelled import documents_of, held_out, sample, sigmoid, usable
 
@@ -243,7 +243,7 @@ def fit(docs: DataFrame, labels: DataFrame) -> Model:
             )
 
     # The sample takes as many as it may of either label; the share is that of all labels of these documents.
-    ids = docs.select(F.col("doc_id").cast("bigint").alias("doc_id"))
+    ids = docs.select(F.col("doc_id").try_cast("bigint").alias("doc_id"))
     share = usable(labels, "quality", FOLDS, HELD).join(ids, "doc_id", "left_semi").agg(F.avg("label")).first()[0]
     chosen = documents_of(docs, sample(labels, "quality", FOLDS, HELD, PER_CLASS))
     found = chosen.mapInArrow(features, "doc_id bigint, label int, x array<double>").toArrow()
@@ -253,25 +253,26 @@ def fit(docs: DataFrame, labels: DataFrame) -> Model:
 
 
 def _scored(docs: DataFrame, model: Model, kept: bool) -> DataFrame:
-    """The rows of ``docs`` with ``__score``; ``kept``: only those at 0.5 or more."""
+    """The rows of ``docs`` under the names ``c0, c1 ...``, and their ``score``; ``kept``: only those at 0.5 or more."""
     shared = docs.sparkSession.sparkContext.broadcast(model)
+    at = docs.columns.index("text")
+    plain = docs.toDF(*[f"c{i}" for i in range(len(docs.columns))])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            scores = shared.value.scores(batch.column("text").to_pylist())
-            out = pa.RecordBatch.from_arrays([*batch.columns, pa.array(scores, pa.float64())], [*batch.schema.names, "__score"])
+            scores = shared.value.scores(batch.column(at).to_pylist())
+            out = pa.RecordBatch.from_arrays([*batch.columns, pa.array(scores, pa.float64())], [*batch.schema.names, "score"])
             yield out.filter(pa.array(scores >= 0.5)) if kept else out
 
-    fields = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in docs.schema)
-    return docs.mapInArrow(run, f"{fields}, __score double")
+    return plain.mapInArrow(run, T.StructType([*plain.schema.fields, T.StructField("score", T.DoubleType())]))
 
 
 def score(docs: DataFrame, model: Model) -> DataFrame:
     """``doc_id, held_out, score, predicted`` of every row."""
-    rows = _scored(docs.select("doc_id", "text"), model, kept=False)
-    return rows.select("doc_id", held_out(FOLDS, HELD).alias("held_out"), F.col("__score").alias("score"), (F.col("__score") >= 0.5).cast("int").alias("predicted"))
+    rows = _scored(docs.select("doc_id", "text"), model, kept=False).withColumnRenamed("c0", "doc_id")
+    return rows.select("doc_id", held_out(FOLDS, HELD).alias("held_out"), "score", (F.col("score") >= 0.5).cast("int").alias("predicted"))
 
 
 def keep_good(docs: DataFrame, model: Model) -> DataFrame:
     """The rows, with all columns, that the model accepts."""
-    return _scored(docs, model, kept=True).select(*docs.columns)
+    return _scored(docs, model, kept=True).drop("score").toDF(*docs.columns)

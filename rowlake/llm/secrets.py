@@ -19,7 +19,7 @@ from __future__ import annotations
 
 import math
 
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, functions as F
 
 # The kinds in their order, their patterns, the group that holds the secret and its least length.
 ASSIGN = (
@@ -50,6 +50,11 @@ BLOCK = 64
 SPANS = "array<struct<start:int,kind:int,stop:int>>"
 
 
+def _named(column: str) -> Column:
+    """The column of exactly this name."""
+    return F.col("`" + column.replace("`", "``") + "`")
+
+
 def _quoted(pattern: str) -> str:
     return "'" + pattern.replace("\\", "\\\\").replace("'", "\\'") + "'"
 
@@ -149,7 +154,7 @@ def spans(docs: DataFrame) -> DataFrame:
         "__secret_more": F.expr(f"cast(concat({added}) as {SPANS})"),
     })
     out = out.withColumn("__secret_all", F.expr("array_sort(concat(__secret_base, __secret_more))"))
-    return out.select(*[docs[c] for c in docs.columns], "__secret_base", "__secret_all")
+    return out.select(*map(_named, docs.columns), "__secret_base", "__secret_all")
 
 
 def written(column: str) -> str:
@@ -188,7 +193,7 @@ def redact(docs: DataFrame) -> DataFrame:
         kind = docs.schema["n_chars"].dataType
         length = F.char_length("text").cast(kind)
         found = found.withColumn("n_chars", F.when(F.size("__secret_cuts") > 0, length).otherwise(F.col("n_chars")))
-    return found.select(*docs.columns)
+    return found.select(*map(_named, docs.columns))
 
 
 def oracle_sql() -> str:

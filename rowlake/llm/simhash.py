@@ -21,7 +21,7 @@ from __future__ import annotations
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import Column, DataFrame, functions as F
+from pyspark.sql import DataFrame, functions as F
 
 from rowlake.llm.common import cut, per_batch, utf8
 from rowlake.llm.components import components
@@ -54,20 +54,15 @@ def fingerprint(text: bytes) -> int:
     return int(np.packbits(bits, bitorder="little").view("<u8")[0])
 
 
-def fingerprints(docs: DataFrame, text_key: Column | None = None) -> DataFrame:
-    """``doc_id, fp`` (the fingerprint as a signed long) of every row, and ``text_key`` where given."""
-    more = [] if text_key is None else ["text_key"]
+def fingerprints(docs: DataFrame) -> DataFrame:
+    """``doc_id, fp`` (the fingerprint as a signed long) of every row."""
 
     def of(batch: pa.RecordBatch) -> pa.RecordBatch:
         fps = np.array([fingerprint(x) for x in utf8(batch)], dtype=np.uint64).view(np.int64)
-        kept = [batch.column(c) for c in more]
-        return pa.RecordBatch.from_arrays([batch.column("doc_id"), pa.array(fps), *kept], ["doc_id", "fp", *more])
+        return pa.RecordBatch.from_arrays([batch.column("doc_id"), pa.array(fps)], ["doc_id", "fp"])
 
-    rows = docs.select(
-        F.col("doc_id").cast("bigint").alias("doc_id"), F.coalesce("text", F.lit("")).alias("text"),
-        *([] if text_key is None else [text_key.alias("text_key")]),
-    )
-    return per_batch(rows, of, "doc_id bigint, fp bigint" + ", text_key string" * len(more))
+    rows = docs.select(F.col("doc_id").cast("bigint").alias("doc_id"), F.coalesce("text", F.lit("")).alias("text"))
+    return per_batch(rows, of, "doc_id bigint, fp bigint")
 
 
 def _segment(i: int) -> str:
@@ -137,22 +132,3 @@ def near_duplicates(docs: DataFrame) -> DataFrame:
     return prints.join(groups.join(named, "component").select("fp", "component_id"), "fp").select(
         "doc_id", "fp", "component_id"
     )
-
-
-def keep_one(docs: DataFrame) -> DataFrame:
-    """One row of each group, that of the smallest id and then text hash; all columns of ``docs``.
-
-    A row without an id is kept only if its whole group has none. Of rows that
-    agree in id and text one is kept.
-    """
-    own = F.md5(F.coalesce("text", F.lit("")))
-    prints = cut(fingerprints(docs, own))
-    groups = _groups(prints)
-    best = F.min(F.struct(F.col("doc_id").isNull(), "doc_id", "text_key")).alias("best")
-    of_print = prints.groupBy("fp").agg(best).join(groups, "fp")
-    kept = of_print.groupBy("component").agg(F.min("best").alias("best")).select(
-        F.col("best.doc_id").alias("__kept_id"), F.col("best.text_key").alias("__kept_key")
-    )
-    keyed = docs.withColumn("__key", own)
-    met = keyed["doc_id"].eqNullSafe(kept["__kept_id"]) & (keyed["__key"] == kept["__kept_key"])
-    return keyed.join(kept, met, "left_semi").dropDuplicates(["doc_id", "__key"]).drop("__key")

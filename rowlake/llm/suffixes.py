@@ -37,9 +37,9 @@ from hashlib import sha256
 import numpy as np
 import pyarrow as pa
 import zstandard
-from pyspark.sql import DataFrame, SparkSession, functions as F
+from pyspark.sql import DataFrame, functions as F
 
-from rowlake.llm.common import cut
+from rowlake.llm.common import cut, dealt
 from rowlake.workspace import new_folder
 
 LENGTH = 50
@@ -120,17 +120,8 @@ def _documents(docs: DataFrame) -> DataFrame:
     return docs.select("doc_id", order.alias("ord"), F.xxhash64(text).alias("key"), text.cast("binary").alias("data"))
 
 
-def _dealt(spark: SparkSession, parts: int) -> np.ndarray:
-    """For each partition a number that Spark's hash sends to it, so that no two parts meet in one task."""
-    numbers = spark.range(32 * parts).selectExpr("cast(id as int) as id", f"pmod(hash(cast(id as int)), {parts}) as part")
-    out = np.arange(parts, dtype=np.int32)
-    for r in numbers.groupBy("part").agg(F.min("id").alias("id")).collect():
-        out[r.part] = r.id
-    return out
-
-
-def _part(dealt: np.ndarray, by: np.ndarray) -> np.ndarray:
-    return dealt[(by.view(np.uint64) % np.uint64(len(dealt))).astype(np.int64)]
+def _part(numbers: np.ndarray, by: np.ndarray) -> np.ndarray:
+    return numbers[(by.view(np.uint64) % np.uint64(len(numbers))).astype(np.int64)]
 
 
 # 1. Anchors whose gram is in two documents.
@@ -138,7 +129,7 @@ def _part(dealt: np.ndarray, by: np.ndarray) -> np.ndarray:
 OPEN, SETTLED, WITNESS = 0, 1, 2
 
 
-def _offers(dealt: np.ndarray):
+def _offers(numbers: np.ndarray):
     def settle(held: list[tuple[np.ndarray, ...]]) -> Iterator[pa.RecordBatch]:
         gram, order_id, key, place = (np.concatenate(c) for c in zip(*held, strict=True))
         order, begins = _groups(gram)
@@ -158,7 +149,7 @@ def _offers(dealt: np.ndarray):
         for kind, chosen, p, dealt_by in kinds:
             g, i, k = gram[chosen], order_id[chosen], key[chosen]
             p = counts[least != most] if p is None else p[chosen]
-            part = _part(dealt, dealt_by[chosen])
+            part = _part(numbers, dealt_by[chosen])
             to, starts = _groups(part)
             for own in np.split(to, starts[1:]) if len(to) else ():
                 own.sort()  # in the order of documents, which packs well
@@ -297,7 +288,7 @@ def _held_contexts(batches: Iterator[pa.RecordBatch], hot: bool) -> Iterator[tup
         yield settled(held)
 
 
-def _contexts(dealt: np.ndarray):
+def _contexts(numbers: np.ndarray):
     """Contexts by gram and spans by document, many of either in a row."""
     def rows(kind: int, part: np.ndarray, pack) -> pa.RecordBatch | None:
         to, begins = _groups(part)
@@ -313,12 +304,12 @@ def _contexts(dealt: np.ndarray):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for columns, text, rest, gone in _held_contexts(batches, False):
             kept = [c[rest] for c in columns]
-            found = rows(CONTEXTS, _part(dealt, kept[0]), lambda own: _packed([c[own] for c in kept], *(text[i] for i in rest[own])))
+            found = rows(CONTEXTS, _part(numbers, kept[0]), lambda own: _packed([c[own] for c in kept], *(text[i] for i in rest[own])))
             if found:
                 yield found
             if len(gone[0]):
                 merged = _joined(*gone)
-                yield rows(SPANS, _part(dealt, merged[1]), lambda own: _packed([c[own] for c in merged]))
+                yield rows(SPANS, _part(numbers, merged[1]), lambda own: _packed([c[own] for c in merged]))
 
     return run
 
@@ -540,7 +531,7 @@ def spans(docs: DataFrame) -> DataFrame:
     parts = int(spark.conf.get("spark.sql.shuffle.partitions"))
     rows = _documents(docs)
     offers = rows.select("ord", "key", "data").mapInArrow(
-        _offers(_dealt(spark, parts)), "part int, kind int, gram binary, ord binary, key binary, place binary"
+        _offers(np.array(dealt(spark, parts), dtype=np.int32)), "part int, kind int, gram binary, ord binary, key binary, place binary"
     )
     folder = new_folder(spark, "anchors")
     offers.repartition(parts, "part").mapInArrow(
@@ -563,7 +554,7 @@ def spans(docs: DataFrame) -> DataFrame:
     chosen = rows.join(places, ["ord", "key"])
     # As many parts as the contexts have bytes for, each around an anchor with half its grams on average.
     parts = max(parts, -(-members * (LENGTH + GRAMS // 2) // PART_BYTES))
-    contexts = chosen.mapInArrow(_contexts(_dealt(spark, parts)), "part int, kind int, payload binary")
+    contexts = chosen.mapInArrow(_contexts(np.array(dealt(spark, parts), dtype=np.int32)), "part int, kind int, payload binary")
     out = contexts.repartition(parts, "part").mapInArrow(_spans, "ord bigint, key bigint, start bigint, stop bigint")
     if any_hot:
         windows = chosen.mapInArrow(_hot_windows, "ord bigint, key bigint, start bigint, stop bigint, window binary")

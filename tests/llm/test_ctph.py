@@ -96,3 +96,18 @@ def test_odd_rows(spark, partitions):
         spark.conf.set("spark.sql.shuffle.partitions", before)
     assert ctph.fingerprint(long) != ctph.fingerprint(long[1:]) and len(ctph.rolled(long.encode())) == len(long)
     assert (ctph.rolled(long.encode())[-9:] == ctph.rolled(long[-15:].encode())[-9:]).all()
+
+
+def test_ids_of_text_and_ranges_in_partitions_of_their_own(spark):
+    rows = [(f"it's \"{i:03d}\" \\ `", f"text {i} " * (i % 7)) for i in range(60)]
+    docs = spark.createDataFrame(rows, "doc_id string, text string").repartition(5)
+    got = {r.doc_id: r for r in ctph.compare_with_next(docs).collect()}
+    order = sorted(rows)
+    for (i, text), (_, following) in zip(order, [*order[1:], order[0]]):
+        assert got[i].edited_sha256 == sha256(ctph.edited(text, following).encode()).hexdigest()
+    from pyspark.sql import functions as F
+
+    from rowlake.llm.common import in_order
+
+    parts = in_order(docs).withColumn("p", F.spark_partition_id()).select("p", "bucket").distinct().collect()
+    assert len({r.p for r in parts}) == len({r.bucket for r in parts}) == len(parts) == int(spark.conf.get("spark.sql.shuffle.partitions"))

@@ -119,13 +119,93 @@ def test_passages_with_two_owners():
     known = np.frombuffer(b"\x01" * 8 * len(x), np.int64)
     halves = [(1, x[:4], x[:4], known[:4], known[:4]), (2, x[4:], [v + 900 for v in x[4:]], known[:4], known[:4])]
     (start, stop, identity, owners), = ps.passages(halves)
-    assert (start, owners) == (0, [1, 2]) and stop >= 40 and identity == 1.0
+    assert (start, owners) == (0, []) and stop >= 40 and identity == 1.0  # a passage, but neither has enough of it
+    whole = [(1, x, [v + 7 for v in x], known, known)]
+    (start, stop, identity, ((owner, first, last),)), = ps.passages(whole)
+    assert (start, owner, first) == (0, 1, 7) and last - first == stop - start >= 40
     assert ps.passages(halves[:1]) == [] and len(codes) == 0
 
 
-def test_whole_table(spark, sf_dir):
+def test_first_round_of_the_whole_table(spark, sf_dir):
     docs = table(spark, sf_dir.replace("0.001", "0.01"), "documents")
     wanted = brute_found([(r.doc_id, r.text) for r in docs.collect()])
-    got = {r.ord: ([(p.start, p.stop, p.identity) for p in r.passages], list(r.owners)) for r in ps.found_passages(docs).collect()}
-    assert got == {i: ([(s, e, d) for s, e, d, _ in f], sorted({o for *_, own in f for o in own})) for i, f in wanted.items()}
+    got = {
+        r.ord: ([(p.start, p.stop, p.identity) for p in r.passages], [tuple(o) for o in r.links])
+        for r in ps.first_round(docs).collect() if r.passages
+    }
+    assert got == {i: ([(s, e, d) for s, e, d, _ in f], [o for *_, own in f for o in own]) for i, f in wanted.items()}
     assert len(got) > 50
+
+
+def frame_of(spark, rows):
+    return spark.createDataFrame([(i, " ".join(w)) for i, w in rows], "doc_id bigint, text string").repartition(3)
+
+
+def test_all_that_share_a_passage_are_linked(spark):
+    rng = random.Random(12)
+    prose = lambda n: [f"w{rng.randrange(9000)}" for _ in range(n)]
+    shared = prose(60)
+    rows = [(i, prose(70) + shared + prose(40 + i)) for i in range(1, 6)] + [(9, prose(200))]
+    got = {r.doc_id: r for r in ps.shared_passages(frame_of(spark, rows)).collect()}
+    assert {i: r.n_links for i, r in got.items()} == {1: 4, 2: 4, 3: 4, 4: 4, 5: 4, 9: 0}
+    # Words of one owner that do not overlap make no link between those that have them.
+    long = prose(200)
+    rows = [(1, long), (2, prose(30) + long[:60]), (3, prose(30) + long[120:]), (4, prose(9) + long[20:70])]
+    got = {r.doc_id: r for r in ps.shared_passages(frame_of(spark, rows)).collect()}
+    assert {i: r.n_links for i, r in got.items()} == {1: 3, 2: 2, 3: 1, 4: 2}
+    assert {r.class_id for r in got.values()} == {1}
+
+
+def test_phrases_met_before_do_not_hide_a_passage(spark):
+    rng = random.Random(13)
+    prose = lambda n: [f"w{rng.randrange(9000)}" for _ in range(n)]
+    shared = prose(60)
+    rows = [(i, prose(40) + shared[6 * i : 6 * i + 9] + prose(40)) for i in range(10)]
+    rows += [(i, prose(50) + shared + prose(50)) for i in (100, 200, 300)]
+    got = {r.doc_id: r for r in ps.shared_passages(frame_of(spark, rows)).collect()}
+    assert [got[i].n_links for i in (100, 200, 300)] == [2, 2, 2] and {got[i].class_id for i in (100, 200, 300)} == {100}
+    assert all(got[i].n_links == 0 for i in range(10))
+    assert got[200].n_passages == 1 and got[200].n_repeated >= 45
+
+
+def aligned_words(a, b, x, y):
+    """The words of a chain of matches that agree, in the best alignment of the words themselves."""
+    from difflib import SequenceMatcher
+
+    return sum(m.size for m in SequenceMatcher(None, a[x[0] : x[-1] + 5], b[y[0] : y[-1] + 5], autojunk=False).get_matching_blocks())
+
+
+def test_recall_against_all_owners(spark, sf_dir):
+    """Every pair of documents that share a seed, chained and aligned on its words."""
+    docs = table(spark, sf_dir.replace("0.001", "0.01"), "documents")
+    texts = {r.doc_id: r.text or "" for r in docs.collect()}
+    words = {i: ps.WORD.findall(t.lower().encode()) for i, t in texts.items()}
+    holders, pairs = {}, {}
+    for i in sorted(texts):
+        for g, p, _ in zip(*ps.seeds(texts[i].encode()), strict=True):
+            for j, q in holders.get(int(g), ()):
+                if j != i:
+                    pairs.setdefault((i, j), []).append((int(p), q))
+        for g, p, _ in zip(*ps.seeds(texts[i].encode()), strict=True):
+            holders.setdefault(int(g), []).append((i, int(p)))
+    links = set()
+    for (i, j), met in pairs.items():
+        if len(met) < 4:
+            continue
+        met.sort()
+        x, y = [m[0] for m in met], [m[1] for m in met]
+        for chain in ps.chains(x, y):
+            a, b = [x[m] for m in chain], [y[m] for m in chain]
+            span = max(a[-1] - a[0], b[-1] - b[0]) + 5
+            if span >= ps.LEAST_WORDS and aligned_words(words[i], words[j], a, b) >= ps.IDENTITY * span:
+                links.add((i, j))
+                break
+    got = {r.doc_id: r for r in ps.shared_passages(docs).collect()}
+    found = [p for p in links if got[p[0]].class_id == got[p[1]].class_id and got[p[0]].n_links and got[p[1]].n_links]
+    assert len(links) > 100 and len(found) >= 0.9 * len(links)
+    per_document = {}
+    for i, j in links:
+        per_document[i] = per_document.get(i, 0) + 1
+        per_document[j] = per_document.get(j, 0) + 1
+    counted = sum(min(got[i].n_links, n) for i, n in per_document.items())
+    assert counted >= 0.9 * sum(per_document.values())

@@ -1,8 +1,11 @@
+from hashlib import sha256
+
 import public_tokenizers
 import pytest
 import test_decontaminate
 import test_nearcopies
 import test_secrets
+from pyspark.sql import types as T
 from tokenizers import Tokenizer
 
 import corpus_pipeline
@@ -61,8 +64,29 @@ def test_each_stage_and_the_whole_against_brute_force(spark, sf_dir):
     theirs = Tokenizer.from_file(public_tokenizers.path("word_bpe_49k.json"))
     ids = [theirs.encode(d[1], add_special_tokens=False).ids for d in masked]
     assert [(t[0], t[1], list(t[2])) for t in tokens] == [(d[0], len(i), i) for d, i in zip(masked, ids, strict=True)]
-    whole = sorted((r.doc_id, r.n_tokens, list(r.ids)) for r in corpus_pipeline.run(spark, folder).collect())
-    assert whole == [(t[0], t[1], list(t[2])) for t in tokens]
+    assert [t[3] for t in tokens] == [sha256(theirs.decode(i, skip_special_tokens=False).encode()).hexdigest() for i in ids]
+    whole = sorted((r.doc_id, r.n_tokens, list(r.ids), r.decoded_sha256) for r in corpus_pipeline.run(spark, folder).collect())
+    assert whole == [(t[0], t[1], list(t[2]), t[3]) for t in tokens]
+
+
+TOKENS = ["doc_id", "n_tokens", "ids", "decoded_sha256"]
+
+
+@pytest.mark.parametrize("name", [n for n, _ in corpus_pipeline.STAGES])
+def test_clashing_columns_and_text_ids(spark, sf_dir, name):
+    fields = ["doc_id", "text", "node", "__key", "key", "__score", "score", "_score", "a`b", "c.d", "own_id", "component"]
+    text = "A text of some words that a classifier may or may not like, with token=abcdefgh12 in it. "
+    rows = [(f"it's {i}", text + f"w{i} " * 30, *(f"{c}{i}" for c in fields[2:])) for i in range(6)] + [("x`y", text + "w5 " * 30, *fields[2:])]
+    docs = spark.createDataFrame(rows, T.StructType([T.StructField(c, T.StringType()) for c in fields]))
+    out = dict(corpus_pipeline.STAGES)[name](spark, docs, sf_dir)
+    if name == "bpe_encoding":
+        assert out.columns == TOKENS and out.count() == 7
+        return
+    kept = {r[0]: tuple(r) for r in out.collect()}
+    given = {r[0]: r for r in rows}
+    assert out.columns == fields and all(r[2:] == given[i][2:] for i, r in kept.items())
+    if name != "quality_classifier":
+        assert len(kept) == (6 if name == "simhash_near_dedup" else 7)
 
 
 @pytest.mark.parametrize("name", [n for n, _ in corpus_pipeline.STAGES])
@@ -71,6 +95,6 @@ def test_odd_rows(spark, sf_dir, name):
     rows = [(None, None, None, None, None, "a"), (1, "", "en", "s", 0, "b"), (2, "Some words here.", "en", "s", 16, "c"), (2, "Some words here.", "en", "s", 16, "c")]
     docs = spark.createDataFrame(rows, schema)
     out = dict(corpus_pipeline.STAGES)[name](spark, docs, sf_dir)
-    assert out.columns == (docs.columns if name != "bpe_encoding" else ["doc_id", "n_tokens", "ids"])
+    assert out.columns == (docs.columns if name != "bpe_encoding" else TOKENS)
     assert out.count() <= 4
     assert dict(corpus_pipeline.STAGES)[name](spark, docs.limit(0), sf_dir).count() == 0
