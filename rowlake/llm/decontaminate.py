@@ -5,7 +5,8 @@ and all characters from U+0080 on. The windows of the benchmark (ten words; a
 shorter item is one window of its own length) become one 64-bit hash each.
 Every window of a document is hashed inside its row and looked up; a hit counts
 only if its words are the window's words. Beyond ``BROADCAST_BYTES`` of windows
-the lookup is a shuffled join, with the same result. Python is not used.
+the lookup is a shuffled join, to which each window takes its own words and no
+more; the result is the same. Python is not used.
 
 A document without words (null, empty, punctuation) has no hits; an item
 without words has no windows. Rows that agree in id and text get the same
@@ -57,25 +58,29 @@ def _hits(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
         F.sort_array(F.collect_set("n")), F.sum(F.expr("64 + length(concat_ws(' ', words)) + 16 * size(items)"))
     ).first()
     words = docs.selectExpr("doc_id", "md5(coalesce(text, '')) as text_key", f"{WORDS.format(text='text')} as words")
+    # A row that is shuffled takes its own words along; one that stays where it is can look them up in its document.
+    stays = (size or 0) <= BROADCAST_BYTES
+    own = "" if stays else ", slice(words, {at}, {n}) as own"
     # ``words`` is used many times, so Spark computes it once. Hashes of each window length, then the row of the count.
     per_length = [
         f"if(size(words) < {n}, array(), transform(sequence(0, greatest(size(words) - {n}, 0)),"
-        f" i -> struct(i as at, {n} as n, {_hash('words', 'i', n)} as gram)))"
+        f" i -> struct(i as at, {n} as n, {_hash('words', 'i', n)} as gram{own.format(at='i + 1', n=n)})))"
         for n in lengths
     ]
-    count = f"array(struct({COUNT_ROW} as at, size(words) as n, cast(0 as bigint) as gram))"
-    placed = words.selectExpr("doc_id", "text_key", "words", f"inline(concat({', '.join([*per_length, count])}))")
+    count = f"array(struct({COUNT_ROW} as at, size(words) as n, cast(0 as bigint) as gram{own.format(at=1, n=0)}))"
+    kept = ["words"] if stays else []
+    placed = words.selectExpr("doc_id", "text_key", *kept, f"inline(concat({', '.join([*per_length, count])}))")
     marks = grams.selectExpr("n as set_n", "gram as set_gram", "words as set_words", "items").unionByName(
         docs.sparkSession.sql(
             f"select {COUNT_ROW} as set_n, cast(0 as bigint) as set_gram, cast(array() as array<string>) as set_words,"
             " cast(array() as array<string>) as items"
         )
     )
-    if (size or 0) <= BROADCAST_BYTES:
+    if stays:
         marks = F.broadcast(marks)
+    its_words = "slice(words, at + 1, n)" if stays else "own"
     same = F.expr(
-        f"gram = set_gram and if(at = {COUNT_ROW}, {COUNT_ROW}, n) = set_n"
-        f" and (at = {COUNT_ROW} or slice(words, at + 1, n) = set_words)"
+        f"gram = set_gram and if(at = {COUNT_ROW}, {COUNT_ROW}, n) = set_n and (at = {COUNT_ROW} or {its_words} = set_words)"
     )
     return placed.join(marks, same).select("doc_id", "text_key", "at", "n", "items")
 

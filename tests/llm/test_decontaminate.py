@@ -65,6 +65,10 @@ def test_whole_table_and_without_broadcast(spark, sf_dir, monkeypatch):
     assert sum(r[5] for r in wanted) > 0
     monkeypatch.setattr(decontaminate, "BROADCAST_BYTES", 0)
     assert sorted(map(tuple, decontaminate.report(docs, items).collect()), key=str) == wanted
+    # Beyond the bound a window takes its own words to the join, not its document's.
+    plan = decontaminate._hits(docs, items)._jdf.queryExecution().optimizedPlan().toString()
+    (join,) = [line for line in plan.split("\n") if "Join Inner" in line]
+    assert "(own#" in join and "words#" not in join.replace("set_words#", "")
 
 
 def test_no_python_in_the_plan(spark, sf_dir, capsys):
