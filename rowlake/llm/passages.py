@@ -290,13 +290,18 @@ _KINDS = [
 ]
 
 
+def _mixed(owner: np.ndarray, place: np.ndarray) -> np.ndarray:
+    out = (owner.view(np.uint64) * np.uint64(0x9E3779B97F4A7C15) + place.astype(np.uint64)) * np.uint64(0xBF58476D1CE4E5B9)
+    return (out ^ (out >> np.uint64(29))).view(np.int64)
+
+
 def _chained(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """``_FOUND`` of each document from its matches, which come sorted by document, owner and place."""
     names = ["ord", "key", "passages", "links", "rest"]
-    wanted = ("ord", "key", "owner", "place", "owner_place", "codes", "owner_codes", "gram")
+    wanted = ("ord", "key", "owner", "place", "owner_place", "codes", "owner_codes")
 
     def result(document: tuple[int, int], parts: list[np.ndarray]) -> tuple | None:
-        owner, x, y, x_codes, y_codes, gram = (np.concatenate([p[i] for p in parts]) for i in range(6))
+        owner, x, y, x_codes, y_codes = (np.concatenate([p[i] for p in parts]) for i in range(5))
         cuts = np.flatnonzero(owner[1:] != owner[:-1]) + 1
         rows = [
             (int(owner[own[0]]), x[own].tolist(), y[own].tolist(), x_codes[own], y_codes[own])
@@ -309,7 +314,9 @@ def _chained(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             return None
         spans = [{"start": s, "stop": e, "identity": i} for s, e, i, _ in found]
         links = [{"owner": o, "first": f, "last": e} for *_, owners in found for o, f, e in owners]
-        again = [{"place": int(x[i]), "gram": int(gram[i]), "codes": int(x_codes[i])} for i in rest.tolist()]
+        # Where a seed occurs first says which one it is.
+        gram = _mixed(owner[rest], y[rest]).tolist()
+        again = [{"place": int(x[i]), "gram": g, "codes": int(x_codes[i])} for i, g in zip(rest.tolist(), gram, strict=True)]
         return (*document, spans, links, again)
 
     def batch_of(rows: list[tuple]) -> pa.RecordBatch:
@@ -358,7 +365,7 @@ def _matched(found: DataFrame) -> DataFrame:
         F.col("first.codes").alias("owner_codes"),
     )
     matches = found.join(first, (F.col("gram") == F.col("first_gram")) & (F.col("ord") > F.col("owner"))).select(
-        "ord", "key", "owner", "place", "owner_place", "codes", "owner_codes", "gram"
+        "ord", "key", "owner", "place", "owner_place", "codes", "owner_codes"
     )
     dealt = matches.repartition("ord", "key").sortWithinPartitions("ord", "key", "owner", "place", "owner_place")
     return dealt.mapInArrow(_chained, _FOUND)
