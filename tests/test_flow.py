@@ -5,7 +5,7 @@ from pyspark.sql import functions as F
 
 from rowlake import workspace
 from rowlake.operators.shape import route_physical
-from rowlake.plans import bulk
+from rowlake.plans import bulk, fanout
 from rowlake.plans.fanout import (
     Limits,
     TableErrors,
@@ -196,6 +196,19 @@ def test_more_tables_than_a_page(spark, lake, staging):
     assert sorted(int(r.k) for r in stored.collect()) == list(range(41))
 
 
+def test_pages_share_a_write_and_a_staged_file(spark, lake, monkeypatch):
+    taken, folders = [], []
+    write, read = lake.write_tables, fanout.workspace.new_folder
+    monkeypatch.setattr(lake, "write_tables", lambda tables, *args: taken.append(len(tables)) or write(tables, *args))
+    monkeypatch.setattr(fanout.workspace, "new_folder", lambda *args: folders.append(read(*args)) or folders[-1])
+    monkeypatch.setattr(fanout.files, "delete", lambda *args: None)
+    batch = log(spark, *[envelope(f"/in/t{i}.csv", {"k": str(i)}) for i in range(41)])
+    bulk.bulk_ingest(batch, lake, "many", limits=Limits(page_tables=7, write_tables=21), staging="table")
+    assert taken == [21, 20]
+    assert len(spark.read.parquet(folders[0]).inputFiles()) < 41
+    assert sorted(int(r.k) for r in spark.read.parquet(f"{lake.root}/*/g0/batch=*").collect()) == list(range(41))
+
+
 def test_a_thousand_and_one_tables(spark, lake):
     rows = spark.range(1001).select("id", F.concat(F.lit("/in/t"), "id", F.lit(".csv")).alias("filename"))
     written = write_split_by_filename(rows, lake, limits=Limits(page_tables=300))
