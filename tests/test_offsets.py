@@ -5,6 +5,8 @@ import pyarrow.parquet as pq
 import pytest
 
 from rowlake import workspace
+from rowlake.queries import fixtures
+from rowlake.sources import offsets
 from rowlake.sources.messages import MESSAGE_SCHEMA
 from rowlake.sources.offsets import LogIndex, OffsetReader, admitted, offset_stream
 from rowlake.streaming.ingest import drained, keep_streaming, stream_ingest
@@ -94,3 +96,33 @@ def test_from_the_latest(spark, lake):
     assert sorted(r.k for r in lake.scan("a").select("k").collect()) == ["0-5", "0-6"]
     with pytest.raises(ValueError):
         offset_stream(spark, path, starting_offsets="middle")
+
+
+def test_a_row_group_of_many_partitions_is_read_once_and_not_to_its_end(tmp_path, monkeypatch):
+    table = pa.table({"partition": pa.array([i % 4 for i in range(4000)], pa.int32()), "offset": pa.array([i // 4 for i in range(4000)], pa.int64()), "value": ["v"] * 4000})
+    pq.write_table(table, tmp_path / "one.parquet")
+    monkeypatch.setattr(offsets, "BATCH_ROWS", 100)
+    reader = OffsetReader({"path": str(tmp_path), "maxOffsetsPerTrigger": "40"})
+    part, = reader.partitions({}, reader.latestOffset())
+    decoded, whole = [], pq.ParquetFile.iter_batches
+
+    def counted(file, *args, **options):
+        for batch in whole(file, *args, **options):
+            if "value" in options["columns"]:
+                decoded.append(batch.num_rows)
+            yield batch
+
+    monkeypatch.setattr(pq.ParquetFile, "iter_batches", counted)
+    read = [(r["partition"], r["offset"]) for b in reader.read(part) for r in b.to_pylist()]
+    assert sorted(read) == [(p, o) for p in range(4) for o in range(10)] and sum(decoded) == 100
+
+
+def test_segments_hold_few_offsets(spark):
+    path = workspace.new_folder(spark, "log")
+    log = spark.range(20_000).selectExpr("cast(id % 4 as int) as partition", "5000 - id div 4 as offset", "repeat(uuid(), 10) as value")
+    fixtures.append_segments(log, path)
+    reader = OffsetReader({"path": path, "maxOffsetsPerTrigger": "2000"})
+    held = reader.index.held()
+    parts = reader.partitions({}, reader.latestOffset())
+    assert len({(h.path, h.group) for h in held}) > len(parts)
+    assert sum(b.num_rows for p in parts for b in reader.read(p)) == 2000
