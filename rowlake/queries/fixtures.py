@@ -2,9 +2,13 @@
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from rowlake import workspace
+from rowlake.plans.bulk import scan_bytes
 from rowlake.sources.lake import Lake
 from rowlake.sources.messages import replay_batch
 
@@ -125,7 +129,8 @@ def messages(
         row = F.when(~F.expr(drop_row), row)
     group = F.floor(F.col(key) / ROWS_PER_MESSAGE)
     grouped = (
-        df.select(group.alias("grp"), F.col(key).alias("k"), row.alias("r"))
+        # Moved as plain columns; collecting before that sorts, and spills, all that a task reads.
+        df.withColumn("grp", group).repartition("grp").select("grp", F.col(key).alias("k"), row.alias("r"))
         .groupBy("grp")
         .agg(F.sort_array(F.collect_list(F.struct("k", "r"))).alias("entries"))
     )
@@ -137,17 +142,35 @@ def messages(
     )
 
 
+def _in_twenties(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """``p, grp, data``: each twenty rows of a partition as a list, the last ones as they are."""
+    number, held = 0, []
+
+    def listed(rows: pa.Table, end: int) -> pa.RecordBatch:
+        starts = range(0, end, ROWS_PER_MESSAGE)
+        data = pa.ListArray.from_arrays(pa.array([*starts, end], pa.int32()), pa.concat_arrays(rows["r"].chunks).slice(0, end))
+        own = [rows["p"][0].as_py()] * len(starts)
+        return pa.RecordBatch.from_arrays(
+            [pa.array(own, pa.int32()), pa.array(range(number, number + len(starts)), pa.int64()), data], ["p", "grp", "data"]
+        )
+
+    for batch in batches:
+        rows = pa.Table.from_batches([*held, batch])
+        end = rows.num_rows - rows.num_rows % ROWS_PER_MESSAGE
+        if end:
+            yield listed(rows, end)
+            number += end // ROWS_PER_MESSAGE
+        held = rows.slice(end).to_batches()
+    if held and sum(b.num_rows for b in held):
+        rows = pa.Table.from_batches(held)
+        yield listed(rows, rows.num_rows)
+
+
 def lineitem_messages(spark: SparkSession, sf_dir: str, first_partition: int = 100) -> DataFrame:
-    """Messages of twenty rows each in file order, whatever the keys are."""
-    numbered = table(spark, sf_dir, "lineitem").select(
-        F.monotonically_increasing_id().alias("id"), row_of(LINEITEM).alias("r")
-    )
-    index = F.col("id").bitwiseAND(F.lit((1 << 33) - 1))
-    grouped = (
-        numbered.select(F.shiftright("id", 33).alias("p"), F.floor(index / ROWS_PER_MESSAGE).alias("grp"), "r")
-        .groupBy("p", "grp")
-        .agg(F.collect_list("r").alias("data"))
-    )
+    """Messages of twenty rows each in file order, whatever the keys are; rows stay in the task that reads them."""
+    rows = table(spark, sf_dir, "lineitem").select(F.spark_partition_id().alias("p"), row_of(LINEITEM).alias("r"))
+    fields = ", ".join(f"{name}: string" for name in LINEITEM)
+    grouped = rows.mapInArrow(_in_twenties, f"p int, grp bigint, data array<struct<{fields}>>")
     return grouped.select(
         (first_partition + F.col("p")).cast("int").alias("partition"),
         F.col("grp").alias("offset"),
@@ -195,10 +218,20 @@ def sales_messages(spark, sf_dir) -> DataFrame:
 def written_log(spark: SparkSession, log: DataFrame) -> str:
     """The log as files, for sources that are read more than once or as a stream."""
     folder = workspace.new_folder(spark, "log")
-    log.write.parquet(folder)
+    log.write.option("compression", "zstd").parquet(folder)
     return folder
 
 
+#: Bytes of the tables whose messages one file of a log holds.
+BYTES_PER_FILE = 96 << 20
+
+
+def dealt(spark: SparkSession, sf_dir: str, log: DataFrame, names: tuple[str, ...], at_least: int) -> DataFrame:
+    """A log in files of bounded size, however large the tables are, but in so many at least."""
+    size = sum(scan_bytes(table(spark, sf_dir, name)) for name in names)
+    return log.repartition(max(at_least, -(-size // BYTES_PER_FILE)))
+
+
 #: Bytes of a row group of a log that is read by offsets; a trigger reads few of them.
 SEGMENT_BYTES = 1 << 20
 
