@@ -24,7 +24,8 @@ from rowlake.streaming.ingest import drain_then_stream as start_after_drain, dra
 
 
 def stream_ingest(spark, sf_dir):
-    path = fx.written_log(spark, fx.sales_messages(spark, sf_dir).repartition(6))
+    tables = ("orders", "customer", "lineitem")
+    path = fx.written_log(spark, fx.dealt(spark, sf_dir, fx.sales_messages(spark, sf_dir), tables, 6))
     lake = fx.new_lake(spark)
     start_stream(
         replay_stream(spark, path, max_files_per_trigger=3), lake, workspace.new_folder(spark, "checkpoint"), drain=True
