@@ -1,11 +1,12 @@
 """Groups of near copies: five-word shingles with an exact Jaccard similarity of ``SIMILAR`` or more.
 
-The bits of a fingerprint in which two texts at similarity 0.8 differ are about
-ten of 64 (up to 17), for which chains of a pigeonring are too short to tell
-texts apart. So candidates are met by minima instead: ``BANDS`` bands of
-``ROWS`` minima of the shingles, each under a hash function of its own. A pair
-at similarity 0.8 shares no band with a probability of 2e-5, a closer one with
-less. All texts of a bucket are linked to its smallest; what is joined so is a
+The closest copies meet by SimHash: the fingerprint of the shingles has 64 bits,
+and :func:`rowlake.llm.simhash.links` joins those within two bits. Fingerprints of
+texts at similarity 0.8 differ in about ten bits (up to 17), for which chains of a
+pigeonring are too short to tell texts apart, so these also meet by minima: ``BANDS``
+bands of ``ROWS`` minima of the shingles, each under a hash function of its own. A
+pair at similarity 0.8 shares no band with a probability of 2e-5, a closer one with
+less. All texts of a bucket are linked to its smallest; what is joined by either is a
 cluster, and **every** pair of a cluster has its similarity counted in full.
 
 Large clusters are dealt out by pairs of blocks, so that no task holds one. A
@@ -27,6 +28,7 @@ from pyspark.sql import DataFrame, functions as F
 
 from rowlake.llm.common import cut, free, per_batch, utf8
 from rowlake.llm.components import components
+from rowlake.llm.simhash import links, majority
 
 SHINGLE_WORDS = 5
 SIMILAR = 0.8
@@ -75,8 +77,9 @@ def _node(own: np.ndarray) -> int:
 def _signed(batch: pa.RecordBatch) -> pa.RecordBatch:
     sets = [shingles(x) for x in utf8(batch)]
     keys = pa.array([bands(s) for s in sets], pa.list_(pa.int64()))
-    columns = [batch.column("doc_id"), batch.column("text_key"), pa.array([_node(s) for s in sets], pa.int64()), keys]
-    return pa.RecordBatch.from_arrays(columns, ["doc_id", "text_key", "node", "bands"])
+    fps = pa.array(np.array([majority(s) for s in sets], dtype=np.uint64).view(np.int64))
+    columns = [batch.column("doc_id"), batch.column("text_key"), pa.array([_node(s) for s in sets], pa.int64()), fps, keys]
+    return pa.RecordBatch.from_arrays(columns, ["doc_id", "text_key", "node", "fp", "bands"])
 
 
 def _sets(batch: pa.RecordBatch) -> pa.RecordBatch:
@@ -123,7 +126,7 @@ def forest(near: np.ndarray) -> list[tuple[int, int]]:
 def _linked(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """``a, b``: links of each pair of blocks, whose rows come together."""
 
-    def links(nodes: list[int], blocks: list[int], data: list[bytes]) -> pa.RecordBatch:
+    def of_blocks(nodes: list[int], blocks: list[int], data: list[bytes]) -> pa.RecordBatch:
         near = similar([np.frombuffer(d, dtype=np.uint64) for d in data])
         if len(set(blocks)) > 1:  # pairs within a block are met where it is alone
             near &= np.not_equal.outer(blocks, blocks)
@@ -136,19 +139,29 @@ def _linked(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for *own, node, block, data in zip(*columns, strict=True):
             if own != key:
                 if len(held[0]) > 1:
-                    yield links(*held)
+                    yield of_blocks(*held)
                 key, held = own, ([], [], [])
             for part, x in zip(held, (node, block, data), strict=True):
                 part.append(x)
     if len(held[0]) > 1:
-        yield links(*held)
+        yield of_blocks(*held)
+
+
+def _by_fingerprint(prints: DataFrame) -> DataFrame:
+    """``a, b``: links between nodes whose fingerprints are equal or within the bits of :mod:`rowlake.llm.simhash`."""
+    hubs = cut(prints.groupBy("fp").agg(F.min("node").alias("hub")))
+    equal = prints.join(hubs, "fp").where("node <> hub").select(F.col("node").alias("a"), F.col("hub").alias("b"))
+    ends = [hubs.select(F.col("fp").alias(end), F.col("hub").alias(f"{end}_hub")) for end in ("a", "b")]
+    close = links(hubs.select("fp")).join(ends[0], "a").join(ends[1], "b").select(F.col("a_hub").alias("a"), F.col("b_hub").alias("b"))
+    return equal.union(close)
 
 
 def _clusters(prints: DataFrame) -> DataFrame:
-    """``node, cluster, blocks``: nodes joined by buckets with others, and the blocks of their cluster."""
+    """``node, cluster, blocks``: nodes joined by fingerprints or buckets with others, and the blocks of their cluster."""
     keys = prints.dropDuplicates(["node"]).select("node", F.explode("bands").alias("band"))
     hubs = keys.groupBy("band").agg(F.min("node").alias("hub"), F.max("node").alias("hi")).where("hub <> hi").drop("hi")
     met = keys.join(hubs, "band").where("node <> hub").select(F.col("node").alias("a"), F.col("hub").alias("b"))
+    met = met.union(_by_fingerprint(prints))
     nodes = cut(components(met).withColumnRenamed("component", "cluster"))
     sizes = nodes.groupBy("cluster").agg(F.ceil(F.count(F.lit(1)) / BLOCK).cast("int").alias("blocks"))
     return nodes.join(sizes, "cluster")
@@ -179,7 +192,7 @@ def keep_one(docs: DataFrame) -> DataFrame:
     keyed = docs.withColumn(key, F.md5(F.coalesce("text", F.lit(""))))
     rows = keyed.select("doc_id", F.coalesce("text", F.lit("")).alias("text"), F.col(key).alias("text_key"))
     id_type = docs.schema["doc_id"].dataType.simpleString()
-    prints = cut(per_batch(rows, _signed, f"doc_id {id_type}, text_key string, node bigint, bands array<bigint>"))
+    prints = cut(per_batch(rows, _signed, f"doc_id {id_type}, text_key string, node bigint, fp bigint, bands array<bigint>"))
     joined = components(_links(rows, prints)).select("node", "component")
     best = F.min(F.struct(F.col("doc_id").isNull(), "doc_id", "text_key")).alias("best")
     of_node = prints.groupBy("node").agg(best).join(joined, "node", "left").withColumn("component", F.coalesce("component", "node"))

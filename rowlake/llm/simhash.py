@@ -45,7 +45,11 @@ def fingerprint(text: bytes) -> int:
     last = ends[SHINGLE_WORDS - 1 :] if len(words) >= SHINGLE_WORDS else ends[-1:]
     starts = [0, *ends[: len(last) - 1].tolist()]
     digest = xxhash.xxh64_intdigest
-    hashes = np.array([digest(line[s : e - 1], SEED) for s, e in zip(starts, last.tolist(), strict=True)], dtype="<u8")
+    return majority(np.array([digest(line[s : e - 1], SEED) for s, e in zip(starts, last.tolist(), strict=True)], dtype="<u8"))
+
+
+def majority(hashes: np.ndarray) -> int:
+    """The bits that are set in over half the hashes; none of no hashes."""
     ones = np.zeros(64, dtype=np.int64)
     for at in range(0, len(hashes), BLOCK):
         part = hashes[at : at + BLOCK].view(np.uint8).reshape(-1, 8)

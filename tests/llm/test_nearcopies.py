@@ -91,3 +91,17 @@ def test_edge_rows(spark, sf_dir):
     docs = spark.createDataFrame(rows, "doc_id bigint, text string")
     assert sorted(r.doc_id for r in nearcopies.keep_one(docs).collect()) == [1, 4, 7, 8]
     assert nearcopies.keep_one(docs.limit(0)).count() == 0
+
+
+def test_close_copies_meet_by_fingerprints_alone(spark, sf_dir, monkeypatch):
+    rng = random.Random(7)
+    base = [f"w{i}" for i in range(3000)]
+    rows = [(i, " ".join([*base[:-1], f"x{i}"])) for i in range(6)] + [(9, " ".join(rng.sample(base, 300)))]
+    prints = nearcopies.per_batch(
+        spark.createDataFrame([(i, t, str(i)) for i, t in rows], "doc_id bigint, text string, text_key string"),
+        nearcopies._signed, "doc_id bigint, text_key string, node bigint, fp bigint, bands array<bigint>",
+    )
+    met = nearcopies.components(nearcopies._by_fingerprint(prints))
+    assert met.count() == 6 and met.select("component").distinct().count() == 1
+    monkeypatch.setattr(nearcopies.F, "explode", lambda _: nearcopies.F.monotonically_increasing_id())  # no band is shared
+    assert sorted(r.node for r in nearcopies._clusters(prints).collect()) == sorted(r.node for r in met.collect())
