@@ -30,10 +30,11 @@ import math
 from collections import Counter
 from collections.abc import Iterator
 from dataclasses import dataclass, field
+from functools import cached_property
 
 import numpy as np
-import pandas as pd
 import pyarrow as pa
+import pyarrow.compute as pc
 import regex
 from pyspark.sql import DataFrame, functions as F
 
@@ -130,11 +131,25 @@ def _discount(once: float, twice: float) -> float:
     return once / (once + 2 * twice) if once and twice else 0.5
 
 
-def shared_model(docs: DataFrame, wanted: DataFrame) -> dict[str, float]:
-    """The shared probability of the last letter of each wanted ``gram``, given the letters before it.
+def _found(keys: pa.Array, of: pa.Array, values: np.ndarray, other: float) -> np.ndarray:
+    """The value of each key, ``other`` for those that ``of`` does not have."""
+    at = pc.index_in(keys, value_set=of)
+    known = at.is_valid().to_numpy(zero_copy_only=False)
+    out = np.full(len(keys), other)
+    out[known] = values[at.drop_null().to_numpy()]
+    return out
+
+
+def _column(rows: pa.Table, name: str) -> pa.Array:
+    return pa.concat_arrays(rows.column(name).chunks) if rows.column(name).num_chunks else pa.array([], rows.schema.field(name).type)
+
+
+def shared_table(docs: DataFrame, wanted: DataFrame) -> tuple[pa.Array, np.ndarray]:
+    """Each wanted ``gram``, and the shared probability of its last letter, given the letters before it.
 
     ``wanted`` is bounded by the sample. Levels: counts of full histories, then
     for each letter fewer the number of distinct longer n-grams that end so.
+    The driver holds them as columns; as objects of Python they take ten times the memory.
     """
     shorter = "if(char_length(gram) > 1, substring(gram, 2), gram)"
     history = "left(gram, char_length(gram) - 1)"
@@ -145,30 +160,52 @@ def shared_model(docs: DataFrame, wanted: DataFrame) -> dict[str, float]:
         histories = rows.groupBy("h").agg(F.sum("n").alias("total"), F.count(F.lit(1)).alias("kinds"))
         here = asked.withColumn("h", F.expr(history)).join(level, "gram", "left").join(histories, "h", "left")
         once, twice, kinds = level.agg(*[F.count_if(F.col("n") == i) for i in (1, 2)], F.count(F.lit(1))).first()
-        found.append((here.na.fill(0).select("gram", "n", "total", "kinds").toArrow(), _discount(once, twice), kinds))
+        here = here.na.fill(0).select("gram", F.expr(shorter).alias("shorter"), "n", "total", "kinds")
+        found.append((here.toArrow(), _discount(once, twice), kinds))
         asked = asked.select(F.expr(shorter).alias("gram")).distinct()
         level = cut(level.select(F.expr(shorter).alias("gram")).groupBy("gram").agg(F.count(F.lit(1)).alias("n")))
-    below: dict[str, float] = {}
+    names, below = None, None
     while found:  # from the shortest n-grams up, a level at a time
         rows, d, kinds = found.pop()
-        names = rows.column("gram").to_pylist()
         n, total, forms = (rows.column(c).to_numpy() for c in ("n", "total", "kinds"))
-        lower = np.array([below[g[1:] or g] for g in names]) if below else np.full(len(names), 1 / (kinds + 1))
+        lower = np.full(rows.num_rows, 1 / (kinds + 1)) if names is None else _found(_column(rows, "shorter"), names, below, 0.0)
         own = (np.maximum(n - d, 0) + d * forms * lower) / np.maximum(total, 1)
-        below = dict(zip(names, np.where(total > 0, own, lower).tolist(), strict=True))
-    return below
+        names, below = _column(rows, "gram"), np.where(total > 0, own, lower)
+    return names, below
+
+
+def shared_model(docs: DataFrame, wanted: DataFrame) -> dict[str, float]:
+    """:func:`shared_table` as a dict."""
+    names, shares = shared_table(docs, wanted)
+    return dict(zip(names.to_pylist(), shares.tolist(), strict=True))
 
 
 @dataclass
 class Model:
-    """Log-likelihood differences by n-gram, and by history for other letters; the logistic step."""
+    """Log-likelihood differences by n-gram, and by history for other letters; the logistic step.
+
+    The two tables are columns of names and values; what scores words makes dicts of them.
+    """
 
     base: float
-    seen: dict[str, float] = field(default_factory=dict)
-    other: dict[str, float] = field(default_factory=dict)
+    tables: list[tuple[pa.Array, np.ndarray]] = field(default_factory=list, repr=False)
     weights: np.ndarray | None = None
     known: dict[str, float] = field(default_factory=dict, repr=False)
 
+    def __getstate__(self) -> dict:
+        return {"base": self.base, "tables": self.tables, "weights": self.weights, "known": {}}
+
+    @cached_property
+    def seen(self) -> dict[str, float]:
+        return self._dict(0)
+
+    @cached_property
+    def other(self) -> dict[str, float]:
+        return self._dict(1)
+
+    def _dict(self, i: int) -> dict[str, float]:
+        return dict(zip(self.tables[i][0].to_pylist(), self.tables[i][1].tolist(), strict=True)) if self.tables else {}
+
     def difference(self, word: str) -> float:
         total = 0.0
         for g in grams(word):
@@ -201,24 +238,27 @@ class Model:
         return sigmoid(np.column_stack([x, np.ones(len(x))]) @ self.weights)
 
 
-def class_differences(rows: pd.DataFrame, shared: dict[str, float]) -> tuple[dict[str, float], dict[str, float]]:
-    """``seen`` and ``other`` of :class:`Model` from counts of (label, gram, n) and the shared probabilities."""
-    rows = rows.assign(h=rows["gram"].str[:-1])
-    side = {}
-    for label, own in rows.groupby("label"):
-        d = _discount(int((own["n"] == 1).sum()), int((own["n"] == 2).sum()))
-        of = own.groupby("h")["n"].agg(["sum", "count"])
-        rest = (d * of["count"] / of["sum"]).to_dict()
-        share = dict(zip(own["gram"], (own["n"] - d) / own["h"].map(of["sum"]), strict=True))
-        side[int(label)] = (share, rest)
+def class_differences(rows: pa.Table, names: pa.Array, shares: np.ndarray) -> list[tuple[pa.Array, np.ndarray]]:
+    """The tables of :class:`Model` from counts of (label, gram, h, n), ``h`` the history, and the shared probabilities."""
+    grams_of = rows.select(["gram", "h"]).group_by(["gram", "h"], use_threads=False).aggregate([])
+    gram, h, histories = _column(grams_of, "gram"), _column(grams_of, "h"), _column(grams_of, "h").unique()
+    shared = _found(gram, names, shares, 0.0)
+    likelihoods, rests = [], []
+    for label in (1, 0):
+        own = rows.filter(pc.equal(rows["label"], label))
+        n = own["n"].to_numpy()
+        d = _discount(int((n == 1).sum()), int((n == 2).sum()))
+        of = own.group_by("h", use_threads=False).aggregate([("n", "sum"), ("n", "count")])
+        total, kinds, of_h = of["n_sum"].to_numpy(), of["n_count"].to_numpy(), _column(of, "h")
+        rest = d * kinds / total
+        share = (n - d) / _found(_column(own, "h"), of_h, total, 1)
+        likelihoods.append(_found(gram, _column(own, "gram"), share, 0.0) + _found(h, of_h, rest, 1.0) * shared)
+        rests.append(_found(histories, of_h, rest, 1.0))
 
-    def likelihood(label: int, gram: str) -> float:
-        share, rest = side[label]
-        return share.get(gram, 0.0) + rest.get(gram[:-1], 1.0) * shared[gram]
+    def logs(sides: list[np.ndarray]) -> np.ndarray:
+        return np.fromiter(map(math.log, (sides[0] / sides[1]).tolist()), np.float64, len(sides[0]))
 
-    seen = {g: math.log(likelihood(1, g) / likelihood(0, g)) for g in set(rows["gram"])}
-    other = {h: math.log(side[1][1].get(h, 1.0) / side[0][1].get(h, 1.0)) for h in set(rows["h"])}
-    return seen, other
+    return [(gram, logs(likelihoods)), (histories, logs(rests))]
 
 
 def fit(docs: DataFrame, labels: DataFrame) -> Model:
@@ -232,9 +272,10 @@ def fit(docs: DataFrame, labels: DataFrame) -> Model:
     model = Model(0.5 if share is None else float(share))
     if of_class.select("label").distinct().count() < 2:
         return model
-    shared_shares = shared_model(docs, of_class)
-    model.seen, model.other = class_differences(of_class.toPandas(), shared_shares)
-    del shared_shares
+    counts = of_class.withColumn("h", F.expr("left(gram, char_length(gram) - 1)"))
+    names, shares = shared_table(docs, of_class)
+    model.tables = class_differences(counts.toArrow(), names, shares)
+    del names, shares
     shared = docs.sparkSession.sparkContext.broadcast(model)
 
     def features(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

@@ -1,7 +1,10 @@
+import math
+import pickle
 from collections import Counter
 from zlib import crc32
 
 import numpy as np
+import pyarrow as pa
 import pytest
 
 from rowlake.llm import toxicity as tox
@@ -63,6 +66,39 @@ def test_held_out_accuracy(spark, sf_dir):
     assert model.difference("moron") > 4 > abs(model.difference("the"))
 
 
+def test_what_the_driver_sends_is_columns(spark):
+    ids = [i for i in range(1, 300) if crc32(str(i).encode()) % 4 != 2][:150]
+    labels = spark.createDataFrame([(i, i % 2) for i in ids], "doc_id bigint, toxic int")
+    every = {i: f"you dreadful nasty {'x' * (i % 7 + 1)} thing" if i % 2 else f"a calm and quiet day {'y' * (i % 5)}" for i in ids}
+    model = tox.fit(spark.createDataFrame(list(every.items()), "doc_id bigint, text string"), labels)
+    assert not {"seen", "other"} & vars(model).keys() and len(model.tables) == 2
+    model.difference("dreadful")
+    assert model.seen and model.known == {}
+    assert not {"seen", "other"} & pickle.loads(pickle.dumps(model)).__dict__.keys()
+
+
+def test_class_differences_against_dicts():
+    rng = np.random.default_rng(2)
+    every = sorted({g for w in ("stem", "stems", "ñandú", "a", "hate", "hater") for g in tox.grams(w)})
+    rows = [(x, g, int(rng.integers(1, 4))) for x in (0, 1) for g in every if rng.random() < 0.7]
+    shares = rng.random(len(every)) * 0.5 + 0.01
+    columns = {"label": [r[0] for r in rows], "gram": [r[1] for r in rows], "h": [r[1][:-1] for r in rows], "n": [r[2] for r in rows]}
+    got = [dict(zip(k.to_pylist(), v.tolist())) for k, v in tox.class_differences(pa.table(columns), pa.array(every), shares)]
+    side = {}
+    for x in (0, 1):
+        own = [r for r in rows if r[0] == x]
+        d = tox._discount(sum(r[2] == 1 for r in own), sum(r[2] == 2 for r in own))
+        of = {h: [r[2] for r in own if r[1][:-1] == h] for h in {r[1][:-1] for r in own}}
+        side[x] = {r[1]: (r[2] - d) / sum(of[r[1][:-1]]) for r in own}, {h: d * len(n) / sum(n) for h, n in of.items()}
+    p = dict(zip(every, shares.tolist()))
+
+    def likelihood(x, g):
+        return side[x][0].get(g, 0.0) + side[x][1].get(g[:-1], 1.0) * p[g]
+
+    assert got[0] == {g: math.log(likelihood(1, g) / likelihood(0, g)) for _, g, _ in rows}
+    assert got[1] == {h: math.log(side[1][1].get(h, 1.0) / side[0][1].get(h, 1.0)) for h in {r[1][:-1] for r in rows}}
+
+
 def test_odd_rows(spark):
     rows = [(1, None, "a"), (1, "", "b"), (None, "words here", "c"), (2, "same text", "d"), (2, "same text", "e"), (3, "long " * 300_000, "f")]
     docs = spark.createDataFrame(rows, "doc_id bigint, text string, score string")
