@@ -6,7 +6,7 @@ length. A mergesort on these comparisons puts equal strings side by side;
 neighbours that the hashes call equal are verified byte by byte.
 
 No task needs all suffixes. Each 50-byte window has one anchor: the leftmost of
-its 16-byte grams with the smallest hash. Equal windows have equal anchors at
+its 16-byte grams with the smallest hash (by its upper bits). Equal windows have equal anchors at
 equal places, so only windows of one anchor gram are ever compared:
 
 1. Tasks offer the anchors of their documents. Grams that a task has seen in two
@@ -54,6 +54,8 @@ PART_BYTES = 64 << 20
 UNIT, UNIT_BYTES = 500_000, 8 << 20
 #: Windows of a document looked at together.
 STEP = 1 << 21
+#: The low bits of a hash, which give way to a place among the grams of so many windows.
+PLACE = np.uint64(2 * STEP - 1)
 LAST = np.iinfo(np.int64).max
 BASE = np.uint64(0x9E3779B97F4A7C15)
 MIX = np.uint64(0xBF58476D1CE4E5B9)
@@ -87,15 +89,15 @@ def anchors(data: bytes) -> tuple[np.ndarray, ...]:
 
 def _anchors(data: bytes, offset: int) -> tuple[np.ndarray, ...]:
     hashes = gram_hashes(np.frombuffer(data, dtype=np.uint8))
-    least, where, size = hashes, np.arange(len(hashes)), 1
-    while size < GRAMS:  # a window's minimum is that of two shorter ones, of equals the left one
+    # The place in the low bits, so the minimum of a window is its leftmost gram of the least upper bits.
+    least, size = (hashes & ~PLACE) | np.arange(len(hashes), dtype=np.uint64), 1
+    while size < GRAMS:  # a window's minimum is that of two shorter ones
         by = min(size, GRAMS - size)
-        later = least[by:] < least[:-by]
-        least, where = np.where(later, least[by:], least[:-by]), np.where(later, where[by:], where[:-by])
+        least = np.minimum(least[by:], least[:-by])
         size += by
-    firsts = np.flatnonzero(np.concatenate([[True], where[1:] != where[:-1]]))
-    counts = np.diff(np.concatenate([firsts, [len(where)]]))
-    place = where[firsts]
+    firsts = np.flatnonzero(np.concatenate([[True], least[1:] != least[:-1]]))
+    counts = np.diff(np.concatenate([firsts, [len(least)]]))
+    place = (least[firsts] & PLACE).astype(np.int64)
     return hashes[place], place + offset, firsts + offset, counts
 
 
@@ -276,11 +278,14 @@ def _held_contexts(batches: Iterator[pa.RecordBatch], hot: bool) -> Iterator[tup
             if not len(wanted):
                 continue
             gram, place, first, count = anchors(data)
-            chosen = np.isin(place, wanted)
-            own = (a[chosen].tolist() for a in (gram, place - first, first, count))
-            for g, a, f, c in zip(*own, strict=True):
-                held.append((g, a, f, order_id, key, data[f : f + c + LENGTH - 1]))
-                size += c + LENGTH - 1
+            mark = np.zeros(max(len(data), int(wanted.max()) + 1), dtype=bool)
+            mark[wanted] = True
+            chosen = np.flatnonzero(mark[place])
+            # Runs of one document with the same anchor stay apart, as their windows do.
+            first, stop = first[chosen], first[chosen] + count[chosen] + LENGTH - 1
+            own = (a.tolist() for a in (gram[chosen], place[chosen] - first, first, stop))
+            held += [(g, a, f, order_id, key, data[f:e]) for g, a, f, e in zip(*own, strict=True)]
+            size += int((stop - first).sum())
             if size >= UNIT_BYTES:
                 yield settled(held)
                 held, size = [], 0

@@ -69,6 +69,18 @@ def test_sort_within_groups():
         assert texts == sorted(texts) and sorted(own) == np.flatnonzero(group == g).tolist()
 
 
+def test_anchors_are_the_leftmost_of_the_least_upper_bits(monkeypatch):
+    rng = np.random.default_rng(4)
+    # Upper bits of five values, so that many are equal; the low bits, which the place takes, say nothing.
+    hashes = (rng.integers(0, 5, 400).astype(np.uint64) << np.uint64(40)) | rng.integers(0, 1 << 20, 400).astype(np.uint64)
+    monkeypatch.setattr(suffixes, "gram_hashes", lambda raw: hashes[: len(raw) - suffixes.GRAM + 1])
+    gram, place, first, count = suffixes.anchors(bytes(415))
+    upper = (hashes >> np.uint64(40)).tolist()
+    wanted = [min(range(w, w + suffixes.GRAMS), key=upper.__getitem__) for w in range(400 - suffixes.GRAMS + 1)]
+    assert np.repeat(place, count).tolist() == wanted and first.tolist() == (np.cumsum(count) - count).tolist()
+    assert (gram == hashes[place]).all() and len(set(place.tolist())) == len(place)
+
+
 def cases(seed):
     """Contexts of some anchor grams, over few letters, so that windows repeat."""
     rng = random.Random(seed)
