@@ -15,6 +15,8 @@ from rowlake.workspace import shared_folder
 
 #: Rows handed to Spark at once by a task that makes many rows of one document.
 EMIT_ROWS = 50_000
+#: Rows of a few numbers that a file of a checkpoint holds on average, where their number is known.
+FILE_ROWS = 100_000
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -26,12 +28,18 @@ def texts(docs: DataFrame) -> DataFrame:
     return docs.select("doc_id", F.coalesce("text", F.lit("")).alias("text"))
 
 
-def cut(frame: DataFrame) -> DataFrame:
+def cut(frame: DataFrame, most: int | None = None) -> DataFrame:
     """The frame, read back from the shared checkpoint folder.
 
     The files survive lost executors; Spark drops them with the frame where
-    ``spark.cleaner.referenceTracking.cleanCheckpoints`` is set.
+    ``spark.cleaner.referenceTracking.cleanCheckpoints`` is set. A frame of
+    ``most`` small rows at most is kept in as many files as these need, not in
+    one per partition: on a local disk without native Hadoop each file starts
+    processes, which until they have a program of their own count with all the
+    memory of the executor that starts them.
     """
+    if most is not None:
+        frame = frame.coalesce(max(1, -(-most // FILE_ROWS)))
     context = frame.sparkSession.sparkContext
     if context.getCheckpointDir() is None:
         context.setCheckpointDir(shared_folder(frame.sparkSession))

@@ -4,7 +4,8 @@ Alternating stars: each node's larger neighbours are linked to its smallest
 one, then each node's smaller neighbours are, until nothing changes. Both steps
 are an aggregation with map-side minima and a join that Spark may split, so a
 node with a third of all edges is spread like any other. Rounds are logarithmic
-in the longest path; each is checkpointed in the shared folder.
+in the longest path; each is checkpointed in the shared folder, in files by the
+number of edges.
 """
 
 from __future__ import annotations
@@ -14,18 +15,18 @@ from pyspark.sql import DataFrame, functions as F
 from rowlake.llm.common import cut
 
 
-def components(edges: DataFrame) -> DataFrame:
-    """``node, component`` (the smallest node reachable) for all nodes of ``a, b``.
+def components(edges: DataFrame, most: int | None = None) -> DataFrame:
+    """``node, component`` (the smallest node reachable) for all nodes of ``a, b``, of which there are ``most`` rows at most.
 
     Loops and repeated edges do no harm; rows with a null are left out; an
     empty graph has no rows.
     """
     edges = cut(
-        edges.where("a <> b").select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b")).distinct()
+        edges.where("a <> b").select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b")).distinct(), most
     )
     state = _state(edges)
     while state[0]:
-        edges = cut(_small_star(_large_star(edges)))
+        edges = cut(_small_star(_large_star(edges)), state[0])  # neither step makes more edges than it is given
         state, before = _state(edges), state
         if state == before:
             break

@@ -28,7 +28,7 @@ from pyspark.sql import DataFrame, functions as F
 
 from rowlake.llm.common import cut, free, per_batch, utf8
 from rowlake.llm.components import components
-from rowlake.llm.simhash import links, majority
+from rowlake.llm.simhash import CHAINS, links, majority
 
 SHINGLE_WORDS = 5
 SIMILAR = 0.8
@@ -147,30 +147,31 @@ def _linked(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         yield of_blocks(*held)
 
 
-def _by_fingerprint(prints: DataFrame) -> DataFrame:
+def _by_fingerprint(prints: DataFrame, most: int | None = None) -> DataFrame:
     """``a, b``: links between nodes whose fingerprints are equal or within the bits of :mod:`rowlake.llm.simhash`."""
-    hubs = cut(prints.groupBy("fp").agg(F.min("node").alias("hub")))
+    # In as many files as its chains need, which are made from it.
+    hubs = cut(prints.groupBy("fp").agg(F.min("node").alias("hub")), None if most is None else CHAINS * most)
     equal = prints.join(hubs, "fp").where("node <> hub").select(F.col("node").alias("a"), F.col("hub").alias("b"))
     ends = [hubs.select(F.col("fp").alias(end), F.col("hub").alias(f"{end}_hub")) for end in ("a", "b")]
-    close = links(hubs.select("fp")).join(ends[0], "a").join(ends[1], "b").select(F.col("a_hub").alias("a"), F.col("b_hub").alias("b"))
+    close = links(hubs.select("fp"), most).join(ends[0], "a").join(ends[1], "b").select(F.col("a_hub").alias("a"), F.col("b_hub").alias("b"))
     return equal.union(close)
 
 
 def _clusters(prints: DataFrame) -> DataFrame:
     """``node, cluster, blocks``: nodes joined by fingerprints or buckets with others, and the blocks of their cluster."""
+    most = prints.count()
     keys = prints.dropDuplicates(["node"]).select("node", F.explode("bands").alias("band"))
     hubs = keys.groupBy("band").agg(F.min("node").alias("hub"), F.max("node").alias("hi")).where("hub <> hi").drop("hi")
     met = keys.join(hubs, "band").where("node <> hub").select(F.col("node").alias("a"), F.col("hub").alias("b"))
-    met = met.union(_by_fingerprint(prints))
-    nodes = cut(components(met).withColumnRenamed("component", "cluster"))
+    met = met.union(_by_fingerprint(prints, most))
+    nodes = cut(components(met).withColumnRenamed("component", "cluster"), most)
     sizes = nodes.groupBy("cluster").agg(F.ceil(F.count(F.lit(1)) / BLOCK).cast("int").alias("blocks"))
-    return nodes.join(sizes, "cluster")
+    return cut(nodes.join(sizes, "cluster"), most)
 
 
-def _links(rows: DataFrame, prints: DataFrame) -> DataFrame:
+def _links(rows: DataFrame, prints: DataFrame, clusters: DataFrame) -> DataFrame:
     """``a, b``: links between nodes that join all similar ones; one text of each node in a cluster is read."""
     first = F.min(F.struct("doc_id", "text_key")).alias("own")
-    clusters = cut(_clusters(prints))
     one = prints.join(clusters, "node").groupBy("node").agg(first).selectExpr("node", "own.doc_id as own_id", "own.text_key as own_key")
     met = rows["doc_id"].eqNullSafe(one["own_id"]) & (rows["text_key"] == one["own_key"])
     texts = rows.join(one, met).select("node", "text")
@@ -193,7 +194,10 @@ def keep_one(docs: DataFrame) -> DataFrame:
     rows = keyed.select("doc_id", F.coalesce("text", F.lit("")).alias("text"), F.col(key).alias("text_key"))
     id_type = docs.schema["doc_id"].dataType.simpleString()
     prints = cut(per_batch(rows, _signed, f"doc_id {id_type}, text_key string, node bigint, fp bigint, bands array<bigint>"))
-    joined = components(_links(rows, prints)).select("node", "component")
+    clusters = _clusters(prints)
+    # A node meets each block once and adds a link there at most: a forest has fewer links than nodes.
+    most = clusters.agg(F.coalesce(F.sum("blocks"), F.lit(0))).first()[0]
+    joined = components(_links(rows, prints, clusters), most).select("node", "component")
     best = F.min(F.struct(F.col("doc_id").isNull(), "doc_id", "text_key")).alias("best")
     of_node = prints.groupBy("node").agg(best).join(joined, "node", "left").withColumn("component", F.coalesce("component", "node"))
     kept = of_node.groupBy("component").agg(F.min("best").alias("best")).select(

@@ -33,6 +33,8 @@ SEGMENTS = ((0, 22), (22, 21), (43, 21))
 #: Differences allowed over one, two and three consecutive segments.
 BUDGETS = (0, 1, 2)
 BLOCK = 1 << 16
+#: Chains of a fingerprint at most: a rotation has one for the second segment and one for each zero bit of it.
+CHAINS = sum(1 + width for _, width in SEGMENTS)
 
 
 def fingerprint(text: bytes) -> int:
@@ -109,11 +111,12 @@ def _centres(chains: DataFrame) -> DataFrame:
     )
 
 
-def links(nodes: DataFrame) -> DataFrame:
-    """``a, b``: links within the budget that join all linked fingerprints of distinct ``fp``."""
+def links(nodes: DataFrame, most: int | None = None) -> DataFrame:
+    """``a, b``: links within the budget that join all linked fingerprints of distinct ``fp``, of which there are ``most`` at most."""
     chains = _chains(nodes)
     reached = chains.groupBy("chain").agg(F.min("fp").alias("lo"), F.max("fp").alias("hi"), F.min("spent").alias("own"))
-    alive = cut(chains.join(reached.where("lo <> hi and own = 0").select("chain"), "chain", "left_semi"))
+    shared = reached.where("lo <> hi and own = 0").select("chain")
+    alive = cut(chains.join(shared, "chain", "left_semi"), None if most is None else CHAINS * most)
     centres = _centres(alive)
     hubs = centres.groupBy("chain", "centre").agg(F.min("fp").alias("hub"), F.max("fp").alias("hi")).where("hub <> hi")
     met = centres.join(hubs.drop("hi"), ["chain", "centre"]).where("fp <> hub")
