@@ -13,6 +13,10 @@ Large clusters are dealt out by pairs of blocks, so that no task holds one. A
 pair of blocks hands on a forest of its links, not all of them. Groups are
 those of all links. Texts of equal shingles are one node.
 
+Texts do not move to find out which of them are needed: a mask of hashes, sent to
+all tasks, tells nearly all rows that are not. What it leaves, one row in sixteen
+too many, is joined exactly; beyond the size of the mask it leaves more.
+
 Words are split and lower-cased as in :mod:`rowlake.llm.simhash`; a text of
 fewer words is one shingle, and texts without words are equal. No rows: no rows.
 """
@@ -24,7 +28,7 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, functions as F
 
 from rowlake.llm.common import cut, free, per_batch, utf8
 from rowlake.llm.components import components
@@ -38,6 +42,8 @@ SEED = 42
 BLOCK = 128
 #: Shingles handled at once.
 STEP = 4096
+#: Bits of a mask for each row that is looked for, and words of 64 bits that it has at most.
+MASK_BITS, MOST_WORDS = 16, 1 << 19
 
 
 def shingles(text: bytes) -> np.ndarray:
@@ -147,6 +153,23 @@ def _linked(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         yield of_blocks(*held)
 
 
+def _parted(rows: DataFrame, wanted: DataFrame, n: int, key: str = "text_key") -> tuple[DataFrame, DataFrame]:
+    """The rows that may be among ``wanted`` (``doc_id, text_key``; ``n`` of them), and the rows that are surely not."""
+    word, bits = free(rows, "word", "bits")
+    words = max(1, min(MOST_WORDS, n * MASK_BITS // 64))
+
+    def place(own: str) -> tuple[Column, Column]:
+        at = f"xxhash64(doc_id, {own})"
+        return F.expr(f"pmod(shiftright({at}, 6), {words}L)"), F.expr(f"shiftleft(1L, cast({at} & 63 as int))")
+
+    of_wanted, bit = place("text_key")
+    mask = wanted.groupBy(of_wanted.alias(word)).agg(F.bit_or(bit).alias(bits))
+    of_row, bit = place(key)
+    met = rows.withColumn(word, of_row).join(F.broadcast(mask), word, "left")
+    hit = F.coalesce(F.col(bits).bitwiseAND(bit) != 0, F.lit(False))
+    return met.where(hit).drop(word, bits), met.where(~hit).drop(word, bits)
+
+
 def _by_fingerprint(prints: DataFrame, most: int | None = None) -> DataFrame:
     """``a, b``: links between nodes whose fingerprints are equal or within the bits of :mod:`rowlake.llm.simhash`."""
     # In as many files as its chains need, which are made from it.
@@ -169,12 +192,17 @@ def _clusters(prints: DataFrame) -> DataFrame:
     return cut(nodes.join(sizes, "cluster"), most)
 
 
-def _links(rows: DataFrame, prints: DataFrame, clusters: DataFrame) -> DataFrame:
-    """``a, b``: links between nodes that join all similar ones; one text of each node in a cluster is read."""
+def _links(rows: DataFrame, prints: DataFrame, clusters: DataFrame, n: int, most: int) -> DataFrame:
+    """``a, b``: links between nodes that join all similar ones; one text of each of the ``n`` nodes in a cluster is read.
+
+    There are ``most`` rows, from which the files are counted: few nodes may have many rows.
+    """
     first = F.min(F.struct("doc_id", "text_key")).alias("own")
-    one = prints.join(clusters, "node").groupBy("node").agg(first).selectExpr("node", "own.doc_id as own_id", "own.text_key as own_key")
-    met = rows["doc_id"].eqNullSafe(one["own_id"]) & (rows["text_key"] == one["own_key"])
-    texts = rows.join(one, met).select("node", "text")
+    one = cut(prints.join(clusters, "node").groupBy("node").agg(first).select("node", "own.doc_id", "own.text_key"), most)
+    found, _ = _parted(rows, one, n)
+    one = one.withColumnsRenamed({"doc_id": "own_id", "text_key": "own_key"})
+    met = found["doc_id"].eqNullSafe(one["own_id"]) & (found["text_key"] == one["own_key"])
+    texts = found.join(one, met).select("node", "text")
     sets = per_batch(texts, _sets, "node bigint, data binary").dropDuplicates(["node"])
     dealt = sets.join(clusters, "node").withColumn("block", F.expr("cast(pmod(xxhash64(node), blocks) as int)")).select(
         "node", "data", "cluster", "block", F.explode(F.expr("sequence(0, blocks - 1)")).alias("other")
@@ -189,19 +217,24 @@ def keep_one(docs: DataFrame) -> DataFrame:
     A row without an id is kept only if its whole group has none. Of rows that
     agree in id and text one is kept.
     """
-    key, kept_id, kept_key = free(docs, "key", "kept_id", "kept_key")
+    key, gone_id, gone_key = free(docs, "key", "gone_id", "gone_key")
     keyed = docs.withColumn(key, F.md5(F.coalesce("text", F.lit(""))))
     rows = keyed.select("doc_id", F.coalesce("text", F.lit("")).alias("text"), F.col(key).alias("text_key"))
     id_type = docs.schema["doc_id"].dataType.simpleString()
     prints = cut(per_batch(rows, _signed, f"doc_id {id_type}, text_key string, node bigint, fp bigint, bands array<bigint>"))
-    clusters = _clusters(prints)
+    clusters, total = _clusters(prints), prints.count()
     # A node meets each block once and adds a link there at most: a forest has fewer links than nodes.
-    most = clusters.agg(F.coalesce(F.sum("blocks"), F.lit(0))).first()[0]
-    joined = components(_links(rows, prints, clusters), most).select("node", "component")
+    nodes, most = clusters.agg(F.count(F.lit(1)), F.coalesce(F.sum("blocks"), F.lit(0))).first()
+    joined = components(_links(rows, prints, clusters, nodes, total), most).select("node", "component")
     best = F.min(F.struct(F.col("doc_id").isNull(), "doc_id", "text_key")).alias("best")
     of_node = prints.groupBy("node").agg(best).join(joined, "node", "left").withColumn("component", F.coalesce("component", "node"))
-    kept = of_node.groupBy("component").agg(F.min("best").alias("best")).select(
-        F.col("best.doc_id").alias(kept_id), F.col("best.text_key").alias(kept_key)
-    )
-    met = keyed["doc_id"].eqNullSafe(kept[kept_id]) & (keyed[key] == kept[kept_key])
-    return keyed.join(kept, met, "left_semi").dropDuplicates(["doc_id", key]).drop(key)
+    kept = of_node.groupBy("component").agg(F.min("best").alias("best"))
+    # What is not kept as it stands: rows that go, and rows that are there more than once.
+    each = prints.groupBy("node", "doc_id", "text_key").agg(F.count(F.lit(1)).alias("times"))
+    named = each.join(of_node.select("node", "component"), "node").join(kept, "component")
+    goes = ~(F.col("doc_id").eqNullSafe(F.col("best.doc_id")) & (F.col("text_key") == F.col("best.text_key")))
+    other = cut(named.select("doc_id", "text_key", "times", goes.alias("goes")).where("goes or times > 1"), total)
+    perhaps, stay = _parted(keyed, other.select("doc_id", "text_key"), other.count(), key)
+    gone = other.where("goes").select(F.col("doc_id").alias(gone_id), F.col("text_key").alias(gone_key))
+    met = perhaps["doc_id"].eqNullSafe(gone[gone_id]) & (perhaps[key] == gone[gone_key])
+    return stay.union(perhaps.join(gone, met, "left_anti").dropDuplicates(["doc_id", key])).drop(key)

@@ -105,3 +105,29 @@ def test_close_copies_meet_by_fingerprints_alone(spark, sf_dir, monkeypatch):
     assert met.count() == 6 and met.select("component").distinct().count() == 1
     monkeypatch.setattr(nearcopies.F, "explode", lambda _: nearcopies.F.monotonically_increasing_id())  # no band is shared
     assert sorted(r.node for r in nearcopies._clusters(prints).collect()) == sorted(r.node for r in met.collect())
+
+
+def test_texts_that_are_alone_do_not_move(spark, sf_dir):
+    rng = random.Random(9)
+    texts = [" ".join(rng.choices([f"w{i}" for i in range(5000)], k=60)) for _ in range(400)]
+    rows = [(i, t) for i, t in enumerate(texts)] + [(500, texts[3]), (7, texts[7]), (None, texts[9]), (None, "alone")]
+    docs = spark.createDataFrame(rows, "doc_id bigint, text string").withColumn("key", nearcopies.F.lit("k"))
+    other = spark.createDataFrame([(500, texts[3]), (7, texts[7])], "doc_id bigint, text string")
+    marks = [x.withColumn("text_key", nearcopies.F.md5("text")) for x in (docs, other)]
+    found, rest = nearcopies._parted(*marks, 2)
+    assert {(r.doc_id, r.text) for r in found.collect()} >= {(500, texts[3]), (7, texts[7])}
+    assert rest.count() > 200 and found.count() + rest.count() == len(rows)
+    kept = nearcopies.keep_one(docs)
+    assert kept.columns == ["doc_id", "text", "key"]
+    got = sorted((r.doc_id is None, r.doc_id, r.text, r.key) for r in kept.collect())
+    assert got == sorted([(False, i, t, "k") for i, t in enumerate(texts)] + [(True, None, "alone", "k")])
+
+
+def test_a_mask_that_is_too_small_changes_nothing(spark, sf_dir, monkeypatch):
+    rng = random.Random(10)
+    words = [[f"w{rng.randint(0, 5000)}" for _ in range(100)] for _ in range(40)]
+    rows = [(i, " ".join(w)) for i, w in enumerate(words)] + [(100 + i, " ".join(edited(rng, w, 0.01))) for i, w in enumerate(words)]
+    rows += [(200 + i % 3, " ".join(w)) for i, w in enumerate(words)] + [(5, " ".join(words[5]))]
+    wanted = stage(spark, rows, sf_dir)
+    monkeypatch.setattr(nearcopies, "MOST_WORDS", 1)
+    assert stage(spark, rows, sf_dir) == wanted == brute_kept(rows)
