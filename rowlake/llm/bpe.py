@@ -29,6 +29,7 @@ from hashlib import sha256
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 import regex
 from pyspark.sql import DataFrame
 from tokenizers import Regex, Tokenizer, pre_tokenizers
@@ -306,10 +307,13 @@ def coded(docs: DataFrame, path: str) -> DataFrame:
     """``doc_id, n_tokens, ids, decoded_sha256`` of every row: its tokens, and a digest of the text that these decode to."""
 
     def of(batch: pa.RecordBatch) -> pa.RecordBatch:
-        own = codec(path)
-        ids = [x for step in _steps(batch.column("text").to_pylist()) for x in own.encode(step)]
-        digests_of = [sha256(own.decode(x).encode()).hexdigest() for x in ids]
-        columns = [batch.column("doc_id"), pa.array(map(len, ids), pa.int64()), pa.array(ids, pa.list_(pa.int32())), pa.array(digests_of, pa.string())]
+        own, parts, digests_of = codec(path), [], []
+        for step in _steps(batch.column("text").to_pylist()):
+            ids = own.encode(step)
+            digests_of += [sha256(own.decode(x).encode()).hexdigest() for x in ids]
+            parts.append(pa.array(ids, pa.list_(pa.int32())))  # four bytes a token, not a list
+        ids = pa.concat_arrays(parts)
+        columns = [batch.column("doc_id"), pc.list_value_length(ids).cast(pa.int64()), ids, pa.array(digests_of, pa.string())]
         return pa.RecordBatch.from_arrays(columns, ["doc_id", "n_tokens", "ids", "decoded_sha256"])
 
     kind = docs.schema["doc_id"].dataType.simpleString()

@@ -81,10 +81,14 @@ def _node(own: np.ndarray) -> int:
 
 
 def _signed(batch: pa.RecordBatch) -> pa.RecordBatch:
-    sets = [shingles(x) for x in utf8(batch)]
-    keys = pa.array([bands(s) for s in sets], pa.list_(pa.int64()))
-    fps = pa.array(np.array([majority(s) for s in sets], dtype=np.uint64).view(np.int64))
-    columns = [batch.column("doc_id"), batch.column("text_key"), pa.array([_node(s) for s in sets], pa.int64()), fps, keys]
+    nodes, fps, keys = [], [], []
+    for text in utf8(batch):
+        own = shingles(text)  # one at a time: those of a batch take more than its texts
+        nodes.append(_node(own))
+        fps.append(majority(own))
+        keys.append(bands(own))
+    prints = pa.array(np.array(fps, dtype=np.uint64).view(np.int64))
+    columns = [batch.column("doc_id"), batch.column("text_key"), pa.array(nodes, pa.int64()), prints, pa.array(keys, pa.list_(pa.int64()))]
     return pa.RecordBatch.from_arrays(columns, ["doc_id", "text_key", "node", "fp", "bands"])
 
 
