@@ -63,60 +63,96 @@ RUNS = (1, 2, 4)
 STRETCH, LEAST_MATCHES = 2 * WINDOW, 3
 LAST = np.iinfo(np.int64).max
 WORD = re.compile(rb"[0-9a-z\x80-\xff]+")
-REMEMBERED = 1_000_000
-_hashes: dict[bytes, int] = {}
+#: What a byte of a text is for its words: itself in lower case, or a blank.
+BYTES = bytes(b if WORD.match(bytes([b]).lower()) else 0x20 for b in range(256)).lower()
+#: Bytes of texts whose seeds are found together; their arrays stay small.
+TOGETHER = 1 << 18
 
 
-def word_hashes(text: bytes) -> np.ndarray:
-    words = WORD.findall(text.lower())
-    if len(_hashes) > REMEMBERED:
-        _hashes.clear()
-    known = _hashes
-    for w in set(words):
-        if w not in known:
-            known[w] = xxhash.xxh64_intdigest(w)
-    return np.array([known[w] for w in words], dtype=np.uint64)
+def _word_hashes(texts: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
+    """XXH64 of the words of all texts, one behind the other, and how many each text has."""
+    words = [text.translate(BYTES).split() for text in texts]
+    digests = b"".join([d for own in words for d in map(xxhash.xxh64_digest, own)])
+    return np.frombuffer(digests, dtype=">u8").astype(np.uint64), np.array([len(own) for own in words], dtype=np.int64)
 
 
-def seeds(text: bytes) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """Hash, place (in words) and the codes of the eight words behind it of each seed."""
-    words = word_hashes(text)
-    n = len(words) - K + 1
-    if n < 1:
-        return np.zeros(0, np.int64), np.zeros(0, np.int32), np.zeros(0, np.int64)
+def _stretches(starts: np.ndarray, sizes: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Places from each start on, as many as its size, and the number of the start of each."""
+    of = np.repeat(np.arange(len(sizes)), sizes)
+    return np.arange(len(of)) + (starts - (np.cumsum(sizes) - sizes))[of], of
+
+
+def seeds_of(texts: list[bytes]) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """Number of the text, hash, place (in words) and the codes of the eight words behind it of each seed.
+
+    The words of all texts lie in one array, with a gap behind each text that no
+    k-mer and no window of it reaches beyond.
+    """
+    hashes, sizes = _word_hashes(texts)
+    starts = np.cumsum(sizes + K + WINDOW) - (sizes + K + WINDOW)
+    total = int((sizes + K + WINDOW).sum())
+    at_words, _ = _stretches(starts, sizes)
+    words, codes = np.zeros(total, np.uint64), np.zeros(total, np.uint8)
+    words[at_words] = hashes
+    codes[at_words] = (hashes >> np.uint64(40)).astype(np.uint8) | np.uint8(1)
+    n = max(0, total - K + 1)
     grams = words[:n].copy()
     for i in range(1, K):
-        grams = grams * np.uint64(0x9E3779B97F4A7C15) + words[i : i + n]
+        grams *= np.uint64(0x9E3779B97F4A7C15)
+        grams += words[i : i + n]
     grams = (grams ^ (grams >> np.uint64(31))) * np.uint64(0xBF58476D1CE4E5B9)
     grams ^= grams >> np.uint64(29)
-    least, where, size = grams, np.arange(n), 1
-    window = min(WINDOW, n)
-    while size < window:
-        by = min(size, window - size)
+    # What is no k-mer of one text is never the smaller one; of equal ones the first counts.
+    kmers = np.maximum(sizes - K + 1, 0)
+    at_grams, _ = _stretches(starts, kmers)
+    least = np.full(n, np.iinfo(np.uint64).max, np.uint64)
+    least[at_grams] = grams[at_grams]
+    where, size = np.arange(n, dtype=np.int32), 1
+    while size < WINDOW:
+        by = min(size, WINDOW - size)
         later = least[by:] < least[:-by]
         least, where = np.where(later, least[by:], least[:-by]), np.where(later, where[by:], where[:-by])
         size += by
-    place = where[np.flatnonzero(np.concatenate([[True], where[1:] != where[:-1]]))]
+    # A text of fewer k-mers than a window has one window.
+    windows, of = _stretches(starts, np.where(kmers > 0, np.maximum(kmers - WINDOW, 0) + 1, 0))
+    chosen = where[windows]
+    new = np.flatnonzero(np.concatenate([[True], chosen[1:] != chosen[:-1]])[: len(chosen)])
+    place, of = chosen[new].astype(np.int64), of[new]
     found = grams[place]
     # In a run of one k-mer, each is told from the next by its number in the run.
-    same = np.concatenate([[False], found[1:] == found[:-1]])
+    same = np.concatenate([[False], (found[1:] == found[:-1]) & (of[1:] == of[:-1])])[: len(found)]
     at = np.arange(len(found))
     run = at - np.maximum.accumulate(np.where(same, 0, at))
     found = found + run.astype(np.uint64) * np.uint64(0x94D049BB133111EB)
-    codes = np.concatenate([(words >> np.uint64(40)).astype(np.uint8) | np.uint8(1), np.zeros(K + WINDOW, np.uint8)])
-    behind = codes[place[:, None] + np.arange(K, K + WINDOW)]
-    return found.view(np.int64), place.astype(np.int32), np.ascontiguousarray(behind).view(np.int64).ravel()
+    behind = np.lib.stride_tricks.sliding_window_view(codes, WINDOW)[place + K] if len(place) else np.zeros((0, WINDOW), np.uint8)
+    return of, found.view(np.int64), (place - starts[of]).astype(np.int32), np.ascontiguousarray(behind).view(np.int64).ravel()
+
+
+def seeds(text: bytes) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Hash, place (in words) and the codes of the eight words behind it of each seed."""
+    return seeds_of([text])[1:]
+
+
+def _together(texts: list[bytes]) -> Iterator[tuple[int, int]]:
+    """First and end of texts that follow each other and have ``TOGETHER`` bytes in sum, the last one aside."""
+    first, size = 0, 0
+    for i, text in enumerate(texts, 1):
+        size += len(text)
+        if size >= TOGETHER or i == len(texts):
+            yield first, i
+            first, size = i, 0
 
 
 def _seed_rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     # What changes from row to row stands last, which packs well in a shuffle.
     names = ["ord", "key", "place", "gram", "codes"]
     for batch in batches:
+        order_ids, keys = (batch.column(c).to_numpy(zero_copy_only=False) for c in ("ord", "key"))
+        data = batch.column("data").to_pylist()
         parts, size = [], 0
-        rows = zip(*(batch.column(c).to_pylist() for c in ("ord", "key", "data")), strict=True)
-        for order_id, key, data in rows:
-            gram, place, codes = seeds(data)
-            parts.append((np.full(len(gram), order_id, np.int64), np.full(len(gram), key, np.int64), place, gram, codes))
+        for first, end in _together(data):
+            of, gram, place, codes = seeds_of(data[first:end])
+            parts.append((order_ids[first:end][of], keys[first:end][of], place, gram, codes))
             size += len(gram)
             if size > 200_000:
                 yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(c)) for c in zip(*parts, strict=True)], names)

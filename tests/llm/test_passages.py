@@ -72,6 +72,24 @@ def test_seeds():
         assert got == brute_seeds(text)
 
 
+def test_seeds_of_texts_found_together(monkeypatch):
+    rng = random.Random(11)
+    texts = [" ".join(rng.choices(["a", "b", "é", "Ding-dong", "x1"], k=rng.choice([0, 1, 4, 5, 6, 12, 13, 90]))) for _ in range(200)]
+    batch = ps.pa.RecordBatch.from_arrays(
+        [ps.pa.array(range(200), ps.pa.int64()), ps.pa.array(range(1000, 1200), ps.pa.int64()), ps.pa.array([t.encode() for t in texts])],
+        ["ord", "key", "data"],
+    )
+    wanted = [(i, 1000 + i, p, g, c) for i, t in enumerate(texts) for g, p, c in brute_seeds(t)]
+    found_together, calls = ps.seeds_of, []
+    monkeypatch.setattr(ps, "seeds_of", lambda own: calls.append(len(own)) or found_together(own))
+    for size, most in ((1 << 18, 1), (500, 199), (1, 200)):
+        monkeypatch.setattr(ps, "TOGETHER", size)
+        calls.clear()
+        got = [tuple(r.values()) for out in ps._seed_rows(iter([batch])) for r in out.to_pylist()]
+        assert [(o, k, p, g % M, np.int64(c).tobytes()) for o, k, p, g, c in got] == wanted
+        assert sum(calls) == 200 and len(calls) <= most
+
+
 def test_chains_have_the_best_scores():
     rng = random.Random(3)
     for _ in range(200):
