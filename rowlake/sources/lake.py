@@ -20,9 +20,11 @@ import uuid
 from collections.abc import Iterable, Mapping
 from concurrent.futures import ThreadPoolExecutor
 from dataclasses import asdict, dataclass, field, replace
+from glob import escape, glob
 from pathlib import PurePosixPath
 
-from pyspark import inheritable_thread_target
+import pyarrow.parquet as pq
+
 from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
 
 from rowlake.metrics import observation, taken
@@ -255,7 +257,7 @@ class Lake:
 
     def table_names(self) -> list[str]:
         """The directories below the root that hold a table."""
-        return [path.rsplit("/", 2)[1] for path in files.matching(self.spark, f"{self.root}/*/{SCHEMA_FILE}")]
+        return files.holding(self.spark, self.root, SCHEMA_FILE)
 
     def exists(self, requested: DataFrame) -> DataFrame:
         """``requested(table_name)`` with an ``exists`` flag."""
@@ -378,9 +380,9 @@ class Lake:
         folder = f"{self.root}/{RESERVED}/tables/{uuid.uuid4().hex}"
         # No one reads the folder before it is whole, so tasks may put their files in place themselves.
         writer = rows.withColumn(column, F.md5("table_name")).drop("table_name").write.partitionBy(column)
-        writer.option("mapreduce.fileoutputcommitter.algorithm.version", "2").parquet(folder)
-        counted = spark.read.schema(f"{column} string").parquet(folder).groupBy(column).count().collect()
-        counts = {r[column]: r["count"] for r in counted}
+        writer = writer.option("mapreduce.fileoutputcommitter.algorithm.version", "2")
+        writer.options(**files.plain_options(spark, folder)).parquet(folder)
+        counts = self._written_rows(folder, column)
 
         def take(table: str) -> Written:
             own = hashlib.md5(table.encode()).hexdigest()
@@ -391,10 +393,25 @@ class Lake:
             return Written(table, counts.get(own, 0))
 
         with ThreadPoolExecutor(max_workers=max(1, writers)) as pool:
-            written = list(pool.map(inheritable_thread_target(spark)(take), open_))
+            written = list(pool.map(take, open_))
         files.delete(spark, folder)
         return skipped + written
 
+    def _written_rows(self, folder: str, column: str) -> dict[str, int]:
+        """The rows below each ``column=value`` directory of a folder, from the footers of its files.
+
+        Spark starts a task to list each directory, so on the driver's own disk they are read here.
+        """
+        if (own := files.local_path(self.spark, folder)) is None:
+            counted = self.spark.read.schema(f"{column} string").parquet(folder).groupBy(column).count().collect()
+            return {r[column]: r["count"] for r in counted}
+        counts: dict[str, int] = {}
+        for name in files.names(self.spark, folder):
+            key, _, value = name.partition("=")
+            if key == column:
+                counts[value] = sum(pq.read_metadata(f).num_rows for f in glob(f"{escape(own)}/{name}/part-*"))
+        return counts
+
     # -- schema changes ----------------------------------------------------
 
     def declare(self, table: str, fields: Mapping[str, str]) -> None:
