@@ -9,15 +9,12 @@ from pyspark.sql import DataFrame, functions as F
 
 from rowlake.metrics import observation, taken
 from rowlake.operators.shape import route_physical, route_typed
-from rowlake.plans.fanout import Limits, Sink, fan_out
+from rowlake.plans.fanout import CACHED_BYTES, Limits, Sink, fan_out
 from rowlake.sources import files
 from rowlake.sources.envelope import decode_envelope, decode_envelope_typed, decode_messages_typed, decode_with_letters
 from rowlake.sources.lake import RESERVED, Lake, Written
 from rowlake.sources.messages import drain_ranges, offset_bounds, open_bounds, within_ranges
 
-# Bytes of a log, as Spark estimates the scan, up to which a drain is held in the executors' cache.
-CACHED_BYTES = 256 << 20
-
 OFFSET_SCHEMA = "partition int, committed bigint"
 
 

@@ -7,8 +7,13 @@ from pyspark.sql import functions as F
 
 from rowlake import workspace
 from rowlake.plans import fanout
+from rowlake.queries import fixtures as fx
+from rowlake.queries.shaping import routed
 from rowlake.sources import files
 from rowlake.sources.lake import Lake
+from rowlake.sources.messages import replay_stream
+from rowlake.sources.offsets import offset_stream
+from rowlake.streaming.ingest import drained, stream_ingest
 
 
 def test_files_on_the_own_disk_are_made_without_hadoop(spark, monkeypatch):
@@ -75,3 +80,20 @@ def test_rows_of_tables_of_any_name(spark):
     assert sorted(r[0] for r in rows.where(fanout.of_tables(names)).collect()) == sorted(names)
     assert [r[0] for r in rows.where(fanout.of_tables({"plain": 1})).collect()] == ["plain"]
     assert rows.where(fanout.of_tables([])).count() == 0
+
+
+def test_batches_known_to_be_large_are_not_cached(spark, sf_dir, monkeypatch):
+    chosen, whole = [], fanout.staged_rows
+    monkeypatch.setattr(fanout, "staged_rows", lambda rows, how: chosen.append(how) or whole(rows, how))
+    path = fx.written_log(spark, fx.orders_messages(spark, sf_dir))
+    found = []
+    for most in (fanout.CACHED_BYTES, 1):
+        monkeypatch.setattr(fanout, "CACHED_BYTES", most)
+        lakes = [fx.new_lake(spark) for _ in range(3)]
+        fanout.fan_out(routed(fx.orders_messages(spark, sf_dir)), lakes[0], "s", 0)
+        stream_ingest(replay_stream(spark, path), lakes[1], workspace.new_folder(spark, "checkpoint"), drain=True).awaitTermination()
+        drained(stream_ingest(offset_stream(spark, path), lakes[2], workspace.new_folder(spark, "checkpoint"), trigger_interval="0 seconds"))
+        found += [sorted(map(str, lake.scan("orders").select(*fx.ORDERS).collect())) for lake in lakes]
+    # A source that does not know its size admits a share per trigger.
+    assert chosen == ["cache"] * 3 + ["table", "table", "cache"]
+    assert all(own == found[0] and own for own in found)
