@@ -6,14 +6,16 @@ import threading
 from pyspark.sql import functions as F
 
 from rowlake import workspace
+from rowlake.operators import profile
 from rowlake.plans import fanout
 from rowlake.queries import fixtures as fx
 from rowlake.queries.shaping import routed
 from rowlake.sources import files
 from rowlake.sources.lake import Lake
-from rowlake.sources.messages import replay_stream
+from rowlake.sources.messages import MESSAGE_SCHEMA, replay_stream
 from rowlake.sources.offsets import offset_stream
 from rowlake.streaming.ingest import drained, stream_ingest
+from test_offsets import messages
 
 
 def test_files_on_the_own_disk_are_made_without_hadoop(spark, monkeypatch):
@@ -97,3 +99,35 @@ def test_batches_known_to_be_large_are_not_cached(spark, sf_dir, monkeypatch):
     # A source that does not know its size admits a share per trigger.
     assert chosen == ["cache"] * 3 + ["table", "table", "cache"]
     assert all(own == found[0] and own for own in found)
+
+
+def test_a_trigger_takes_three_jobs(spark, lake):
+    path, checkpoint = workspace.new_folder(spark, "log"), workspace.new_folder(spark, "checkpoint")
+    messages(spark, (0, 0, 25), (1, 0, 3)).coalesce(1).write.parquet(path)
+    query = drained(stream_ingest(offset_stream(spark, path, 10), lake, checkpoint, trigger_interval="0 seconds"))
+    triggers = [p["batchId"] for p in query.recentProgress if p["numInputRows"]]
+    jobs = spark.sparkContext.statusTracker().getJobIdsForGroup(str(query.runId))
+    # The batch, its profile, and the write of its one table.
+    assert len(triggers) == 3 and 0 < len(jobs) <= 3 * len(triggers)
+    assert sorted(r.k for r in lake.scan("a").select("k").collect()) == sorted([f"0-{i}" for i in range(25)] + [f"1-{i}" for i in range(3)])
+
+
+def test_one_task_profiles_as_many_do(spark, sf_dir):
+    staged, release = fanout.staged_rows(routed(fx.logged(spark, fx.sales_messages(spark, sf_dir))), "cache")
+    pages = [list(fanout.profile_pages(staged, fanout.Limits(page_tables=2), cached=True, one_task=one)) for one in (False, True)]
+    release()
+    assert pages[0] == pages[1] and [list(page) for page in pages[0]] == [["customer", "line_item"], ["orders"]]
+
+
+def test_only_micro_batches_of_few_tasks_are_profiled_by_one(spark, sf_dir):
+    assert not fanout.read_by_few(routed(fx.orders_messages(spark, sf_dir)))
+    rdd = spark.createDataFrame(spark.sparkContext.parallelize([(0, 0, "{}")], 2), MESSAGE_SCHEMA)
+    assert fanout.read_by_few(routed(rdd)) and not fanout.read_by_few(routed(rdd.unionByName(rdd)))
+
+
+def test_expressions_of_a_batch_are_made_once(spark):
+    assert profile._profile_parts(("a",), True) is profile._profile_parts(("a",), True) is not profile._profile_parts(("b",), True)
+    made = [fanout.typed_columns({"d": "date", "n": "bigint"}, ["d", "n"], mode, {})[0] for mode in ("stream", "stream", "bulk")]
+    assert made[0][0] is made[1][0] is not made[2][0]
+    rows = spark.createDataFrame([("2024-01-02", "x"), (None, "7")], "v0 string, v1 string")
+    assert [tuple(map(str, r)) for r in rows.select(*made[0]).collect()] == [("2024-01-02", "None"), ("None", "7")]
